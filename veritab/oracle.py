@@ -46,3 +46,191 @@ SELECT 'lineitem', 'price_txt', 2, CAST(v2 AS BIGINT), CAST(row_count AS BIGINT)
 UNION ALL
 SELECT 'lineitem', 'ship_txt', 3, CAST(v3 AS BIGINT), CAST(row_count AS BIGINT), v3 = 0 FROM c
 """
+
+
+def _verdict(table: str, column: str, rule: str, pred: str, source: str, with_li: bool = False) -> str:
+    head = f"WITH {LI} " if with_li else ""
+    return (f"{head}SELECT '{table}' AS table_name, '{column}' AS column_name, '{rule}' AS rule, "
+            f"CAST(count_if({pred}) AS BIGINT) AS violations, count_if({pred}) = 0 AS passed FROM {source}")
+
+
+SQL["check_not_null"] = _verdict("lineitem", "pk_txt", "not_null", "pk_txt IS NULL", "li", True)
+
+SQL["check_max_length"] = (
+    _verdict("documents", "text", "max_length(2000)", "length(text) > 2000", "documents")
+    + "\nUNION ALL\n"
+    + _verdict("part", "p_type", "max_length(6)", "length(p_type) > 6", "part"))
+
+SQL["check_int"] = f"WITH {LI}\n" + "\nUNION ALL\n".join(
+    _verdict("lineitem", "pk_txt", f"INT({n})",
+             rf"(length(pk_txt) > {n} OR NOT regexp_matches(pk_txt, '^-?\d{{1,{n}}}\z'))", "li")
+    for n in (4, 3))
+
+SQL["check_decimal"] = _verdict("lineitem", "price_txt", "DECIMAL(6,2)", LI_PRICE_BAD, "li", True)
+
+SQL["check_decimal_comma"] = (
+    f"WITH {LI}, lc AS (SELECT replace(price_txt, '.', ',') AS price_comma FROM li)\n"
+    + _verdict("lineitem", "price_comma", "DECIMAL(6,2) comma",
+               r"(length(price_comma) > 10 OR NOT regexp_matches(price_comma, '^-?\d{1,4}\Q,\E\d{2}\z'))", "lc"))
+
+SQL["check_date_offset"] = _verdict("lineitem", "ship_txt", "DATE", LI_SHIP_BAD, "li", True)
+
+SQL["check_unknown_type"] = (
+    _verdict("part", "p_name", "BLOB", "true", "part")
+    + "\nUNION ALL\n"
+    + _verdict("part", "p_name", "DECIMAL(8)", "true", "part"))
+
+SQL["row_violations"] = f"""
+WITH {LI}
+SELECT l_orderkey, l_linenumber, l_partkey,
+       concat_ws(',', CASE WHEN {LI_PK_BAD} THEN 'pk_txt' END,
+                      CASE WHEN {LI_PRICE_BAD} THEN 'price_txt' END,
+                      CASE WHEN {LI_SHIP_BAD} THEN 'ship_txt' END) AS failed_columns
+FROM li
+WHERE {LI_PK_BAD} OR {LI_PRICE_BAD} OR {LI_SHIP_BAD}
+"""
+
+SQL["pk_summary"] = """
+WITH lk AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL),
+     ok AS (SELECT o_orderkey, count(*) AS n FROM orders GROUP BY ALL)
+SELECT 'lineitem' AS table_name, 'l_orderkey, l_linenumber' AS key_columns,
+       CAST(sum(n) AS BIGINT) AS row_count, CAST(count(*) AS BIGINT) AS distinct_keys,
+       CAST(count_if(n > 1) AS BIGINT) AS duplicated_keys, count_if(n > 1) = 0 AS passed FROM lk
+UNION ALL
+SELECT 'orders', 'o_orderkey', CAST(sum(n) AS BIGINT), CAST(count(*) AS BIGINT),
+       CAST(count_if(n > 1) AS BIGINT), count_if(n > 1) = 0 FROM ok
+"""
+
+SQL["pk_duplicates"] = """
+SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS n
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+"""
+
+ALLOWED_NATIONS = "(SELECT n_nationkey FROM nation WHERE n_regionkey <> 4)"
+ALLOWED_PRIORITIES = ("(SELECT DISTINCT o_orderpriority FROM orders "
+                      "WHERE substr(o_orderpriority, 1, 1) IN ('1', '2', '3'))")
+
+SQL["ri_clean"] = """
+SELECT 'lineitem' AS table_name, 'l_partkey' AS column_name, 'part.p_partkey' AS reference,
+       CAST(count(*) AS BIGINT) AS violations, count(*) = 0 AS passed
+FROM lineitem WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part)
+"""
+
+SQL["ri_violations"] = f"""
+SELECT 'customer' AS table_name, 'c_nationkey' AS column_name, c_custkey AS row_key,
+       CAST(c_nationkey AS VARCHAR) AS value
+FROM customer WHERE c_nationkey IS NOT NULL AND c_nationkey NOT IN {ALLOWED_NATIONS}
+UNION ALL
+SELECT 'orders', 'o_orderpriority', o_orderkey, o_orderpriority
+FROM orders WHERE o_orderpriority IS NOT NULL AND o_orderpriority NOT IN {ALLOWED_PRIORITIES}
+UNION ALL
+SELECT 'documents', 'doc_id', doc_id, CAST(doc_id AS VARCHAR)
+FROM documents WHERE doc_id IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM labels)
+"""
+
+SQL["ri_columns"] = f"""
+WITH per_column AS (
+  SELECT 'customer' AS table_name, 3 AS field_position, 'c_nationkey' AS column_name,
+         count_if(c_nationkey NOT IN {ALLOWED_NATIONS}) AS violations FROM customer
+  UNION ALL SELECT 'orders', 2, 'o_custkey',
+         count_if(o_custkey NOT IN (SELECT c_custkey FROM customer)) FROM orders
+  UNION ALL SELECT 'orders', 6, 'o_orderpriority',
+         count_if(o_orderpriority NOT IN {ALLOWED_PRIORITIES}) FROM orders
+  UNION ALL SELECT 'documents', 1, 'doc_id',
+         count_if(doc_id NOT IN (SELECT doc_id FROM labels)) FROM documents
+  UNION ALL SELECT 'lineitem', 2, 'l_partkey',
+         count_if(l_partkey NOT IN (SELECT p_partkey FROM part)) FROM lineitem
+  UNION ALL SELECT 'lineitem', 3, 'l_suppkey',
+         count_if(l_suppkey NOT IN (SELECT s_suppkey FROM supplier)) FROM lineitem
+)
+SELECT table_name, CAST(count(*) AS BIGINT) AS checked_columns,
+       CAST(count_if(violations > 0) AS BIGINT) AS incidences,
+       coalesce(string_agg(CASE WHEN violations > 0 THEN column_name END, ', ' ORDER BY field_position), '')
+         AS field_name,
+       CAST(sum(violations) AS BIGINT) AS violations,
+       count_if(violations > 0) = 0 AS passed
+FROM per_column GROUP BY table_name
+"""
+
+LINE_REQ = "(1, 2, 3)"
+ROLE_REQ = "('system', 'user', 'assistant')"
+
+SQL["required_any"] = f"""
+SELECT 'lineitem' AS table_name, CAST(count_if(l_linenumber IN {LINE_REQ}) AS BIGINT) AS rows_with_required,
+       count_if(l_linenumber IN {LINE_REQ}) > 0 AS passed FROM lineitem
+UNION ALL
+SELECT 'conversations', CAST(count_if(role IN {ROLE_REQ}) AS BIGINT),
+       count_if(role IN {ROLE_REQ}) > 0 FROM conversations
+"""
+
+SQL["required_excess"] = f"""
+SELECT 'lineitem' AS table_name, l_orderkey AS group_key, CAST(l_linenumber AS VARCHAR) AS value,
+       CAST(count(*) AS BIGINT) AS n
+FROM lineitem WHERE l_linenumber IN {LINE_REQ} GROUP BY l_orderkey, l_linenumber HAVING count(*) <> 1
+UNION ALL
+SELECT 'conversations', conv_id, role, CAST(count(*) AS BIGINT)
+FROM conversations WHERE role IN {ROLE_REQ} GROUP BY conv_id, role HAVING count(*) <> 1
+"""
+
+SQL["required_missing"] = f"""
+SELECT 'lineitem' AS table_name, l_orderkey AS group_key,
+       CAST(count(DISTINCT l_linenumber) AS BIGINT) AS n_present
+FROM lineitem WHERE l_linenumber IN {LINE_REQ} GROUP BY l_orderkey HAVING count(DISTINCT l_linenumber) <> 3
+UNION ALL
+SELECT 'conversations', conv_id, CAST(count(DISTINCT role) AS BIGINT)
+FROM conversations WHERE role IN {ROLE_REQ} GROUP BY conv_id HAVING count(DISTINCT role) <> 3
+"""
+
+SQL["group_prefix_missing"] = """
+SELECT 'conversations' AS table_name, conv_id AS group_key
+FROM conversations GROUP BY conv_id
+HAVING NOT coalesce(bool_or(coalesce(starts_with(role, 'ass'), false)), false)
+"""
+
+SQL["group_prefix_incidences"] = """
+WITH g AS (SELECT conv_id, bool_or(coalesce(starts_with(role, 'ass'), false)) AS has_prefix
+           FROM conversations GROUP BY conv_id)
+SELECT 'conversations' AS table_name, CAST(count(*) AS BIGINT) AS groups,
+       CAST(count_if(has_prefix) AS BIGINT) AS groups_with_prefix,
+       CAST(count(*) - count_if(has_prefix) AS BIGINT) AS incidences,
+       count(*) = count_if(has_prefix) AS passed
+FROM g
+"""
+
+SQL["prefix_violations"] = """
+SELECT 'pages' AS table_name, page_id AS row_key, url AS value FROM pages WHERE NOT starts_with(url, 'https')
+UNION ALL
+SELECT 'part', p_partkey, p_brand FROM part WHERE NOT starts_with(p_brand, 'Brand#1')
+"""
+
+SQL["prefix_like_wildcard"] = """
+SELECT 'part' AS table_name, p_partkey AS row_key, p_brand AS value FROM part
+WHERE NOT (p_brand LIKE '_rand#1%')
+"""
+
+PART_CELLS = """
+cells AS (
+  SELECT p_partkey,
+         CASE WHEN p_size <= 26 THEN chr(CAST(p_size + 96 AS INTEGER))
+              ELSE 'a' || chr(CAST(p_size + 70 AS INTEGER)) END || CAST(p_partkey + 1 AS VARCHAR) AS excel_cell
+  FROM part
+),
+parsed AS (
+  SELECT p_partkey, excel_cell,
+         nullif(upper(regexp_extract(excel_cell, '([A-Za-z]+)([0-9]+)', 1)), '') AS col_letters,
+         TRY_CAST(nullif(regexp_extract(excel_cell, '([A-Za-z]+)([0-9]+)', 2), '') AS BIGINT) AS row_num
+  FROM cells
+),
+numbered AS (
+  SELECT *, CAST(list_reduce(list_transform(string_split(col_letters, ''), lambda x: ascii(x) - 64),
+                             lambda a, b: a * 26 + b) AS BIGINT) AS col_num
+  FROM parsed
+)"""
+
+SQL["cell_parse"] = f"WITH {PART_CELLS}\nSELECT p_partkey, excel_cell, col_letters, row_num, col_num FROM numbered"
+
+SQL["cell_out_of_bounds"] = f"""
+WITH {PART_CELLS}
+SELECT p_partkey, excel_cell, row_num, col_num FROM numbered
+WHERE row_num >= (SELECT count(*) FROM part) OR col_num >= 30
+"""

@@ -7,11 +7,14 @@ with expressions that DuckDB evaluates alike (see ``veritab.oracle``).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veritab.functions import predicates as P
 from veritab.functions.rules import make_rule
-from veritab.operators import technical
+from veritab.operators import functional, references, technical
 from veritab.sources.readers import read_driver_table as _read
 
 
@@ -63,7 +66,294 @@ def q_column_violation_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+
+
+def _verdict(df: DataFrame, table: str, column: str, rule: str, pred) -> DataFrame:
+    """One verdict row: table_name, column_name, rule, violations, passed."""
+    return df.agg(F.count_if(pred).cast("bigint").alias("violations")).select(
+        F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
+        F.lit(rule).alias("rule"), "violations", (F.col("violations") == 0).alias("passed"))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def q_check_not_null(spark, sf):
+    """pk_txt must not be null."""
+    return _verdict(li_view(spark, sf), "lineitem", "pk_txt", "not_null", P.is_null(F.col("pk_txt")))
+
+
+def q_check_max_length(spark, sf):
+    """Documents.text <= 2000 characters; part.p_type <= 6."""
+    docs = _read(spark, sf, "documents")
+    part = _read(spark, sf, "part")
+    return _union([
+        _verdict(docs, "documents", "text", "max_length(2000)", P.too_long(F.col("text"), 2000)),
+        _verdict(part, "part", "p_type", "max_length(6)", P.too_long(F.col("p_type"), 6)),
+    ])
+
+
+def q_check_int(spark, sf):
+    """pk_txt as a nullable INT of length 4, and of length 3."""
+    li = li_view(spark, sf)
+    return _union([
+        _verdict(li, "lineitem", "pk_txt", f"INT({n})",
+                 P.violation_predicate(make_rule("pk_txt", "INT", n, nullable=True)))
+        for n in (4, 3)
+    ])
+
+
+def q_check_decimal(spark, sf):
+    """T4: price_txt as DECIMAL(6,2), length 10."""
+    rule = make_rule("price_txt", "DECIMAL(6,2)", 10, nullable=True)
+    return _verdict(li_view(spark, sf), "lineitem", "price_txt", "DECIMAL(6,2)", P.violation_predicate(rule))
+
+
+def q_check_decimal_comma(spark, sf):
+    """T4 with a declared decimal symbol: price text written with a comma."""
+    li = li_view(spark, sf).withColumn("price_comma", F.translate("price_txt", ".", ","))
+    rule = make_rule("price_comma", "DECIMAL(6,2)", 10, nullable=True, decimal_symbol=",")
+    return _verdict(li, "lineitem", "price_comma", "DECIMAL(6,2) comma", P.violation_predicate(rule))
+
+
+def q_check_date_offset(spark, sf):
+    """T5: ship_txt as a date with hour offset, length 14."""
+    rule = make_rule("ship_txt", "DATE", 14, nullable=True)
+    return _verdict(li_view(spark, sf), "lineitem", "ship_txt", "DATE", P.violation_predicate(rule))
+
+
+def q_check_unknown_type(spark, sf):
+    """An unknown type and a malformed decimal type fail every row."""
+    part = _read(spark, sf, "part")
+    return _union([
+        _verdict(part, "part", "p_name", dt, P.violation_predicate(make_rule("p_name", dt, 55)))
+        for dt in ("BLOB", "DECIMAL(8)")
+    ])
+
+
+def q_row_violations(spark, sf):
+    """Lineitem rows breaking any rule of the text view."""
+    return technical.row_violations(li_view(spark, sf), LI_RULES,
+                                    keep=["l_orderkey", "l_linenumber", "l_partkey"])
+
+
+LI_KEY = ["l_orderkey", "l_linenumber"]
+
+
+def q_pk_summary(spark, sf):
+    """Key uniqueness of lineitem (l_orderkey, l_linenumber) and orders (o_orderkey)."""
+    def one(table, keys):
+        return technical.key_summary(_read(spark, sf, table), keys).select(
+            F.lit(table).alias("table_name"), F.lit(", ".join(keys)).alias("key_columns"),
+            "row_count", "distinct_keys", "duplicated_keys", "passed")
+    return one("lineitem", LI_KEY).unionByName(one("orders", ["o_orderkey"]))
+
+
+def q_pk_duplicates(spark, sf):
+    """T8 detail: duplicated (l_orderkey, l_linenumber) keys with their count."""
+    return technical.key_duplicates(_read(spark, sf, "lineitem"), LI_KEY)
+
+
+# --------------------------------------------------------------------------
+# referential integrity
+# --------------------------------------------------------------------------
+
+def allowed_nations(spark, sf):
+    """Reference set: nations outside region 4."""
+    return _read(spark, sf, "nation").where(F.col("n_regionkey") != 4)
+
+
+def allowed_priorities(spark, sf):
+    """Reference set: order priorities with code 1, 2 or 3."""
+    return (_read(spark, sf, "orders").select("o_orderpriority")
+            .where(F.substring("o_orderpriority", 1, 1).isin("1", "2", "3")))
+
+
+def reference_rules(spark, sf):
+    """(table, position, column, tested frame, reference frame, reference column)."""
+    customer = _read(spark, sf, "customer")
+    orders = _read(spark, sf, "orders")
+    documents = _read(spark, sf, "documents")
+    lineitem = _read(spark, sf, "lineitem")
+    return [
+        ("customer", 3, "c_nationkey", customer, allowed_nations(spark, sf), "n_nationkey"),
+        ("orders", 2, "o_custkey", orders, _read(spark, sf, "customer"), "c_custkey"),
+        ("orders", 6, "o_orderpriority", orders, allowed_priorities(spark, sf), "o_orderpriority"),
+        ("documents", 1, "doc_id", documents, _read(spark, sf, "labels"), "doc_id"),
+        ("lineitem", 2, "l_partkey", lineitem, _read(spark, sf, "part"), "p_partkey"),
+        ("lineitem", 3, "l_suppkey", lineitem, _read(spark, sf, "supplier"), "s_suppkey"),
+    ]
+
+
+def q_ri_clean(spark, sf):
+    """R2 on a clean reference: lineitem.l_partkey -> part.p_partkey (count row)."""
+    v = references.reference_violation_count(_read(spark, sf, "lineitem"), "l_partkey",
+                                             _read(spark, sf, "part"), "p_partkey")
+    return v.select(F.lit("lineitem").alias("table_name"), F.lit("l_partkey").alias("column_name"),
+                    F.lit("part.p_partkey").alias("reference"), "violations",
+                    (F.col("violations") == 0).alias("passed"))
+
+
+def q_ri_violations(spark, sf):
+    """R2: offending rows of three reference rules."""
+    customer = _read(spark, sf, "customer")
+    orders = _read(spark, sf, "orders")
+    documents = _read(spark, sf, "documents")
+    parts = [
+        references.reference_violations(customer, "c_nationkey", allowed_nations(spark, sf), "n_nationkey")
+        .select(F.lit("customer").alias("table_name"), F.lit("c_nationkey").alias("column_name"),
+                F.col("c_custkey").alias("row_key"), F.col("c_nationkey").cast("string").alias("value")),
+        references.reference_violations(orders, "o_orderpriority", allowed_priorities(spark, sf),
+                                        "o_orderpriority")
+        .select(F.lit("orders").alias("table_name"), F.lit("o_orderpriority").alias("column_name"),
+                F.col("o_orderkey").alias("row_key"), F.col("o_orderpriority").alias("value")),
+        references.reference_violations(documents, "doc_id", _read(spark, sf, "labels"), "doc_id")
+        .select(F.lit("documents").alias("table_name"), F.lit("doc_id").alias("column_name"),
+                F.col("doc_id").alias("row_key"), F.col("doc_id").cast("string").alias("value")),
+    ]
+    return _union(parts)
+
+
+def q_ri_columns(spark, sf):
+    """Per table, failing reference columns (incidences) and their names."""
+    per_column = _union([
+        references.reference_violation_count(df, col, ref, ref_col).select(
+            F.lit(table).alias("table_name"), F.lit(pos).cast("int").alias("field_position"),
+            F.lit(col).alias("column_name"), "violations")
+        for table, pos, col, df, ref, ref_col in reference_rules(spark, sf)
+    ])
+    return references.failing_columns_summary(per_column)
+
+
+# --------------------------------------------------------------------------
+# functional rules
+# --------------------------------------------------------------------------
+
+LINE_REQUIRED = (1, 2, 3)
+ROLE_REQUIRED = ("system", "user", "assistant")
+
+
+def _required_specs(spark, sf):
+    return [
+        ("lineitem", _read(spark, sf, "lineitem"), "l_orderkey", "l_linenumber", LINE_REQUIRED),
+        ("conversations", _read(spark, sf, "conversations"), "conv_id", "role", ROLE_REQUIRED),
+    ]
+
+
+def q_required_any(spark, sf):
+    """At least one row carries a required value."""
+    return _union([
+        functional.required_any(df, v, vals).select(F.lit(t).alias("table_name"),
+                                                     "rows_with_required", "passed")
+        for t, df, g, v, vals in _required_specs(spark, sf)
+    ])
+
+
+def q_required_excess(spark, sf):
+    """(group, required value) pairs occurring more than once."""
+    return _union([
+        functional.required_excess(df, [g], v, vals).select(
+            F.lit(t).alias("table_name"), F.col(g).alias("group_key"),
+            F.col(v).cast("string").alias("value"), "n")
+        for t, df, g, v, vals in _required_specs(spark, sf)
+    ])
+
+
+def q_required_missing(spark, sf):
+    """Groups holding only part of the required set."""
+    return _union([
+        functional.required_missing(df, [g], v, vals).select(
+            F.lit(t).alias("table_name"), F.col(g).alias("group_key"), "n_present")
+        for t, df, g, v, vals in _required_specs(spark, sf)
+    ])
+
+
+def q_group_prefix_missing(spark, sf):
+    """F2 detail: conversations without an assistant-like role (prefix 'ass')."""
+    conv = _read(spark, sf, "conversations")
+    return functional.group_prefix_missing(conv, ["conv_id"], "role", "ass") \
+        .select(F.lit("conversations").alias("table_name"), F.col("conv_id").alias("group_key"))
+
+
+def q_group_prefix_incidences(spark, sf):
+    """F2 verdict: incidences = groups without the prefix."""
+    conv = _read(spark, sf, "conversations")
+    return functional.group_prefix_incidences(conv, ["conv_id"], "role", "ass") \
+        .select(F.lit("conversations").alias("table_name"), "groups", "groups_with_prefix",
+                "incidences", "passed")
+
+
+def q_prefix_violations(spark, sf):
+    """pages.url must start with 'https'; part.p_brand with 'Brand#1'."""
+    pages = _read(spark, sf, "pages")
+    part = _read(spark, sf, "part")
+    return _union([
+        functional.pattern_violations(pages, "url", "https").select(
+            F.lit("pages").alias("table_name"), F.col("page_id").alias("row_key"),
+            F.col("url").alias("value")),
+        functional.pattern_violations(part, "p_brand", "Brand#1").select(
+            F.lit("part").alias("table_name"), F.col("p_partkey").alias("row_key"),
+            F.col("p_brand").alias("value")),
+    ])
+
+
+def q_prefix_like_wildcard(spark, sf):
+    """F3 compat: SQL LIKE '_rand#1%', where '_' is a wildcard."""
+    part = _read(spark, sf, "part")
+    return functional.pattern_violations(part, "p_brand", "_rand#1", mode="like").select(
+        F.lit("part").alias("table_name"), F.col("p_partkey").alias("row_key"),
+        F.col("p_brand").alias("value"))
+
+
+PART_COLUMN_COUNT = 30
+
+
+def part_cells(spark, sf):
+    """part with a cell reference: letters from p_size (1-26 -> a-z,
+    27-50 -> aa-ax), row number p_partkey + 1."""
+    part = _read(spark, sf, "part")
+    size = F.col("p_size")
+    letters = F.when(size <= 26, F.char(size + 96)).otherwise(F.concat(F.lit("a"), F.char(size + 70)))
+    cell = F.concat(letters, (F.col("p_partkey") + 1).cast("string"))
+    return part.select("p_partkey", cell.alias("excel_cell"))
+
+
+def q_cell_parse(spark, sf):
+    """Letters, row number and base-26 column number of each cell."""
+    return functional.with_cell_parts(part_cells(spark, sf), "excel_cell")
+
+
+def q_cell_out_of_bounds(spark, sf):
+    """Cells at or past row_count (rows of part) or column 30."""
+    cells = part_cells(spark, sf)
+    return functional.cell_out_of_bounds(cells, "excel_cell", column_count=PART_COLUMN_COUNT) \
+        .select("p_partkey", "excel_cell", "row_num", "col_num")
+
+
 QUERIES = {
+    "check_not_null": q_check_not_null,
+    "check_max_length": q_check_max_length,
+    "check_int": q_check_int,
+    "check_decimal": q_check_decimal,
+    "check_decimal_comma": q_check_decimal_comma,
+    "check_date_offset": q_check_date_offset,
+    "check_unknown_type": q_check_unknown_type,
+    "row_violations": q_row_violations,
     "column_violation_counts": q_column_violation_counts,
+    "pk_summary": q_pk_summary,
+    "pk_duplicates": q_pk_duplicates,
+    "ri_clean": q_ri_clean,
+    "ri_violations": q_ri_violations,
+    "ri_columns": q_ri_columns,
+    "required_any": q_required_any,
+    "required_excess": q_required_excess,
+    "required_missing": q_required_missing,
+    "group_prefix_missing": q_group_prefix_missing,
+    "group_prefix_incidences": q_group_prefix_incidences,
+    "prefix_violations": q_prefix_violations,
+    "prefix_like_wildcard": q_prefix_like_wildcard,
+    "cell_parse": q_cell_parse,
+    "cell_out_of_bounds": q_cell_out_of_bounds,
 }
 FLAGSHIP = "column_violation_counts"
