@@ -69,6 +69,7 @@ class Rule:
 
     field_name: str
     field_position: int | None = None
+    table_id: str | None = None
     data_type: str | None = "STRING"
     kind: str = "STRING"
     max_length: int | None = None
@@ -84,10 +85,10 @@ class Rule:
 def collect_rules(decoded: DataFrame, table_id: str | None = None) -> list[Rule]:
     """Decoded rules of one table in position order (metadata rows only)."""
     frame = decoded if table_id is None else decoded.where(F.col("id_type_file") == F.lit(table_id))
-    rows = frame.orderBy("field_position").collect()
+    rows = frame.orderBy("id_type_file", "field_position").collect()
     return [
         Rule(
-            field_name=r["field_name"], field_position=r["field_position"],
+            field_name=r["field_name"], field_position=r["field_position"], table_id=r["id_type_file"],
             data_type=r["data_type"], kind=r["kind"], max_length=r["max_length"],
             precision=r["precision"], scale=r["scale"], symbol=r["symbol"],
             is_nullable=r["is_nullable"], is_pk=r["is_pk"],

@@ -60,10 +60,11 @@ def arity_matches(df: DataFrame, expected_names: Sequence[str]) -> bool:
 
 @dataclass
 class HeaderResult:
-    frame: DataFrame | None
+    frame: DataFrame | None   # renamed / checked frame when passed
     passed: bool
-    rule: str            # read | header | arity
+    rule: str                 # read | header | arity
     message: str | None
+    raw: DataFrame | None = None  # the frame as read (None when unreadable)
 
 
 def validate_header(load: Callable[[], DataFrame], has_header: bool,
@@ -76,17 +77,17 @@ def validate_header(load: Callable[[], DataFrame], has_header: bool,
         df = load()
         columns = df.columns  # resolves the schema: a missing table fails here
     except (AnalysisException, FileNotFoundError, OSError) as exc:
-        return HeaderResult(None, False, "read", f"table could not be read: {type(exc).__name__}")
+        return HeaderResult(None, False, "read", "table could not be read")
     except Exception as exc:  # JVM-side errors surface as Py4J errors
         if type(exc).__name__ in ("Py4JJavaError", "IllegalArgumentException", "SparkRuntimeException"):
-            return HeaderResult(None, False, "read", f"table could not be read: {type(exc).__name__}")
+            return HeaderResult(None, False, "read", "table could not be read")
         raise
     if has_header:
         if header_matches(columns, expected_names):
-            return HeaderResult(df, True, "header", None)
+            return HeaderResult(df, True, "header", None, df)
         return HeaderResult(None, False, "header",
-                            "header present but column names differ from the rules")
+                            "header present but column names differ from the rules", df)
     if not arity_matches(df, expected_names):
         return HeaderResult(None, False, "arity",
-                            "column count differs from the rules")
-    return HeaderResult(rename_by_position(df, expected_names), True, "header", None)
+                            "column count differs from the rules", df)
+    return HeaderResult(rename_by_position(df, expected_names), True, "header", None, df)

@@ -234,3 +234,281 @@ WITH {PART_CELLS}
 SELECT p_partkey, excel_cell, row_num, col_num FROM numbered
 WHERE row_num >= (SELECT count(*) FROM part) OR col_num >= 30
 """
+
+
+# --------------------------------------------------------------------------
+# staged run over the benchmark catalog
+# --------------------------------------------------------------------------
+# Header conformance comes from DuckDB's information_schema; the checks of
+# the later stages only count for tables whose header passed.
+
+def _q(text) -> str:
+    return "NULL" if text is None else "'" + str(text).replace("'", "''") + "'"
+
+
+# sources as the staged run sees them (after renaming by position)
+_DERIVED_COLUMNS = {
+    "lineitem_text": ["l_orderkey", "l_partkey", "l_linenumber", "pk_txt", "price_txt", "ship_txt"],
+    "part_cells": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice", "excel_cell"],
+}
+# column lists of the benchmark tables the run reads (fixed schemas)
+_SOURCE_COLUMNS = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "conversations": ["conv_id", "turn", "role", "text"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+}
+_CELL_SQL = ("CASE WHEN p_size <= 26 THEN chr(CAST(p_size + 96 AS INTEGER)) "
+             "ELSE 'a' || chr(CAST(p_size + 70 AS INTEGER)) END || CAST(p_partkey + 1 AS VARCHAR)")
+
+
+def _type_pred(col: str, dt: str, length: int, nullable: bool) -> str:
+    c = f"CAST({col} AS VARCHAR)"
+    too_long = f"length({c}) > {length}"
+    if dt == "STRING":
+        bad = too_long
+    elif dt == "INT":
+        bad = rf"({too_long} OR NOT regexp_matches({c}, '^-?\d{{1,{length}}}\z'))"
+    elif dt.startswith("DECIMAL"):
+        p, s = (int(x) for x in dt[len("DECIMAL("):-1].split(","))
+        bad = rf"({too_long} OR NOT regexp_matches({c}, '^-?\d{{1,{p - s}}}\Q.\E\d{{{s}}}\z'))"
+    elif dt == "DATE":
+        bad = (rf"({too_long} OR try_cast(substr({c}, 1, 10) AS DATE) IS NULL"
+               rf" OR NOT regexp_matches({c}, '^\d{{4}}-(0[0-9]|1[0-2])-\d{{2}}\s[+-](0[0-9]|1[0-4])\z'))")
+        if nullable:
+            bad = f"({c} IS NOT NULL AND {bad})"
+    else:
+        bad = "true"
+    if not nullable:
+        bad = f"({c} IS NULL OR {bad})"
+    return bad
+
+
+def _verdict_row(seq, tid, name, stage, check_no, rule, column, v, inc, passed, msg, rows, src) -> str:
+    return (f"SELECT {seq} AS table_seq, {_q(tid)} AS table_id, {_q(name)} AS table_name, "
+            f"{stage} AS stage, {check_no} AS check_no, {_q(rule)} AS rule, "
+            f"CAST({_q(column)} AS VARCHAR) AS column_name, CAST({v} AS BIGINT) AS violations, "
+            f"CAST({inc} AS BIGINT) AS incidences, ({passed}) AS passed, "
+            f"CASE WHEN ({passed}) THEN NULL ELSE {_q(msg)} END AS message, "
+            f"CAST({rows} AS BIGINT) AS row_count FROM {src}")
+
+
+def _run_sql() -> str:
+    from veritab.benchmark_catalog import FUNCTIONAL, RULES, TABLES
+
+    base = {"region", "nation", "supplier", "customer", "orders", "conversations", "documents",
+            "events_archive"}
+    rules_by = {}
+    for tid, pos, name, pk, dt, length, nullable, ref in RULES:
+        rules_by.setdefault(tid, []).append((pos, name, pk, dt, int(length), nullable, ref))
+    ctes = [LI.strip(), "lineitem_text AS (SELECT * FROM li)",
+            f"part_cells AS (SELECT *, {_CELL_SQL} AS excel_cell FROM part)",
+            f"allowed_priorities AS {ALLOWED_PRIORITIES}"]
+    exp_rows = ", ".join(f"({_q(tid)}, {pos}, {_q(name)})" for tid, pos, name, *_ in RULES)
+    ctes.append(f"expected(table_id, position, name) AS (VALUES {exp_rows})")
+    actual = []
+    for seq, (tid, name, origin, header) in enumerate(TABLES, 1):
+        if origin in base:
+            actual.append(f"SELECT {_q(tid)} AS table_id, CAST(ordinal_position AS INTEGER) AS position, "
+                          f"column_name AS name FROM information_schema.columns "
+                          f"WHERE table_schema = 'main' AND table_name = {_q(origin)}")
+        else:
+            cols = _DERIVED_COLUMNS[origin]
+            actual.append(" UNION ALL ".join(f"SELECT {_q(tid)}, {i}, {_q(c)}"
+                                             for i, c in enumerate(cols, 1)))
+    ctes.append("actual AS (" + " UNION ALL ".join(actual) + ")")
+    cat_rows = ", ".join(f"({seq}, {_q(tid)}, {_q(name)}, {'true' if header else 'false'})"
+                         for seq, (tid, name, origin, header) in enumerate(TABLES, 1))
+    ctes.append(f"catalog(table_seq, table_id, table_name, has_header) AS (VALUES {cat_rows})")
+    ctes.append("""hdr AS (
+  SELECT c.table_seq, c.table_id, c.table_name, c.has_header,
+         (SELECT count(*) FROM actual a WHERE a.table_id = c.table_id) AS n_actual,
+         (SELECT count(*) FROM expected e WHERE e.table_id = c.table_id) AS n_expected,
+         (SELECT list(a.name ORDER BY a.position) FROM actual a WHERE a.table_id = c.table_id) AS actual_names,
+         (SELECT list(e.name ORDER BY e.position) FROM expected e WHERE e.table_id = c.table_id) AS expected_names
+  FROM catalog c),
+hdr_status AS (
+  SELECT *, CASE WHEN n_actual = 0 THEN 'read'
+                 WHEN has_header AND actual_names IS DISTINCT FROM expected_names THEN 'header'
+                 WHEN NOT has_header AND n_actual <> n_expected THEN 'arity'
+                 ELSE 'ok' END AS outcome
+  FROM hdr)""")
+
+    rows = []
+    for seq, (tid, name, origin, header) in enumerate(TABLES, 1):
+        rules = rules_by[tid]
+        ok = f"(SELECT outcome FROM hdr_status WHERE table_id = {_q(tid)}) = 'ok'"
+        if origin == "events_archive":
+            rows.append(_verdict_row(seq, tid, name, 1, 1, "read", None, "NULL", "1", "false",
+                                     "table could not be read", "NULL",
+                                     f"hdr_status WHERE table_id = {_q(tid)} AND outcome = 'read'"))
+            continue
+        src = origin
+        names = [r[1] for r in rules]
+        actual_cols = _SOURCE_COLUMNS.get(origin) or _DERIVED_COLUMNS[origin]
+        if not header and len(actual_cols) == len(names):   # renamed by position
+            src = f"(SELECT {', '.join(f'{a} AS {b}' for a, b in zip(actual_cols, names))} FROM {origin})"
+        # later stages only reference columns the source really has
+        resolvable = (names == actual_cols) if header else (len(names) == len(actual_cols))
+        cnt = f"(SELECT count(*) FROM {origin})"
+        for rule, msg in (("header", "header present but column names differ from the rules"),
+                          ("arity", "column count differs from the rules")):
+            rows.append(_verdict_row(seq, tid, name, 1, 1, rule, None, "1", "1", "false", msg, cnt,
+                                     f"hdr_status WHERE table_id = {_q(tid)} AND outcome = {_q(rule)}"))
+        rows.append(_verdict_row(seq, tid, name, 1, 1, "header", None, "0", "0", "true", None, cnt,
+                                 f"hdr_status WHERE table_id = {_q(tid)} AND outcome = 'ok'"))
+        if not resolvable:
+            continue
+        gated = f"(SELECT 1) g WHERE {ok}"
+        for i, (pos, col, pk, dt, length, nullable, ref) in enumerate(rules, 1):
+            kind = dt if dt in ("STRING", "INT", "DATE") else "DECIMAL"
+            v = f"(SELECT count_if({_type_pred(col, dt, length, nullable)}) FROM {src})"
+            rows.append(_verdict_row(seq, tid, name, 2, i, f"type:{kind}", col, v,
+                                     f"CASE WHEN {v} > 0 THEN 1 ELSE 0 END", f"{v} = 0",
+                                     f"{col}: values break the {dt} rule", "NULL", gated))
+        keys = [r[1] for r in rules if r[2]]
+        if keys:
+            v = (f"(SELECT count_if(n > 1) FROM (SELECT count(*) AS n FROM {src} "
+                 f"GROUP BY {', '.join(keys)}))")
+            rows.append(_verdict_row(seq, tid, name, 2, len(rules) + 1, "primary_key", ", ".join(keys), v,
+                                     f"CASE WHEN {v} > 0 THEN 1 ELSE 0 END", f"{v} = 0",
+                                     "primary key values are not unique", "NULL", gated))
+        for pos, col, pk, dt, length, nullable, ref in rules:
+            if not ref:
+                continue
+            rt, rc = ref.rsplit(".", 1)
+            v = (f"(SELECT count(*) FROM {src} WHERE {col} IS NOT NULL AND {col} NOT IN "
+                 f"(SELECT {rc} FROM {rt} WHERE {rc} IS NOT NULL))")
+            rows.append(_verdict_row(seq, tid, name, 3, pos, "reference", col, v,
+                                     f"CASE WHEN {v} > 0 THEN 1 ELSE 0 END", f"{v} = 0",
+                                     f"{col}: values outside {ref}", "NULL", gated))
+        fs = FUNCTIONAL.get(tid)
+        if fs is None:
+            continue
+        if fs.required_column:
+            g = ", ".join(fs.group_cols)
+            vals = ", ".join(_q(x) for x in fs.required_values)
+            gv = ", ".join(fs.group_cols + (fs.required_column,))
+            shown = ", ".join(str(x) for x in fs.required_values)
+            req = f"(SELECT count_if({fs.required_column} IN ({vals})) FROM {src})"
+            rows.append(_verdict_row(seq, tid, name, 4, 1, "required_any", gv,
+                                     f"CASE WHEN {req} = 0 THEN 1 ELSE 0 END",
+                                     f"CASE WHEN {req} = 0 THEN 1 ELSE 0 END", f"{req} > 0",
+                                     f"no row has {fs.required_column} in ({shown})", "NULL", gated))
+            k = len(set(fs.required_values))
+            bad = (f"((SELECT count(*) FROM (SELECT count(*) AS n FROM {src} WHERE {fs.required_column} "
+                   f"IN ({vals}) GROUP BY {gv}) WHERE n <> 1) + (SELECT count(*) FROM (SELECT "
+                   f"count(DISTINCT {fs.required_column}) AS d FROM {src} WHERE {fs.required_column} "
+                   f"IN ({vals}) GROUP BY {g}) WHERE d <> {k}))")
+            rows.append(_verdict_row(seq, tid, name, 4, 2, "required_set", gv, bad,
+                                     f"CASE WHEN {bad} > 0 THEN 1 ELSE 0 END", f"{bad} = 0",
+                                     f"each ({g}) needs exactly one row per ({shown})", "NULL", gated))
+        if fs.prefix_column:
+            g = ", ".join(fs.group_cols)
+            gv = ", ".join(fs.group_cols + (fs.prefix_column,))
+            miss = (f"(SELECT count(*) FROM (SELECT bool_or(coalesce(starts_with({fs.prefix_column}, "
+                    f"{_q(fs.prefix)}), false)) AS h FROM {src} GROUP BY {g}) WHERE NOT h)")
+            rows.append(_verdict_row(seq, tid, name, 4, 3, "group_prefix", gv, miss, miss, f"{miss} = 0",
+                                     f"some ({g}) have no {fs.prefix_column} starting with {fs.prefix}",
+                                     "NULL", gated))
+        if fs.pattern_column:
+            v = f"(SELECT count_if(NOT starts_with({fs.pattern_column}, {_q(fs.pattern)})) FROM {src})"
+            rows.append(_verdict_row(seq, tid, name, 4, 4, "pattern", fs.pattern_column, v,
+                                     f"CASE WHEN {v} > 0 THEN 1 ELSE 0 END", f"{v} = 0",
+                                     f"not every {fs.pattern_column} starts with {fs.pattern}", "NULL", gated))
+        if fs.cell_column:
+            c = fs.cell_column
+            letters = f"nullif(upper(regexp_extract({c}, '([A-Za-z]+)([0-9]+)', 1)), '')"
+            rnum = f"TRY_CAST(nullif(regexp_extract({c}, '([A-Za-z]+)([0-9]+)', 2), '') AS BIGINT)"
+            cnum = (f"list_reduce(list_transform(string_split({letters}, ''), lambda x: ascii(x) - 64), "
+                    f"lambda a, b: a * 26 + b)")
+            v = (f"(SELECT count_if({rnum} >= (SELECT count(*) FROM {src}) OR {cnum} >= "
+                 f"{fs.cell_column_count}) FROM {src})")
+            rows.append(_verdict_row(seq, tid, name, 4, 5, "cell_bounds", c, v,
+                                     f"CASE WHEN {v} > 0 THEN 1 ELSE 0 END", f"{v} = 0",
+                                     f"{c} points outside the table", "NULL", gated))
+    ctes.append("verdicts AS (\n" + "\nUNION ALL\n".join(rows) + "\n)")
+    return "WITH " + ",\n".join(ctes) + "\n"
+
+
+RUN = _run_sql()
+
+RUN_DERIVED = RUN.rstrip() + """,
+table_status AS (
+  SELECT table_seq, table_id, table_name,
+         min(stage) FILTER (WHERE NOT passed) AS failed_stage,
+         coalesce(bool_or(rule = 'read' AND NOT passed), false) AS unreadable,
+         coalesce(bool_or(rule = 'arity' AND NOT passed), false) AS arity_failed,
+         coalesce(bool_or(stage = 3), false) AS has_reference,
+         CAST(coalesce(max(row_count), 0) AS BIGINT) AS row_count
+  FROM verdicts GROUP BY table_seq, table_id, table_name),
+table_flags AS (
+  SELECT *, CAST(CASE WHEN unreadable THEN 30 WHEN failed_stage = 1 THEN 31 WHEN failed_stage = 2 THEN 32
+                      WHEN failed_stage = 3 THEN 33 WHEN failed_stage = 4 THEN 34 ELSE 2 END AS DOUBLE) AS flag,
+            CAST(coalesce(failed_stage - 1, 4) AS INTEGER) AS stages_passed
+  FROM table_status),
+status_lists AS (
+  SELECT *, list_filter([
+      CASE WHEN NOT unreadable THEN 1.0 END,
+      CASE WHEN unreadable THEN 30.0 WHEN failed_stage = 1 THEN (CASE WHEN NOT arity_failed THEN 31.0 END)
+           ELSE 1.2 END,
+      CASE WHEN failed_stage = 2 THEN 32.0 WHEN failed_stage IS NULL OR failed_stage > 2 THEN 1.2 END,
+      CASE WHEN has_reference THEN (CASE WHEN failed_stage = 3 THEN 33.0
+                                         WHEN failed_stage IS NULL OR failed_stage > 3 THEN 1.3 END) END,
+      CASE WHEN failed_stage = 4 THEN 34.0 WHEN failed_stage IS NULL THEN 1.4 END,
+      CASE WHEN failed_stage IS NULL THEN 2.0 END], lambda x: x IS NOT NULL) AS flags
+  FROM table_flags),
+triggers AS (
+  SELECT CAST(table_seq * 10 + n AS BIGINT) AS id_trigger, table_id AS id_type_file, table_name AS file_name,
+         'PRE' AS environment, 'validation_engine' AS source, DATE '2025-01-01' AS date_load,
+         TIMESTAMP '2025-01-01 00:00:00' AS tst_trigger_control, CAST(flag AS DOUBLE) AS flag,
+         CAST(20250101000000 AS BIGINT) AS timestamp_load, row_count
+  FROM (SELECT table_seq, table_id, table_name, row_count, unnest(flags) AS flag,
+               generate_subscripts(flags, 1) AS n FROM status_lists)),
+stage_summary AS (
+  SELECT table_seq, table_id, table_name, stage, bool_and(passed) AS passed,
+         CAST(sum(incidences) AS BIGINT) AS incidences,
+         coalesce(string_agg(message, ' ' ORDER BY check_no) FILTER (WHERE NOT passed), '') AS validation_msg,
+         coalesce(array_to_string(list_sort(list_distinct(flatten(
+             list(string_split(column_name, ', ')) FILTER (WHERE NOT passed AND column_name IS NOT NULL)))), ', '),
+             '') AS field_name,
+         CASE stage WHEN 1 THEN 'Header' WHEN 2 THEN 'Technical' WHEN 3 THEN 'Referential Integrity'
+                    WHEN 4 THEN 'Functional' END AS type_validation
+  FROM verdicts GROUP BY table_seq, table_id, table_name, stage)
+"""
+
+SQL["stage_verdicts"] = RUN + "SELECT * FROM verdicts"
+
+SQL["table_verdict"] = RUN_DERIVED + """
+SELECT table_id, table_name, failed_stage, flag, stages_passed, row_count FROM table_flags"""
+
+SQL["progress_summary"] = RUN_DERIVED + "SELECT table_id, table_name, stages_passed FROM table_flags"
+
+SQL["trigger_rows"] = RUN_DERIVED + "SELECT * FROM triggers"
+
+SQL["latest_trigger"] = RUN_DERIVED + """
+SELECT id_type_file, file_name, max(id_trigger) AS id_trigger, arg_max(flag, id_trigger) AS flag
+FROM triggers GROUP BY id_type_file, file_name"""
+
+SQL["flag_assign"] = RUN_DERIVED + """
+SELECT table_id, table_name, stage, passed,
+       CAST(CASE WHEN passed THEN (CASE stage WHEN 1 THEN 1.2 WHEN 2 THEN 1.2 WHEN 3 THEN 1.3 ELSE 1.4 END)
+                 ELSE (CASE stage WHEN 1 THEN 31 WHEN 2 THEN 32 WHEN 3 THEN 33 ELSE 34 END) END AS DOUBLE) AS flag
+FROM stage_summary"""
+
+SQL["stage_error_summary"] = RUN_DERIVED + """
+SELECT table_id, table_name, stage, type_validation, validation_msg, field_name, incidences
+FROM stage_summary WHERE NOT passed"""
+
+SQL["validation_log_rows"] = RUN_DERIVED + """
+SELECT l.id_trigger, CAST(s.stage AS INTEGER) AS validation_id, 'validation_engine' AS source,
+       s.type_validation, s.table_name AS file_name, s.validation_msg, nullif(s.field_name, '') AS field_name,
+       s.incidences, f.flag, TIMESTAMP '2025-01-01 00:00:00' AS execution_timestamp,
+       DATE '2025-01-01' AS date_load, CAST(20250101000000 AS BIGINT) AS timestamp_load
+FROM table_flags f
+JOIN stage_summary s ON s.table_id = f.table_id AND s.stage = f.failed_stage
+JOIN (SELECT id_type_file, max(id_trigger) AS id_trigger FROM triggers GROUP BY id_type_file) l
+  ON l.id_type_file = f.table_id"""

@@ -309,14 +309,16 @@ def q_prefix_like_wildcard(spark, sf):
 PART_COLUMN_COUNT = 30
 
 
+def cell_reference(size, key):
+    """A cell reference built from part columns: letters from p_size
+    (1-26 -> a-z, 27-50 -> aa-ax), row number p_partkey + 1."""
+    letters = F.when(size <= 26, F.char(size + 96)).otherwise(F.concat(F.lit("a"), F.char(size + 70)))
+    return F.concat(letters, (key + 1).cast("string"))
+
+
 def part_cells(spark, sf):
-    """part with a cell reference: letters from p_size (1-26 -> a-z,
-    27-50 -> aa-ax), row number p_partkey + 1."""
     part = _read(spark, sf, "part")
-    size = F.col("p_size")
-    letters = F.when(size <= 26, F.char(size + 96)).otherwise(F.concat(F.lit("a"), F.char(size + 70)))
-    cell = F.concat(letters, (F.col("p_partkey") + 1).cast("string"))
-    return part.select("p_partkey", cell.alias("excel_cell"))
+    return part.select("p_partkey", cell_reference(F.col("p_size"), F.col("p_partkey")).alias("excel_cell"))
 
 
 def q_cell_parse(spark, sf):
@@ -331,6 +333,80 @@ def q_cell_out_of_bounds(spark, sf):
         .select("p_partkey", "excel_cell", "row_num", "col_num")
 
 
+# --------------------------------------------------------------------------
+# staged run over the benchmark catalog
+# --------------------------------------------------------------------------
+
+RUN_TS = "2025-01-01 00:00:00"
+
+
+def run_verdict_frame(spark, sf, fail_fast: bool = False):
+    from veritab import benchmark_catalog as C
+    from veritab.plans.staged_run import run_verdicts, specs_from_metadata
+
+    views = C.views(spark, sf)
+    specs = specs_from_metadata(C.catalog_frame(spark), C.rules_frame(spark),
+                                lambda row: views[row["origin_path"]](), C.FUNCTIONAL)
+    return run_verdicts(spark, specs, lambda name: views[name](), fail_fast=fail_fast)
+
+
+def q_stage_verdicts(spark, sf):
+    """All verdict rows of the staged run (every check of every table)."""
+    return run_verdict_frame(spark, sf)
+
+
+def q_table_verdict(spark, sf):
+    """O1: first failed stage, final flag and row count per table."""
+    from veritab.plans import logs
+
+    return logs.table_status(run_verdict_frame(spark, sf)).select(
+        "table_id", "table_name", "failed_stage", "flag", "stages_passed", "row_count")
+
+
+def q_progress_summary(spark, sf):
+    """O2: stages passed per table."""
+    from veritab.plans import logs
+
+    return logs.progress(run_verdict_frame(spark, sf))
+
+
+def q_trigger_rows(spark, sf):
+    """L1: status rows of the run."""
+    from veritab.plans import logs
+
+    return logs.trigger_rows(run_verdict_frame(spark, sf), RUN_TS)
+
+
+def q_validation_log_rows(spark, sf):
+    """L2: error rows of the run."""
+    from veritab.plans import logs
+
+    return logs.validation_logs(run_verdict_frame(spark, sf), RUN_TS)
+
+
+def q_latest_trigger(spark, sf):
+    """L3: newest status row per table."""
+    from veritab.plans import logs
+
+    return logs.latest_trigger(logs.trigger_rows(run_verdict_frame(spark, sf), RUN_TS))
+
+
+def q_flag_assign(spark, sf):
+    """L4: flag written by each stage of each table."""
+    from veritab.plans import logs
+
+    return logs.stage_flags(run_verdict_frame(spark, sf))
+
+
+def q_stage_error_summary(spark, sf):
+    """Failing stages with combined message, fields and incidences."""
+    from veritab.plans import logs
+
+    return logs.stage_summary(run_verdict_frame(spark, sf)).where(~F.col("passed")).select(
+        "table_id", "table_name", "stage", "type_validation", "validation_msg", "field_name",
+        "incidences")
+
+
 QUERIES = {
     "check_not_null": q_check_not_null,
     "check_max_length": q_check_max_length,
@@ -355,5 +431,13 @@ QUERIES = {
     "prefix_like_wildcard": q_prefix_like_wildcard,
     "cell_parse": q_cell_parse,
     "cell_out_of_bounds": q_cell_out_of_bounds,
+    "stage_verdicts": q_stage_verdicts,
+    "table_verdict": q_table_verdict,
+    "progress_summary": q_progress_summary,
+    "trigger_rows": q_trigger_rows,
+    "validation_log_rows": q_validation_log_rows,
+    "latest_trigger": q_latest_trigger,
+    "flag_assign": q_flag_assign,
+    "stage_error_summary": q_stage_error_summary,
 }
-FLAGSHIP = "column_violation_counts"
+FLAGSHIP = "table_verdict"
