@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.operators.references import reference_violations
+from veritab.operators.references import reference_violation_count
 from veritab.operators.technical import key_duplicates
 
 
@@ -57,26 +60,57 @@ def split_reference(target: str) -> tuple[str, str]:
     return table, column
 
 
+@dataclass(frozen=True)
+class Constraint:
+    """A declared constraint: ``not_null`` / ``unique`` on ``columns`` of
+    ``table``, or ``foreign_key`` from ``columns[0]`` to ``parent.parent_column``."""
+
+    kind: str
+    table: str
+    columns: tuple[str, ...]
+    parent: str | None = None
+    parent_column: str | None = None
+
+
+def constraint_violations(frames: dict[str, DataFrame], constraints: Sequence[Constraint]) -> DataFrame:
+    """M7: one row per constraint: kind, table_name, column_name, reference,
+    violations (null rows, duplicated keys, or orphan rows), passed.
+
+    NOT NULL counts in one aggregate, UNIQUE groups by the key (partial
+    aggregation first), FOREIGN KEY counts orphans with an anti-join on
+    distinct values (broadcast only below a row bound)."""
+    rows = []
+    for c in constraints:
+        df = frames[c.table]
+        if c.kind == "not_null":
+            pred = reduce(or_, [F.col(x).isNull() for x in c.columns])
+            v = df.agg(F.count_if(pred).cast("bigint").alias("violations"))
+        elif c.kind == "unique":
+            v = key_duplicates(df, list(c.columns)).agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
+        elif c.kind == "foreign_key":
+            v = reference_violation_count(df, c.columns[0], frames[c.parent], c.parent_column)
+        else:
+            raise ValueError(f"unknown constraint kind {c.kind!r}")
+        ref = f"{c.parent}.{c.parent_column}" if c.parent else None
+        rows.append(v.select(F.lit(c.kind).alias("kind"), F.lit(c.table).alias("table_name"),
+                             F.lit(", ".join(c.columns)).alias("column_name"),
+                             F.lit(ref).cast("string").alias("reference"), "violations",
+                             (F.col("violations") == 0).alias("passed")))
+    return reduce(DataFrame.unionByName, rows)
+
+
+# constraints the catalog and rules tables declare
+METADATA_CONSTRAINTS = (
+    Constraint("not_null", "catalog", ("id_type_file",)),
+    Constraint("not_null", "catalog", ("type_file_name",)),
+    Constraint("unique", "catalog", ("id_type_file",)),
+    Constraint("not_null", "rules", ("id_type_file",)),
+    Constraint("not_null", "rules", ("field_name",)),
+    Constraint("unique", "rules", ("id_type_file", "field_position")),
+    Constraint("foreign_key", "rules", ("id_type_file",), "catalog", "id_type_file"),
+)
+
+
 def metadata_constraint_violations(catalog: DataFrame, rules: DataFrame) -> DataFrame:
-    """M7: the declared constraints of the metadata itself, checked before a run.
-
-    Returns (constraint, detail) rows: null or duplicated catalog ids, rules
-    pointing at unknown tables, null field names, duplicated (table, position).
-    """
-    null_id = catalog.where(F.col("id_type_file").isNull()) \
-        .select(F.lit("catalog.id_type_file not null").alias("constraint"),
-                F.col("type_file_name").alias("detail"))
-    dup_id = key_duplicates(catalog, ["id_type_file"]) \
-        .select(F.lit("catalog.id_type_file unique").alias("constraint"),
-                F.col("id_type_file").alias("detail"))
-    fk = reference_violations(rules, "id_type_file", catalog, "id_type_file") \
-        .select(F.lit("rules.id_type_file references catalog").alias("constraint"),
-                F.col("id_type_file").alias("detail"))
-    null_name = rules.where(F.col("field_name").isNull()) \
-        .select(F.lit("rules.field_name not null").alias("constraint"),
-                F.col("id_type_file").alias("detail"))
-    dup_pos = key_duplicates(rules.where(F.col("field_position").isNotNull()),
-                             ["id_type_file", "field_position"]) \
-        .select(F.lit("rules.(id_type_file, field_position) unique").alias("constraint"),
-                F.concat_ws(":", "id_type_file", F.col("field_position").cast("string")).alias("detail"))
-    return null_id.unionByName(dup_id).unionByName(fk).unionByName(null_name).unionByName(dup_pos)
+    """M7 on the metadata itself, checked before a run."""
+    return constraint_violations({"catalog": catalog, "rules": rules}, METADATA_CONSTRAINTS)

@@ -512,3 +512,193 @@ FROM table_flags f
 JOIN stage_summary s ON s.table_id = f.table_id AND s.stage = f.failed_stage
 JOIN (SELECT id_type_file, max(id_trigger) AS id_trigger FROM triggers GROUP BY id_type_file) l
   ON l.id_type_file = f.table_id"""
+
+
+# --------------------------------------------------------------------------
+# sources, metadata and header
+# --------------------------------------------------------------------------
+
+_ALL = ("region nation customer supplier part orders lineitem events documents "
+        "embeddings pages benchmark labels conversations").split()
+
+SQL["row_count"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM {t}" for t in _ALL)
+
+SQL["catalog_select"] = f"""
+WITH {LI}
+SELECT '00002' AS id_type_file, 'nation' AS type_file_name, false AS header,
+       CAST((SELECT count(*) FROM nation) AS BIGINT) AS row_count
+UNION ALL SELECT '00005', 'lineitem_text', true, CAST((SELECT count(*) FROM li) AS BIGINT)
+UNION ALL SELECT '00006', 'orders', true, CAST((SELECT count(*) FROM orders) AS BIGINT)
+UNION ALL SELECT '00008', 'conversations', true, CAST((SELECT count(*) FROM conversations) AS BIGINT)
+"""
+
+
+def _non_null_rows(tid: str, table: str, cols: list[tuple[int, str, str]]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{tid}' AS id_type_file, {pos} AS field_position, '{name}' AS field_name, "
+        f"CAST(count({src}) AS BIGINT) AS non_null FROM {table}" for pos, name, src in cols)
+
+
+SQL["expected_schema"] = "\nUNION ALL\n".join([
+    _non_null_rows("00001", "region", [(1, "r_regionkey", "r_regionkey"), (2, "r_name", "r_name")]),
+    _non_null_rows("00002", "nation", [(1, "nation_id", "n_nationkey"), (2, "nation_name", "n_name"),
+                                       (3, "region_id", "n_regionkey")]),
+    _non_null_rows("00006", "orders", [(1, "o_orderkey", "o_orderkey"), (2, "o_custkey", "o_custkey"),
+                                       (3, "o_orderstatus", "o_orderstatus"),
+                                       (4, "o_totalprice", "o_totalprice"),
+                                       (5, "o_orderdate", "o_orderdate"),
+                                       (6, "o_orderpriority", "o_orderpriority")]),
+])
+
+SQL["ref_rule_columns"] = f"""
+SELECT '00002' AS id_type_file, 3 AS field_position, 'region_id' AS field_name,
+       'region.r_regionkey' AS referential_table_field_name,
+       CAST((SELECT count(DISTINCT r_regionkey) FROM region) AS BIGINT) AS allowed_values
+UNION ALL SELECT '00006', 2, 'o_custkey', 'customer.c_custkey',
+       CAST((SELECT count(DISTINCT c_custkey) FROM customer) AS BIGINT)
+UNION ALL SELECT '00006', 6, 'o_orderpriority', 'allowed_priorities.o_orderpriority',
+       CAST((SELECT count(*) FROM {ALLOWED_PRIORITIES}) AS BIGINT)
+UNION ALL SELECT '00010', 1, 'doc_id', 'labels.doc_id',
+       CAST((SELECT count(DISTINCT doc_id) FROM labels) AS BIGINT)
+"""
+
+# (position, column, data_type, length, nullable, symbol); same rules as EDGE_RULES
+_EDGE = [
+    (1, "p_partkey", "INT", "5", False, None),
+    (2, "p_name", "BLOB", "55", True, None),
+    (3, "p_brand", "DECIMAL(8)", "10", True, None),
+    (4, "p_type", "STRING", "abc", True, None),
+    (5, "p_size", "INT", "0", True, None),
+    (6, "p_retailprice", "DECIMAL(4,6)", "12", True, None),
+    (7, "p_size", "DATETIME", "14", True, None),
+    (8, "p_name", None, "55", True, None),
+    (9, "p_size", "DECIMAL(4,0)", "6", None, ","),
+    (10, "p_type", "STRING", " 20 ", True, None),
+    (11, "p_partkey", "INT", "3", True, None),
+]
+# violation predicates of the usable rules (the others fail every row)
+_EDGE_PRED = {
+    1: r"(CAST(p_partkey AS VARCHAR) IS NULL OR length(CAST(p_partkey AS VARCHAR)) > 5"
+       r" OR NOT regexp_matches(CAST(p_partkey AS VARCHAR), '^-?\d{1,5}\z'))",
+    7: r"(CAST(p_size AS VARCHAR) IS NOT NULL AND (length(CAST(p_size AS VARCHAR)) > 14"
+       r" OR try_cast(substr(CAST(p_size AS VARCHAR), 1, 10) AS DATE) IS NULL"
+       r" OR NOT regexp_matches(CAST(p_size AS VARCHAR), '^\d{4}-(0[0-9]|1[0-2])-\d{2}\s[+-](0[0-9]|1[0-4])\z')))",
+    9: r"(CAST(p_size AS VARCHAR) IS NULL OR length(CAST(p_size AS VARCHAR)) > 6"
+       r" OR NOT regexp_matches(CAST(p_size AS VARCHAR), '^-?\d{1,4}\Q,\E\d{0}\z'))",
+    10: "(length(p_type) > 20)",
+    11: r"(length(CAST(p_partkey AS VARCHAR)) > 3 OR NOT regexp_matches(CAST(p_partkey AS VARCHAR), '^-?\d{1,3}\z'))",
+}
+_edge_values = ", ".join(
+    f"({pos}, '{col}', {_q(dt)}, '{length}', {'NULL' if nul is None else str(nul).lower()}, {_q(sym)})"
+    for pos, col, dt, length, nul, sym in _EDGE)
+_edge_counts = "\nUNION ALL\n".join(
+    f"SELECT {pos} AS field_position, CAST(count_if({_EDGE_PRED.get(pos, 'true')}) AS BIGINT) AS violations FROM part"
+    for pos, *_ in _EDGE)
+
+SQL["rule_decode"] = rf"""
+WITH rules(field_position, field_name, data_type, length, nullable, decimal_symbol) AS (VALUES {_edge_values}),
+k AS (
+  SELECT *,
+    CASE WHEN data_type IS NULL THEN 'UNKNOWN' WHEN data_type = 'STRING' THEN 'STRING'
+         WHEN data_type = 'INT' THEN 'INT'
+         WHEN starts_with(data_type, 'DECIMAL') THEN
+              CASE WHEN regexp_matches(data_type, '^DECIMAL\((\d+),(\d+)\)$') THEN 'DECIMAL' ELSE 'MALFORMED' END
+         WHEN starts_with(data_type, 'DATE') THEN 'DATE' ELSE 'UNKNOWN' END AS kind,
+    TRY_CAST(trim(length) AS INTEGER) AS max_length
+  FROM rules),
+d AS (
+  SELECT field_position, field_name, data_type, kind, max_length,
+    CASE WHEN kind = 'DECIMAL' THEN TRY_CAST(regexp_extract(data_type, '^DECIMAL\((\d+),(\d+)\)$', 1) AS INTEGER) END
+      AS precision,
+    CASE WHEN kind = 'DECIMAL' THEN TRY_CAST(regexp_extract(data_type, '^DECIMAL\((\d+),(\d+)\)$', 2) AS INTEGER) END
+      AS scale,
+    coalesce(decimal_symbol, '.') AS symbol, coalesce(nullable, false) AS is_nullable, false AS is_pk
+  FROM k),
+e AS (
+  SELECT *, CASE WHEN kind = 'UNKNOWN' THEN 'unknown data type'
+                 WHEN kind = 'MALFORMED' THEN 'malformed decimal type'
+                 WHEN max_length IS NULL THEN 'length missing or not a number'
+                 WHEN kind = 'INT' AND max_length < 1 THEN 'int length below 1'
+                 WHEN kind = 'DECIMAL' AND scale > precision THEN 'decimal scale above precision' END AS rule_error
+  FROM d),
+c AS ({_edge_counts})
+SELECT e.*, c.violations FROM e JOIN c USING (field_position)
+"""
+
+
+def _fk(child, col, parent, pcol):
+    return (f"SELECT 'foreign_key' AS kind, '{child}' AS table_name, '{col}' AS column_name, "
+            f"'{parent}.{pcol}' AS reference, CAST(count(*) AS BIGINT) AS violations, count(*) = 0 AS passed "
+            f"FROM {child} WHERE {col} IS NOT NULL AND {col} NOT IN (SELECT {pcol} FROM {parent} "
+            f"WHERE {pcol} IS NOT NULL)")
+
+
+def _uniq(table, col):
+    return (f"SELECT 'unique' AS kind, '{table}' AS table_name, '{col}' AS column_name, NULL AS reference, "
+            f"CAST(count(*) AS BIGINT) AS violations, count(*) = 0 AS passed "
+            f"FROM (SELECT {col} FROM {table} GROUP BY {col} HAVING count(*) > 1)")
+
+
+def _nn(table, cols):
+    pred = " OR ".join(f"{c} IS NULL" for c in cols)
+    return (f"SELECT 'not_null' AS kind, '{table}' AS table_name, '{', '.join(cols)}' AS column_name, "
+            f"NULL AS reference, CAST(count_if({pred}) AS BIGINT) AS violations, count_if({pred}) = 0 AS passed "
+            f"FROM {table}")
+
+
+SQL["metadata_fk"] = "\nUNION ALL\n".join([
+    _nn("orders", ["o_orderkey", "o_custkey"]),
+    _nn("lineitem", ["l_orderkey", "l_partkey", "l_suppkey"]),
+    _uniq("region", "r_regionkey"), _uniq("nation", "n_nationkey"), _uniq("supplier", "s_suppkey"),
+    _uniq("customer", "c_custkey"), _uniq("part", "p_partkey"), _uniq("orders", "o_orderkey"),
+    _uniq("documents", "doc_id"),
+    _fk("nation", "n_regionkey", "region", "r_regionkey"),
+    _fk("supplier", "s_nationkey", "nation", "n_nationkey"),
+    _fk("customer", "c_nationkey", "nation", "n_nationkey"),
+    _fk("orders", "o_custkey", "customer", "c_custkey"),
+    _fk("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    _fk("lineitem", "l_partkey", "part", "p_partkey"),
+    _fk("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    _fk("labels", "doc_id", "documents", "doc_id"),
+])
+
+SQL["header_mismatch"] = """
+WITH expected(table_name, position, expected_name) AS (VALUES
+  ('region', 1, 'r_regionkey'), ('region', 2, 'r_name'),
+  ('nation', 1, 'n_nationkey'), ('nation', 2, 'N_NAME'), ('nation', 3, 'n_regionkey'),
+  ('supplier', 1, 's_suppkey'), ('supplier', 2, 's_name'), ('supplier', 3, 's_nationkey'),
+  ('supplier', 4, 's_acctbal'), ('supplier', 5, 's_comment')),
+actual AS (
+  SELECT table_name, CAST(ordinal_position AS INTEGER) AS position, column_name AS actual_name
+  FROM information_schema.columns
+  WHERE table_schema = 'main' AND table_name IN ('region', 'nation', 'supplier')),
+counts AS (
+  SELECT 'region' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM region
+  UNION ALL SELECT 'nation', CAST(count(*) AS BIGINT) FROM nation
+  UNION ALL SELECT 'supplier', CAST(count(*) AS BIGINT) FROM supplier),
+m AS (
+  SELECT coalesce(e.table_name, a.table_name) AS table_name, coalesce(e.position, a.position) AS position,
+         e.expected_name, a.actual_name
+  FROM expected e FULL OUTER JOIN actual a ON e.table_name = a.table_name AND e.position = a.position
+  WHERE a.actual_name IS DISTINCT FROM e.expected_name)
+SELECT m.table_name, CAST(m.position AS INTEGER) AS position, m.expected_name, m.actual_name, c.row_count
+FROM m JOIN counts c USING (table_name)
+"""
+
+SQL["header_rename"] = """
+SELECT s_suppkey AS suppkey, s_name AS name, s_nationkey AS nationkey, s_acctbal AS acctbal FROM supplier
+"""
+
+SQL["header_arity"] = """
+WITH expected(table_name, expected_count) AS (VALUES ('region', 2), ('nation', 2), ('supplier', 4)),
+actual AS (SELECT table_name, CAST(count(*) AS INTEGER) AS actual_count FROM information_schema.columns
+           WHERE table_schema = 'main' AND table_name IN ('region', 'nation', 'supplier') GROUP BY table_name),
+counts AS (
+  SELECT 'region' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM region
+  UNION ALL SELECT 'nation', CAST(count(*) AS BIGINT) FROM nation
+  UNION ALL SELECT 'supplier', CAST(count(*) AS BIGINT) FROM supplier)
+SELECT e.table_name, CAST(e.expected_count AS INTEGER) AS expected_count, a.actual_count, c.row_count,
+       e.expected_count = a.actual_count AS passed
+FROM expected e JOIN actual a USING (table_name) JOIN counts c USING (table_name)
+"""

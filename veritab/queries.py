@@ -333,6 +333,218 @@ def q_cell_out_of_bounds(spark, sf):
         .select("p_partkey", "excel_cell", "row_num", "col_num")
 
 
+# --------------------------------------------------------------------------
+# sources and metadata
+# --------------------------------------------------------------------------
+
+ALL_TABLES = ("region nation customer supplier part orders lineitem events documents "
+              "embeddings pages benchmark labels conversations").split()
+
+
+def q_row_count(spark, sf):
+    """Exact BIGINT row count of every benchmark table."""
+    from veritab.sources.readers import row_count
+
+    return _union([row_count(_read(spark, sf, t)).select(F.lit(t).alias("table_name"), "row_count")
+                   for t in ALL_TABLES])
+
+
+def q_catalog_select(spark, sf):
+    """M1 + S2: the selected catalog entries in id order, with their tables' row counts."""
+    from veritab import benchmark_catalog as C
+    from veritab.operators.metadata import select_tables
+    from veritab.sources.readers import row_count
+
+    views = C.views(spark, sf)
+    chosen = select_tables(C.catalog_frame(spark), CATALOG_IDS)
+    counts = _union([row_count(views[r["origin_path"]]()).select(
+        F.lit(r["id_type_file"]).alias("id_type_file"), "row_count")
+        for r in chosen.select("id_type_file", "origin_path").collect()])
+    return chosen.join(counts, "id_type_file").select("id_type_file", "type_file_name", "header", "row_count")
+
+
+CATALOG_IDS = ("00002", "00005", "00006", "00008")
+SCHEMA_IDS = ("00001", "00002", "00006")
+
+
+def _checked_frame(views, row, names):
+    """A table as the header stage hands it on (renamed when it has no header)."""
+    from veritab.operators.header import rename_by_position
+
+    df = views[row["origin_path"]]()
+    return df if row["header"] else rename_by_position(df, names)
+
+
+def q_expected_schema(spark, sf):
+    """M3: expected columns in position order, with the non-null count each holds."""
+    from veritab import benchmark_catalog as C
+    from veritab.operators.metadata import expected_columns, select_tables
+
+    views = C.views(spark, sf)
+    rules = C.rules_frame(spark)
+    frames = []
+    for row in select_tables(C.catalog_frame(spark), SCHEMA_IDS).collect():
+        tid = row["id_type_file"]
+        cols = expected_columns(rules, tid).collect()
+        names = [c["field_name"] for c in cols]
+        df = _checked_frame(views, row, names)
+        one = df.agg(*[F.count(F.col(n)).alias(f"__n{i}") for i, n in enumerate(names)])
+        frames.append(one.select(F.inline(F.array(*[
+            F.struct(F.lit(tid).alias("id_type_file"), F.lit(c["field_position"]).alias("field_position"),
+                     F.lit(c["field_name"]).alias("field_name"),
+                     F.col(f"__n{i}").cast("bigint").alias("non_null"))
+            for i, c in enumerate(cols)]))))
+    return _union(frames)
+
+
+def q_ref_rule_columns(spark, sf):
+    """M4 + R1: columns with a reference rule and the number of distinct
+    allowed values on their reference side."""
+    from veritab import benchmark_catalog as C
+    from veritab.operators.metadata import reference_rule_columns, split_reference
+
+    views = C.views(spark, sf)
+    frames = []
+    for r in reference_rule_columns(C.rules_frame(spark)).collect():
+        table, column = split_reference(r["referential_table_field_name"])
+        allowed = references.allowed_values(views[table](), column)
+        frames.append(allowed.agg(F.count(F.lit(1)).cast("bigint").alias("allowed_values")).select(
+            F.lit(r["id_type_file"]).alias("id_type_file"),
+            F.lit(r["field_position"]).cast("int").alias("field_position"),
+            F.lit(r["field_name"]).alias("field_name"),
+            F.lit(r["referential_table_field_name"]).alias("referential_table_field_name"),
+            "allowed_values"))
+    return _union(frames)
+
+
+# rules over part covering every decoding outcome:
+# (position, column, data_type, length, nullable, decimal_symbol)
+EDGE_RULES = [
+    (1, "p_partkey", "INT", "5", False, None),
+    (2, "p_name", "BLOB", "55", True, None),
+    (3, "p_brand", "DECIMAL(8)", "10", True, None),
+    (4, "p_type", "STRING", "abc", True, None),
+    (5, "p_size", "INT", "0", True, None),
+    (6, "p_retailprice", "DECIMAL(4,6)", "12", True, None),
+    (7, "p_size", "DATETIME", "14", True, None),
+    (8, "p_name", None, "55", True, None),
+    (9, "p_size", "DECIMAL(4,0)", "6", None, ","),
+    (10, "p_type", "STRING", " 20 ", True, None),
+    (11, "p_partkey", "INT", "3", True, None),
+]
+
+
+def edge_rules_frame(spark):
+    from veritab.schemas import SEMANTIC_LAYER
+
+    rows = [("00011", pos, name, None, False, dt, length, nullable, sym, None, None, None)
+            for pos, name, dt, length, nullable, sym in EDGE_RULES]
+    return spark.createDataFrame(rows, SEMANTIC_LAYER)
+
+
+def q_rule_decode(spark, sf):
+    """M6: decoded rules (kind, length, digits, symbol, defaults, rule error)
+    with each rule's violation count over part, in one pass."""
+    from veritab.functions.rules import collect_rules, decode_rules
+
+    decoded = decode_rules(edge_rules_frame(spark))
+    rules = collect_rules(decoded)
+    counts = technical.column_violation_counts(_read(spark, sf, "part"), rules)
+    return decoded.join(counts.select("field_position", "violations"), "field_position").select(
+        "field_position", "field_name", "data_type", "kind", "max_length", "precision", "scale", "symbol",
+        "is_nullable", "is_pk", "rule_error", "violations")
+
+
+def q_metadata_fk(spark, sf):
+    """M7: declared NOT NULL, UNIQUE and FOREIGN KEY constraints of the
+    benchmark schema, checked over whole tables."""
+    from veritab.operators.metadata import Constraint as K, constraint_violations
+
+    frames = {t: _read(spark, sf, t) for t in (
+        "region", "nation", "supplier", "customer", "part", "orders", "lineitem", "documents", "labels")}
+    constraints = [
+        K("not_null", "orders", ("o_orderkey", "o_custkey")),
+        K("not_null", "lineitem", ("l_orderkey", "l_partkey", "l_suppkey")),
+        K("unique", "region", ("r_regionkey",)),
+        K("unique", "nation", ("n_nationkey",)),
+        K("unique", "supplier", ("s_suppkey",)),
+        K("unique", "customer", ("c_custkey",)),
+        K("unique", "part", ("p_partkey",)),
+        K("unique", "orders", ("o_orderkey",)),
+        K("unique", "documents", ("doc_id",)),
+        K("foreign_key", "nation", ("n_regionkey",), "region", "r_regionkey"),
+        K("foreign_key", "supplier", ("s_nationkey",), "nation", "n_nationkey"),
+        K("foreign_key", "customer", ("c_nationkey",), "nation", "n_nationkey"),
+        K("foreign_key", "orders", ("o_custkey",), "customer", "c_custkey"),
+        K("foreign_key", "lineitem", ("l_orderkey",), "orders", "o_orderkey"),
+        K("foreign_key", "lineitem", ("l_partkey",), "part", "p_partkey"),
+        K("foreign_key", "lineitem", ("l_suppkey",), "supplier", "s_suppkey"),
+        K("foreign_key", "labels", ("doc_id",), "documents", "doc_id"),
+    ]
+    return constraint_violations(frames, constraints)
+
+
+# --------------------------------------------------------------------------
+# header stage
+# --------------------------------------------------------------------------
+
+# expected header per table: region exact, nation with a wrongly cased name,
+# supplier with one column more than the table has
+HEADER_EXPECTED = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "N_NAME", "n_regionkey"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal", "s_comment"],
+}
+ARITY_EXPECTED = {
+    "region": ["regionkey", "name"],
+    "nation": ["nationkey", "name"],
+    "supplier": ["suppkey", "name", "nationkey", "acctbal"],
+}
+
+
+def _expected_frame(spark, expected):
+    from veritab.schemas import SEMANTIC_LAYER
+
+    rows = [(t, i, n, None, False, "STRING", "255", True, None, None, None, None)
+            for t, names in expected.items() for i, n in enumerate(names, 1)]
+    return spark.createDataFrame(rows, SEMANTIC_LAYER)
+
+
+def q_header_mismatch(spark, sf):
+    """H1: positions whose actual name differs from the expected one (exact,
+    case-sensitive, missing on either side), with the table's row count."""
+    from veritab.operators.header import actual_columns, header_mismatches
+    from veritab.sources.readers import row_count
+
+    frames = {t: _read(spark, sf, t) for t in HEADER_EXPECTED}
+    mism = header_mismatches(_expected_frame(spark, HEADER_EXPECTED), actual_columns(spark, frames))
+    counts = _union([row_count(df).select(F.lit(t).alias("table_id"), "row_count") for t, df in frames.items()])
+    return mism.join(counts, "table_id").select(
+        F.col("table_id").alias("table_name"), "position", "expected_name", "actual_name", "row_count")
+
+
+def q_header_rename(spark, sf):
+    """H2: a table without a header takes its names by position."""
+    from veritab.operators.header import rename_by_position
+
+    return rename_by_position(_read(spark, sf, "supplier"), ARITY_EXPECTED["supplier"])
+
+
+def q_header_arity(spark, sf):
+    """H3: expected vs actual column count before renaming, with row count."""
+    from veritab.operators.header import arity_matches
+    from veritab.sources.readers import row_count
+
+    frames = []
+    for t, names in ARITY_EXPECTED.items():
+        df = _read(spark, sf, t)
+        frames.append(row_count(df).select(
+            F.lit(t).alias("table_name"), F.lit(len(names)).cast("int").alias("expected_count"),
+            F.lit(len(df.columns)).cast("int").alias("actual_count"), "row_count",
+            F.lit(arity_matches(df, names)).alias("passed")))
+    return _union(frames)
+
+
 # --------------------------------------------------------------------------
 # staged run over the benchmark catalog
 # --------------------------------------------------------------------------
@@ -431,6 +643,15 @@ QUERIES = {
     "prefix_like_wildcard": q_prefix_like_wildcard,
     "cell_parse": q_cell_parse,
     "cell_out_of_bounds": q_cell_out_of_bounds,
+    "row_count": q_row_count,
+    "catalog_select": q_catalog_select,
+    "expected_schema": q_expected_schema,
+    "ref_rule_columns": q_ref_rule_columns,
+    "rule_decode": q_rule_decode,
+    "metadata_fk": q_metadata_fk,
+    "header_mismatch": q_header_mismatch,
+    "header_rename": q_header_rename,
+    "header_arity": q_header_arity,
     "stage_verdicts": q_stage_verdicts,
     "table_verdict": q_table_verdict,
     "progress_summary": q_progress_summary,
