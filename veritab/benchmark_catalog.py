@@ -17,13 +17,12 @@ describes are read whole.  Faults are chosen so that every outcome occurs:
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritab.plans.staged_run import FunctionalSpec
 from veritab.schemas import FILE_CONFIGURATION, SEMANTIC_LAYER
+from veritab.sources.readers import read_driver_table
 
 # (id, name, origin view, header)
 TABLES = [
@@ -115,7 +114,7 @@ def views(spark: SparkSession, sf: str) -> dict:
     from veritab import queries as Q
 
     def table(name):
-        return lambda: spark.read.parquet(os.path.join(sf, f"{name}.parquet"))
+        return lambda: read_driver_table(spark, sf, name)
 
     out = {name: table(name) for name in (
         "region", "nation", "supplier", "customer", "orders", "conversations", "documents",
@@ -141,7 +140,7 @@ def _once(fn):
 def _part_cells_full(spark: SparkSession, sf: str) -> DataFrame:
     from veritab import queries as Q
 
-    part = spark.read.parquet(os.path.join(sf, "part.parquet"))
+    part = read_driver_table(spark, sf, "part")
     cells = Q.cell_reference(F.col("p_size"), F.col("p_partkey"))
     return part.withColumn("excel_cell", cells)
 

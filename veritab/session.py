@@ -19,6 +19,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # no Python call-site capture per Column call: plans with hundreds of
+    # rule expressions are built several times faster (only error messages
+    # lose the Python line that built the failing expression)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

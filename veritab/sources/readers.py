@@ -56,9 +56,29 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: dict[str
     return reader.load()
 
 
-def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the benchmark tables: ``<sf_dir>/<name>.parquet``."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def read_driver_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One of the benchmark tables: ``<sf_dir>/<name>.parquet``.
+
+    Each benchmark file is a single parquet row group, which Spark cannot
+    split: the scan yields one non-empty task whatever the file size.  With
+    ``spread`` such a scan is spread over the cluster's cores (see
+    :func:`spread_scan`)."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread_scan(df) if spread else df
+
+
+def spread_scan(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
+    """Round-robin a scan that has fewer splits than the cluster has cores.
+
+    A real table (many files / row groups) already scans in at least that
+    many tasks, so this is a no-op there; it only helps unsplittable files
+    whose per-row checks (regex, date parsing) would otherwise run on one
+    core."""
+    spark = df.sparkSession
+    want = min_tasks or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
 
 
 def row_count(df: DataFrame) -> DataFrame:
