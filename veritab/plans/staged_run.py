@@ -234,13 +234,20 @@ def table_verdicts(spark: SparkSession, spec: TableSpec, seq: int,
 
 def run_verdicts(spark: SparkSession, specs: Sequence[TableSpec],
                  references: Callable[[str], DataFrame], compat: bool = False,
-                 max_broadcast_rows: int = MAX_BROADCAST_ROWS, fail_fast: bool = False) -> DataFrame:
+                 max_broadcast_rows: int = MAX_BROADCAST_ROWS, fail_fast: bool = False,
+                 tables_per_job: int | None = None, run_id: str | None = None) -> DataFrame:
     """Verdict frame of all tables.
 
     Default: the union of every table's parts, one lazy plan.  With
     ``fail_fast`` each table runs stage by stage and the grouped passes of
     the stages after its first failure are never executed; only verdict
-    rows (a few per table) are collected."""
+    rows (a few per table) are collected.
+
+    With ``tables_per_job`` (for catalogs of hundreds of tables) the tables
+    run in chunks: each chunk's verdict rows are written under
+    ``spark.checkpoint.dir`` and the result is read back from there, so no
+    single plan holds every table and the lineage is cut after each chunk.
+    """
     frames = []
     for seq, spec in enumerate(specs, start=1):
         parts = table_parts(spark, spec, seq, references, compat, max_broadcast_rows)
@@ -248,7 +255,19 @@ def run_verdicts(spark: SparkSession, specs: Sequence[TableSpec],
             frames.append(_run_until_failure(spark, parts))
         else:
             frames.append(union_all([f for _, f in parts]).select(*VERDICT_COLUMNS))
-    return union_all(frames)
+    if not tables_per_job or fail_fast:
+        return union_all(frames)
+    import os
+    import uuid
+
+    from veritab.session import ensure_checkpoint_dir
+
+    base = os.path.join(ensure_checkpoint_dir(spark), "verdicts", run_id or uuid.uuid4().hex)
+    for i in range(0, len(frames), tables_per_job):
+        chunk = union_all(frames[i:i + tables_per_job])
+        # overwrite: a retried chunk replaces its own output
+        chunk.coalesce(1).write.mode("overwrite").parquet(os.path.join(base, f"chunk={i // tables_per_job}"))
+    return spark.read.parquet(base).select(*VERDICT_COLUMNS)
 
 
 def _run_until_failure(spark: SparkSession, parts: list[tuple[int, DataFrame]]) -> DataFrame:
