@@ -95,3 +95,20 @@ def test_decode_rules_matches_driver_decoding(spark):
         want = make_rule(r[2], r[5], r[6], nullable=r[7], decimal_symbol=r[8], pk=r[4], position=r[1])
         for f in ("kind", "max_length", "precision", "scale", "symbol", "is_nullable", "is_pk", "rule_error"):
             assert getattr(g, f) == getattr(want, f), (r, f)
+
+
+def test_sql_predicates_equal_column_predicates(spark):
+    from veritab.functions.predicates import fast_predicate
+    rules = [make_rule("v", "INT", 3), make_rule("v", "INT", 3, nullable=False), make_rule("v", "STRING", 2),
+             make_rule("v", "DECIMAL(4,2)", 6), make_rule("v", "DECIMAL(4,2)", 6, decimal_symbol=","),
+             make_rule("v", "DECIMAL(2,2)", 6), make_rule("v", "DATE", 14),
+             make_rule("v", "DATE", 14, nullable=False), make_rule("v", "BLOB", 3),
+             make_rule("v", "DECIMAL(4,2)", 6, decimal_symbol="'")]
+    vals = ["1", "-12", "123", "1234", "1.5", "12.34", "12,34", "0.12", ".12", "2025-02-24 +01",
+            "2025-02-44 +01", "1\n", "", None, "ab", "12'34"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    for compat in (False, True):
+        for r in rules:
+            a = [x[0] for x in df.select(violation_predicate(r, compat)).collect()]
+            b = [x[0] for x in df.select(fast_predicate(r, compat)).collect()]
+            assert a == b, (r, compat)

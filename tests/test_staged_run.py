@@ -168,3 +168,21 @@ def test_chunked_run_matches(spark, run):
     whole = run_verdicts(spark, chosen, refs)
     key = lambda r: (r["table_id"], r["stage"], r["check_no"], r["rule"])
     assert sorted(map(tuple, chunked.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+
+
+def test_fail_fast_reports_corrupt_file_as_unreadable(spark, tmp_path):
+    # the schema resolves (explicit schema) but the scan fails: flag 30, the run goes on
+    from veritab.functions.rules import make_rule
+    from veritab.plans.staged_run import TableSpec
+
+    bad = tmp_path / "corrupt.parquet"
+    bad.write_bytes(b"PAR1 this is not parquet PAR1")
+    good = spark.createDataFrame([("1",)], "a string")
+    specs = [
+        TableSpec("t1", "corrupt", True, lambda: spark.read.schema("a string").parquet(str(bad)),
+                  [make_rule("a", "INT", 3, position=1)]),
+        TableSpec("t2", "fine", True, lambda: good, [make_rule("a", "INT", 3, position=1)]),
+    ]
+    v = run_verdicts(spark, specs, lambda name: None, fail_fast=True)
+    flags = {r["table_id"]: r["flag"] for r in logs.table_status(v).collect()}
+    assert flags == {"t1": 30.0, "t2": 2.0}

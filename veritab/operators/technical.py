@@ -14,12 +14,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritab.functions.predicates import any_violation, violation_predicate
+from veritab.functions.predicates import any_violation, fast_predicate
 from veritab.functions.rules import Rule
 
 
 def _predicates(rules: Sequence[Rule], compat: bool) -> list[tuple[Rule, Column]]:
-    return [(r, violation_predicate(r, compat)) for r in rules]
+    return [(r, fast_predicate(r, compat)) for r in rules]
 
 
 def column_violation_counts(df: DataFrame, rules: Sequence[Rule], compat: bool = False,

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritab.functions.cells import out_of_bounds, parse_cell
-from veritab.functions.predicates import violation_predicate
+from veritab.functions.predicates import fast_predicate
 from veritab.functions.rules import Rule, collect_rules, decode_rules
 from veritab.operators.functional import group_prefix_incidences, pattern_predicate, required_pairs
 from veritab.operators.header import validate_header
@@ -137,7 +137,7 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
     fs = spec.functional
     aggs = [F.count(F.lit(1)).cast("bigint").alias("__rows")]
     for i, r in enumerate(spec.rules):
-        aggs.append(F.count_if(violation_predicate(r, compat)).alias(f"__t{i}"))
+        aggs.append(F.count_if(fast_predicate(r, compat)).alias(f"__t{i}"))
     if fs and fs.required_column:
         aggs.append(F.count_if(F.col(fs.required_column).isin(list(fs.required_values))).alias("__req"))
     if fs and fs.pattern_column:
@@ -252,7 +252,7 @@ def run_verdicts(spark: SparkSession, specs: Sequence[TableSpec],
     for seq, spec in enumerate(specs, start=1):
         parts = table_parts(spark, spec, seq, references, compat, max_broadcast_rows)
         if fail_fast:
-            frames.append(_run_until_failure(spark, parts))
+            frames.append(_run_until_failure(spark, parts, seq, spec))
         else:
             frames.append(union_all([f for _, f in parts]).select(*VERDICT_COLUMNS))
     if not tables_per_job or fail_fast:
@@ -270,15 +270,31 @@ def run_verdicts(spark: SparkSession, specs: Sequence[TableSpec],
     return spark.read.parquet(base).select(*VERDICT_COLUMNS)
 
 
-def _run_until_failure(spark: SparkSession, parts: list[tuple[int, DataFrame]]) -> DataFrame:
+def _run_until_failure(spark: SparkSession, parts: list[tuple[int, DataFrame]],
+                       seq: int, spec: TableSpec) -> DataFrame:
+    """Run one table's parts stage by stage (verdict rows only reach the driver).
+
+    A table whose first pass fails at run time (a file that resolves its
+    schema but cannot be scanned, e.g. a corrupt file) is reported as
+    unreadable, and the run goes on with the next table; failures of later
+    passes are real errors and propagate."""
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+
     rows = []
     for stage in (1, 2, 3, 4):
-        failed_before = [r["stage"] for r in rows if not r["passed"] and r["stage"] < stage]
-        if failed_before:
+        if any(not r["passed"] and r["stage"] < stage for r in rows):
             break
         for part_stage, frame in parts:
-            if part_stage == stage:
+            if part_stage != stage:
+                continue
+            try:
                 rows.extend(frame.select(*VERDICT_COLUMNS).collect())
+            except (PySparkException, Py4JJavaError):
+                if stage != 1:
+                    raise
+                return literal_verdicts(spark, [(seq, spec.table_id, spec.table_name, 1, 1, "read", None,
+                                                 None, 1, False, "table could not be read", None)])
     failed = [r["stage"] for r in rows if not r["passed"]]
     stop = min(failed) if failed else 4
     return literal_verdicts(spark, [tuple(r) for r in rows if r["stage"] <= stop])
