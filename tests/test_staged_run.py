@@ -186,3 +186,18 @@ def test_fail_fast_reports_corrupt_file_as_unreadable(spark, tmp_path):
     v = run_verdicts(spark, specs, lambda name: None, fail_fast=True)
     flags = {r["table_id"]: r["flag"] for r in logs.table_status(v).collect()}
     assert flags == {"t1": 30.0, "t2": 2.0}
+
+
+def test_missing_columns_and_reference_fail_the_rule_only(spark):
+    from veritab.functions.rules import make_rule
+    from veritab.plans.staged_run import TableSpec
+
+    df = spark.createDataFrame([("1", "x"), ("2", "y")], "a string, b string")
+    spec = TableSpec("t1", "t", True, lambda: df,
+                     [make_rule("a", "INT", 3, position=1, reference="nowhere.code"),
+                      make_rule("b", "STRING", 3, position=2)],
+                     FunctionalSpec(pattern_column="missing_col", pattern="_c", cell_column="b"))
+    v = {(r["stage"], r["rule"]): r for r in run_verdicts(spark, [spec], lambda name: None).collect()}
+    assert v[(3, "reference")]["passed"] is False and v[(3, "reference")]["violations"] is None
+    assert v[(4, "pattern")]["message"] == "column(s) missing_col missing"
+    assert v[(2, "type:INT")]["passed"] and v[(4, "cell_bounds")]["violations"] == 0

@@ -85,7 +85,9 @@ class Rule:
 def collect_rules(decoded: DataFrame, table_id: str | None = None) -> list[Rule]:
     """Decoded rules of one table in position order (metadata rows only)."""
     frame = decoded if table_id is None else decoded.where(F.col("id_type_file") == F.lit(table_id))
-    rows = frame.orderBy("id_type_file", "field_position").collect()
+    # rule rows are metadata (a few per column): sorted on the driver, no sort job
+    rows = sorted(frame.collect(), key=lambda r: (r["id_type_file"], r["field_position"] is None,
+                                                  r["field_position"] or 0))
     return [
         Rule(
             field_name=r["field_name"], field_position=r["field_position"], table_id=r["id_type_file"],

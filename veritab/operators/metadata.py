@@ -14,7 +14,7 @@ from veritab.operators.references import reference_violation_count
 from veritab.operators.technical import key_duplicates
 
 
-def select_tables(catalog: DataFrame, ids: Sequence[str] | None = None) -> DataFrame:
+def select_tables(catalog: DataFrame, ids: Sequence[str] | None = None, ordered: bool = True) -> DataFrame:
     """M1: (id_type_file, type_file_name) of the tables to validate, by id.
 
     Ids compare as text, so no cast blocks pushdown; None selects all."""
@@ -22,7 +22,7 @@ def select_tables(catalog: DataFrame, ids: Sequence[str] | None = None) -> DataF
                          "separator")
     if ids is not None:
         out = out.where(F.col("id_type_file").isin(list(ids)))
-    return out.orderBy("id_type_file")
+    return out.orderBy("id_type_file") if ordered else out
 
 
 def catalog_row(catalog: DataFrame, table_id: str):

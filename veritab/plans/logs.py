@@ -52,11 +52,17 @@ def _stage_name(stage: Column) -> Column:
 
 def table_status(verdicts: DataFrame) -> DataFrame:
     """O1: per table the first failed stage (NULL when none) and the final flag."""
+    return _status_from_summary(stage_summary(verdicts))
+
+
+def _status_from_summary(summary: DataFrame) -> DataFrame:
+    """Table status from the per-(table, stage) summary: verdict rows are
+    aggregated once, whichever log frames are derived."""
     failed = ~F.col("passed")
-    return verdicts.groupBy(*TABLE_KEYS).agg(
+    return summary.groupBy(*TABLE_KEYS).agg(
         F.min(F.when(failed, F.col("stage"))).alias("failed_stage"),
-        F.bool_or((F.col("rule") == "read") & failed).alias("unreadable"),
-        F.bool_or((F.col("rule") == "arity") & failed).alias("arity_failed"),
+        F.bool_or("unreadable").alias("unreadable"),
+        F.bool_or("arity_failed").alias("arity_failed"),
         F.bool_or(F.col("stage") == 3).alias("has_reference"),
         F.max("row_count").alias("row_count"),
     ).select(
@@ -85,6 +91,9 @@ def stage_summary(verdicts: DataFrame) -> DataFrame:
         F.sum("incidences").cast("bigint").alias("incidences"),
         F.concat_ws(" ", F.transform(msgs, lambda s: s["message"])).alias("validation_msg"),
         F.concat_ws(", ", fields).alias("field_name"),
+        F.bool_or((F.col("rule") == "read") & failed).alias("unreadable"),
+        F.bool_or((F.col("rule") == "arity") & failed).alias("arity_failed"),
+        F.max("row_count").alias("row_count"),
     ).withColumn("type_validation", _stage_name(F.col("stage")))
 
 
@@ -125,8 +134,12 @@ def trigger_rows(verdicts: DataFrame, run_ts=None, environment: str = DEFAULT_EN
     row), technical (1.2 / 32), reference (1.3 / 33, only for tables with
     reference rules), functional (1.4 / 34), all passed (2); an unreadable
     table writes only 30.  ``id_trigger = id_base + table_seq*10 + n``."""
+    return _triggers_from_status(table_status(verdicts), run_ts, environment, source, id_base)
+
+
+def _triggers_from_status(st: DataFrame, run_ts=None, environment: str = DEFAULT_ENVIRONMENT,
+                          source: str = DEFAULT_SOURCE, id_base: int = 0) -> DataFrame:
     ts, day, stamp = run_clock(run_ts)
-    st = table_status(verdicts)
     flags = F.filter(_status_flags(), lambda x: x.isNotNull())
     rows = st.select(*TABLE_KEYS, "row_count", F.posexplode(flags).alias("n", "flag"))
     return rows.select(
@@ -157,11 +170,12 @@ def validation_logs(verdicts: DataFrame, run_ts=None, source: str = DEFAULT_SOUR
     table's newest status row (for a column-count mismatch that is the
     'read' row, since that failure writes no status row)."""
     ts, day, stamp = run_clock(run_ts)
-    st = table_status(verdicts).where(F.col("failed_stage").isNotNull())
     summary = stage_summary(verdicts)
-    last = latest_trigger(trigger_rows(verdicts, run_ts, id_base=id_base)) \
+    status = _status_from_summary(summary)
+    st = status.where(F.col("failed_stage").isNotNull())
+    last = latest_trigger(_triggers_from_status(status, run_ts, id_base=id_base)) \
         .select(F.col("id_type_file").alias("table_id"), "id_trigger")
-    joined = (st.join(summary, TABLE_KEYS, "inner")
+    joined = (st.join(summary.drop("unreadable", "arity_failed", "row_count"), TABLE_KEYS, "inner")
               .where(F.col("stage") == F.col("failed_stage"))
               .join(last, "table_id", "inner"))
     flag = F.when(F.col("unreadable"), F.lit(FLAG_UNREADABLE)).otherwise(F.col("flag"))

@@ -30,7 +30,9 @@ from veritab.functions.rules import Rule, collect_rules, decode_rules
 from veritab.operators.functional import group_prefix_incidences, pattern_predicate, required_pairs
 from veritab.operators.header import validate_header
 from veritab.operators.metadata import select_tables, split_reference
-from veritab.operators.references import MAX_BROADCAST_ROWS, reference_violation_count
+from veritab.operators.references import (
+    MAX_BROADCAST_ROWS, bounded_references, reference_violation_count,
+)
 from veritab.operators.technical import key_summary
 from veritab.plans.verdicts import (
     VERDICT_COLUMNS, counted, entry, explode_entries, literal_verdicts, union_all,
@@ -75,7 +77,8 @@ def specs_from_metadata(catalog: DataFrame, rules: DataFrame,
     ``loader(catalog_row)`` returns the table's DataFrame (it may raise:
     the header stage reports an unreadable table)."""
     functional = functional or {}
-    selected = select_tables(catalog, ids).collect()
+    # metadata rows are few: sorted on the driver, no sort job
+    selected = sorted(select_tables(catalog, ids, ordered=False).collect(), key=lambda r: r["id_type_file"])
     decoded = decode_rules(rules)
     if ids is not None:
         decoded = decoded.where(F.col("id_type_file").isin(list(ids)))
@@ -109,14 +112,36 @@ def _msg_type(r: Rule) -> str:
         f" ({r.rule_error})" if r.rule_error else "")
 
 
+def _resolve_reference(references: Callable[[str], DataFrame], target: str):
+    """(frame, column) of a reference target, or (None, reason) when the
+    target table cannot be read or lacks the column: a failed rule, not a
+    failed run."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        table, column = split_reference(target)
+        frame = references(table)
+        if frame is None or column not in frame.columns:
+            return None, f"reference target {target} not found"
+        return frame, column
+    except (AnalysisException, ValueError, KeyError):
+        return None, f"reference target {target} not found"
+
+
 def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
                 references: Callable[[str], DataFrame], compat: bool = False,
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> list[tuple[int, DataFrame]]:
+                max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                small_refs: dict[str, bool] | None = None) -> list[tuple[int, DataFrame]]:
     """Verdict frames of one table as (stage, frame) parts, lazily planned.
 
     The first part is the one-pass aggregate (stage 1 and the row-level
     rules of stages 2 and 4); the others are the grouped passes of the
-    stage they belong to."""
+    stage they belong to.  ``small_refs`` carries the broadcast decision of
+    each reference target when the caller checked them all at once.
+
+    A functional rule naming a column the table lacks, or a reference
+    target that cannot be read, fails that rule (violations NULL) instead
+    of the whole run."""
     tid, name = spec.table_id, spec.table_name
     expected = [r.field_name for r in spec.rules]
     hdr = validate_header(spec.load, spec.has_header, expected)
@@ -135,6 +160,41 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
 
     df = hdr.frame
     fs = spec.functional
+    present = set(df.columns)
+    broken: list[str] = []     # SQL struct entries of rules that cannot run
+
+    def usable(stage, check_no, rule, cols) -> bool:
+        lost = [c for c in cols if c not in present]
+        if lost:
+            broken.append(e(stage, check_no, rule, ", ".join(cols), "CAST(NULL AS BIGINT)", "1", "false",
+                            f"column(s) {', '.join(lost)} missing"))
+        return not lost
+
+    if fs:
+        req_ok = bool(fs.required_column) and usable(4, 1, "required_any",
+                                                     fs.group_cols + (fs.required_column,))
+        if fs.required_column and not req_ok:
+            usable(4, 2, "required_set", fs.group_cols + (fs.required_column,))
+        pre_ok = bool(fs.prefix_column) and usable(4, 3, "group_prefix", fs.group_cols + (fs.prefix_column,))
+        pat_ok = bool(fs.pattern_column) and usable(4, 4, "pattern", (fs.pattern_column,))
+        cell_ok = bool(fs.cell_column) and usable(4, 5, "cell_bounds", (fs.cell_column,))
+        fs = FunctionalSpec(
+            group_cols=fs.group_cols, all_groups=fs.all_groups,
+            required_column=fs.required_column if req_ok else None, required_values=fs.required_values,
+            prefix_column=fs.prefix_column if pre_ok else None, prefix=fs.prefix,
+            pattern_column=fs.pattern_column if pat_ok else None, pattern=fs.pattern,
+            pattern_mode=fs.pattern_mode, cell_column=fs.cell_column if cell_ok else None,
+            cell_column_count=fs.cell_column_count, cell_inclusive=fs.cell_inclusive)
+    refs = {}
+    for i, r in enumerate(spec.rules):
+        if r.reference:
+            frame, detail = _resolve_reference(references, r.reference)
+            if frame is None:
+                broken.append(e(3, i + 1, "reference", r.field_name, "CAST(NULL AS BIGINT)", "1", "false",
+                                detail))
+            else:
+                refs[i] = (frame, detail)
+
     aggs = [F.count(F.lit(1)).cast("bigint").alias("__rows")]
     for i, r in enumerate(spec.rules):
         aggs.append(F.count_if(fast_predicate(r, compat)).alias(f"__t{i}"))
@@ -170,6 +230,7 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
         inc, ok = counted("__cell")
         entries.append(e(4, 5, "cell_bounds", fs.cell_column, "__cell", inc, ok,
                          f"{fs.cell_column} points outside the table"))
+    entries.extend(broken)
     frames = [(1, explode_entries(one, entries))]
 
     # Key uniqueness, one grouped pass
@@ -183,11 +244,11 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
 
     # R: one anti-join on distinct values per reference rule
     for i, r in enumerate(spec.rules):
-        if not r.reference:
+        if i not in refs:
             continue
-        ref_table, ref_column = split_reference(r.reference)
-        cnt = reference_violation_count(df, r.field_name, references(ref_table), ref_column,
-                                        max_broadcast_rows)
+        ref_frame, ref_column = refs[i]
+        cnt = reference_violation_count(df, r.field_name, ref_frame, ref_column, max_broadcast_rows,
+                                        small_refs.get(r.reference) if small_refs is not None else None)
         inc, ok = counted("violations")
         frames.append((3, explode_entries(cnt, [e(3, i + 1, "reference", r.field_name,
                                                   "violations", inc, ok,
@@ -248,9 +309,20 @@ def run_verdicts(spark: SparkSession, specs: Sequence[TableSpec],
     ``spark.checkpoint.dir`` and the result is read back from there, so no
     single plan holds every table and the lineage is cut after each chunk.
     """
+    # the broadcast size check of every reference target, in one job
+    targets = {}
+    for spec in specs:
+        for r in spec.rules:
+            if r.reference and r.reference not in targets:
+                frame, column = _resolve_reference(references, r.reference)
+                if frame is not None:
+                    targets[r.reference] = (frame, column)
+    small = (bounded_references(targets, max_broadcast_rows) if max_broadcast_rows > 0
+             else {t: False for t in targets})
+
     frames = []
     for seq, spec in enumerate(specs, start=1):
-        parts = table_parts(spark, spec, seq, references, compat, max_broadcast_rows)
+        parts = table_parts(spark, spec, seq, references, compat, max_broadcast_rows, small)
         if fail_fast:
             frames.append(_run_until_failure(spark, parts, seq, spec))
         else:
