@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritab.functions.constants import (
@@ -168,19 +168,23 @@ def validation_logs(verdicts: DataFrame, run_ts=None, source: str = DEFAULT_SOUR
                     id_base: int = 0) -> DataFrame:
     """L2: one error row per table at its first failed stage, linked to the
     table's newest status row (for a column-count mismatch that is the
-    'read' row, since that failure writes no status row)."""
+    'read' row, since that failure writes no status row).
+
+    One chain, no self-join: a window per table over the per-(table, stage)
+    summary (at most four rows per table) gives the table's status, and the
+    newest status id is ``id_base + table_seq*10 + number of status rows``."""
     ts, day, stamp = run_clock(run_ts)
-    summary = stage_summary(verdicts)
-    status = _status_from_summary(summary)
-    st = status.where(F.col("failed_stage").isNotNull())
-    last = latest_trigger(_triggers_from_status(status, run_ts, id_base=id_base)) \
-        .select(F.col("id_type_file").alias("table_id"), "id_trigger")
-    joined = (st.join(summary.drop("unreadable", "arity_failed", "row_count"), TABLE_KEYS, "inner")
-              .where(F.col("stage") == F.col("failed_stage"))
-              .join(last, "table_id", "inner"))
-    flag = F.when(F.col("unreadable"), F.lit(FLAG_UNREADABLE)).otherwise(F.col("flag"))
-    return joined.select(
-        F.col("id_trigger").cast("bigint").alias("id_trigger"),
+    per_table = Window.partitionBy(*TABLE_KEYS)
+    s = stage_summary(verdicts).select(
+        *TABLE_KEYS, "stage", "type_validation", "validation_msg", "field_name", "incidences",
+        F.min(F.when(~F.col("passed"), F.col("stage"))).over(per_table).alias("failed_stage"),
+        F.bool_or("unreadable").over(per_table).alias("unreadable"),
+        F.bool_or("arity_failed").over(per_table).alias("arity_failed"),
+        F.bool_or(F.col("stage") == 3).over(per_table).alias("has_reference"),
+    ).where(F.col("stage") == F.col("failed_stage"))
+    n_status = F.size(F.filter(_status_flags(), lambda x: x.isNotNull()))
+    return s.select(
+        (F.lit(id_base) + F.col("table_seq") * 10 + n_status).cast("bigint").alias("id_trigger"),
         F.col("stage").cast("int").alias("validation_id"),
         F.lit(source).alias("source"),
         F.col("type_validation"),
@@ -188,7 +192,7 @@ def validation_logs(verdicts: DataFrame, run_ts=None, source: str = DEFAULT_SOUR
         F.col("validation_msg"),
         F.nullif(F.col("field_name"), F.lit("")).alias("field_name"),
         F.col("incidences").cast("bigint").alias("incidences"),
-        flag.cast("double").alias("flag"),
+        final_flag(F.col("failed_stage"), F.col("unreadable")).alias("flag"),
         ts.alias("execution_timestamp"),
         day.alias("date_load"),
         stamp.alias("timestamp_load"),
