@@ -10,7 +10,7 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.operators.references import reference_violation_count
+from veritab.operators.references import bounded_references, reference_violation_count
 from veritab.operators.technical import key_duplicates
 
 
@@ -79,6 +79,9 @@ def constraint_violations(frames: dict[str, DataFrame], constraints: Sequence[Co
     NOT NULL counts in one aggregate, UNIQUE groups by the key (partial
     aggregation first), FOREIGN KEY counts orphans with an anti-join on
     distinct values (broadcast only below a row bound)."""
+    fks = {f"{c.table}.{c.columns[0]}": (frames[c.parent], c.parent_column)
+           for c in constraints if c.kind == "foreign_key"}
+    small = bounded_references(fks)          # every parent's size check in one job
     rows = []
     for c in constraints:
         df = frames[c.table]
@@ -88,7 +91,8 @@ def constraint_violations(frames: dict[str, DataFrame], constraints: Sequence[Co
         elif c.kind == "unique":
             v = key_duplicates(df, list(c.columns)).agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
         elif c.kind == "foreign_key":
-            v = reference_violation_count(df, c.columns[0], frames[c.parent], c.parent_column)
+            v = reference_violation_count(df, c.columns[0], frames[c.parent], c.parent_column,
+                                          broadcast=small[f"{c.table}.{c.columns[0]}"])
         else:
             raise ValueError(f"unknown constraint kind {c.kind!r}")
         ref = f"{c.parent}.{c.parent_column}" if c.parent else None

@@ -201,15 +201,19 @@ def q_ri_violations(spark, sf):
     customer = _read(spark, sf, "customer")
     orders = _read(spark, sf, "orders")
     documents = _read(spark, sf, "documents")
+    nations, priorities, labels = allowed_nations(spark, sf), allowed_priorities(spark, sf), \
+        _read(spark, sf, "labels")
+    small = references.bounded_references({"n": (nations, "n_nationkey"), "p": (priorities, "o_orderpriority"),
+                                           "l": (labels, "doc_id")})
     parts = [
-        references.reference_violations(customer, "c_nationkey", allowed_nations(spark, sf), "n_nationkey")
+        references.reference_violations(customer, "c_nationkey", nations, "n_nationkey", broadcast=small["n"])
         .select(F.lit("customer").alias("table_name"), F.lit("c_nationkey").alias("column_name"),
                 F.col("c_custkey").alias("row_key"), F.col("c_nationkey").cast("string").alias("value")),
-        references.reference_violations(orders, "o_orderpriority", allowed_priorities(spark, sf),
-                                        "o_orderpriority")
+        references.reference_violations(orders, "o_orderpriority", priorities, "o_orderpriority",
+                                        broadcast=small["p"])
         .select(F.lit("orders").alias("table_name"), F.lit("o_orderpriority").alias("column_name"),
                 F.col("o_orderkey").alias("row_key"), F.col("o_orderpriority").alias("value")),
-        references.reference_violations(documents, "doc_id", _read(spark, sf, "labels"), "doc_id")
+        references.reference_violations(documents, "doc_id", labels, "doc_id", broadcast=small["l"])
         .select(F.lit("documents").alias("table_name"), F.lit("doc_id").alias("column_name"),
                 F.col("doc_id").alias("row_key"), F.col("doc_id").cast("string").alias("value")),
     ]
@@ -218,11 +222,13 @@ def q_ri_violations(spark, sf):
 
 def q_ri_columns(spark, sf):
     """Per table, failing reference columns (incidences) and their names."""
+    rules = reference_rules(spark, sf)
+    small = references.bounded_references({f"{t}.{c}": (ref, rc) for t, _, c, _, ref, rc in rules})
     per_column = _union([
-        references.reference_violation_count(df, col, ref, ref_col).select(
+        references.reference_violation_count(df, col, ref, ref_col, broadcast=small[f"{table}.{col}"]).select(
             F.lit(table).alias("table_name"), F.lit(pos).cast("int").alias("field_position"),
             F.lit(col).alias("column_name"), "violations")
-        for table, pos, col, df, ref, ref_col in reference_rules(spark, sf)
+        for table, pos, col, df, ref, ref_col in rules
     ])
     return references.failing_columns_summary(per_column)
 
