@@ -30,7 +30,7 @@ def li_view(spark: SparkSession, sf: str) -> DataFrame:
     ship_txt:  yyyy-MM- + two-digit day (+40 when l_linenumber = 5) + ' +01'
     """
     # heavy per-row text work: spread a single-split scan over the cores
-    li = _read(spark, sf, "lineitem", spread=True)
+    li = _read(spark, sf, "lineitem", spread=True, by=["l_orderkey", "l_linenumber"])
     key_txt = F.col("l_partkey").cast("string")
     pk_txt = (F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
               .when(F.col("l_linenumber") == 6, F.concat(F.lit("x"), key_txt))

@@ -56,7 +56,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: dict[str
     return reader.load()
 
 
-def read_driver_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+def read_driver_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False,
+                      by: list[str] | None = None) -> DataFrame:
     """One of the benchmark tables: ``<sf_dir>/<name>.parquet``.
 
     Each benchmark file is a single parquet row group, which Spark cannot
@@ -64,21 +65,25 @@ def read_driver_table(spark: SparkSession, sf_dir: str, name: str, spread: bool
     ``spread`` such a scan is spread over the cluster's cores (see
     :func:`spread_scan`)."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread_scan(df) if spread else df
+    return spread_scan(df, by=by) if spread else df
 
 
-def spread_scan(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the cluster has cores.
+def spread_scan(df: DataFrame, min_tasks: int | None = None, by: list[str] | None = None) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores.
 
     A real table (many files / row groups) already scans in at least that
     many tasks, so this is a no-op there; it only helps unsplittable files
     whose per-row checks (regex, date parsing) would otherwise run on one
-    core."""
+    core.  With ``by`` (high-cardinality key columns) rows are hash
+    partitioned: no pre-sort is needed for a deterministic retry, and a later
+    group-by on those keys reuses the partitioning.  Without it rows go
+    round-robin (Spark sorts them first so that a retried task sees the same
+    rows)."""
     spark = df.sparkSession
     want = min_tasks or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *by) if by else df.repartition(want)
 
 
 def row_count(df: DataFrame) -> DataFrame:
