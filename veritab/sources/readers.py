@@ -64,10 +64,27 @@ def read_driver_table(spark: SparkSession, sf_dir: str, name: str, spread: bool
     split: the scan yields one non-empty task whatever the file size.  With
     ``spread`` such a scan is spread over the cluster's cores (see
     :func:`spread_scan`)."""
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = _scan(spark, os.path.join(sf_dir, f"{name}.parquet"))
     return spread_scan(df, by=by) if spread else df
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """The scan of a read-only benchmark file, resolved once per session.
+
+    Like a table registered in a catalog, the file listing and the footer
+    schema are read once; every query still plans and executes the scan in
+    full.  A path that cannot be read is never remembered."""
+    key = (id(spark), path)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _SCANS[key] = df
+    return df
+
+
 def spread_scan(df: DataFrame, min_tasks: int | None = None, by: list[str] | None = None) -> DataFrame:
     """Spread a scan that has fewer splits than the cluster has cores.
 
