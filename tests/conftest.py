@@ -12,7 +12,11 @@ SF_SMOKE = "/root/testdata/sf0.001"
 def spark():
     from veritab.session import get_session
 
-    s = get_session(app="veritab-tests", master="local[4]", shuffle_partitions=4)
+    import tempfile
+
+    warehouse = tempfile.mkdtemp(prefix="veritab-warehouse-")
+    s = get_session(app="veritab-tests", master="local[4]", shuffle_partitions=4,
+                    extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 

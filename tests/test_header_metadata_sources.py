@@ -101,3 +101,29 @@ def test_append_sink_round_trip(spark, tmp_path):
     append_rows(literal_frame(spark, [row], TRIGGER_CONTROL), target)
     append_rows(literal_frame(spark, [row], TRIGGER_CONTROL), target)
     assert spark.read.parquet(target).count() == 2
+
+
+def test_recreate_and_insert_into_catalog_table(spark, tmp_path):
+    from veritab.sources import insert_into, recreate_table
+    from veritab.schemas import TD_TEMPLATES
+
+    name = f"td_templates_{os.getpid()}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    first = literal_frame(spark, [("s", "1", "one")], TD_TEMPLATES)
+    spark.sql(f"CREATE TABLE {name} (source STRING, template_code STRING, template_text STRING) "
+              f"USING parquet LOCATION '{tmp_path / 't'}'")
+    insert_into(first, name)                                            # S6
+    assert spark.table(name).count() == 1
+    recreate_table(spark, literal_frame(spark, [("s", "2", "two"), ("s", "3", "three")], TD_TEMPLATES),
+                   name)                                                # S7
+    assert sorted(r[0] for r in spark.table(name).select("template_code").collect()) == ["2", "3"]
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@pytest.mark.parametrize("fmt", ["json", "orc", "parquet"])
+def test_other_formats(spark, tmp_path, fmt):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "x string, y int")
+    path = str(tmp_path / fmt)
+    df.write.format(fmt).save(path)
+    back = read_table(spark, path, fmt)
+    assert sorted(tuple(r) for r in back.select("x", "y").collect()) == [("a", 1), ("b", 2)]
