@@ -31,8 +31,10 @@ def allowed_values(ref: DataFrame, ref_column: str, as_type=None) -> DataFrame:
 def _bounded(ref: DataFrame, ref_column: str, max_rows: int) -> bool:
     """True when the reference table has at most ``max_rows`` rows.
 
-    Counts raw rows behind a limit, so the check stops early on a large
-    table; distinct values are never more than raw rows."""
+    Counts raw rows of the reference key column behind a limit: each task
+    stops after ``max_rows + 1`` rows of its split, so the check costs at most
+    one pass over that one column (the anti-join reads it anyway); distinct
+    values are never more than raw rows."""
     return ref.select(ref_column).limit(max_rows + 1).count() <= max_rows
 
 
@@ -42,7 +44,8 @@ def bounded_references(targets: dict[str, tuple[DataFrame, str]],
 
     ``targets`` maps a name to (reference frame, reference column); the
     answer maps each name to True when that table has at most ``max_rows``
-    rows (each branch stops reading after ``max_rows + 1`` rows)."""
+    rows (each task of a branch stops after ``max_rows + 1`` rows of its split,
+    so a branch costs at most one pass over one column)."""
     if not targets:
         return {}
     branches = [ref.select(col).limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"))
