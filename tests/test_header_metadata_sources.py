@@ -127,3 +127,12 @@ def test_other_formats(spark, tmp_path, fmt):
     df.write.format(fmt).save(path)
     back = read_table(spark, path, fmt)
     assert sorted(tuple(r) for r in back.select("x", "y").collect()) == [("a", 1), ("b", 2)]
+
+
+def test_cache_for_several_passes(spark):
+    from veritab.sources import cache_for_passes, release
+
+    df = cache_for_passes(spark.range(100))
+    assert df.count() == 100 and df.is_cached
+    release(df)
+    assert not df.is_cached
