@@ -201,3 +201,23 @@ def test_missing_columns_and_reference_fail_the_rule_only(spark):
     assert v[(3, "reference")]["passed"] is False and v[(3, "reference")]["violations"] is None
     assert v[(4, "pattern")]["message"] == "column(s) missing_col missing"
     assert v[(2, "type:INT")]["passed"] and v[(4, "cell_bounds")]["violations"] == 0
+
+
+def test_validate_and_log_appends_both_logs(spark, run, tmp_path):
+    from veritab.plans.staged_run import validate_and_log
+
+    fx, verdicts, specs, refs = run
+    chosen = [sp for sp in specs if sp.table_id in ("00001", "00002", "00019")]
+    trig, log = str(tmp_path / "trigger_control"), str(tmp_path / "process_validation_logs")
+    st = {r["table_id"]: r["flag"] for r in
+          validate_and_log(spark, chosen, refs, trig, log, "2025-01-01 00:00:00").collect()}
+    assert st == {"00001": 2.0, "00002": 32.0, "00019": 30.0}
+    first = spark.read.parquet(trig)
+    assert first.count() == 6 + 3 + 1
+    validate_and_log(spark, chosen, refs, trig, log, "2025-01-02 00:00:00")       # second run appends
+    ids = [r[0] for r in spark.read.parquet(trig).select("id_trigger").collect()]
+    assert len(ids) == 20 and len(set(ids)) == 20                                # ids never collide
+    errors = spark.read.parquet(log)
+    assert errors.count() == 4
+    # every error row points at an existing status row
+    assert errors.join(spark.read.parquet(trig), "id_trigger", "left_anti").count() == 0

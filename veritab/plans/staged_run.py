@@ -369,3 +369,46 @@ def _run_until_failure(spark: SparkSession, parts: list[tuple[int, DataFrame]],
     failed = [r["stage"] for r in rows if not r["passed"]]
     stop = min(failed) if failed else 4
     return literal_verdicts(spark, [tuple(r) for r in rows if r["stage"] <= stop])
+
+
+def validate_and_log(spark: SparkSession, specs: Sequence[TableSpec],
+                     references: Callable[[str], DataFrame], trigger_path: str, log_path: str,
+                     run_ts=None, environment: str | None = None, source: str | None = None,
+                     compat: bool = False, fail_fast: bool = False,
+                     tables_per_job: int | None = None, run_id: str | None = None) -> DataFrame:
+    """The whole run (O1 + L1/L2): validate every table, append the status
+    rows to ``trigger_path`` and the error rows to ``log_path``.
+
+    The verdict rows are computed once and written under
+    ``spark.checkpoint.dir`` (a lost executor never re-runs the checks for
+    the second log), then both log frames derive from that copy.  Status ids
+    continue after the highest id already in ``trigger_path``.  Returns the
+    per-table status (flag, stages passed, row count)."""
+    import os
+    import uuid
+
+    from pyspark.errors import AnalysisException
+
+    from veritab.functions.constants import DEFAULT_ENVIRONMENT, DEFAULT_SOURCE
+    from veritab.plans import logs
+    from veritab.session import ensure_checkpoint_dir
+    from veritab.sources.sinks import append_rows
+
+    run_id = run_id or uuid.uuid4().hex
+    verdicts = run_verdicts(spark, specs, references, compat, fail_fast=fail_fast,
+                            tables_per_job=tables_per_job, run_id=run_id)
+    if not tables_per_job or fail_fast:
+        path = os.path.join(ensure_checkpoint_dir(spark), "verdicts", run_id, "all")
+        verdicts.write.mode("overwrite").parquet(path)
+        verdicts = spark.read.parquet(path).select(*VERDICT_COLUMNS)
+    try:
+        id_base = spark.read.parquet(trigger_path).agg(F.max("id_trigger")).first()[0] or 0
+    except AnalysisException:          # first run: no status rows yet
+        id_base = 0
+    # ids of one run are id_base + table_seq*10 + n: leave room for the run
+    id_base = ((id_base // 10) + 1) * 10 if id_base else 0
+    env = environment or DEFAULT_ENVIRONMENT
+    src = source or DEFAULT_SOURCE
+    append_rows(logs.trigger_rows(verdicts, run_ts, env, src, id_base), trigger_path)
+    append_rows(logs.validation_logs(verdicts, run_ts, src, id_base), log_path)
+    return logs.table_status(verdicts)
