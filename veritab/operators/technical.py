@@ -14,35 +14,44 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritab.functions.predicates import any_violation, fast_predicate
+from veritab.functions.predicates import any_violation, fast_predicate, violation_predicate, violation_sql
 from veritab.functions.rules import Rule
+from veritab.functions.sqltext import sql_str
 
 
 def _predicates(rules: Sequence[Rule], compat: bool) -> list[tuple[Rule, Column]]:
     return [(r, fast_predicate(r, compat)) for r in rules]
 
 
+def count_if_exprs(rules: Sequence[Rule], compat: bool = False, prefix: str = "__v") -> list[Column]:
+    """``count_if(<rule predicate>) AS <prefix><i>`` per rule, one JVM call each
+    (the predicate is SQL text when it can be; see ``fast_predicate``)."""
+    out = []
+    for i, r in enumerate(rules):
+        text = violation_sql(r, compat)
+        if text is not None:
+            out.append(F.expr(f"count_if({text}) AS `{prefix}{i}`"))
+        else:
+            out.append(F.count_if(violation_predicate(r, compat)).alias(f"{prefix}{i}"))
+    return out
+
+
 def column_violation_counts(df: DataFrame, rules: Sequence[Rule], compat: bool = False,
                             with_row_count: bool = False) -> DataFrame:
     """Per-column violation counts in one pass.
 
     Returns ``column_name, field_position, violations`` (one row per rule);
-    with ``with_row_count`` also ``row_count`` on every row.
+    with ``with_row_count`` also ``row_count`` on every row.  The aggregate
+    and the unpivot are built as SQL text: a table with hundreds of rule
+    columns plans in well under a second.
     """
-    preds = _predicates(rules, compat)
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.count_if(p).alias(f"__v{i}") for i, (_, p) in enumerate(preds)]
-    one_row = df.agg(*aggs)
-    entries = [
-        F.struct(
-            F.lit(r.field_name).alias("column_name"),
-            F.lit(r.field_position).cast("int").alias("field_position"),
-            F.col(f"__v{i}").cast("bigint").alias("violations"),
-        )
-        for i, (r, _) in enumerate(preds)
-    ]
-    out = one_row.select(F.col("__rows").cast("bigint").alias("row_count"),
-                         F.inline(F.array(*entries)))
+    one_row = df.agg(F.count(F.lit(1)).alias("__rows"), *count_if_exprs(rules, compat))
+    entries = ", ".join(
+        f"named_struct('column_name', {sql_str(r.field_name)}, "
+        f"'field_position', CAST({sql_str(r.field_position)} AS INT), "
+        f"'violations', CAST(`__v{i}` AS BIGINT))"
+        for i, r in enumerate(rules))
+    out = one_row.selectExpr("CAST(__rows AS BIGINT) AS row_count", f"inline(array({entries}))")
     cols = ["column_name", "field_position", "violations"]
     return out.select(*(cols + (["row_count"] if with_row_count else [])))
 

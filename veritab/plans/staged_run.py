@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritab.functions.cells import out_of_bounds, parse_cell
-from veritab.functions.predicates import fast_predicate
 from veritab.functions.rules import Rule, collect_rules, decode_rules
 from veritab.operators.functional import group_prefix_incidences, pattern_predicate, required_pairs
 from veritab.operators.header import validate_header
@@ -33,7 +32,7 @@ from veritab.operators.metadata import select_tables, split_reference
 from veritab.operators.references import (
     MAX_BROADCAST_ROWS, bounded_references, reference_violation_count,
 )
-from veritab.operators.technical import key_summary
+from veritab.operators.technical import count_if_exprs, key_summary
 from veritab.plans.verdicts import (
     VERDICT_COLUMNS, counted, entry, explode_entries, literal_verdicts, union_all,
 )
@@ -195,8 +194,7 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
                 refs[i] = (frame, detail)
 
     aggs = [F.count(F.lit(1)).cast("bigint").alias("__rows")]
-    for i, r in enumerate(spec.rules):
-        aggs.append(F.count_if(fast_predicate(r, compat)).alias(f"__t{i}"))
+    aggs += count_if_exprs(spec.rules, compat, prefix="__t")
     if fs and fs.required_column:
         aggs.append(F.count_if(F.col(fs.required_column).isin(list(fs.required_values))).alias("__req"))
     if fs and fs.pattern_column:

@@ -13,6 +13,8 @@ from pyspark.sql.types import (
     BooleanType, IntegerType, LongType, StringType, StructField, StructType,
 )
 
+from veritab.functions.sqltext import sql_str
+
 VERDICT = StructType([
     StructField("table_seq", IntegerType(), False),
     StructField("table_id", StringType(), False),
@@ -29,17 +31,8 @@ VERDICT = StructType([
 ])
 VERDICT_COLUMNS = [f.name for f in VERDICT.fields]
 
-
-def sql_str(value) -> str:
-    """A Spark SQL literal for a Python str / int / None."""
-    if value is None:
-        return "NULL"
-    if isinstance(value, bool):
-        return "true" if value else "false"
-    if isinstance(value, int):
-        return str(value)
-    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{text}'"
+__all__ = ["VERDICT", "VERDICT_COLUMNS", "counted", "entry", "explode_entries",
+           "literal_verdicts", "sql_str", "union_all"]
 
 
 def entry(table_seq: int, table_id: str, table_name: str, stage: int, check_no: int, rule: str,
