@@ -221,3 +221,38 @@ def test_validate_and_log_appends_both_logs(spark, run, tmp_path):
     assert errors.count() == 4
     # every error row points at an existing status row
     assert errors.join(spark.read.parquet(trig), "id_trigger", "left_anti").count() == 0
+
+
+def test_command_line_run(spark, tmp_path, capsys):
+    """python -m veritab over CSV metadata and CSV tables."""
+    import csv as _csv
+
+    from veritab.__main__ import main
+
+    ok = passing_rows()
+    good = write_csv(str(tmp_path / "good.csv"), ok)
+    bad = write_csv(str(tmp_path / "bad.csv"), mutate(ok, 1, row_y="1.2"))
+    cat = tmp_path / "catalog.csv"
+    with open(cat, "w", newline="") as fh:
+        w = _csv.writer(fh)
+        w.writerow([f.name for f in FILE_CONFIGURATION.fields])
+        w.writerow(["00018", "good", "csv", "src", good, "", ",", "true", "true", "u"])
+        w.writerow(["00013", "bad", "csv", "src", bad, "", ",", "true", "true", "u"])
+    rules = tmp_path / "rules.csv"
+    with open(rules, "w", newline="") as fh:
+        w = _csv.writer(fh)
+        w.writerow([f.name for f in SEMANTIC_LAYER.fields])
+        for tid in ("00018", "00013"):
+            for pos, (col, dt, length, nullable) in enumerate(TEMPLATE_COLUMNS, 1):
+                ref = "td_templates.template_code" if col == "template_code" else ""
+                w.writerow([tid, pos, col, "", "false", dt, length, str(nullable).lower(), "", "", ref, ""])
+    td = tmp_path / "td.csv"
+    td.write_text("source,template_code,template_text\n" + "".join(f"s,{c},t\n" for c in TEMPLATE_CODES))
+    code = main(["--catalog", str(cat), "--rules", str(rules), "--reference", f"td_templates={td}",
+                 "--trigger-log", str(tmp_path / "trig"), "--error-log", str(tmp_path / "err"),
+                 "--template-rules"])
+    out = capsys.readouterr().out
+    assert code == 0
+    assert "00013 bad: 1 of 4 stages passed, flag 32.0" in out
+    assert "00018 good: 4 of 4 stages passed, flag 2.0" in out
+    assert spark.read.parquet(str(tmp_path / "err")).count() == 1
