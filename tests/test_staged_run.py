@@ -256,3 +256,48 @@ def test_command_line_run(spark, tmp_path, capsys):
     assert "00013 bad: 1 of 4 stages passed, flag 32.0" in out
     assert "00018 good: 4 of 4 stages passed, flag 2.0" in out
     assert spark.read.parquet(str(tmp_path / "err")).count() == 1
+
+
+def _func_fixture():
+    """Like the validated system's functional fault table: no required data_name at all
+    (F1a), one group without a ccy value (F2: 1 group), one column_x not starting
+    with _c (F3), six cells out of bounds (F4) -> incidences 4, flag 34."""
+    rows = []
+    for g, (code, sheet) in enumerate([("1", "S1"), ("2", "S2")]):
+        for k in range(5):
+            i = g * 5 + k
+            rows.append({"template_code": code, "sheet": sheet, "excel_cell": f"a{i % 3 + 1}",
+                         "column_x": f"_c{i}", "row_y": "1.1234",
+                         "data_name": "ccy_rate" if (g == 0 and k == 0) else "a_ccy_data_name"})
+    rows[3]["column_x"] = "X_c80"
+    for i in (4, 5, 6, 7, 8, 9):
+        rows[i]["excel_cell"] = f"b{20 + i}"
+    return rows
+
+
+def _test_fixture():
+    """Like the near-clean table: no required data_name (F1a) and three cells at the
+    last row (row == row count, rejected by the >= bound) -> incidences 2, flag 34."""
+    rows = []
+    for i in range(10):
+        rows.append({"template_code": "1", "sheet": "S1", "excel_cell": "a10" if i < 3 else "a1",
+                     "column_x": f"_c{i}", "row_y": "1.1234", "data_name": "ccy_value"})
+    return rows
+
+
+def test_functional_fixtures_match_derived_outcomes(spark, tmp_path):
+    from veritab.functions.rules import make_rule
+    from veritab.plans.staged_run import TableSpec
+
+    rules = [make_rule(n, dt, length, nullable=nul, position=p)
+             for p, (n, dt, length, nul) in enumerate(TEMPLATE_COLUMNS, 1)]
+    specs = []
+    for tid, rows in (("00017", _func_fixture()), ("00018", _test_fixture())):
+        path = write_csv(str(tmp_path / f"{tid}.csv"), rows)
+        specs.append(TableSpec(tid, f"t{tid}", True,
+                               lambda p=path: read_table(spark, p, "csv", header=True), rules, TEMPLATE_RULES))
+    v = run_verdicts(spark, specs, lambda name: None)
+    got = {r["file_name"]: (r["incidences"], r["flag"], r["field_name"])
+           for r in logs.validation_logs(v, "2025-01-01 00:00:00").collect()}
+    assert got["t00017"] == (4, 34.0, "column_x, data_name, excel_cell, sheet, template_code")
+    assert got["t00018"] == (2, 34.0, "data_name, excel_cell, sheet, template_code")
