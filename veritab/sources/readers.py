@@ -43,16 +43,28 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: dict[str
               partition_column: str | None = None, lower_bound: int | None = None,
               upper_bound: int | None = None, num_partitions: int | None = None,
               fetch_size: int = 50000) -> DataFrame:
-    """JDBC scan, split into ``num_partitions`` range reads when a numeric
-    partition column and its bounds are given."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table) \
-        .option("fetchsize", str(fetch_size))
-    for key, value in (properties or {}).items():
-        reader = reader.option(key, value)
+    """JDBC scan, split into ``num_partitions`` range reads on a numeric
+    partition column.  Without explicit bounds they are read first with one
+    ``min``/``max`` query executed by the database (a few bytes back), so a
+    large table never arrives through a single task."""
+    def base():
+        reader = spark.read.format("jdbc").option("url", url).option("fetchsize", str(fetch_size))
+        for key, value in (properties or {}).items():
+            reader = reader.option(key, value)
+        return reader
+
+    if partition_column is not None and (lower_bound is None or upper_bound is None):
+        bounds = base().option(
+            "query", f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {table}"
+        ).load().first()
+        lower_bound, upper_bound = bounds["lo"], bounds["hi"]
+        if lower_bound is None:            # empty table: one partition is enough
+            partition_column = None
+    reader = base().option("dbtable", table)
     if partition_column is not None:
         reader = (reader.option("partitionColumn", partition_column)
                   .option("lowerBound", str(lower_bound)).option("upperBound", str(upper_bound))
-                  .option("numPartitions", str(num_partitions or 8)))
+                  .option("numPartitions", str(num_partitions or spark.sparkContext.defaultParallelism)))
     return reader.load()
 
 
