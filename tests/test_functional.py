@@ -78,3 +78,30 @@ def test_cell_bounds_default_row_count(spark):
     df = spark.createDataFrame([("a1",), ("a2",), ("a3",)], "excel_cell string")
     # row count 3, column count 1 (one column): a3 (row 3 >= 3) and every col 1 >= 1
     assert FN.cell_out_of_bounds(df, "excel_cell").count() == 3
+
+
+def test_dotted_column_names(spark):
+    """Field names from metadata may contain dots; they are top-level columns."""
+    from veritab.functions.rules import make_rule
+    from veritab.operators import references as R
+    from veritab.operators import technical as T
+    from veritab.plans.staged_run import FunctionalSpec, TableSpec, run_verdicts
+
+    df = spark.createDataFrame(
+        [("1", "S.1", "data_as_of", "_c1", "a1"), ("1", "S.1", "data_as_of", "x", "z99"), ("2", "S.2", "ccy.x", "_c2", "a2")],
+        "`t.code` string, `sheet.name` string, `data.name` string, `col.x` string, `excel.cell` string")
+    assert T.key_summary(df, ["t.code", "sheet.name"]).first()["duplicated_keys"] == 1
+    ref = spark.createDataFrame([("1",)], "`code.v` string")
+    assert R.reference_violation_count(df, "t.code", ref, "code.v").first()["violations"] == 1
+    assert FN.pattern_violations(df, "col.x", "_c").count() == 1
+    assert FN.required_missing(df, ["t.code", "sheet.name"], "data.name", REQ, all_groups=True).count() == 2
+    assert FN.group_prefix_missing(df, ["t.code"], "data.name", "ccy").count() == 1
+    assert FN.cell_out_of_bounds(df, "excel.cell", 3, 5).count() == 1
+    rules = [make_rule(n, "STRING", 10, position=i + 1) for i, n in enumerate(df.columns)]
+    spec = TableSpec("d", "dotted", True, lambda: df, rules,
+                     FunctionalSpec(group_cols=("t.code",), required_column="data.name", required_values=REQ,
+                                    prefix_column="data.name", prefix="ccy", pattern_column="col.x",
+                                    pattern="_c", cell_column="excel.cell"))
+    v = {r["rule"]: r["violations"] for r in run_verdicts(spark, [spec], lambda n: None).collect()}
+    assert v["pattern"] == 1 and v["group_prefix"] == 1
+    assert T.row_violations(df, [make_rule("col.x", "INT", 1)], keep=["t.code"]).count() == 3

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veritab.functions.cells import out_of_bounds, parse_cell
+from veritab.functions.names import col, cols
 
 
 # --------------------------------------------------------------------------
@@ -27,14 +28,14 @@ from veritab.functions.cells import out_of_bounds, parse_cell
 def required_pairs(df: DataFrame, group_cols: Sequence[str], value_col: str,
                    values: Sequence[str]) -> DataFrame:
     """Rows per (group, required value), only for required values present."""
-    return (df.where(F.col(value_col).isin(list(values)))
-            .groupBy(*group_cols, value_col)
+    return (df.where(col(value_col).isin(list(values)))
+            .groupBy(*cols(group_cols), col(value_col))
             .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
 
 
 def required_any(df: DataFrame, value_col: str, values: Sequence[str]) -> DataFrame:
     """One row ``rows_with_required, passed`` (passed = at least one)."""
-    return df.agg(F.count_if(F.col(value_col).isin(list(values))).cast("bigint")
+    return df.agg(F.count_if(col(value_col).isin(list(values))).cast("bigint")
                   .alias("rows_with_required")).withColumn("passed", F.col("rows_with_required") > 0)
 
 
@@ -54,13 +55,13 @@ def required_missing(df: DataFrame, group_cols: Sequence[str], value_col: str,
     ``all_groups=True`` also reports groups with none (n_present = 0).
     """
     present = (required_pairs(df, group_cols, value_col, values)
-               .groupBy(*group_cols).agg(F.count(F.lit(1)).cast("bigint").alias("n_present")))
+               .groupBy(*cols(group_cols)).agg(F.count(F.lit(1)).cast("bigint").alias("n_present")))
     if all_groups:
-        groups = df.select(*group_cols).distinct()
-        cond = [groups[g].eqNullSafe(present[g]) for g in group_cols]
+        groups = df.select(*[col(g).alias(f"__g{i}") for i, g in enumerate(group_cols)]).distinct()
+        cond = [F.col(f"__g{i}").eqNullSafe(col(g)) for i, g in enumerate(group_cols)]
         present = groups.join(present, cond, "left").select(
-            *[groups[g] for g in group_cols],
-            F.coalesce(present["n_present"], F.lit(0)).cast("bigint").alias("n_present"))
+            *[F.col(f"__g{i}").alias(g) for i, g in enumerate(group_cols)],
+            F.coalesce(F.col("n_present"), F.lit(0)).cast("bigint").alias("n_present"))
     return present.where(F.col("n_present") != len(set(values)))
 
 
@@ -71,15 +72,15 @@ def required_missing(df: DataFrame, group_cols: Sequence[str], value_col: str,
 def group_has_prefix(df: DataFrame, group_cols: Sequence[str], value_col: str,
                      prefix: str) -> DataFrame:
     """Per group: ``has_prefix`` true when any value starts with ``prefix``."""
-    hit = F.coalesce(F.col(value_col).startswith(prefix), F.lit(False))
-    return df.groupBy(*group_cols).agg(F.bool_or(hit).alias("has_prefix"))
+    hit = F.coalesce(col(value_col).startswith(prefix), F.lit(False))
+    return df.groupBy(*cols(group_cols)).agg(F.bool_or(hit).alias("has_prefix"))
 
 
 def group_prefix_missing(df: DataFrame, group_cols: Sequence[str], value_col: str,
                          prefix: str) -> DataFrame:
     """F2 detail: groups with no value starting with ``prefix``."""
     return group_has_prefix(df, group_cols, value_col, prefix) \
-        .where(~F.col("has_prefix")).select(*group_cols)
+        .where(~F.col("has_prefix")).select(*cols(group_cols))
 
 
 def group_prefix_incidences(df: DataFrame, group_cols: Sequence[str], value_col: str,
@@ -102,7 +103,7 @@ def pattern_predicate(column: str, pattern: str, mode: str = "literal") -> Colum
     ``literal``: must start with ``pattern`` as written.  ``like``: SQL LIKE
     ``pattern%``, where ``_`` and ``%`` are wildcards (so ``ac1`` passes
     ``_c``).  Null values pass."""
-    c = F.col(column)
+    c = col(column)
     if mode == "literal":
         return ~c.startswith(pattern)
     if mode == "like":
@@ -121,7 +122,7 @@ def pattern_violations(df: DataFrame, column: str, pattern: str, mode: str = "li
 
 def with_cell_parts(df: DataFrame, cell_col: str, keep_empty: bool = False) -> DataFrame:
     """Adds ``col_letters, row_num, col_num`` parsed from ``cell_col``."""
-    letters, row_num, col_num = parse_cell(F.col(cell_col), keep_empty)
+    letters, row_num, col_num = parse_cell(col(cell_col), keep_empty)
     return df.withColumn("col_letters", letters).withColumn("row_num", row_num) \
              .withColumn("col_num", col_num)
 
@@ -143,5 +144,5 @@ def cell_out_of_bounds(df: DataFrame, cell_col: str, row_count: Column | int | N
     parts = with_cell_parts(df, cell_col)
     bad = out_of_bounds(F.col("row_num"), F.col("col_num"), row_count, column_count, inclusive)
     if flag_unparsable:
-        bad = bad | (F.col(cell_col).isNotNull() & (F.col("row_num").isNull() | F.col("col_num").isNull()))
+        bad = bad | (col(cell_col).isNotNull() & (F.col("row_num").isNull() | F.col("col_num").isNull()))
     return parts.where(bad)

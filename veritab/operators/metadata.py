@@ -10,6 +10,7 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veritab.functions.names import col
 from veritab.operators.references import bounded_references, reference_violation_count
 from veritab.operators.technical import key_duplicates
 
@@ -86,7 +87,7 @@ def constraint_violations(frames: dict[str, DataFrame], constraints: Sequence[Co
     for c in constraints:
         df = frames[c.table]
         if c.kind == "not_null":
-            pred = reduce(or_, [F.col(x).isNull() for x in c.columns])
+            pred = reduce(or_, [col(x).isNull() for x in c.columns])
             v = df.agg(F.count_if(pred).cast("bigint").alias("violations"))
         elif c.kind == "unique":
             v = key_duplicates(df, list(c.columns)).agg(F.count(F.lit(1)).cast("bigint").alias("violations"))

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veritab.functions.names import col
+
 # a broadcast of up to this many reference rows stays in the tens of MB
 MAX_BROADCAST_ROWS = 1_000_000
 _REF = "__ref_value"
@@ -22,7 +24,7 @@ _REF = "__ref_value"
 
 def allowed_values(ref: DataFrame, ref_column: str, as_type=None) -> DataFrame:
     """Distinct non-null allowed values as one column ``__ref_value``."""
-    value = F.col(ref_column)
+    value = col(ref_column)
     if as_type is not None:
         value = value.try_cast(as_type)
     return ref.select(value.alias(_REF)).where(F.col(_REF).isNotNull()).distinct()
@@ -35,7 +37,7 @@ def _bounded(ref: DataFrame, ref_column: str, max_rows: int) -> bool:
     stops after ``max_rows + 1`` rows of its split, so the check costs at most
     one pass over that one column (the anti-join reads it anyway); distinct
     values are never more than raw rows."""
-    return ref.select(ref_column).limit(max_rows + 1).count() <= max_rows
+    return ref.select(col(ref_column)).limit(max_rows + 1).count() <= max_rows
 
 
 def bounded_references(targets: dict[str, tuple[DataFrame, str]],
@@ -48,9 +50,9 @@ def bounded_references(targets: dict[str, tuple[DataFrame, str]],
     so a branch costs at most one pass over one column)."""
     if not targets:
         return {}
-    branches = [ref.select(col).limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"))
+    branches = [ref.select(col(column)).limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"))
                 .select(F.lit(name).alias("name"), "n")
-                for name, (ref, col) in targets.items()]
+                for name, (ref, column) in targets.items()]
     out = branches[0]
     for b in branches[1:]:
         out = out.unionByName(b)
@@ -60,7 +62,7 @@ def bounded_references(targets: dict[str, tuple[DataFrame, str]],
 def _reference_side(df: DataFrame, column: str, ref: DataFrame, ref_column: str,
                     max_broadcast_rows: int, broadcast: bool | None = None) -> DataFrame:
     """Allowed values, broadcast when known (``broadcast``) or checked to be small."""
-    allowed = allowed_values(ref, ref_column, df.schema[column].dataType)
+    allowed = allowed_values(ref, ref_column, df.select(col(column)).schema[0].dataType)
     if broadcast is None:
         broadcast = max_broadcast_rows > 0 and _bounded(ref, ref_column, max_broadcast_rows)
     return F.broadcast(allowed) if broadcast else allowed
@@ -71,8 +73,8 @@ def reference_violations(df: DataFrame, column: str, ref: DataFrame, ref_column:
                          broadcast: bool | None = None) -> DataFrame:
     """R2: rows whose non-null ``column`` value is not an allowed value."""
     side = _reference_side(df, column, ref, ref_column, max_broadcast_rows, broadcast)
-    tested = df.where(F.col(column).isNotNull())
-    return tested.join(side, tested[column] == side[_REF], "left_anti")
+    tested = df.where(col(column).isNotNull())
+    return tested.join(side, col(column) == side[_REF], "left_anti")
 
 
 def reference_violation_count(df: DataFrame, column: str, ref: DataFrame, ref_column: str,
@@ -84,8 +86,8 @@ def reference_violation_count(df: DataFrame, column: str, ref: DataFrame, ref_co
     task), so the anti-join sees distinct values, not rows, and a hot value
     costs one row per task."""
     side = _reference_side(df, column, ref, ref_column, max_broadcast_rows, broadcast)
-    per_value = (df.where(F.col(column).isNotNull())
-                 .groupBy(F.col(column).alias("__v")).agg(F.count(F.lit(1)).alias("__n")))
+    per_value = (df.where(col(column).isNotNull())
+                 .groupBy(col(column).alias("__v")).agg(F.count(F.lit(1)).alias("__n")))
     missing = per_value.join(side, per_value["__v"] == side[_REF], "left_anti")
     return missing.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("violations"))
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from veritab.functions.predicates import any_violation, fast_predicate, violation_predicate, violation_sql
 from veritab.functions.rules import Rule
+from veritab.functions.names import cols
 from veritab.functions.sqltext import sql_str
 
 
@@ -66,7 +67,7 @@ def row_violations(df: DataFrame, rules: Sequence[Rule], compat: bool = False,
     failed = F.concat_ws(",", *[F.when(p, F.lit(r.field_name)) for r, p in preds])
     out = df.where(any_violation([p for _, p in preds]))
     if keep is not None:
-        out = out.select(*keep, failed.alias("failed_columns"))
+        out = out.select(*cols(keep), failed.alias("failed_columns"))
     else:
         out = out.withColumn("failed_columns", failed)
     return out
@@ -81,7 +82,7 @@ def has_violation(df: DataFrame, rules: Sequence[Rule], compat: bool = False) ->
 def key_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows per key value.  ``groupBy`` treats nulls as equal values, so a
     composite key with nulls counts like any other (unlike COUNT(DISTINCT))."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    return df.groupBy(*cols(keys)).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
 def key_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritab.functions.cells import out_of_bounds, parse_cell
+from veritab.functions.names import col, cols
 from veritab.functions.rules import Rule, collect_rules, decode_rules
 from veritab.operators.functional import group_prefix_incidences, pattern_predicate, required_pairs
 from veritab.operators.header import validate_header
@@ -196,7 +197,7 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
     aggs = [F.count(F.lit(1)).cast("bigint").alias("__rows")]
     aggs += count_if_exprs(spec.rules, compat, prefix="__t")
     if fs and fs.required_column:
-        aggs.append(F.count_if(F.col(fs.required_column).isin(list(fs.required_values))).alias("__req"))
+        aggs.append(F.count_if(col(fs.required_column).isin(list(fs.required_values))).alias("__req"))
     if fs and fs.pattern_column:
         aggs.append(F.count_if(pattern_predicate(fs.pattern_column, fs.pattern, fs.pattern_mode))
                     .alias("__pat"))
@@ -204,7 +205,7 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
         # row count as a scalar subquery: evaluated once, inlined as a literal
         row_count = df.select(F.count(F.lit(1)).cast("bigint")).scalar()
         column_count = fs.cell_column_count if fs.cell_column_count is not None else len(df.columns)
-        _, row_num, col_num = parse_cell(F.col(fs.cell_column))
+        _, row_num, col_num = parse_cell(col(fs.cell_column))
         aggs.append(F.count_if(out_of_bounds(row_num, col_num, row_count, column_count,
                                              fs.cell_inclusive)).alias("__cell"))
     one = df.agg(*aggs)
@@ -254,15 +255,15 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
     # Rows per (group, required value), then per group
     if fs and fs.required_column:
         pairs = required_pairs(df, list(fs.group_cols), fs.required_column, fs.required_values)
-        per_group = pairs.groupBy(*fs.group_cols).agg(
+        per_group = pairs.groupBy(*cols(fs.group_cols)).agg(
             F.count(F.lit(1)).alias("__present"), F.count_if(F.col("n") != 1).alias("__excess"))
         if fs.all_groups:
             # also groups without any required value (n_present = 0)
-            groups = df.select(*fs.group_cols).distinct()
-            cond = [groups[g].eqNullSafe(per_group[g]) for g in fs.group_cols]
+            groups = df.select(*[col(g).alias(f"__g{i}") for i, g in enumerate(fs.group_cols)]).distinct()
+            cond = [F.col(f"__g{i}").eqNullSafe(col(g)) for i, g in enumerate(fs.group_cols)]
             per_group = groups.join(per_group, cond, "left").select(
-                F.coalesce(per_group["__present"], F.lit(0)).alias("__present"),
-                F.coalesce(per_group["__excess"], F.lit(0)).alias("__excess"))
+                F.coalesce(F.col("__present"), F.lit(0)).alias("__present"),
+                F.coalesce(F.col("__excess"), F.lit(0)).alias("__excess"))
         k = len(set(fs.required_values))
         one_set = per_group.agg(
             (F.coalesce(F.sum("__excess"), F.lit(0)) + F.count_if(F.col("__present") != k)).alias("__bad"))
