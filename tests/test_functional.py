@@ -105,3 +105,20 @@ def test_dotted_column_names(spark):
     v = {r["rule"]: r["violations"] for r in run_verdicts(spark, [spec], lambda n: None).collect()}
     assert v["pattern"] == 1 and v["group_prefix"] == 1
     assert T.row_violations(df, [make_rule("col.x", "INT", 1)], keep=["t.code"]).count() == 3
+
+
+def test_staged_cell_options(spark):
+    from veritab.functions.rules import make_rule
+    from veritab.plans.staged_run import FunctionalSpec, TableSpec, run_verdicts
+
+    df = spark.createDataFrame([("a1",), ("b3",), ("1B",), ("c2",)], "excel_cell string")   # 4 rows, 1 column
+    rules = [make_rule("excel_cell", "STRING", 4, position=1)]
+
+    def cells(**kw):
+        spec = TableSpec("c", "cells", True, lambda: df, rules,
+                         FunctionalSpec(cell_column="excel_cell", cell_column_count=3, **kw))
+        return {r["rule"]: r["violations"] for r in run_verdicts(spark, [spec], lambda n: None).collect()}
+
+    assert cells()["cell_bounds"] == 1                                   # c2: column 3 >= 3
+    assert cells(cell_inclusive=True)["cell_bounds"] == 0
+    assert cells(cell_flag_unparsable=True)["cell_bounds"] == 2          # plus "1B"

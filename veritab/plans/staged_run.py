@@ -55,6 +55,7 @@ class FunctionalSpec:
     cell_column: str | None = None
     cell_column_count: int | None = None   # default: the table's column count
     cell_inclusive: bool = False
+    cell_flag_unparsable: bool = False      # a non-null cell without letters+digits violates
 
 
 @dataclass
@@ -183,7 +184,8 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
             prefix_column=fs.prefix_column if pre_ok else None, prefix=fs.prefix,
             pattern_column=fs.pattern_column if pat_ok else None, pattern=fs.pattern,
             pattern_mode=fs.pattern_mode, cell_column=fs.cell_column if cell_ok else None,
-            cell_column_count=fs.cell_column_count, cell_inclusive=fs.cell_inclusive)
+            cell_column_count=fs.cell_column_count, cell_inclusive=fs.cell_inclusive,
+            cell_flag_unparsable=fs.cell_flag_unparsable)
     refs = {}
     for i, r in enumerate(spec.rules):
         if r.reference:
@@ -206,8 +208,10 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
         row_count = df.select(F.count(F.lit(1)).cast("bigint")).scalar()
         column_count = fs.cell_column_count if fs.cell_column_count is not None else len(df.columns)
         _, row_num, col_num = parse_cell(col(fs.cell_column))
-        aggs.append(F.count_if(out_of_bounds(row_num, col_num, row_count, column_count,
-                                             fs.cell_inclusive)).alias("__cell"))
+        bad_cell = out_of_bounds(row_num, col_num, row_count, column_count, fs.cell_inclusive)
+        if fs.cell_flag_unparsable:
+            bad_cell = bad_cell | (col(fs.cell_column).isNotNull() & (row_num.isNull() | col_num.isNull()))
+        aggs.append(F.count_if(bad_cell).alias("__cell"))
     one = df.agg(*aggs)
 
     entries = [e(1, 1, "header", None, "0", "0", "true", None, "__rows")]
