@@ -77,30 +77,46 @@ def constraint_violations(frames: dict[str, DataFrame], constraints: Sequence[Co
     """M7: one row per constraint: kind, table_name, column_name, reference,
     violations (null rows, duplicated keys, or orphan rows), passed.
 
-    NOT NULL counts in one aggregate, UNIQUE groups by the key (partial
-    aggregation first), FOREIGN KEY counts orphans with an anti-join on
-    distinct values (broadcast only below a row bound)."""
+    All NOT NULL constraints of a table are counted in ONE aggregate over it,
+    UNIQUE groups by the key (partial aggregation first), FOREIGN KEY counts
+    orphans with an anti-join on distinct values (broadcast only below a row
+    bound, every parent's bound checked in one job)."""
     fks = {f"{c.table}.{c.columns[0]}": (frames[c.parent], c.parent_column)
            for c in constraints if c.kind == "foreign_key"}
-    small = bounded_references(fks)          # every parent's size check in one job
+    small = bounded_references(fks)
+
+    def labelled(v: DataFrame, c: Constraint) -> DataFrame:
+        ref = f"{c.parent}.{c.parent_column}" if c.parent else None
+        return v.select(F.lit(c.kind).alias("kind"), F.lit(c.table).alias("table_name"),
+                        F.lit(", ".join(c.columns)).alias("column_name"),
+                        F.lit(ref).cast("string").alias("reference"), "violations",
+                        (F.col("violations") == 0).alias("passed"))
+
     rows = []
+    not_null: dict[str, list[Constraint]] = {}
     for c in constraints:
-        df = frames[c.table]
         if c.kind == "not_null":
-            pred = reduce(or_, [col(x).isNull() for x in c.columns])
-            v = df.agg(F.count_if(pred).cast("bigint").alias("violations"))
+            not_null.setdefault(c.table, []).append(c)
         elif c.kind == "unique":
-            v = key_duplicates(df, list(c.columns)).agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
+            v = key_duplicates(frames[c.table], list(c.columns)).agg(
+                F.count(F.lit(1)).cast("bigint").alias("violations"))
+            rows.append(labelled(v, c))
         elif c.kind == "foreign_key":
-            v = reference_violation_count(df, c.columns[0], frames[c.parent], c.parent_column,
+            v = reference_violation_count(frames[c.table], c.columns[0], frames[c.parent], c.parent_column,
                                           broadcast=small[f"{c.table}.{c.columns[0]}"])
+            rows.append(labelled(v, c))
         else:
             raise ValueError(f"unknown constraint kind {c.kind!r}")
-        ref = f"{c.parent}.{c.parent_column}" if c.parent else None
-        rows.append(v.select(F.lit(c.kind).alias("kind"), F.lit(c.table).alias("table_name"),
-                             F.lit(", ".join(c.columns)).alias("column_name"),
-                             F.lit(ref).cast("string").alias("reference"), "violations",
-                             (F.col("violations") == 0).alias("passed")))
+    for table, group in not_null.items():
+        one = frames[table].agg(*[
+            F.count_if(reduce(or_, [col(x).isNull() for x in c.columns])).cast("bigint").alias(f"__n{i}")
+            for i, c in enumerate(group)])
+        rows.append(one.select(F.inline(F.array(*[
+            F.struct(F.lit("not_null").alias("kind"), F.lit(table).alias("table_name"),
+                     F.lit(", ".join(c.columns)).alias("column_name"),
+                     F.lit(None).cast("string").alias("reference"), F.col(f"__n{i}").alias("violations"),
+                     (F.col(f"__n{i}") == 0).alias("passed"))
+            for i, c in enumerate(group)]))))
     return reduce(DataFrame.unionByName, rows)
 
 
