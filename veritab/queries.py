@@ -12,10 +12,22 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veritab import benchmark_catalog as C
 from veritab.functions import predicates as P
-from veritab.functions.rules import make_rule
+from veritab.functions.rules import collect_rules, decode_rules, make_rule
 from veritab.operators import functional, references, technical
+from veritab.operators.header import (
+    actual_columns, arity_matches, header_mismatches, rename_by_position,
+)
+from veritab.operators.metadata import Constraint as K
+from veritab.operators.metadata import (
+    constraint_violations, expected_columns, reference_rule_columns, select_tables, split_reference,
+)
+from veritab.plans import logs
+from veritab.plans.staged_run import run_verdicts, specs_from_metadata
+from veritab.schemas import SEMANTIC_LAYER
 from veritab.sources.readers import read_driver_table as _read
+from veritab.sources.readers import row_count
 
 
 # --------------------------------------------------------------------------
@@ -350,7 +362,6 @@ ALL_TABLES = ("region nation customer supplier part orders lineitem events docum
 
 def q_row_count(spark, sf):
     """Exact BIGINT row count of every benchmark table."""
-    from veritab.sources.readers import row_count
 
     return _union([row_count(_read(spark, sf, t)).select(F.lit(t).alias("table_name"), "row_count")
                    for t in ALL_TABLES])
@@ -358,9 +369,6 @@ def q_row_count(spark, sf):
 
 def q_catalog_select(spark, sf):
     """M1 + S2: the selected catalog entries in id order, with their tables' row counts."""
-    from veritab import benchmark_catalog as C
-    from veritab.operators.metadata import select_tables
-    from veritab.sources.readers import row_count
 
     views = C.views(spark, sf)
     chosen = select_tables(C.catalog_frame(spark), CATALOG_IDS)
@@ -376,7 +384,6 @@ SCHEMA_IDS = ("00001", "00002", "00006")
 
 def _checked_frame(views, row, names):
     """A table as the header stage hands it on (renamed when it has no header)."""
-    from veritab.operators.header import rename_by_position
 
     df = views[row["origin_path"]]()
     return df if row["header"] else rename_by_position(df, names)
@@ -384,8 +391,6 @@ def _checked_frame(views, row, names):
 
 def q_expected_schema(spark, sf):
     """M3: expected columns in position order, with the non-null count each holds."""
-    from veritab import benchmark_catalog as C
-    from veritab.operators.metadata import expected_columns, select_tables
 
     views = C.views(spark, sf)
     rules = C.rules_frame(spark)
@@ -407,8 +412,6 @@ def q_expected_schema(spark, sf):
 def q_ref_rule_columns(spark, sf):
     """M4 + R1: columns with a reference rule and the number of distinct
     allowed values on their reference side."""
-    from veritab import benchmark_catalog as C
-    from veritab.operators.metadata import reference_rule_columns, split_reference
 
     views = C.views(spark, sf)
     frames = []
@@ -442,7 +445,6 @@ EDGE_RULES = [
 
 
 def edge_rules_frame(spark):
-    from veritab.schemas import SEMANTIC_LAYER
 
     rows = [("00011", pos, name, None, False, dt, length, nullable, sym, None, None, None)
             for pos, name, dt, length, nullable, sym in EDGE_RULES]
@@ -452,7 +454,6 @@ def edge_rules_frame(spark):
 def q_rule_decode(spark, sf):
     """M6: decoded rules (kind, length, digits, symbol, defaults, rule error)
     with each rule's violation count over part, in one pass."""
-    from veritab.functions.rules import collect_rules, decode_rules
 
     decoded = decode_rules(edge_rules_frame(spark))
     rules = collect_rules(decoded)
@@ -465,7 +466,6 @@ def q_rule_decode(spark, sf):
 def q_metadata_fk(spark, sf):
     """M7: declared NOT NULL, UNIQUE and FOREIGN KEY constraints of the
     benchmark schema, checked over whole tables."""
-    from veritab.operators.metadata import Constraint as K, constraint_violations
 
     frames = {t: _read(spark, sf, t) for t in (
         "region", "nation", "supplier", "customer", "part", "orders", "lineitem", "documents", "labels")}
@@ -510,7 +510,6 @@ ARITY_EXPECTED = {
 
 
 def _expected_frame(spark, expected):
-    from veritab.schemas import SEMANTIC_LAYER
 
     rows = [(t, i, n, None, False, "STRING", "255", True, None, None, None, None)
             for t, names in expected.items() for i, n in enumerate(names, 1)]
@@ -520,8 +519,6 @@ def _expected_frame(spark, expected):
 def q_header_mismatch(spark, sf):
     """H1: positions whose actual name differs from the expected one (exact,
     case-sensitive, missing on either side), with the table's row count."""
-    from veritab.operators.header import actual_columns, header_mismatches
-    from veritab.sources.readers import row_count
 
     frames = {t: _read(spark, sf, t) for t in HEADER_EXPECTED}
     mism = header_mismatches(_expected_frame(spark, HEADER_EXPECTED), actual_columns(spark, frames))
@@ -532,15 +529,12 @@ def q_header_mismatch(spark, sf):
 
 def q_header_rename(spark, sf):
     """H2: a table without a header takes its names by position."""
-    from veritab.operators.header import rename_by_position
 
     return rename_by_position(_read(spark, sf, "supplier"), ARITY_EXPECTED["supplier"])
 
 
 def q_header_arity(spark, sf):
     """H3: expected vs actual column count before renaming, with row count."""
-    from veritab.operators.header import arity_matches
-    from veritab.sources.readers import row_count
 
     frames = []
     for t, names in ARITY_EXPECTED.items():
@@ -560,8 +554,6 @@ RUN_TS = "2025-01-01 00:00:00"
 
 
 def run_verdict_frame(spark, sf, fail_fast: bool = False):
-    from veritab import benchmark_catalog as C
-    from veritab.plans.staged_run import run_verdicts, specs_from_metadata
 
     views = C.views(spark, sf)
     specs = specs_from_metadata(C.catalog_frame(spark), C.rules_frame(spark),
@@ -576,7 +568,6 @@ def q_stage_verdicts(spark, sf):
 
 def q_table_verdict(spark, sf):
     """O1: first failed stage, final flag and row count per table."""
-    from veritab.plans import logs
 
     return logs.table_status(run_verdict_frame(spark, sf)).select(
         "table_id", "table_name", "failed_stage", "flag", "stages_passed", "row_count")
@@ -584,42 +575,36 @@ def q_table_verdict(spark, sf):
 
 def q_progress_summary(spark, sf):
     """O2: stages passed per table."""
-    from veritab.plans import logs
 
     return logs.progress(run_verdict_frame(spark, sf))
 
 
 def q_trigger_rows(spark, sf):
     """L1: status rows of the run."""
-    from veritab.plans import logs
 
     return logs.trigger_rows(run_verdict_frame(spark, sf), RUN_TS)
 
 
 def q_validation_log_rows(spark, sf):
     """L2: error rows of the run."""
-    from veritab.plans import logs
 
     return logs.validation_logs(run_verdict_frame(spark, sf), RUN_TS)
 
 
 def q_latest_trigger(spark, sf):
     """L3: newest status row per table."""
-    from veritab.plans import logs
 
     return logs.latest_trigger(logs.trigger_rows(run_verdict_frame(spark, sf), RUN_TS))
 
 
 def q_flag_assign(spark, sf):
     """L4: flag written by each stage of each table."""
-    from veritab.plans import logs
 
     return logs.stage_flags(run_verdict_frame(spark, sf))
 
 
 def q_stage_error_summary(spark, sf):
     """Failing stages with combined message, fields and incidences."""
-    from veritab.plans import logs
 
     return logs.stage_summary(run_verdict_frame(spark, sf)).where(~F.col("passed")).select(
         "table_id", "table_name", "stage", "type_validation", "validation_msg", "field_name",
