@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
@@ -76,12 +77,10 @@ def validate_header(load: Callable[[], DataFrame], has_header: bool,
     try:
         df = load()
         columns = df.columns  # resolves the schema: a missing table fails here
-    except (AnalysisException, FileNotFoundError, OSError) as exc:
+    except (AnalysisException, PySparkException, Py4JJavaError, FileNotFoundError, OSError):
+        # Spark errors (missing path, unreadable format, JDBC failure) and JVM
+        # errors surfacing through Py4J; programming errors propagate
         return HeaderResult(None, False, "read", "table could not be read")
-    except Exception as exc:  # JVM-side errors surface as Py4J errors
-        if type(exc).__name__ in ("Py4JJavaError", "IllegalArgumentException", "SparkRuntimeException"):
-            return HeaderResult(None, False, "read", "table could not be read")
-        raise
     if has_header:
         if header_matches(columns, expected_names):
             return HeaderResult(df, True, "header", None, df)
