@@ -339,7 +339,8 @@ def run_verdicts(spark: SparkSession, specs: Sequence[TableSpec],
     base = os.path.join(ensure_checkpoint_dir(spark), "verdicts", run_id or uuid.uuid4().hex)
     for i in range(0, len(frames), tables_per_job):
         chunk = union_all(frames[i:i + tables_per_job])
-        # overwrite: a retried chunk replaces its own output
+        # overwrite: a retried chunk replaces its own output; every branch ends in
+        # a global aggregate behind an exchange, so one task only gathers verdict rows
         chunk.coalesce(1).write.mode("overwrite").parquet(os.path.join(base, f"chunk={i // tables_per_job}"))
     return spark.read.parquet(base).select(*VERDICT_COLUMNS)
 
@@ -402,7 +403,9 @@ def validate_and_log(spark: SparkSession, specs: Sequence[TableSpec],
                             tables_per_job=tables_per_job, run_id=run_id)
     if not tables_per_job or fail_fast:
         path = os.path.join(ensure_checkpoint_dir(spark), "verdicts", run_id, "all")
-        verdicts.write.mode("overwrite").parquet(path)
+        # every branch ends in a global aggregate behind an exchange, so one
+        # task only gathers the final verdict rows (one file, not one per check)
+        verdicts.coalesce(1).write.mode("overwrite").parquet(path)
         verdicts = spark.read.parquet(path).select(*VERDICT_COLUMNS)
     try:
         id_base = spark.read.parquet(trigger_path).agg(F.max("id_trigger")).first()[0] or 0
