@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from veritab.operators import header as H
 from veritab.operators import metadata as M

@@ -4,7 +4,6 @@ import contextlib
 import io
 
 from veritab import queries as Q
-from veritab.functions.rules import make_rule
 from veritab.operators import functional as FN
 from veritab.operators import references as R
 from veritab.operators import technical as T

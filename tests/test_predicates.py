@@ -1,6 +1,5 @@
 """T1-T6 predicates and rule decoding, edge cases E1-E9."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from veritab.functions.predicates import decimal_regex, violation_predicate
