@@ -4,8 +4,11 @@ production parameters, to its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from veritab.llm import packing, token_output
+from veritab.llm import (
+    decontamination, line_dedup, packing, quality_rules, simhash, token_output, url_reputation,
+)
 
 
 def vocabulary() -> str:
@@ -23,10 +26,42 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents"))
+
+
+def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """``url``, ``good`` of the pages whose document is labelled: a page's path
+    ends in the number of the document it shows."""
+    number = F.regexp_extract(url_reputation.path_of(F.col("url")), r"/(\d{1,18})(?:\.html|/)?\z", 1)
+    shown = pages.select("url", F.nullif(number, F.lit("")).cast("bigint").alias("doc_id"))
+    good = labels.groupBy("doc_id").agg((F.min("quality") * (1 - F.max("toxic"))).cast("int").alias("good"))
+    return shown.join(good, "doc_id").select("url", "good")
+
+
+def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return url_reputation.judge(pages, page_outcomes(pages, _table(spark, sf_dir, "labels")))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, counts=("n_lines", "n_deleted"))
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.round_trip(_table(spark, sf_dir, "documents"), vocabulary())
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_best_fit_packing, op10_token_output,
+    op2_best_fit_packing, op4_decontamination, op5_simhash, op6_quality_rules, op7_url_reputation,
+    op8_line_dedup, op10_token_output,
 )}

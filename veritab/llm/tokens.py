@@ -104,7 +104,7 @@ def make_encoder(path: str) -> tuple[Callable[[str], bytes], bool, str | None]:
 class BatchEncoder:
     """Encodes an Arrow array of texts at once.
 
-    Arrow splits the texts at ASCII white space and numbers the distinct
+    Arrow splits the texts at spaces and line feeds and numbers the distinct
     chunks of the batch; only those pass through Python, and numpy gathers
     their ids back into text order.
     """
@@ -115,7 +115,8 @@ class BatchEncoder:
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, each with the end id; where
         each text starts, with the total as last entry)."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        # a copy: Arrow's ascii_lower misreads a slice that starts inside its buffer
+        texts = pc.fill_null(texts.take(pa.array(np.arange(len(texts)))).cast(pa.large_string()), "")
         if not self.split:
             ids = [np.frombuffer(self.encode(t), "<u4") for t in texts.to_pylist()]
             ids = [np.append(x, np.uint32(END_ID)) for x in ids]
@@ -123,7 +124,8 @@ class BatchEncoder:
                     np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)]))
         if not (self.mark and pc.any(pc.match_substring(texts, self.mark)).as_py()):
             texts = pc.ascii_lower(texts)  # the vocabulary does so too: fewer distinct chunks
-        lists = pc.ascii_split_whitespace(texts)
+        # other white space stays inside a chunk; the encoder skips it there
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         chunks = pc.list_flatten(lists).dictionary_encode()
         per_text = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         encoded = [self.encode(c) for c in chunks.dictionary.to_pylist()]
