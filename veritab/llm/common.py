@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,5 +56,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, max_rows: int,
     order = F.xxhash64(F.lit("train"), F.col("_id"))
     ids = [usable.where(F.col("label") == k).orderBy(order, "_id").limit(max_rows) for k in (0, 1)]
     picked = F.broadcast(ids[0].unionByName(ids[1]))  # at most 2 * max_rows ids
-    return (docs.join(picked, docs[id_col] == picked["_id"])
-            .select(text_or_empty(text_col).alias("text"), "label"))
+    texts = docs.select(F.col(id_col).alias("_doc"), text_or_empty(text_col).alias("text"))
+    return texts.join(picked, F.col("_doc") == F.col("_id")).select("text", "label")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row.
+
+    An array that a lambda reads for each of its items must be bound first: the
+    optimizer may put the array's own expression in place of a column (also
+    when a later filter moves below a projection), and it would then be built
+    anew for every item.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

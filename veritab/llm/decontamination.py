@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritab.llm.common import written
+from veritab.llm.common import let, written
 
 #: consecutive words of a window, and words of a fingerprinted gram
 WINDOW, GRAM = 10, 5
@@ -36,6 +36,8 @@ WINDOW, GRAM = 10, 5
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: rows of at most 32 bytes that may be broadcast; more are shuffled
 BROADCAST_ROWS = 500_000
+#: bytes of text that may be broadcast
+BROADCAST_BYTES = 32 << 20
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -47,41 +49,53 @@ def words_of(text: Column) -> Column:
 
 
 def gram_hashes(hashes: Column, n: int) -> Column:
-    """Hash of every ``n`` consecutive word hashes."""
+    """Hash of every ``n`` consecutive word hashes (a bound array)."""
     starts = F.sequence(F.lit(0), F.size(hashes) - n)
     return F.when(F.size(hashes) >= n, F.transform(
-        starts, lambda i: F.xxhash64(*[F.get(hashes, i + j) for j in range(n)]))).otherwise(F.array().cast("array<bigint>"))
+        starts, lambda i: F.xxhash64(*[F.get(hashes, i + j) for j in range(n)]))).otherwise(_no_hashes())
 
 
-def minima(grams: Column, width: int) -> Column:
-    """Smallest of every ``width`` consecutive hashes."""
-    starts = F.sequence(F.lit(1), F.size(grams) - width + 1)
-    return F.when(F.size(grams) >= width, F.transform(
-        starts, lambda i: F.array_min(F.slice(grams, i, F.lit(width))))).otherwise(F.array().cast("array<bigint>"))
+def minima(hashes: Column, width: int) -> Column:
+    """Smallest of every ``width`` consecutive gram hashes of a bound array."""
+    def of(grams: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(grams) - width + 1)
+        return F.when(F.size(grams) >= width, F.transform(
+            starts, lambda i: F.array_min(F.slice(grams, i, F.lit(width))))).otherwise(_no_hashes())
 
+    return let(gram_hashes(hashes, GRAM), of)
 
-def fingerprints(df: DataFrame, hashes: str, short: list[int]) -> Column:
-    """Distinct fingerprints of the word hashes in column ``hashes``."""
-    width = WINDOW - GRAM + 1
-    kept = [minima(F.col("_grams"), width)] + [gram_hashes(F.col(hashes), n) for n in short]
+
+def fingerprints(hashes: Column, short: list[int]) -> Column:
+    """Distinct fingerprints of a bound array of word hashes."""
+    kept = [minima(hashes, WINDOW - GRAM + 1)] + [gram_hashes(hashes, n) for n in short]
     return F.array_distinct(F.concat(*kept) if len(kept) > 1 else kept[0])
 
 
+def _no_hashes() -> Column:
+    return F.array().cast("array<bigint>")
+
+
+def _hashes_of(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
 def _windows(words: Column, lengths: list[int]) -> Column:
     """(start, length, text) of every run of one of ``lengths`` words."""
-    def runs(n: int) -> Column:
+    def runs(words: Column, n: int) -> Column:
         starts = F.sequence(F.lit(0), F.size(words) - n)
         return F.when(F.size(words) >= n, F.transform(starts, lambda i: F.struct(
             i.alias("start"), F.lit(n).alias("length"),
             F.array_join(F.slice(words, i + 1, F.lit(n)), " ").alias("words")))).otherwise(
             F.array().cast("array<struct<start:int,length:int,words:string>>"))
 
-    return reduce(F.concat, [runs(n) for n in lengths])
+    return let(words, lambda bound: reduce(F.concat, [runs(bound, n) for n in lengths]))
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    """A written table, marked for broadcast if it is small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _bounded(df: DataFrame, text: str | None = None) -> DataFrame:
+    """A written table, marked for broadcast if its rows (and the bytes of a text column) are few."""
+    size = df.agg(F.count(F.lit(1)).alias("rows"),
+                  (F.sum(F.octet_length(text)) if text else F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES else df
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -95,12 +109,10 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                    .select(F.size("words")).distinct().collect())  # at most WINDOW - 1 lengths
     lengths = [WINDOW, *short]
 
-    item_hashes = F.transform("words", lambda w: F.xxhash64(w))
     wanted = _bounded(written(
-        item_words.select(item_hashes.alias("_hashes"))
-        .withColumn("_grams", gram_hashes(F.col("_hashes"), GRAM))
-        .select(F.explode(F.when(F.size("_hashes") >= WINDOW, fingerprints(items, "_hashes", []))
-                          .otherwise(_whole(F.col("_hashes"), short))).alias("fingerprint")).distinct(), "item_prints"))
+        item_words.select(F.explode(let(_hashes_of(F.col("words")), lambda hashes: F.when(
+            F.size(hashes) >= WINDOW, fingerprints(hashes, [])).otherwise(_whole(hashes, short)))).alias("fingerprint"))
+        .distinct(), "item_prints"))
     item_windows = written(
         item_words.select("item", F.explode(_windows(F.col("words"), lengths)).alias("w"), F.size("words").alias("n"))
         .where(F.col("w.length") == F.least(F.col("n"), F.lit(WINDOW)))
@@ -108,12 +120,10 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     text_hash = F.xxhash64(F.coalesce(F.col("_text").cast("string"), F.lit("")))
-    base = written(
-        rows.select("doc_id", text_hash.alias("text_hash"),
-                    F.transform(words_of(F.col("_text")), lambda w: F.xxhash64(w)).alias("_hashes"))
-        .withColumn("_grams", gram_hashes(F.col("_hashes"), GRAM))
-        .select("doc_id", "text_hash", F.size("_hashes").cast("bigint").alias("n_words"),
-                fingerprints(rows, "_hashes", short).alias("prints")), "doc_prints", codec="lz4")
+    summary = let(_hashes_of(words_of(F.col("_text"))), lambda hashes: F.struct(
+        F.size(hashes).cast("bigint").alias("n_words"), fingerprints(hashes, short).alias("prints")))
+    base = written(rows.select("doc_id", text_hash.alias("text_hash"), summary.alias("s"))
+                   .select("doc_id", "text_hash", "s.n_words", "s.prints"), "doc_prints", codec="lz4")
 
     found = _bounded(written(
         base.select("doc_id", "text_hash", F.explode("prints").alias("fingerprint"))
@@ -124,7 +134,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     spans = (again.select("doc_id", "text_hash", F.explode(_windows(words_of(F.col("_text")), lengths)).alias("w"))
              .select("doc_id", "text_hash", "w.start", "w.length", "w.words"))
     known = item_windows.select("words").distinct()
-    hits = written(spans.join(_bounded(known), "words").distinct(), "hits")
+    hits = written(spans.join(_bounded(known, "words"), "words").distinct(), "hits")
 
     row = Window.partitionBy("doc_id", "text_hash").orderBy("start", "length")
     end = F.col("start") + F.col("length")
@@ -155,3 +165,13 @@ def report(docs: DataFrame, items: DataFrame, **columns: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      **columns: str) -> DataFrame:
+    """The rows of ``docs`` without a hit word, with all their columns."""
+    hit = written(contamination(docs, items, id_col, text_col, **columns).where(F.col("n_hit") > 0)
+                  .select("doc_id", "text_hash").distinct(), "contaminated")
+    hashed = F.xxhash64(F.coalesce(F.col(f"d.`{text_col}`").cast("string"), F.lit("")))
+    return docs.alias("d").join(_bounded(hit).alias("x"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("x.doc_id"))
+                                & (hashed == F.col("x.text_hash")), "left_anti")

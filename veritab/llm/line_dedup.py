@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import written
+from veritab.llm.common import let, written
 
 #: words of a run that is long enough to go
 RUN_WORDS = 50
@@ -60,40 +60,46 @@ def _units(text: Column) -> Column:
 
 def windows(docs: DataFrame, run_words: int, id_col: str, text_col: str) -> DataFrame:
     """Every shortest window: document, its lines' places, fingerprint, identity."""
-    rows = docs.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"),
-        _units(F.col(text_col).cast("string")).alias("units"))
-    arrays = rows.select("id", "text_hash", F.col("units.line").alias("lines"), F.col("units.hash").alias("hashes"),
-                         F.col("units.words").alias("words"))
-    size = F.size("words")
+    text = F.col(text_col).cast("string")
+    found = let(_units(text), lambda units: let(
+        F.struct(units["line"].alias("lines"), units["hash"].alias("hashes"), units["words"].alias("words")),
+        lambda u: _windows(u["lines"], u["hashes"], u["words"], run_words)))
+    return (docs.where(F.col(text_col).isNotNull())
+            .select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), F.explode(found).alias("w"))
+            .select("id", "text_hash", "w.*"))
 
+
+def _windows(lines: Column, hashes: Column, words: Column, run_words: int) -> Column:
+    """All shortest windows of one document, from the bound arrays of its lines."""
     def window(first: Column, n: Column, wanted: Column) -> Column:
-        run = F.slice("hashes", first + 1, n)
-        low = F.array_min(run)
-        return F.when(wanted & (n > 0), F.struct(
-            first.alias("first"), (first + n - 1).alias("last"), low.alias("fingerprint"),
-            (first + F.array_position(run, low) - 1).cast("int").alias("at"),
-            F.xxhash64(run, n).alias("identity")))
+        def of(run: Column) -> Column:
+            return let(F.array_min(run), lambda low: F.struct(
+                first.alias("first"), (first + n - 1).alias("last"), low.alias("fingerprint"),
+                (first + F.array_position(run, low) - 1).cast("int").alias("at"),
+                F.xxhash64(run, n).alias("identity"), F.slice(lines, first + 1, n).alias("lines")))
+
+        return F.when(wanted & (n > 0), let(F.slice(hashes, first + 1, n), of))
 
     # a window has run_words lines at most, since every line has a word
     def ending(j: Column) -> Column:
         low = F.greatest(F.lit(0), j - run_words + 1)
-        n = _reach(F.reverse(F.slice("words", low + 1, j - low + 1)), run_words)
-        return window(j - n + 1, n, F.lit(True))
+        reach = _reach(F.reverse(F.slice(words, low + 1, j - low + 1)), run_words)
+        return let(reach, lambda n: window(j - n + 1, n, F.lit(True)))
 
     def starting(i: Column) -> Column:
-        ahead = F.slice("words", i + 1, F.lit(run_words))
-        n = _reach(ahead, run_words)
-        # one that stays long enough without its first line also ends somewhere as a longer one; skip equals
-        shortest = F.aggregate(F.slice(ahead, F.lit(2), F.greatest(n - 1, F.lit(0))), F.lit(0).cast("bigint"),
-                               lambda a, x: (a + x).cast("bigint")) < run_words
-        return window(i, n, ~shortest)
+        ahead = F.slice(words, i + 1, F.lit(run_words))
+
+        def of(n: Column) -> Column:
+            # one that is too short without its first line is also the shortest that ends where it ends
+            rest = F.aggregate(F.slice(ahead, F.lit(2), F.greatest(n - 1, F.lit(0))), F.lit(0).cast("bigint"),
+                               lambda a, x: (a + x).cast("bigint"))
+            return window(i, n, rest >= run_words)
 
-    places = F.sequence(F.lit(0), size - 1)
-    found = F.when(size > 0, F.concat(F.transform(places, ending), F.transform(places, starting)))
-    return (arrays.select("id", "text_hash", "lines", F.explode(F.filter(found, lambda w: w.isNotNull())).alias("w"))
-            .select("id", "text_hash", "w.*", F.slice("lines", F.col("w.first") + 1,
-                                                      F.col("w.last") - F.col("w.first") + 1).alias("lines")))
+        return let(_reach(ahead, run_words), of)
+
+    places = F.sequence(F.lit(0), F.size(words) - 1)
+    found = F.when(F.size(words) > 0, F.concat(F.transform(places, ending), F.transform(places, starting)))
+    return F.filter(found, lambda w: w.isNotNull())
 
 
 def repeated_lines(docs: DataFrame, run_words: int = RUN_WORDS, id_col: str = "doc_id",
@@ -126,17 +132,16 @@ def dedup_lines(docs: DataFrame, run_words: int = RUN_WORDS, id_col: str = "doc_
         F.col(f"d.`{id_col}`").eqNullSafe(F.col("x.id"))
         & (F.xxhash64(F.col(f"d.`{text_col}`").cast("string")) == F.col("x.text_hash"))
         & F.col(f"d.`{text_col}`").isNotNull(), "left")
-    lines = F.split(F.col(f"d.`{text_col}`").cast("string"), "\n")
-    # the split stands in a column of its own, so that it is made once per text and not once per line
-    staged = joined.select("d.*", F.when(F.col("x.gone").isNotNull(), lines).alias("_lines"),
-                           F.col("x.gone").alias("_gone"))
-    kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone")))
-    shorter = F.when(F.col("_gone").isNull(), F.col(f"`{text_col}`")).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.get(F.col("_lines"), i)), "\n"))
-    out = [shorter.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    whole, gone = F.col(f"d.`{text_col}`").cast("string"), F.col("x.gone")
+
+    def rebuilt(lines: Column) -> Column:
+        kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone))
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    shorter = F.when(gone.isNull(), whole).otherwise(let(F.split(whole, "\n"), rebuilt))
+    out = [shorter.alias(c) if c == text_col else F.col(f"d.`{c}`") for c in docs.columns]
     if counts:
-        n = F.when(F.col(f"`{text_col}`").isNull(), 0).otherwise(
-            F.regexp_count(F.col(f"`{text_col}`"), F.lit("\n")) + 1)
+        n = F.when(whole.isNull(), 0).otherwise(F.regexp_count(whole, F.lit("\n")) + 1)
         out += [n.cast("bigint").alias(counts[0]),
-                F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias(counts[1])]
-    return staged.select(*out)
+                F.coalesce(F.size(gone), F.lit(0)).cast("bigint").alias(counts[1])]
+    return joined.select(*out)

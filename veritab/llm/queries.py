@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritab.llm import (
-    decontamination, line_dedup, packing, quality_rules, simhash, token_output, url_reputation,
+    compression_quality, decontamination, html_text, line_dedup, packing, quality_rules, simhash, token_output, toxicity,
+    url_reputation,
 )
 
 
@@ -22,10 +23,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op3_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -57,11 +66,15 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs, counts=("n_lines", "n_deleted"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.round_trip(_table(spark, sf_dir, "documents"), vocabulary())
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_best_fit_packing, op4_decontamination, op5_simhash, op6_quality_rules, op7_url_reputation,
-    op8_line_dedup, op10_token_output,
+    op1_toxicity, op2_best_fit_packing, op3_compression_quality, op4_decontamination, op5_simhash, op6_quality_rules,
+    op7_url_reputation, op8_line_dedup, op9_html_text, op10_token_output,
 )}

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import written
+from veritab.llm.common import text_or_empty, written
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -43,6 +43,8 @@ MAX_BITS = 4
 BUCKET_LIMIT = 20_000
 #: groups up to this size are verified many at a time
 SMALL_GROUP = 64
+#: rows of 16 bytes that may be broadcast; more are shuffled
+BROADCAST_ROWS = 500_000
 #: relative cost of moving a probe and of verifying a candidate
 PROBE_COST, VERIFY_COST = 1.0, 0.02
 
@@ -74,15 +76,17 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``fp`` (the fingerprint as a signed bigint) of every row."""
+    """``doc_id``, ``text_hash``, ``fp`` (the fingerprint as a signed bigint) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t.as_py() or "", words) for t in batch.column(1)]
             fp = np.array(found, dtype=np.uint64).view(np.int64)
-            yield pa.record_batch([batch.column(0), pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(fp)], names=["doc_id", "text_hash", "fp"])
 
-    return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id bigint, fp bigint"))
+    text = text_or_empty(text_col)
+    return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"),
+                        F.xxhash64(text).alias("text_hash"))
+            .mapInArrow(run, "doc_id bigint, text_hash bigint, fp bigint"))
 
 
 # -- parts and thresholds --------------------------------------------------
@@ -367,15 +371,36 @@ def components(edges: DataFrame) -> DataFrame:
         label = new.select("fp", "root")
 
 
-def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` (smallest
-    id reachable) of every row."""
+def _grouped(docs: DataFrame, words: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``fp``, ``component_id``, ``root`` of every row."""
     rows = written(fingerprints(docs, words, id_col, text_col), "fingerprints")
     vertices = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "vertices")
     roots = components(links(vertices, max_bits))
     of_vertex = vertices.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     names = of_vertex.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = of_vertex.join(names, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(
+    return rows.join(of_vertex.join(names, "root").select("fp", "component_id", "root"), "fp")
+
+
+def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` (smallest
+    id reachable) of every row."""
+    return _grouped(docs, words, max_bits, id_col, text_col).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each_group(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without later members of a group: the smallest id
+    stays (then the smallest text hash; of fully equal rows, one)."""
+    rows = written(_grouped(docs, words, max_bits, id_col, text_col).select("doc_id", "text_hash", "root"), "grouped")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    best = rows.groupBy("root").agg(F.min(place).alias("best"))
+    out = written(rows.join(best, "root").where(~place.eqNullSafe(F.col("best")))
+                  .select("doc_id", "text_hash").distinct(), "later_members")
+    later = F.broadcast(out) if out.count() <= BROADCAST_ROWS else out
+    hashed = F.xxhash64(F.coalesce(F.col(f"d.`{text_col}`").cast("string"), F.lit("")))
+    kept = docs.alias("d").join(later.alias("x"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("x.doc_id"))
+                                & (hashed == F.col("x.text_hash")), "left_anti")
+    twice = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return kept if twice.isEmpty() else kept.dropDuplicates([id_col, text_col])
