@@ -20,21 +20,25 @@ def test_one_pass_aggregate_no_join_pruned_scan(spark, sf):
     p = plan(Q.q_column_violation_counts(spark, sf))
     assert "Join" not in p
     assert p.count("HashAggregate(") == 2                 # one partial + final aggregate for all rules
-    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int," in p
+    assert "ReadSchema: struct<l_partkey:bigint,l_linenumber:int," in p
     assert "l_quantity" not in p.split("ReadSchema")[1]    # untested columns are not read
 
 
-def test_reference_broadcast_only_when_bounded(spark):
+def test_reference_rows_are_found_through_distinct_missing_values(spark, monkeypatch):
     df = spark.range(1000).selectExpr("id % 7 AS k")
     ref = spark.range(5).selectExpr("id AS k")
     small = plan(R.reference_violations(df, "k", ref, "k"))
-    assert "BroadcastHashJoin" in small and "LeftAnti" in small
+    assert "BroadcastHashJoin" in small and "LeftSemi" in small
+    assert "hashpartitioning" not in small and "SinglePartition" not in small  # tested rows stay where they are
+    monkeypatch.setattr(R, "BROADCAST_VALUES", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        big = plan(R.reference_violations(df, "k", ref, "k", max_broadcast_rows=0))
+        big = plan(R.reference_violations(df, "k", ref, "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" not in big and "LeftAnti" in big
+    assert "BroadcastHashJoin" not in big and "LeftSemi" in big
+    count = plan(R.reference_violation_count(df, "k", ref, "k"))
+    assert count.count("partial_count(1)") == 1 and "LeftAnti" in count  # values are counted before they move
 
 
 def test_grouped_checks_combine_before_shuffle(spark, sf):

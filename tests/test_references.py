@@ -12,13 +12,13 @@ def frames(spark):
     return df, ref
 
 
-@pytest.mark.parametrize("bound", [1_000_000, 0])
-def test_violations_broadcast_and_shuffle_agree(spark, frames, bound):
+@pytest.mark.parametrize("rows", [500_000, 0])
+def test_violations_broadcast_and_shuffle_agree(spark, frames, monkeypatch, rows):
+    monkeypatch.setattr(R, "BROADCAST_VALUES", rows)
     df, ref = frames
-    rows = R.reference_violations(df, "code", ref, "template_code", max_broadcast_rows=bound).collect()
-    assert sorted(r["id"] for r in rows) == [3, 5]          # null value passes
-    cnt = R.reference_violation_count(df, "code", ref, "template_code", max_broadcast_rows=bound).first()
-    assert cnt["violations"] == 2
+    found = R.reference_violations(df, "code", ref, "template_code").collect()
+    assert sorted(r["id"] for r in found) == [3, 5]          # null value passes
+    assert R.reference_violation_count(df, "code", ref, "template_code").first()["violations"] == 2
 
 
 def test_null_in_allowed_list_is_ignored(spark, frames):
@@ -33,6 +33,22 @@ def test_reference_side_cast_to_tested_type(spark):
     assert R.reference_violation_count(df, "k", ref, "k").first()["violations"] == 1
 
 
+@pytest.mark.parametrize("tested, kind, allowed, ref_kind, violations", [
+    ([1, 2], "int", ["1.9", "2.0"], "decimal(3,1)", 1),          # 1 is not 1.9, 2 is 2.0
+    (["1.23"], "decimal(5,2)", ["1.2345"], "decimal(6,4)", 1),
+    (["1.20"], "decimal(5,2)", ["1.2000"], "decimal(6,4)", 0),
+    ([1, 9], "int", ["1", "x", "1.9"], "string", 1),             # an allowed text that is no number stays
+    (["x", "1"], "string", [1, 2], "int", 1),
+    ([9007199254740993], "bigint", [9007199254740992.0], "double", 1),
+    ([1.5, 2.0], "double", [2], "int", 1),
+])
+def test_comparison_loses_nothing(spark, tested, kind, allowed, ref_kind, violations):
+    df = spark.createDataFrame([(str(x),) for x in tested], "k string").selectExpr(f"cast(k as {kind}) k")
+    ref = spark.createDataFrame([(str(x),) for x in allowed], "k string").selectExpr(f"cast(k as {ref_kind}) k")
+    assert R.reference_violation_count(df, "k", ref, "k").first()["violations"] == violations
+    assert R.reference_violations(df, "k", ref, "k").count() == violations
+
+
 def test_failing_columns_summary(spark):
     per = spark.createDataFrame(
         [("t", 3, "c3", 5), ("t", 1, "c1", 2), ("t", 2, "c2", 0), ("u", 1, "x", 0)],

@@ -161,31 +161,66 @@ def test_fail_fast_gives_same_flags(spark, run):
     assert ("00008", 4) not in stages
 
 
-def test_chunked_run_matches(spark, run):
+def test_tables_at_once_does_not_matter(spark, run):
     fx, verdicts, specs, refs = run
     chosen = [sp for sp in specs if sp.table_id in ("00001", "00002", "00016", "00019")]
-    chunked = run_verdicts(spark, chosen, refs, tables_per_job=2)
-    whole = run_verdicts(spark, chosen, refs)
-    key = lambda r: (r["table_id"], r["stage"], r["check_no"], r["rule"])
-    assert sorted(map(tuple, chunked.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    one = run_verdicts(spark, chosen, refs, tables_at_once=1)
+    many = run_verdicts(spark, chosen, refs, tables_at_once=4)
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
 
 
-def test_fail_fast_reports_corrupt_file_as_unreadable(spark, tmp_path):
-    # the schema resolves (explicit schema) but the scan fails: flag 30, the run goes on
+@pytest.mark.parametrize("fail_fast", [False, True])
+def test_read_failures_stay_with_their_table(spark, tmp_path, fail_fast):
     from veritab.functions.rules import make_rule
     from veritab.plans.staged_run import TableSpec
+    from veritab.sources import read_table
 
+    # the schema resolves (explicit schema) but the scan fails
     bad = tmp_path / "corrupt.parquet"
     bad.write_bytes(b"PAR1 this is not parquet PAR1")
+    corrupt = spark.read.schema("a string").parquet(str(bad))
     good = spark.createDataFrame([("1",)], "a string")
+    rules = [make_rule("a", "INT", 3, position=1)]
+    to_corrupt = [make_rule("a", "INT", 3, position=1, reference="broken.a")]
+    to_good = [make_rule("a", "INT", 3, position=1, reference="good.a")]
     specs = [
-        TableSpec("t1", "corrupt", True, lambda: spark.read.schema("a string").parquet(str(bad)),
-                  [make_rule("a", "INT", 3, position=1)]),
-        TableSpec("t2", "fine", True, lambda: good, [make_rule("a", "INT", 3, position=1)]),
+        TableSpec("t1", "corrupt", True, lambda: corrupt, rules),
+        TableSpec("t2", "fine", True, lambda: good, rules),
+        TableSpec("t3", "odd_format", True, lambda: read_table(spark, "x", "xlsx"), rules),
+        TableSpec("t4", "bad_reference", True, lambda: good, to_corrupt),
+        TableSpec("t5", "lost", True, lambda: spark.read.parquet(str(tmp_path / "nowhere")), rules),
+        TableSpec("t6", "fine_too", True, lambda: good, to_good),
     ]
-    v = run_verdicts(spark, specs, lambda name: None, fail_fast=True)
+    v = run_verdicts(spark, specs, {"broken": corrupt, "good": good}.get, fail_fast=fail_fast)
     flags = {r["table_id"]: r["flag"] for r in logs.table_status(v).collect()}
-    assert flags == {"t1": 30.0, "t2": 2.0}
+    assert flags == {"t1": 30.0, "t2": 2.0, "t3": 30.0, "t4": 33.0, "t5": 30.0, "t6": 2.0}
+    assigned = {}
+    for r in logs.stage_flags(v).orderBy("stage").collect():
+        assigned.setdefault(r["table_id"], []).append(r["flag"])
+    assert assigned["t1"] == [30.0] and assigned["t2"] == [1.2, 1.2, 1.4]
+    assert assigned["t4"] == [1.2, 1.2, 33.0] and assigned["t6"] == [1.2, 1.2, 1.3, 1.4]
+
+
+def test_errors_of_the_caller_are_not_read_failures(spark):
+    from veritab.functions.rules import make_rule
+    from veritab.plans.staged_run import TableSpec
+
+    def broken_loader():
+        raise TypeError("a bug in the loader")
+
+    with pytest.raises(TypeError):
+        run_verdicts(spark, [TableSpec("t1", "t", True, broken_loader, [make_rule("a", "INT", 3)])], lambda name: None)
+
+
+def test_no_flag_after_the_stop(run):
+    fx, verdicts, _, _ = run
+    flags = {}
+    for r in logs.stage_flags(verdicts).orderBy("stage").collect():
+        flags.setdefault(r["table_id"], []).append(r["flag"])
+    assert flags["00001"] == [1.2, 1.2, 1.3, 1.4]
+    assert flags["00002"] == [1.2, 32.0]
+    assert flags["00008"] == [1.2, 1.2, 33.0]
+    assert flags["00019"] == [30.0]
 
 
 def test_missing_columns_and_reference_fail_the_rule_only(spark):
@@ -217,8 +252,11 @@ def test_validate_and_log_appends_both_logs(spark, run, tmp_path):
     validate_and_log(spark, chosen, refs, trig, log, "2025-01-02 00:00:00")       # second run appends
     ids = [r[0] for r in spark.read.parquet(trig).select("id_trigger").collect()]
     assert len(ids) == 20 and len(set(ids)) == 20                                # ids never collide
+    # a repeated run replaces its own rows
+    for _ in range(2):
+        validate_and_log(spark, chosen, refs, trig, log, "2025-01-03 00:00:00", run_id="third")
+    assert spark.read.parquet(trig).count() == 30 and spark.read.parquet(log).count() == 6
     errors = spark.read.parquet(log)
-    assert errors.count() == 4
     # every error row points at an existing status row
     assert errors.join(spark.read.parquet(trig), "id_trigger", "left_anti").count() == 0
 
@@ -299,5 +337,5 @@ def test_functional_fixtures_match_derived_outcomes(spark, tmp_path):
     v = run_verdicts(spark, specs, lambda name: None)
     got = {r["file_name"]: (r["incidences"], r["flag"], r["field_name"])
            for r in logs.validation_logs(v, "2025-01-01 00:00:00").collect()}
-    assert got["t00017"] == (4, 34.0, "column_x, data_name, excel_cell, sheet, template_code")
-    assert got["t00018"] == (2, 34.0, "data_name, excel_cell, sheet, template_code")
+    assert got["t00017"] == (4, 34.0, "template_code, sheet, data_name, column_x, excel_cell")
+    assert got["t00018"] == (2, 34.0, "template_code, sheet, data_name, excel_cell")

@@ -15,7 +15,7 @@ import argparse
 import sys
 
 from veritab.functions import constants as K
-from veritab.plans.staged_run import FunctionalSpec, specs_from_metadata, validate_and_log
+from veritab.plans.staged_run import TABLES_AT_ONCE, FunctionalSpec, specs_from_metadata, validate_and_log
 from veritab.schemas import FILE_CONFIGURATION, SEMANTIC_LAYER
 from veritab.session import get_session
 from veritab.sources.readers import read_table
@@ -48,7 +48,11 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--template-rules", action="store_true",
                     help="apply the template table's functional rules to every selected table")
     ap.add_argument("--fail-fast", action="store_true", help="stop each table at its first failed stage")
-    ap.add_argument("--tables-per-job", type=int, default=None)
+    ap.add_argument("--tables-at-once", type=int, default=TABLES_AT_ONCE,
+                    help="tables that are validated at the same time")
+    ap.add_argument("--run-id", default=None, help="a repeated run of the same id replaces its log rows")
+    ap.add_argument("--option", action="append", default=[],
+                    help="KEY=VALUE passed to the reader of every table (e.g. the connection of jdbc tables)")
     ap.add_argument("--compat", action="store_true", help="keep the original null-date behaviour")
     ap.add_argument("--environment", default=K.DEFAULT_ENVIRONMENT)
     ap.add_argument("--source", default=K.DEFAULT_SOURCE)
@@ -59,12 +63,15 @@ def main(argv: list[str] | None = None) -> int:
     rules = _read_meta(spark, args.rules, SEMANTIC_LAYER)
     ref_paths = dict(r.split("=", 1) for r in args.reference)
 
+    options = dict(o.split("=", 1) for o in args.option)
+
     def load(row):
         return read_table(spark, row["origin_path"], row["file_format"], header=row["header"],
-                          separator=row["separator"])
+                          separator=row["separator"], options=options)
 
     def references(name):
-        path = ref_paths.get(name)
+        # a target may be given with or without the schema that the metadata puts before it
+        path = ref_paths.get(name) or ref_paths.get(name.rsplit(".", 1)[-1])
         if path is None:
             return spark.table(name)
         return read_table(spark, path, "csv" if path.endswith(".csv") else "parquet", header=True)
@@ -77,7 +84,7 @@ def main(argv: list[str] | None = None) -> int:
     specs = specs_from_metadata(catalog, rules, load, functional, ids)
     status = validate_and_log(spark, specs, references, args.trigger_log, args.error_log,
                               environment=args.environment, source=args.source, compat=args.compat,
-                              fail_fast=args.fail_fast, tables_per_job=args.tables_per_job)
+                              fail_fast=args.fail_fast, run_id=args.run_id, tables_at_once=args.tables_at_once)
     for r in status.orderBy("table_seq").collect():
         print(f"{r['table_id']} {r['table_name']}: {r['stages_passed']} of 4 stages passed, flag {r['flag']}")
     return 0

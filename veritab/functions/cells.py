@@ -19,18 +19,28 @@ def cell_letters(cell: Column, keep_empty: bool = False) -> Column:
 
 
 def cell_row(cell: Column) -> Column:
-    """Row number of the reference as BIGINT; NULL when there is none."""
-    return F.nullif(F.regexp_extract(cell, CELL_REGEX, 2), F.lit("")).try_cast("bigint")
+    """Row number of the reference as BIGINT; NULL when there is none, the
+    largest BIGINT when it has more digits than that."""
+    digits = F.nullif(F.regexp_extract(cell, CELL_REGEX, 2), F.lit(""))
+    return F.when(digits.isNotNull(), F.coalesce(digits.try_cast("bigint"), F.lit((1 << 63) - 1)))
+
+
+#: letters whose base-26 number always fits a BIGINT
+_FITTING_LETTERS = 13
 
 
 def letters_to_number(letters: Column) -> Column:
-    """Base-26 column number: A=1, Z=26, AA=27, AZ=52, BA=53."""
+    """Base-26 column number: A=1, Z=26, AA=27, AZ=52, BA=53.
+
+    More letters than a BIGINT can hold give the largest BIGINT: such a cell
+    is outside every table."""
     positions = F.sequence(F.lit(1), F.length(letters))
-    return F.aggregate(
+    number = F.aggregate(
         positions,
         F.lit(0).cast("bigint"),
         lambda acc, i: acc * 26 + (F.ascii(F.substring(letters, i, 1)) - 64),
     )
+    return F.when(F.length(letters) > _FITTING_LETTERS, F.lit((1 << 63) - 1)).otherwise(number)
 
 
 def parse_cell(cell: Column, keep_empty: bool = False) -> tuple[Column, Column, Column]:

@@ -55,6 +55,8 @@ def decode_rules(rules: DataFrame) -> DataFrame:
     error = (
         F.when(F.col("kind") == "UNKNOWN", F.lit("unknown data type"))
         .when(F.col("kind") == "MALFORMED", F.lit("malformed decimal type"))
+        .when((F.col("kind") == "DECIMAL") & (F.col("precision").isNull() | F.col("scale").isNull()),
+              F.lit("decimal digits beyond an integer"))
         .when(F.col("max_length").isNull(), F.lit("length missing or not a number"))
         .when((F.col("kind") == "INT") & (F.col("max_length") < 1), F.lit("int length below 1"))
         .when((F.col("kind") == "DECIMAL") & (F.col("scale") > F.col("precision")),
@@ -100,6 +102,16 @@ def collect_rules(decoded: DataFrame, table_id: str | None = None) -> list[Rule]
     ]
 
 
+def _int(text: str) -> int | None:
+    """A whole number as Spark casts it to INT: ASCII digits in range, or None."""
+    import re
+
+    if not re.fullmatch(r"[+-]?[0-9]+", text):
+        return None
+    value = int(text) if len(text) < 20 else 1 << 40
+    return value if -(1 << 31) <= value < 1 << 31 else None
+
+
 def make_rule(field_name: str, data_type: str | None, length: int | str | None = None,
               nullable: bool | None = True, decimal_symbol: str | None = None,
               pk: bool | None = False, position: int | None = None,
@@ -121,18 +133,17 @@ def make_rule(field_name: str, data_type: str | None, length: int | str | None =
         m = re.fullmatch(r"DECIMAL\((\d+),(\d+)\)", data_type)
         kind = "DECIMAL" if m else "MALFORMED"
         if m:
-            precision, scale = int(m.group(1)), int(m.group(2))
+            precision, scale = _int(m.group(1)), _int(m.group(2))
     elif data_type.startswith("DATE"):
         kind = "DATE"
-    try:
-        max_length = int(str(length).strip()) if length is not None else None
-    except ValueError:
-        max_length = None
+    max_length = _int(str(length).strip()) if length is not None else None
     error = None
     if kind == "UNKNOWN":
         error = "unknown data type"
     elif kind == "MALFORMED":
         error = "malformed decimal type"
+    elif kind == "DECIMAL" and (precision is None or scale is None):
+        error = "decimal digits beyond an integer"
     elif max_length is None:
         error = "length missing or not a number"
     elif kind == "INT" and max_length < 1:

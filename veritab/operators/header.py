@@ -11,11 +11,18 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors.exceptions.captured import CapturedException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from veritab.sources.readers import UnsupportedFormat
+
+#: errors that Spark itself reports; errors of a caller's Python code are not among them
+SPARK_ERRORS = (CapturedException, Py4JJavaError)
+#: what makes a table unreadable
+READ_ERRORS = (*SPARK_ERRORS, UnsupportedFormat, OSError)
+
 ACTUAL_COLUMNS = StructType([
     StructField("table_id", StringType(), False),
     StructField("position", IntegerType(), False),
@@ -77,9 +84,8 @@ def validate_header(load: Callable[[], DataFrame], has_header: bool,
     try:
         df = load()
         columns = df.columns  # resolves the schema: a missing table fails here
-    except (AnalysisException, PySparkException, Py4JJavaError, FileNotFoundError, OSError):
-        # Spark errors (missing path, unreadable format, JDBC failure) and JVM
-        # errors surfacing through Py4J; programming errors propagate
+    except READ_ERRORS:
+        # missing path, unknown or unreadable format, JDBC failure; programming errors propagate
         return HeaderResult(None, False, "read", "table could not be read")
     if has_header:
         if header_matches(columns, expected_names):

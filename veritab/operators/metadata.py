@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritab.functions.names import col
-from veritab.operators.references import bounded_references, reference_violation_count
+from veritab.operators.references import reference_violation_count
 from veritab.operators.technical import key_duplicates
 
 
@@ -79,12 +79,7 @@ def constraint_violations(frames: dict[str, DataFrame], constraints: Sequence[Co
 
     All NOT NULL constraints of a table are counted in ONE aggregate over it,
     UNIQUE groups by the key (partial aggregation first), FOREIGN KEY counts
-    orphans with an anti-join on distinct values (broadcast only below a row
-    bound, every parent's bound checked in one job)."""
-    fks = {f"{c.table}.{c.columns[0]}": (frames[c.parent], c.parent_column)
-           for c in constraints if c.kind == "foreign_key"}
-    small = bounded_references(fks)
-
+    orphans with an anti-join on distinct values."""
     def labelled(v: DataFrame, c: Constraint) -> DataFrame:
         ref = f"{c.parent}.{c.parent_column}" if c.parent else None
         return v.select(F.lit(c.kind).alias("kind"), F.lit(c.table).alias("table_name"),
@@ -102,8 +97,7 @@ def constraint_violations(frames: dict[str, DataFrame], constraints: Sequence[Co
                 F.count(F.lit(1)).cast("bigint").alias("violations"))
             rows.append(labelled(v, c))
         elif c.kind == "foreign_key":
-            v = reference_violation_count(frames[c.table], c.columns[0], frames[c.parent], c.parent_column,
-                                          broadcast=small[f"{c.table}.{c.columns[0]}"])
+            v = reference_violation_count(frames[c.table], c.columns[0], frames[c.parent], c.parent_column)
             rows.append(labelled(v, c))
         else:
             raise ValueError(f"unknown constraint kind {c.kind!r}")

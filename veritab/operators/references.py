@@ -1,94 +1,90 @@
 """Referential integrity (R1-R3): values must appear in a reference column.
 
-The reference side is the distinct non-null values of the reference column,
-cast to the tested column's type (nulls dropped: a null in an allowed list
-would otherwise make NOT IN never true).  It is broadcast only when a bounded
-count proves it small; above the bound the anti-join shuffles both sides and
-AQE may still switch strategy at run time or split a skewed tested key.
-Null tested values pass.
+The reference side is the distinct non-null values of the reference column
+(a null in an allowed list would otherwise make NOT IN never true).  Both
+sides are compared in a type that loses nothing: integers and decimals as
+numbers, equal types as they are, everything else as text.  No allowed value
+is dropped or rounded.
+
+Tested values are first counted per distinct value, so a value that most rows
+share is one row per task before anything moves.  The values that are missing
+from the reference are a written table; rows are found by a semi-join with it,
+broadcast only after its rows and bytes were counted and else shuffled (run-time
+skew handling splits a large key).  Null tested values pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ByteType, DataType, DecimalType, DoubleType, FloatType, IntegerType, IntegralType, ShortType,
+)
 
 from veritab.functions.names import col
+from veritab.session import ensure_checkpoint_dir
 
-# a broadcast of up to this many reference rows stays in the tens of MB
-MAX_BROADCAST_ROWS = 1_000_000
+#: missing values that are broadcast, at most (rows, bytes of their text)
+BROADCAST_VALUES, BROADCAST_BYTES = 500_000, 32 << 20
 _REF = "__ref_value"
+_VALUE = "__value"
 
 
-def allowed_values(ref: DataFrame, ref_column: str, as_type=None) -> DataFrame:
-    """Distinct non-null allowed values as one column ``__ref_value``."""
-    value = col(ref_column)
-    if as_type is not None:
-        value = value.try_cast(as_type)
-    return ref.select(value.alias(_REF)).where(F.col(_REF).isNotNull()).distinct()
-
+def _common_type(tested: DataType, allowed: DataType) -> str | None:
+    """Type in which both sides compare without loss (None: as they are)."""
+    if tested == allowed:
+        return None
+    exact = (IntegralType, DecimalType)
+    if isinstance(tested, exact) and isinstance(allowed, exact):
+        digits = [(19, 0) if isinstance(t, IntegralType) else (t.precision - t.scale, t.scale) for t in (tested, allowed)]
+        whole, scale = max(d for d, _ in digits), max(s for _, s in digits)
+        return f"decimal({whole + scale},{scale})" if whole + scale <= 38 else "string"
+    in_double = (ByteType, ShortType, IntegerType, FloatType, DoubleType)
+    if isinstance(tested, in_double) and isinstance(allowed, in_double):
+        return "double"
+    return "string"
 
-def _bounded(ref: DataFrame, ref_column: str, max_rows: int) -> bool:
-    """True when the reference table has at most ``max_rows`` rows.
 
-    Counts raw rows of the reference key column behind a limit: each task
-    stops after ``max_rows + 1`` rows of its split, so the check costs at most
-    one pass over that one column (the anti-join reads it anyway); distinct
-    values are never more than raw rows."""
-    return ref.select(col(ref_column)).limit(max_rows + 1).count() <= max_rows
+def _sides(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> tuple[Column, Column]:
+    """The tested and the allowed value as comparable expressions."""
+    common = _common_type(df.select(col(column)).schema[0].dataType, ref.select(col(ref_column)).schema[0].dataType)
+    if common is None:
+        return col(column), col(ref_column)
+    return col(column).cast(common), col(ref_column).cast(common)
 
 
-def bounded_references(targets: dict[str, tuple[DataFrame, str]],
-                       max_rows: int = MAX_BROADCAST_ROWS) -> dict[str, bool]:
-    """The bounded-size check of many reference tables in ONE job.
-
-    ``targets`` maps a name to (reference frame, reference column); the
-    answer maps each name to True when that table has at most ``max_rows``
-    rows (each task of a branch stops after ``max_rows + 1`` rows of its split,
-    so a branch costs at most one pass over one column)."""
-    if not targets:
-        return {}
-    branches = [ref.select(col(column)).limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"))
-                .select(F.lit(name).alias("name"), "n")
-                for name, (ref, column) in targets.items()]
-    out = branches[0]
-    for b in branches[1:]:
-        out = out.unionByName(b)
-    return {r["name"]: r["n"] <= max_rows for r in out.collect()}
+def allowed_values(ref: DataFrame, ref_column: str, as_type: str | None = None) -> DataFrame:
+    """Distinct non-null allowed values as one column ``__ref_value``."""
+    value = col(ref_column) if as_type is None else col(ref_column).cast(as_type)
+    return ref.select(value.alias(_REF)).where(F.col(_REF).isNotNull()).distinct()
 
 
-def _reference_side(df: DataFrame, column: str, ref: DataFrame, ref_column: str,
-                    max_broadcast_rows: int, broadcast: bool | None = None) -> DataFrame:
-    """Allowed values, broadcast when known (``broadcast``) or checked to be small."""
-    allowed = allowed_values(ref, ref_column, df.select(col(column)).schema[0].dataType)
-    if broadcast is None:
-        broadcast = max_broadcast_rows > 0 and _bounded(ref, ref_column, max_broadcast_rows)
-    return F.broadcast(allowed) if broadcast else allowed
+def missing_values(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:
+    """Distinct non-null tested values that are not allowed: ``__value`` and
+    ``__n``, the number of their rows."""
+    tested, allowed = _sides(df, column, ref, ref_column)
+    per_value = df.where(tested.isNotNull()).groupBy(tested.alias(_VALUE)).agg(F.count(F.lit(1)).alias("__n"))
+    side = ref.select(allowed.alias(_REF)).where(F.col(_REF).isNotNull()).distinct()
+    return per_value.join(side, F.col(_VALUE) == F.col(_REF), "left_anti")
 
 
-def reference_violations(df: DataFrame, column: str, ref: DataFrame, ref_column: str,
-                         max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                         broadcast: bool | None = None) -> DataFrame:
+def reference_violations(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:
     """R2: rows whose non-null ``column`` value is not an allowed value."""
-    side = _reference_side(df, column, ref, ref_column, max_broadcast_rows, broadcast)
-    tested = df.where(col(column).isNotNull())
-    return tested.join(side, col(column) == side[_REF], "left_anti")
-
-
-def reference_violation_count(df: DataFrame, column: str, ref: DataFrame, ref_column: str,
-                              max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                              broadcast: bool | None = None) -> DataFrame:
-    """R2 verdict: one row ``violations`` (BIGINT, 0 when clean).
-
-    Values are counted per distinct value first (partial aggregation per
-    task), so the anti-join sees distinct values, not rows, and a hot value
-    costs one row per task."""
-    side = _reference_side(df, column, ref, ref_column, max_broadcast_rows, broadcast)
-    per_value = (df.where(col(column).isNotNull())
-                 .groupBy(col(column).alias("__v")).agg(F.count(F.lit(1)).alias("__n")))
-    missing = per_value.join(side, per_value["__v"] == side[_REF], "left_anti")
+    ensure_checkpoint_dir(df.sparkSession)
+    tested, _ = _sides(df, column, ref, ref_column)
+    missing = missing_values(df, column, ref, ref_column).select(_VALUE).checkpoint()
+    size = missing.agg(F.count(F.lit(1)).alias("rows"),
+                       F.sum(F.octet_length(F.col(_VALUE).cast("string"))).alias("bytes")).first()
+    if size["rows"] <= BROADCAST_VALUES and (size["bytes"] or 0) <= BROADCAST_BYTES:
+        missing = F.broadcast(missing)
+    return df.join(missing, tested == missing[_VALUE], "left_semi")
+
+
+def reference_violation_count(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:
+    """R2 verdict: one row ``violations`` (BIGINT, 0 when clean)."""
+    missing = missing_values(df, column, ref, ref_column)
     return missing.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("violations"))
 
 

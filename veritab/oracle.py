@@ -469,15 +469,17 @@ triggers AS (
   FROM (SELECT table_seq, table_id, table_name, row_count, unnest(flags) AS flag,
                generate_subscripts(flags, 1) AS n FROM status_lists)),
 stage_summary AS (
-  SELECT table_seq, table_id, table_name, stage, bool_and(passed) AS passed,
-         CAST(sum(incidences) AS BIGINT) AS incidences,
-         coalesce(string_agg(message, ' ' ORDER BY check_no) FILTER (WHERE NOT passed), '') AS validation_msg,
-         coalesce(array_to_string(list_sort(list_distinct(flatten(
-             list(string_split(column_name, ', ')) FILTER (WHERE NOT passed AND column_name IS NOT NULL)))), ', '),
-             '') AS field_name,
+  SELECT table_seq, table_id, table_name, stage, passed,
+         CAST(incidences AS BIGINT) AS incidences, coalesce(validation_msg, '') AS validation_msg,
+         coalesce(array_to_string(list_filter(fields, lambda x, i: list_position(fields, x) = i), ', '), '') AS field_name,
          CASE stage WHEN 1 THEN 'Header' WHEN 2 THEN 'Technical' WHEN 3 THEN 'Referential Integrity'
                     WHEN 4 THEN 'Functional' END AS type_validation
-  FROM verdicts GROUP BY table_seq, table_id, table_name, stage)
+  FROM (SELECT table_seq, table_id, table_name, stage, bool_and(passed) AS passed,
+               sum(incidences) AS incidences,
+               string_agg(message, ' ' ORDER BY check_no) FILTER (WHERE NOT passed) AS validation_msg,
+               flatten(list(string_split(column_name, ', ') ORDER BY check_no)
+                   FILTER (WHERE NOT passed AND column_name IS NOT NULL)) AS fields
+        FROM verdicts GROUP BY table_seq, table_id, table_name, stage))
 """
 
 SQL["stage_verdicts"] = RUN + "SELECT * FROM verdicts"
@@ -493,11 +495,15 @@ SQL["latest_trigger"] = RUN_DERIVED + """
 SELECT id_type_file, file_name, max(id_trigger) AS id_trigger, arg_max(flag, id_trigger) AS flag
 FROM triggers GROUP BY id_type_file, file_name"""
 
+# a table writes a flag for every stage up to its first failed one; stage 3 only
+# with reference rules; the one flag of an unreadable table is 30
 SQL["flag_assign"] = RUN_DERIVED + """
-SELECT table_id, table_name, stage, passed,
-       CAST(CASE WHEN passed THEN (CASE stage WHEN 1 THEN 1.2 WHEN 2 THEN 1.2 WHEN 3 THEN 1.3 ELSE 1.4 END)
-                 ELSE (CASE stage WHEN 1 THEN 31 WHEN 2 THEN 32 WHEN 3 THEN 33 ELSE 34 END) END AS DOUBLE) AS flag
-FROM stage_summary"""
+SELECT table_id, table_name, CAST(k AS INTEGER) AS stage, coalesce(k < failed_stage, true) AS passed,
+       CAST(CASE WHEN unreadable THEN 30
+                 WHEN k = failed_stage THEN 30 + k
+                 WHEN k <= 2 THEN 1.2 WHEN k = 3 THEN 1.3 ELSE 1.4 END AS DOUBLE) AS flag
+FROM table_flags CROSS JOIN (VALUES (1), (2), (3), (4)) stages(k)
+WHERE (failed_stage IS NULL OR k <= failed_stage) AND (k <> 3 OR has_reference)"""
 
 SQL["stage_error_summary"] = RUN_DERIVED + """
 SELECT table_id, table_name, stage, type_validation, validation_msg, field_name, incidences

@@ -80,12 +80,14 @@ def progress(verdicts: DataFrame) -> DataFrame:
 
 def stage_summary(verdicts: DataFrame) -> DataFrame:
     """Per (table, stage) verdict with the combined message (failing
-    checks in check order), the distinct failing fields (sorted) and the
-    incidence sum."""
+    checks in check order), the distinct failing fields (in check order) and
+    the incidence sum."""
     failed = ~F.col("passed")
     msgs = F.array_sort(F.collect_list(F.when(failed, F.struct("check_no", "message"))))
-    fields = F.array_sort(F.array_distinct(F.flatten(F.collect_list(
-        F.when(failed & F.col("column_name").isNotNull(), F.split("column_name", ", "))))))
+    named = F.array_sort(F.collect_list(F.when(
+        failed & F.col("column_name").isNotNull(),
+        F.struct("check_no", F.split("column_name", ", ").alias("names")))))
+    fields = F.array_distinct(F.flatten(F.transform(named, lambda s: s["names"])))
     return verdicts.groupBy(*TABLE_KEYS, "stage").agg(
         F.bool_and("passed").alias("passed"),
         F.sum("incidences").cast("bigint").alias("incidences"),
@@ -98,15 +100,24 @@ def stage_summary(verdicts: DataFrame) -> DataFrame:
 
 
 def stage_flags(verdicts: DataFrame) -> DataFrame:
-    """L4: the flag each stage writes: its pass flag or its fail flag."""
-    s = stage_summary(verdicts)
-    stage = F.col("stage")
-    pass_flag = (F.when(stage == 1, F.lit(PASS_FLAG[1])).when(stage == 2, F.lit(PASS_FLAG[2]))
-                 .when(stage == 3, F.lit(PASS_FLAG[3])).when(stage == 4, F.lit(PASS_FLAG[4])))
-    fail_flag = (F.when(stage == 1, F.lit(FAIL_FLAG[1])).when(stage == 2, F.lit(FAIL_FLAG[2]))
-                 .when(stage == 3, F.lit(FAIL_FLAG[3])).when(stage == 4, F.lit(FAIL_FLAG[4])))
-    return s.select("table_id", "table_name", "stage", "passed",
-                    F.when(F.col("passed"), pass_flag).otherwise(fail_flag).cast("double").alias("flag"))
+    """L4: the flag of each stage a table reaches: its pass flag or its fail flag.
+
+    A table stops at its first failed stage, so later stages have no flag.
+    Without reference rules there is no stage 3; a table that passes its
+    reference checks (or has none) passes stage 4 when it has no functional
+    rule.  An unreadable table has the one flag 30."""
+    per = stage_summary(verdicts).groupBy(*TABLE_KEYS).agg(
+        F.collect_set("stage").alias("seen"), F.min(F.when(~F.col("passed"), F.col("stage"))).alias("failed_stage"),
+        F.bool_or("unreadable").alias("unreadable"))
+    stages = F.array(*[F.lit(k) for k in sorted(PASS_FLAG)])
+    reached = F.filter(stages, lambda k: (F.array_contains("seen", k) | (k == 4) | (k == 2))
+                       & (F.col("failed_stage").isNull() | (k <= F.col("failed_stage"))))
+    rows = per.select(*TABLE_KEYS, "failed_stage", "unreadable", F.explode(reached).alias("stage"))
+    passed = F.col("failed_stage").isNull() | (F.col("stage") < F.col("failed_stage"))
+    flag = F.when(F.col("unreadable"), F.lit(FLAG_UNREADABLE))
+    for k in sorted(PASS_FLAG):
+        flag = flag.when((F.col("stage") == k) & passed, F.lit(PASS_FLAG[k])).when(F.col("stage") == k, F.lit(FAIL_FLAG[k]))
+    return rows.select("table_id", "table_name", "stage", passed.alias("passed"), flag.cast("double").alias("flag"))
 
 
 def _status_flags() -> Column:

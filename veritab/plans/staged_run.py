@@ -1,11 +1,12 @@
 """Staged run (O1): header, technical, referential integrity, functional.
 
-All stages of all tables are planned lazily and unioned into ONE verdict
-frame; the stopping stage of each table is derived afterwards (first stage
-with a failed check), so a failing table still gets a full report and the
-whole run is one Spark job.  ``fail_fast=True`` instead executes stage by
-stage and skips the later stages of a failed table (cheaper for huge tables
-that fail early).
+Every table is a job of its own and several run at the same time; only their
+verdict rows (a few per rule) reach the driver.  A table that cannot be read
+becomes a failed ``read`` verdict, a reference that cannot be read a failed
+rule, and the other tables go on.  By default a failing table still gets a
+full report (its stopping stage is derived afterwards); ``fail_fast=True``
+executes stage by stage and skips the later stages of a failed table (cheaper
+for huge tables that fail early).
 
 Per table the work is:
   * one aggregate pass: row count, every type/length/null rule, the
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,11 +30,9 @@ from veritab.functions.cells import out_of_bounds, parse_cell
 from veritab.functions.names import col, cols
 from veritab.functions.rules import Rule, collect_rules, decode_rules
 from veritab.operators.functional import group_prefix_incidences, pattern_predicate, required_pairs
-from veritab.operators.header import validate_header
+from veritab.operators.header import READ_ERRORS, SPARK_ERRORS, validate_header
 from veritab.operators.metadata import select_tables, split_reference
-from veritab.operators.references import (
-    MAX_BROADCAST_ROWS, bounded_references, reference_violation_count,
-)
+from veritab.operators.references import reference_violation_count
 from veritab.operators.technical import count_if_exprs, key_summary
 from veritab.plans.verdicts import (
     VERDICT_COLUMNS, counted, entry, explode_entries, literal_verdicts, union_all,
@@ -116,28 +116,30 @@ def _resolve_reference(references: Callable[[str], DataFrame], target: str):
     """(frame, column) of a reference target, or (None, reason) when the
     target table cannot be read or lacks the column: a failed rule, not a
     failed run."""
-    from pyspark.errors import AnalysisException
-
     try:
         table, column = split_reference(target)
         frame = references(table)
         if frame is None or column not in frame.columns:
             return None, f"reference target {target} not found"
         return frame, column
-    except (AnalysisException, ValueError, KeyError):
+    except (*READ_ERRORS, ValueError, KeyError):
         return None, f"reference target {target} not found"
 
 
+class Part(NamedTuple):
+    """A verdict frame, its stage and (reference passes) the index of its rule."""
+    stage: int
+    frame: DataFrame
+    rule: int | None = None
+
+
 def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
-                references: Callable[[str], DataFrame], compat: bool = False,
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                small_refs: dict[str, bool] | None = None) -> list[tuple[int, DataFrame]]:
-    """Verdict frames of one table as (stage, frame) parts, lazily planned.
+                references: Callable[[str], DataFrame], compat: bool = False) -> list[Part]:
+    """Verdict frames of one table, lazily planned.
 
     The first part is the one-pass aggregate (stage 1 and the row-level
     rules of stages 2 and 4); the others are the grouped passes of the
-    stage they belong to.  ``small_refs`` carries the broadcast decision of
-    each reference target when the caller checked them all at once.
+    stage they belong to.
 
     A functional rule naming a column the table lacks, or a reference
     target that cannot be read, fails that rule (violations NULL) instead
@@ -151,11 +153,11 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
                      message, row_count)
 
     if hdr.raw is None:
-        return [(1, literal_verdicts(spark, [(seq, tid, name, 1, 1, "read", None, None, 1, False,
+        return [Part(1, literal_verdicts(spark, [(seq, tid, name, 1, 1, "read", None, None, 1, False,
                                               hdr.message, None)]))]
     if not hdr.passed:
         one = hdr.raw.agg(F.count(F.lit(1)).cast("bigint").alias("__rows"))
-        return [(1, explode_entries(one, [e(1, 1, hdr.rule, None, "1", "1", "false",
+        return [Part(1, explode_entries(one, [e(1, 1, hdr.rule, None, "1", "1", "false",
                                             hdr.message, "__rows")]))]
 
     df = hdr.frame
@@ -233,14 +235,14 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
         entries.append(e(4, 5, "cell_bounds", fs.cell_column, "__cell", inc, ok,
                          f"{fs.cell_column} points outside the table"))
     entries.extend(broken)
-    frames = [(1, explode_entries(one, entries))]
+    frames = [Part(1, explode_entries(one, entries))]
 
     # Key uniqueness, one grouped pass
     keys = [r.field_name for r in spec.rules if r.is_pk]
     if keys:
         ks = key_summary(df, keys)
         inc, ok = counted("duplicated_keys")
-        frames.append((2, explode_entries(ks, [e(2, len(spec.rules) + 1, "primary_key", ", ".join(keys),
+        frames.append(Part(2, explode_entries(ks, [e(2, len(spec.rules) + 1, "primary_key", ", ".join(keys),
                                                  "duplicated_keys", inc, ok,
                                                  "primary key values are not unique")])))
 
@@ -249,10 +251,9 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
         if i not in refs:
             continue
         ref_frame, ref_column = refs[i]
-        cnt = reference_violation_count(df, r.field_name, ref_frame, ref_column, max_broadcast_rows,
-                                        small_refs.get(r.reference) if small_refs is not None else None)
+        cnt = reference_violation_count(df, r.field_name, ref_frame, ref_column)
         inc, ok = counted("violations")
-        frames.append((3, explode_entries(cnt, [e(3, i + 1, "reference", r.field_name,
+        frames.append(Part(3, rule=i, frame=explode_entries(cnt, [e(3, i + 1, "reference", r.field_name,
                                                   "violations", inc, ok,
                                                   f"{r.field_name}: values outside {r.reference}")])))
 
@@ -272,14 +273,14 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
         one_set = per_group.agg(
             (F.coalesce(F.sum("__excess"), F.lit(0)) + F.count_if(F.col("__present") != k)).alias("__bad"))
         inc, ok = counted("__bad")
-        frames.append((4, explode_entries(one_set, [e(
+        frames.append(Part(4, explode_entries(one_set, [e(
             4, 2, "required_set", ", ".join(fs.group_cols + (fs.required_column,)), "__bad", inc, ok,
             f"each ({', '.join(fs.group_cols)}) needs exactly one row per ({_values(fs.required_values)})")])))
 
     # prefix per group
     if fs and fs.prefix_column:
         gp = group_prefix_incidences(df, list(fs.group_cols), fs.prefix_column, fs.prefix)
-        frames.append((4, explode_entries(gp, [e(
+        frames.append(Part(4, explode_entries(gp, [e(
             4, 3, "group_prefix", ", ".join(fs.group_cols + (fs.prefix_column,)), "incidences",
             "incidences", "passed",
             f"some ({', '.join(fs.group_cols)}) have no {fs.prefix_column} starting with {fs.prefix}")])))
@@ -288,133 +289,130 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
 
 
 def table_verdicts(spark: SparkSession, spec: TableSpec, seq: int,
-                   references: Callable[[str], DataFrame], compat: bool = False,
-                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                   references: Callable[[str], DataFrame], compat: bool = False) -> DataFrame:
     """Verdict rows of one table, all stages, as one lazy frame."""
-    parts = table_parts(spark, spec, seq, references, compat, max_broadcast_rows)
-    return union_all([f for _, f in parts]).select(*VERDICT_COLUMNS)
+    parts = table_parts(spark, spec, seq, references, compat)
+    return union_all([p.frame for p in parts]).select(*VERDICT_COLUMNS)
 
 
-def run_verdicts(spark: SparkSession, specs: Sequence[TableSpec],
-                 references: Callable[[str], DataFrame], compat: bool = False,
-                 max_broadcast_rows: int = MAX_BROADCAST_ROWS, fail_fast: bool = False,
-                 tables_per_job: int | None = None, run_id: str | None = None) -> DataFrame:
-    """Verdict frame of all tables.
-
-    Default: the union of every table's parts, one lazy plan.  With
-    ``fail_fast`` each table runs stage by stage and the grouped passes of
-    the stages after its first failure are never executed; only verdict
-    rows (a few per table) are collected.
-
-    With ``tables_per_job`` (for catalogs of hundreds of tables) the tables
-    run in chunks: each chunk's verdict rows are written under
-    ``spark.checkpoint.dir`` and the result is read back from there, so no
-    single plan holds every table and the lineage is cut after each chunk.
-    """
-    # the broadcast size check of every reference target, in one job
-    targets = {}
-    for spec in specs:
-        for r in spec.rules:
-            if r.reference and r.reference not in targets:
-                frame, column = _resolve_reference(references, r.reference)
-                if frame is not None:
-                    targets[r.reference] = (frame, column)
-    small = (bounded_references(targets, max_broadcast_rows) if max_broadcast_rows > 0
-             else {t: False for t in targets})
-
-    frames = []
-    for seq, spec in enumerate(specs, start=1):
-        parts = table_parts(spark, spec, seq, references, compat, max_broadcast_rows, small)
-        if fail_fast:
-            frames.append(_run_until_failure(spark, parts, seq, spec))
-        else:
-            frames.append(union_all([f for _, f in parts]).select(*VERDICT_COLUMNS))
-    if not tables_per_job or fail_fast:
-        return union_all(frames)
-    import os
-    import uuid
-
-    from veritab.session import ensure_checkpoint_dir
+#: tables validated at the same time (each is a Spark job of its own)
+TABLES_AT_ONCE = 8
 
-    base = os.path.join(ensure_checkpoint_dir(spark), "verdicts", run_id or uuid.uuid4().hex)
-    for i in range(0, len(frames), tables_per_job):
-        chunk = union_all(frames[i:i + tables_per_job])
-        # overwrite: a retried chunk replaces its own output; every branch ends in
-        # a global aggregate behind an exchange, so one task only gathers verdict rows
-        chunk.coalesce(1).write.mode("overwrite").parquet(os.path.join(base, f"chunk={i // tables_per_job}"))
-    return spark.read.parquet(base).select(*VERDICT_COLUMNS)
 
+def run_verdicts(spark: SparkSession, specs: Sequence[TableSpec],
+                 references: Callable[[str], DataFrame], compat: bool = False,
+                 fail_fast: bool = False, tables_at_once: int = TABLES_AT_ONCE) -> DataFrame:
+    """Verdict frame of all tables, in the order of ``specs``.
 
-def _run_until_failure(spark: SparkSession, parts: list[tuple[int, DataFrame]],
-                       seq: int, spec: TableSpec) -> DataFrame:
-    """Run one table's parts stage by stage (verdict rows only reach the driver).
+    Runs one job per table, ``tables_at_once`` at the same time.  The frame
+    holds the finished verdict rows, so nothing that derives from it repeats
+    a check.  With ``fail_fast`` the grouped passes of the stages after a
+    table's first failure are never executed."""
+    from pyspark import InheritableThread
 
-    A table whose first pass fails at run time (a file that resolves its
-    schema but cannot be scanned, e.g. a corrupt file) is reported as
-    unreadable, and the run goes on with the next table; failures of later
-    passes are real errors and propagate."""
-    from py4j.protocol import Py4JJavaError
-    from pyspark.errors import PySparkException
+    rows: dict[int, list[tuple]] = {}
+    errors: list[BaseException] = []
+    todo = list(enumerate(specs, start=1))[::-1]
 
-    rows = []
+    def work() -> None:
+        while todo and not errors:
+            try:
+                seq, spec = todo.pop()
+            except IndexError:
+                return
+            try:
+                rows[seq] = _table_rows(spark, spec, seq, references, compat, fail_fast)
+            except BaseException as exc:  # raised again below, in the caller's thread
+                errors.append(exc)
+
+    threads = [InheritableThread(work) for _ in range(max(1, min(tables_at_once, len(todo))))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if errors:
+        raise errors[0]
+    return literal_verdicts(spark, [r for seq in sorted(rows) for r in rows[seq]])
+
+
+def _table_rows(spark: SparkSession, spec: TableSpec, seq: int, references: Callable[[str], DataFrame],
+                compat: bool, fail_fast: bool) -> list[tuple]:
+    """Verdict rows of one table; read failures become verdicts."""
+    unreadable = [(seq, spec.table_id, spec.table_name, 1, 1, "read", None, None, 1, False,
+                   "table could not be read", None)]
+    try:
+        parts = table_parts(spark, spec, seq, references, compat)
+    except SPARK_ERRORS:
+        return unreadable
+    if not fail_fast:
+        try:
+            return [tuple(r) for r in union_all([p.frame for p in parts]).select(*VERDICT_COLUMNS).collect()]
+        except SPARK_ERRORS:
+            pass  # one of the parts fails: run them one by one to see which
+    rows: list[tuple] = []
     for stage in (1, 2, 3, 4):
-        if any(not r["passed"] and r["stage"] < stage for r in rows):
+        if fail_fast and any(not r[_PASSED] for r in rows):
             break
-        for part_stage, frame in parts:
-            if part_stage != stage:
-                continue
+        for part in (p for p in parts if p.stage == stage):
             try:
-                rows.extend(frame.select(*VERDICT_COLUMNS).collect())
-            except (PySparkException, Py4JJavaError):
-                if stage != 1:
-                    raise
-                return literal_verdicts(spark, [(seq, spec.table_id, spec.table_name, 1, 1, "read", None,
-                                                 None, 1, False, "table could not be read", None)])
-    failed = [r["stage"] for r in rows if not r["passed"]]
-    stop = min(failed) if failed else 4
-    return literal_verdicts(spark, [tuple(r) for r in rows if r["stage"] <= stop])
+                rows += [tuple(r) for r in part.frame.select(*VERDICT_COLUMNS).collect()]
+            except SPARK_ERRORS:
+                if part.rule is None:
+                    return unreadable  # the table itself cannot be scanned
+                # the tested table was read in stage 1: the reference fails
+                rule = spec.rules[part.rule]
+                rows.append((seq, spec.table_id, spec.table_name, 3, part.rule + 1, "reference", rule.field_name,
+                             None, 1, False, f"reference target {rule.reference} could not be read", None))
+    if fail_fast:
+        stop = min((r[_STAGE] for r in rows if not r[_PASSED]), default=4)
+        rows = [r for r in rows if r[_STAGE] <= stop]
+    return rows
+
+
+_STAGE, _PASSED = VERDICT_COLUMNS.index("stage"), VERDICT_COLUMNS.index("passed")
 
 
 def validate_and_log(spark: SparkSession, specs: Sequence[TableSpec],
                      references: Callable[[str], DataFrame], trigger_path: str, log_path: str,
                      run_ts=None, environment: str | None = None, source: str | None = None,
-                     compat: bool = False, fail_fast: bool = False,
-                     tables_per_job: int | None = None, run_id: str | None = None) -> DataFrame:
-    """The whole run (O1 + L1/L2): validate every table, append the status
-    rows to ``trigger_path`` and the error rows to ``log_path``.
-
-    The verdict rows are computed once and written under
-    ``spark.checkpoint.dir`` (a lost executor never re-runs the checks for
-    the second log), then both log frames derive from that copy.  Status ids
-    continue after the highest id already in ``trigger_path``.  Returns the
-    per-table status (flag, stages passed, row count)."""
+                     compat: bool = False, fail_fast: bool = False, run_id: str | None = None,
+                     tables_at_once: int = TABLES_AT_ONCE) -> DataFrame:
+    """The whole run (O1 + L1/L2): validate every table and write the status
+    rows below ``trigger_path`` and the error rows below ``log_path``.
+
+    Each log is a folder with one ``run_id=<id>`` part per run, written with
+    overwrite: a run that is repeated under the same ``run_id`` replaces its
+    own rows.  Status ids continue after the highest id of the other runs.
+    Returns the per-table status (flag, stages passed, row count)."""
     import os
     import uuid
 
-    from pyspark.errors import AnalysisException
-
     from veritab.functions.constants import DEFAULT_ENVIRONMENT, DEFAULT_SOURCE
     from veritab.plans import logs
-    from veritab.session import ensure_checkpoint_dir
-    from veritab.sources.sinks import append_rows
 
     run_id = run_id or uuid.uuid4().hex
-    verdicts = run_verdicts(spark, specs, references, compat, fail_fast=fail_fast,
-                            tables_per_job=tables_per_job, run_id=run_id)
-    if not tables_per_job or fail_fast:
-        path = os.path.join(ensure_checkpoint_dir(spark), "verdicts", run_id, "all")
-        # every branch ends in a global aggregate behind an exchange, so one
-        # task only gathers the final verdict rows (one file, not one per check)
-        verdicts.coalesce(1).write.mode("overwrite").parquet(path)
-        verdicts = spark.read.parquet(path).select(*VERDICT_COLUMNS)
-    try:
-        id_base = spark.read.parquet(trigger_path).agg(F.max("id_trigger")).first()[0] or 0
-    except AnalysisException:          # first run: no status rows yet
-        id_base = 0
+    verdicts = run_verdicts(spark, specs, references, compat, fail_fast, tables_at_once)
+    id_base = _highest_id(spark, trigger_path, run_id)
     # ids of one run are id_base + table_seq*10 + n: leave room for the run
     id_base = ((id_base // 10) + 1) * 10 if id_base else 0
     env = environment or DEFAULT_ENVIRONMENT
     src = source or DEFAULT_SOURCE
-    append_rows(logs.trigger_rows(verdicts, run_ts, env, src, id_base), trigger_path)
-    append_rows(logs.validation_logs(verdicts, run_ts, src, id_base), log_path)
+    for frame, path in ((logs.trigger_rows(verdicts, run_ts, env, src, id_base), trigger_path),
+                        (logs.validation_logs(verdicts, run_ts, src, id_base), log_path)):
+        frame.coalesce(1).write.mode("overwrite").parquet(os.path.join(path, f"run_id={run_id}"))
     return logs.table_status(verdicts)
+
+
+def _highest_id(spark: SparkSession, trigger_path: str, run_id: str) -> int:
+    """Highest status id of the other runs; 0 before the first run."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        written = spark.read.parquet(trigger_path)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return 0
+        raise
+    if "run_id" in written.columns:
+        written = written.where(F.col("run_id").cast("string") != run_id)
+    return written.agg(F.max("id_trigger")).first()[0] or 0

@@ -41,8 +41,7 @@ def li_view(spark: SparkSession, sf: str) -> DataFrame:
     price_txt: l_extendedprice as DECIMAL(12,2) text
     ship_txt:  yyyy-MM- + two-digit day (+40 when l_linenumber = 5) + ' +01'
     """
-    # heavy per-row text work: spread a single-split scan over the cores
-    li = _read(spark, sf, "lineitem", spread=True, by=["l_orderkey", "l_linenumber"])
+    li = _read(spark, sf, "lineitem")
     key_txt = F.col("l_partkey").cast("string")
     pk_txt = (F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
               .when(F.col("l_linenumber") == 6, F.concat(F.lit("x"), key_txt))
@@ -215,17 +214,14 @@ def q_ri_violations(spark, sf):
     documents = _read(spark, sf, "documents")
     nations, priorities, labels = allowed_nations(spark, sf), allowed_priorities(spark, sf), \
         _read(spark, sf, "labels")
-    small = references.bounded_references({"n": (nations, "n_nationkey"), "p": (priorities, "o_orderpriority"),
-                                           "l": (labels, "doc_id")})
     parts = [
-        references.reference_violations(customer, "c_nationkey", nations, "n_nationkey", broadcast=small["n"])
+        references.reference_violations(customer, "c_nationkey", nations, "n_nationkey")
         .select(F.lit("customer").alias("table_name"), F.lit("c_nationkey").alias("column_name"),
                 F.col("c_custkey").alias("row_key"), F.col("c_nationkey").cast("string").alias("value")),
-        references.reference_violations(orders, "o_orderpriority", priorities, "o_orderpriority",
-                                        broadcast=small["p"])
+        references.reference_violations(orders, "o_orderpriority", priorities, "o_orderpriority")
         .select(F.lit("orders").alias("table_name"), F.lit("o_orderpriority").alias("column_name"),
                 F.col("o_orderkey").alias("row_key"), F.col("o_orderpriority").alias("value")),
-        references.reference_violations(documents, "doc_id", labels, "doc_id", broadcast=small["l"])
+        references.reference_violations(documents, "doc_id", labels, "doc_id")
         .select(F.lit("documents").alias("table_name"), F.lit("doc_id").alias("column_name"),
                 F.col("doc_id").alias("row_key"), F.col("doc_id").cast("string").alias("value")),
     ]
@@ -235,9 +231,8 @@ def q_ri_violations(spark, sf):
 def q_ri_columns(spark, sf):
     """Per table, failing reference columns (incidences) and their names."""
     rules = reference_rules(spark, sf)
-    small = references.bounded_references({f"{t}.{c}": (ref, rc) for t, _, c, _, ref, rc in rules})
     per_column = _union([
-        references.reference_violation_count(df, col, ref, ref_col, broadcast=small[f"{table}.{col}"]).select(
+        references.reference_violation_count(df, col, ref, ref_col).select(
             F.lit(table).alias("table_name"), F.lit(pos).cast("int").alias("field_position"),
             F.lit(col).alias("column_name"), "violations")
         for table, pos, col, df, ref, ref_col in rules

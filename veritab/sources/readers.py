@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+class UnsupportedFormat(ValueError):
+    """A catalog row names a format that has no reader."""
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", *,
                header: bool | None = None, separator: str | None = None,
                schema: StructType | None = None, options: dict[str, str] | None = None) -> DataFrame:
@@ -36,7 +40,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", *,
         return getattr(reader, fmt)(path)
     if fmt == "jdbc":
         return reader.format("jdbc").option("dbtable", path).load()
-    raise ValueError(f"unsupported format {fmt!r}")
+    raise UnsupportedFormat(f"unsupported format {fmt!r}")
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: dict[str, str] | None = None,
@@ -68,59 +72,11 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: dict[str
     return reader.load()
 
 
-def read_driver_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False,
-                      by: list[str] | None = None) -> DataFrame:
-    """One of the benchmark tables: ``<sf_dir>/<name>.parquet``.
-
-    Each benchmark file is a single parquet row group, which Spark cannot
-    split: the scan yields one non-empty task whatever the file size.  With
-    ``spread`` such a scan is spread over the cluster's cores (see
-    :func:`spread_scan`)."""
-    df = _scan(spark, os.path.join(sf_dir, f"{name}.parquet"))
-    return spread_scan(df, by=by) if spread else df
-
-
-_SCANS: dict[tuple[int, str], DataFrame] = {}
-
-
-def _scan(spark: SparkSession, path: str) -> DataFrame:
-    """The scan of a read-only benchmark file, resolved once per session.
-
-    Like a table registered in a catalog, the file listing and the footer
-    schema are read once; every query still plans and executes the scan in
-    full.  A path that cannot be read is never remembered."""
-    key = (id(spark), path)
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _SCANS[key] = df
-    return df
-
-
-def spread_scan(df: DataFrame, min_tasks: int | None = None, by: list[str] | None = None) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores.
-
-    A real table (many files / row groups) already scans in at least that
-    many tasks, so this is a no-op there; it only helps unsplittable files
-    whose per-row checks (regex, date parsing) would otherwise run on one
-    core.  With ``by`` (high-cardinality key columns) rows are hash
-    partitioned: no pre-sort is needed for a deterministic retry, and a later
-    group-by on those keys reuses the partitioning.  Without it rows go
-    round-robin (Spark sorts them first so that a retried task sees the same
-    rows)."""
-    spark = df.sparkSession
-    want = min_tasks or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, *by) if by else df.repartition(want)
+def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the benchmark tables: ``<sf_dir>/<name>.parquet``."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def row_count(df: DataFrame) -> DataFrame:
     """Exact row count as a one-row BIGINT frame (no 32-bit overflow)."""
     return df.agg(F.count(F.lit(1)).cast("bigint").alias("row_count"))
-
-
-def row_count_scalar(df: DataFrame):
-    """Row count as a scalar-subquery Column, evaluated once and inlined as
-    a literal in the consuming plan (no join, no driver round trip)."""
-    return df.select(F.count(F.lit(1)).cast("bigint")).scalar()
