@@ -111,11 +111,11 @@ def _shrunk(children: DataFrame, parents: DataFrame, key: str, parent: str) -> D
     # spread = groups * noise within groups + the variance between them
     between = F.greatest(F.lit(0.0), (F.col("spread") - (groups - 1) * F.col("noise"))
                          / F.nullif(pages - F.col("squares") / pages, F.lit(0.0)))
-    strength = F.coalesce(F.least(F.lit(STRONGEST), F.greatest(F.lit(WEAKEST), F.col("noise") / F.nullif(between, F.lit(0.0)) - 1)),
-                          F.lit(STRONGEST))
-    return (with_parent.crossJoin(F.broadcast(fit.select(strength.alias("strength"))))
-            .select(key, "good", "bad", (F.col("good") + F.col("prior") * F.col("strength")).alias("a"),
-                    (F.col("bad") + (1 - F.col("prior")) * F.col("strength")).alias("b"))
+    fitted = F.least(F.lit(STRONGEST), F.greatest(F.lit(WEAKEST), F.col("noise") / F.nullif(between, F.lit(0.0)) - 1))
+    strength = fit.select(F.coalesce(fitted, F.lit(STRONGEST))).first()[0]  # one number per level
+    return (with_parent
+            .select(key, "good", "bad", (F.col("good") + F.col("prior") * strength).alias("a"),
+                    (F.col("bad") + (1 - F.col("prior")) * strength).alias("b"))
             .withColumn("mean", F.col("a") / (F.col("a") + F.col("b"))))
 
 
@@ -163,10 +163,10 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: tuple[PathRule, ...] = R
     named = page.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
     for level, table in (("host", hosts), ("domain", domains), ("suffix", suffixes)):
         named = named.join(_bounded(table.select(level, F.struct("a", "b").alias(f"_{level}"))), level, "left")
-    top = overall.select(F.struct(F.col("a").cast("double").alias("a"), F.col("b").cast("double").alias("b")).alias("_all"))
-    named = named.crossJoin(F.broadcast(top))  # one row
-    # an unlabelled host has its domain's mean with one page of weight, and so on upwards
-    nearest = F.coalesce("_host", "_domain", "_suffix", "_all")
+    whole = overall.first()  # two numbers
+    top = F.struct(F.lit(float(whole["a"])).alias("a"), F.lit(float(whole["b"])).alias("b"))
+    # an unlabelled host is judged by its domain, an unlabelled domain by its suffix, and so on upwards
+    nearest = F.coalesce("_host", "_domain", "_suffix", top)
     bound = F.least(F.lit(1.0), optimistic(nearest["a"], nearest["b"]))
     name, verdict = matched_rule(F.col("host"), F.col("path"), rules)
     return named.select(
