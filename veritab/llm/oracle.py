@@ -1,5 +1,101 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
+
+The others are tested against plain versions in tests/llm: 1 and 3 (learned
+scores), 2 and 10 (token ids), 5 (a seeded 64-bit hash that SQL lacks),
+7 (fitted priors), 8 (order by a 64-bit hash among equal ids), 9 (HTML).
+"""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from veritab.llm.quality_rules import REPEAT_WINDOW, RULES, STOP_WORDS
+from veritab.llm.decontamination import WINDOW
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(text: str) -> str:
+    return (f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), "
+            r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+
+_OP4 = f"""
+WITH item_words AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, {_words('text')} AS words FROM benchmark),
+item_runs AS (
+  SELECT item, least({WINDOW}, len(words)) AS n, words,
+         unnest(generate_series(1, len(words) - least({WINDOW}, len(words)) + 1)) AS i
+  FROM item_words WHERE len(words) > 0),
+known AS (SELECT DISTINCT item, n, array_to_string(words[i:i + n - 1], ' ') AS run FROM item_runs),
+lengths AS (SELECT DISTINCT n FROM known),
+doc_words AS (SELECT doc_id, {_words('text')} AS words FROM documents),
+doc_starts AS (
+  SELECT doc_id, n, words, unnest(generate_series(1, len(words) - n + 1)) AS i
+  FROM doc_words JOIN lengths ON len(words) >= n),
+hits AS (
+  SELECT DISTINCT doc_id, i, d.n, item
+  FROM (SELECT doc_id, n, i, array_to_string(words[i:i + n - 1], ' ') AS run FROM doc_starts) d
+  JOIN known k ON k.n = d.n AND k.run = d.run),
+spans AS (
+  SELECT doc_id, i, i + n AS stop,
+         max(i + n) OVER (PARTITION BY doc_id ORDER BY i, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached
+  FROM (SELECT DISTINCT doc_id, i, n FROM hits)),
+covered AS (
+  SELECT doc_id, sum(greatest(0, stop - greatest(i, coalesce(reached, 0)))) AS n_hit FROM spans GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words w LEFT JOIN covered c ON c.doc_id = w.doc_id LEFT JOIN named m ON m.doc_id = w.doc_id
+"""
+
+
+def _rules() -> str:
+    tests = []
+    for r in RULES:
+        value = f"CAST({r.numerator} AS DOUBLE)" + (f" / nullif({r.denominator}, 0)" if r.denominator else "")
+        bounds = [f"{value} >= {r.low}"] * (r.low is not None) + [f"{value} <= {r.high}"] * (r.high is not None)
+        tests.append(f"(n_words < {r.least_words} OR coalesce({' AND '.join(bounds)}, true))")
+    return " AND ".join(tests)
+
+
+_CASES = ", ".join(f"'{w}'" for w in sorted({f for w in STOP_WORDS for f in (w, w.capitalize(), w.upper())}))
+_NEXT = " ".join(f"|| ' ' || lead(w, {k}) OVER text_order" for k in range(1, REPEAT_WINDOW))
+_OP6 = rf"""
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+tokens AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM split),
+windows AS (
+  SELECT doc_id, i, w {_NEXT} AS run FROM tokens WINDOW text_order AS (PARTITION BY doc_id ORDER BY i)),
+runs AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, run) AS n FROM windows WHERE run IS NOT NULL),
+covered AS (
+  SELECT doc_id, sum(least({REPEAT_WINDOW}, step)) AS n FROM (
+    SELECT doc_id, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, {REPEAT_WINDOW}) AS step
+    FROM runs WHERE n > 1) GROUP BY doc_id),
+counts AS (
+  SELECT s.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(len(list_filter(words, lambda w: w IN ({_CASES}))) AS BIGINT) AS n_stop_words,
+         CAST(len(regexp_extract_all(text, '\p{{Lu}}')) AS BIGINT) AS n_capitals,
+         CAST(len(regexp_extract_all(text, '!')) AS BIGINT) AS n_exclamations,
+         CAST(len(regexp_extract_all(text, '(?m)^[\x20\t]*(?:[-*•]|\d+[.)])[\x20\t]')) AS BIGINT) AS n_list_lines,
+         CAST(len(regexp_extract_all(text, '(?m)(?:\.\.\.|…)[\x20\t]*$')) AS BIGINT) AS n_open_lines
+  FROM split s LEFT JOIN covered c ON c.doc_id = s.doc_id),
+failed AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts)
+SELECT *, NOT base_failed AND {_rules()} AS kept FROM failed
+"""
+
+SQL: dict[str, str] = {
+    "op4_decontamination": _OP4,
+    "op6_quality_rules": _OP6,
+}

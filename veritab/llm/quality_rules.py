@@ -110,8 +110,8 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.col(id_col).alias("doc_id"), of_words.alias("w"), of_lines.alias("l"),
         _count(text, r"[#*$%&|<>]").alias("n_symbols"), _count(text, r"\p{Lu}").alias("n_capitals"),
         _count(text, r"!").alias("n_exclamations"),
-        _count(text, r"(?m)^[\x20\t]*(?:[-*•]|\d+[.)])[\x20\t]").alias("n_list_lines"),
-        _count(text, r"(?m)(?:\.\.\.|…)[\x20\t]*$").alias("n_open_lines"))
+        _count(text, r"(?dm)^[\x20\t]*(?:[-*•]|\d+[.)])[\x20\t]").alias("n_list_lines"),
+        _count(text, r"(?dm)(?:\.\.\.|…)[\x20\t]*$").alias("n_open_lines"))
     return counts.select("doc_id", "w.n_words", "w.word_chars", "n_symbols", "l.n_dup_lines", "w.n_repeat_words",
                          "l.n_lines", "w.n_stop_words", "n_capitals", "n_exclamations", "n_list_lines", "n_open_lines")
 
