@@ -2,13 +2,14 @@
 
 The others are tested against plain versions in tests/llm: 1 and 3 (learned
 scores), 2 and 10 (token ids), 5 (a seeded 64-bit hash that SQL lacks),
-7 (fitted priors), 8 (order by a 64-bit hash among equal ids), 9 (HTML).
+7 (fitted priors), 9 (HTML).
 """
 
 from __future__ import annotations
 
-from veritab.llm.quality_rules import REPEAT_WINDOW, RULES, STOP_WORDS
 from veritab.llm.decontamination import WINDOW
+from veritab.llm.line_dedup import RUN_WORDS
+from veritab.llm.quality_rules import REPEAT_WINDOW, RULES, STOP_WORDS
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -95,7 +96,41 @@ failed AS (
 SELECT *, NOT base_failed AND {_rules()} AS kept FROM failed
 """
 
+_OP8 = rf"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
+  FROM documents WHERE text IS NOT NULL),
+units AS (
+  SELECT doc_id, line_no, trim(line, ' ') AS line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM lines),
+placed AS (
+  SELECT *, row_number() OVER text_order AS i, sum(n) OVER text_order AS upto
+  FROM units WHERE n > 0 WINDOW text_order AS (PARTITION BY doc_id ORDER BY line_no)),
+runs AS (
+  SELECT a.doc_id, a.i AS first, b.i AS last
+  FROM placed a JOIN placed b ON a.doc_id = b.doc_id AND a.i <= b.i AND b.upto - a.upto + a.n >= {RUN_WORDS}
+                             AND b.i - a.i < {RUN_WORDS}),
+spans AS (
+  SELECT doc_id, max(first) AS first, last FROM runs GROUP BY doc_id, last
+  UNION SELECT doc_id, first, min(last) FROM runs GROUP BY doc_id, first),
+texts AS (
+  SELECT doc_id, list(line ORDER BY i) AS all_lines, list(line_no ORDER BY i) AS numbers FROM placed GROUP BY doc_id),
+windows AS (
+  SELECT s.doc_id, first, numbers[first:last] AS numbers,
+         row_number() OVER (PARTITION BY array_to_string(all_lines[first:last], chr(10)) ORDER BY s.doc_id, first) AS k
+  FROM spans s JOIN texts t ON t.doc_id = s.doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(numbers) AS line_no FROM windows WHERE k > 1),
+rebuilt AS (
+  SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.line_no) FILTER (WHERE g.line_no IS NULL) AS text,
+         count(*) AS n_lines, count(g.line_no) AS n_deleted
+  FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.line_no = l.line_no GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(r.text, '') END AS text,
+       CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_deleted, 0) AS BIGINT) AS n_deleted
+FROM documents d LEFT JOIN rebuilt r ON r.doc_id = d.doc_id
+"""
+
 SQL: dict[str, str] = {
     "op4_decontamination": _OP4,
     "op6_quality_rules": _OP6,
+    "op8_line_dedup": _OP8,
 }
