@@ -20,9 +20,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 #: entries after which a worker's piece table starts anew
-TABLE_ENTRIES = 800_000
+TABLE_ENTRIES = 500_000
 #: bytes of text that are encoded at a time
-SLICE_BYTES = 32 << 20
+SLICE_BYTES = 16 << 20
 #: longer pieces are encoded each time instead of kept
 LONGEST_KEPT_PIECE = 64
 #: id appended to every document
@@ -130,19 +130,23 @@ class BatchEncoder:
         per_text = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         encoded = [self.encode(c) for c in chunks.dictionary.to_pylist()]
         encoded.append(np.array([END_ID], dtype="<u4").tobytes())
+        # a slice holds far fewer than 2 ** 31 ids, unless one text alone has more
         size = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded)) >> 2
         first = np.cumsum(size) - size
         pool = np.frombuffer(b"".join(encoded), dtype="<u4")
-        code = np.full(len(chunks) + len(texts), len(encoded) - 1, dtype=np.int64)
-        is_end = np.zeros(len(code), dtype=bool)
+        del encoded
+        code = np.full(len(chunks) + len(texts), len(size) - 1, dtype=np.int32)
         ends = np.cumsum(per_text + 1) - 1
-        is_end[ends] = True
-        code[~is_end] = chunks.indices.to_numpy(zero_copy_only=False)
+        is_chunk = np.ones(len(code), dtype=bool)
+        is_chunk[ends] = False
+        code[is_chunk] = chunks.indices.to_numpy(zero_copy_only=False)
+        del lists, chunks, is_chunk
         n = size[code]
         upto = np.cumsum(n)
         total = int(upto[-1]) if len(upto) else 0
-        take = np.repeat(first[code] - (upto - n), n)
-        take += np.arange(total)
+        small = np.int32 if total < 1 << 31 and len(pool) < 1 << 31 else np.int64
+        take = np.repeat((first[code] - (upto - n)).astype(small), n)
+        take += np.arange(total, dtype=small)
         return pool[take], np.concatenate([[0], upto[ends]]).astype(np.int64)
 
 
