@@ -6,7 +6,7 @@ import pytest
 
 from veritab.operators import header as H
 from veritab.operators import metadata as M
-from veritab.schemas import FILE_CONFIGURATION, SEMANTIC_LAYER
+from veritab.schemas import FILE_CONFIGURATION, PROCESS_VALIDATION_LOGS, SEMANTIC_LAYER, TRIGGER_CONTROL
 from veritab.sources import (
     append_rows, empty_frame, literal_frame, read_table, row_count, schema_clone,
 )
@@ -68,10 +68,28 @@ def test_metadata_constraints(spark):
     r = rules(spark, [("1", 1, "x", False, None), ("1", 1, "y", False, None), ("9", 1, "z", False, None)])
     got = {(x["kind"], x["table_name"], x["column_name"]): x["violations"]
            for x in M.metadata_constraint_violations(cat, r).collect()}
-    assert got[("unique", "catalog", "id_type_file")] == 1
-    assert got[("unique", "rules", "id_type_file, field_position")] == 1
-    assert got[("foreign_key", "rules", "id_type_file")] == 1
-    assert got[("not_null", "catalog", "id_type_file")] == 0
+    assert got[("unique", "file_configuration", "id_type_file")] == 1
+    assert got[("foreign_key", "semantic_layer", "id_type_file")] == 1
+    assert got[("not_null", "file_configuration", "id_type_file")] == 0
+    assert got[("max_length", "file_configuration", "id_type_file")] == 0
+    long = catalog(spark, [("123456", "a" * 256, "p", True)])
+    got = {(x["kind"], x["column_name"]): x["violations"] for x in M.metadata_constraint_violations(long, r).collect()
+           if x["table_name"] == "file_configuration"}
+    assert got[("max_length", "id_type_file")] == got[("max_length", "type_file_name")] == 1
+
+
+def test_log_constraints(spark):
+    import datetime as dt
+
+    cat = catalog(spark, [("1", "a", "p", True)])
+    now, day = dt.datetime(2025, 1, 1), dt.date(2025, 1, 1)
+    triggers = literal_frame(spark, [(11, "1", "a", "PRE", "s", day, now, 1.0, 1, 5), (11, "9", "a", "PRE", "s", day, now, 2.0, 1, 5)],
+                             TRIGGER_CONTROL)
+    errors = literal_frame(spark, [(12, 2, "s", "Technical", "a", None, None, 1, 32.0, now, day, 1)], PROCESS_VALIDATION_LOGS)
+    broken = {(x["kind"], x["table_name"], x["column_name"])
+              for x in M.log_constraint_violations(cat, triggers, errors).where("not passed").collect()}
+    assert broken == {("unique", "trigger_control", "id_trigger"), ("foreign_key", "trigger_control", "id_type_file"),
+                      ("foreign_key", "process_validation_logs", "id_trigger")}
 
 
 def test_csv_header_and_separator(spark, tmp_path):

@@ -62,3 +62,16 @@ def test_row_count_is_a_scalar_subquery(spark, sf):
 def test_prefix_filter_pushed_to_scan(spark, sf):
     p = plan(Q.q_prefix_violations(spark, sf))
     assert "Not(StringStartsWith(url,https))" in p
+
+
+def test_wide_tables_stay_compiled(spark):
+    from veritab.functions.rules import make_rule
+
+    kinds = ["INT", "DECIMAL(6,2)", "STRING"]
+    df = spark.range(100).selectExpr(*[f"cast(id + {i} as string) c{i}" for i in range(150)])
+    d = T.column_violation_counts(df, [make_rule(f"c{i}", kinds[i % 3], 5, position=i) for i in range(150)])
+    assert d.count() == 150
+    d.collect()
+    final = d._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    aggregates = [line for line in final.splitlines() if "HashAggregate" in line]
+    assert len(aggregates) == 2 and all("*(" in line for line in aggregates)

@@ -15,6 +15,7 @@ import argparse
 import sys
 
 from veritab.functions import constants as K
+from veritab.operators.metadata import metadata_constraint_violations
 from veritab.plans.staged_run import TABLES_AT_ONCE, FunctionalSpec, specs_from_metadata, validate_and_log
 from veritab.schemas import FILE_CONFIGURATION, SEMANTIC_LAYER
 from veritab.session import get_session
@@ -61,6 +62,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session()
     catalog = _read_meta(spark, args.catalog, FILE_CONFIGURATION)
     rules = _read_meta(spark, args.rules, SEMANTIC_LAYER)
+    broken = metadata_constraint_violations(catalog, rules).where("not passed").collect()
+    for r in broken:
+        print(f"{r['table_name']}.{r['column_name']}: {r['violations']} violations of {r['kind']}", file=sys.stderr)
+    if broken:
+        return 2
     ref_paths = dict(r.split("=", 1) for r in args.reference)
 
     options = dict(o.split("=", 1) for o in args.option)

@@ -6,10 +6,6 @@ and the declared-decimal format.  Listed plainly, in natural order.
 """
 
 # --- fixed values: stages (id, name) --------------------------------------
-STAGE_HEADER = 1
-STAGE_TECHNICAL = 2
-STAGE_REFERENCE = 3
-STAGE_FUNCTIONAL = 4
 STAGE_NAMES = {
     1: "Header",
     2: "Technical",
@@ -19,7 +15,6 @@ STAGE_NAMES = {
 
 # --- fixed values: status flags ---------------------------------------------
 FLAG_READ = 1.0             # table read, run started
-FLAG_PROCESSING = 1.1       # assigned while processing, never written
 FLAG_HEADER_OK = 1.2        # header passed
 FLAG_TECHNICAL_OK = 1.2     # technical passed (same value as header)
 FLAG_REFERENCE_OK = 1.3     # referential integrity passed

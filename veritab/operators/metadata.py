@@ -7,12 +7,16 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from veritab.functions.names import col
 from veritab.operators.references import reference_violation_count
 from veritab.operators.technical import key_duplicates
+from veritab.schemas import (
+    DECLARED_LENGTHS, FILE_CONFIGURATION, PROCESS_VALIDATION_LOGS, SEMANTIC_LAYER, TRIGGER_CONTROL,
+)
 
 
 def select_tables(catalog: DataFrame, ids: Sequence[str] | None = None, ordered: bool = True) -> DataFrame:
@@ -64,20 +68,22 @@ def split_reference(target: str) -> tuple[str, str]:
 @dataclass(frozen=True)
 class Constraint:
     """A declared constraint: ``not_null`` / ``unique`` on ``columns`` of
-    ``table``, or ``foreign_key`` from ``columns[0]`` to ``parent.parent_column``."""
+    ``table``, ``max_length`` characters in ``columns[0]``, or ``foreign_key``
+    from ``columns[0]`` to ``parent.parent_column``."""
 
     kind: str
     table: str
     columns: tuple[str, ...]
     parent: str | None = None
     parent_column: str | None = None
+    length: int | None = None
 
 
 def constraint_violations(frames: dict[str, DataFrame], constraints: Sequence[Constraint]) -> DataFrame:
     """M7: one row per constraint: kind, table_name, column_name, reference,
     violations (null rows, duplicated keys, or orphan rows), passed.
 
-    All NOT NULL constraints of a table are counted in ONE aggregate over it,
+    All NOT NULL and length constraints of a table are counted in ONE aggregate over it,
     UNIQUE groups by the key (partial aggregation first), FOREIGN KEY counts
     orphans with an anti-join on distinct values."""
     def labelled(v: DataFrame, c: Constraint) -> DataFrame:
@@ -88,10 +94,10 @@ def constraint_violations(frames: dict[str, DataFrame], constraints: Sequence[Co
                         (F.col("violations") == 0).alias("passed"))
 
     rows = []
-    not_null: dict[str, list[Constraint]] = {}
+    row_wise: dict[str, list[Constraint]] = {}
     for c in constraints:
-        if c.kind == "not_null":
-            not_null.setdefault(c.table, []).append(c)
+        if c.kind in ("not_null", "max_length"):
+            row_wise.setdefault(c.table, []).append(c)
         elif c.kind == "unique":
             v = key_duplicates(frames[c.table], list(c.columns)).agg(
                 F.count(F.lit(1)).cast("bigint").alias("violations"))
@@ -101,12 +107,15 @@ def constraint_violations(frames: dict[str, DataFrame], constraints: Sequence[Co
             rows.append(labelled(v, c))
         else:
             raise ValueError(f"unknown constraint kind {c.kind!r}")
-    for table, group in not_null.items():
-        one = frames[table].agg(*[
-            F.count_if(reduce(or_, [col(x).isNull() for x in c.columns])).cast("bigint").alias(f"__n{i}")
-            for i, c in enumerate(group)])
+    def broken(c: Constraint) -> Column:
+        if c.kind == "max_length":
+            return F.char_length(col(c.columns[0]).cast("string")) > c.length
+        return reduce(or_, [col(x).isNull() for x in c.columns])
+
+    for table, group in row_wise.items():
+        one = frames[table].agg(*[F.count_if(broken(c)).cast("bigint").alias(f"__n{i}") for i, c in enumerate(group)])
         rows.append(one.select(F.inline(F.array(*[
-            F.struct(F.lit("not_null").alias("kind"), F.lit(table).alias("table_name"),
+            F.struct(F.lit(c.kind).alias("kind"), F.lit(table).alias("table_name"),
                      F.lit(", ".join(c.columns)).alias("column_name"),
                      F.lit(None).cast("string").alias("reference"), F.col(f"__n{i}").alias("violations"),
                      (F.col(f"__n{i}") == 0).alias("passed"))
@@ -114,18 +123,36 @@ def constraint_violations(frames: dict[str, DataFrame], constraints: Sequence[Co
     return reduce(DataFrame.unionByName, rows)
 
 
+def _declared(name: str, schema: StructType) -> list[Constraint]:
+    """NOT NULL and length constraints of a fixed table."""
+    return ([Constraint("not_null", name, (f.name,)) for f in schema.fields if not f.nullable]
+            + [Constraint("max_length", name, (c,), length=n) for c, n in DECLARED_LENGTHS.get(name, {}).items()])
+
+
 # constraints the catalog and rules tables declare
 METADATA_CONSTRAINTS = (
-    Constraint("not_null", "catalog", ("id_type_file",)),
-    Constraint("not_null", "catalog", ("type_file_name",)),
-    Constraint("unique", "catalog", ("id_type_file",)),
-    Constraint("not_null", "rules", ("id_type_file",)),
-    Constraint("not_null", "rules", ("field_name",)),
-    Constraint("unique", "rules", ("id_type_file", "field_position")),
-    Constraint("foreign_key", "rules", ("id_type_file",), "catalog", "id_type_file"),
+    *_declared("file_configuration", FILE_CONFIGURATION),
+    Constraint("unique", "file_configuration", ("id_type_file",)),
+    *_declared("semantic_layer", SEMANTIC_LAYER),
+    Constraint("foreign_key", "semantic_layer", ("id_type_file",), "file_configuration", "id_type_file"),
+)
+
+# constraints the two log tables declare
+LOG_CONSTRAINTS = (
+    *_declared("trigger_control", TRIGGER_CONTROL),
+    Constraint("unique", "trigger_control", ("id_trigger",)),
+    Constraint("foreign_key", "trigger_control", ("id_type_file",), "file_configuration", "id_type_file"),
+    *_declared("process_validation_logs", PROCESS_VALIDATION_LOGS),
+    Constraint("foreign_key", "process_validation_logs", ("id_trigger",), "trigger_control", "id_trigger"),
 )
 
 
 def metadata_constraint_violations(catalog: DataFrame, rules: DataFrame) -> DataFrame:
     """M7 on the metadata itself, checked before a run."""
-    return constraint_violations({"catalog": catalog, "rules": rules}, METADATA_CONSTRAINTS)
+    return constraint_violations({"file_configuration": catalog, "semantic_layer": rules}, METADATA_CONSTRAINTS)
+
+
+def log_constraint_violations(catalog: DataFrame, triggers: DataFrame, errors: DataFrame) -> DataFrame:
+    """M7 on the two log tables."""
+    return constraint_violations({"file_configuration": catalog, "trigger_control": triggers,
+                                  "process_validation_logs": errors}, LOG_CONSTRAINTS)

@@ -1,5 +1,5 @@
-"""Fixed schemas: catalog, column rules, allowed values, the two log tables
-and the verdict frame every check returns."""
+"""Fixed schemas (values that have to match): catalog, column rules, allowed
+values and the two log tables, with the lengths and keys they declare."""
 
 from __future__ import annotations
 
@@ -80,17 +80,15 @@ PROCESS_VALIDATION_LOGS = _s(
     ("timestamp_load", LongType(), False),
 )
 
-# what every check reports: one row per (table, rule, column)
-VERDICT = _s(
-    ("table_id", StringType(), False),
-    ("table_name", StringType(), False),
-    ("stage", IntegerType(), False),
-    ("rule", StringType(), False),
-    ("column_name", StringType(), True),
-    ("violations", LongType(), True),
-    ("incidences", LongType(), False),
-    ("passed", BooleanType(), False),
-    ("message", StringType(), True),
-)
-
-VERDICT_COLUMNS = [f.name for f in VERDICT.fields]
+# declared text lengths: table -> column -> characters
+DECLARED_LENGTHS = {
+    "file_configuration": {
+        "id_type_file": 5, "type_file_name": 255, "file_format": 50, "source": 50, "origin_path": 255,
+        "periodicity": 50, "separator": 50, "user_id": 50,
+    },
+    "semantic_layer": {
+        "id_type_file": 5, "field_name": 255, "field_description": 255, "data_type": 255, "length": 255,
+        "decimal_symbol": 255, "referential_bbdd": 255, "referential_table_field_name": 255,
+    },
+    "trigger_control": {"id_type_file": 5},
+}

@@ -19,6 +19,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # one aggregate holds a table's column rules: keep it compiled for tables of several hundred columns
+    "spark.sql.codegen.maxFields": "1000",
     # no Python call-site capture per Column call: plans with hundreds of
     # rule expressions are built several times faster (only error messages
     # lose the Python line that built the failing expression)
