@@ -50,7 +50,7 @@ def test_code_lengths_are_optimal_and_limited():
     rng = random.Random(2)
     for n in (1, 2, 3, 30, 300):
         counts = {s * 3: int(2 ** rng.uniform(0, 30)) for s in range(n)}
-        lengths = token_output.code_lengths(counts, 30)
+        lengths = token_output.code_lengths(counts, 60)  # long enough not to bind
         heap = [(c, i) for i, c in enumerate(counts.values())]
         heapq.heapify(heap)
         cost = 0

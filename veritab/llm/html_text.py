@@ -77,7 +77,7 @@ def blocks(page: str) -> list[Block]:
     def close_block() -> None:
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            found.append(Block(text, len(html.unescape("".join(links)).split()), heading, articles > 0, asides > 0))
+            found.append(Block(text, len(html.unescape(" ".join(links)).split()), heading, articles > 0, asides > 0))
         pieces.clear()
         links.clear()
 
@@ -188,7 +188,7 @@ def main_text(page: str, tree: Tree) -> str:
     """The article's blocks, one a line."""
     found = blocks(page)
     words = [0, *(len(b.text.split()) for b in found), 0]
-    density = [0.0, *(b.link_words / max(n, 1) for b, n in zip(found, words[1:])), 0.0]
+    density = [0.0, *(min(1.0, b.link_words / max(n, 1)) for b, n in zip(found, words[1:])), 0.0]
     kept = []
     for i, b in enumerate(found, 1):
         row = (words[i], density[i], words[i - 1], density[i - 1], words[i + 1], density[i + 1],
