@@ -176,6 +176,8 @@ LABELLED = (
     (4, 0.75, 60, 0.0, 3, 1.0, 0, 0, 0, 0), (30, 0.8, 12, 1.0, 20, 0.9, 0, 0, 0, 0),
     (2, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0), (3, 0.0, 1, 1.0, 1, 1.0, 1, 0, 0, 0),
     (6, 0.5, 3, 1.0, 4, 0.5, 0, 0, 0, 0), (15, 0.6, 50, 0.0, 10, 1.0, 0, 0, 0, 0),
+    (2, 1.0, 0, 0.0, 40, 0.0, 0, 0, 0, 0), (5, 1.0, 60, 0.0, 45, 0.0, 0, 0, 0, 0),
+    (12, 0.9, 40, 0.0, 40, 0.0, 0, 0, 0, 0), (7, 1.0, 30, 0.0, 0, 0.0, 0, 0, 0, 0),
 )
 
 
