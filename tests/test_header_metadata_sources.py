@@ -7,6 +7,7 @@ import pytest
 from veritab.operators import header as H
 from veritab.operators import metadata as M
 from veritab.schemas import FILE_CONFIGURATION, PROCESS_VALIDATION_LOGS, SEMANTIC_LAYER, TRIGGER_CONTROL
+from veritab.sources.readers import UNPARSED
 from veritab.sources import (
     append_rows, empty_frame, literal_frame, read_table, row_count, schema_clone,
 )
@@ -96,12 +97,30 @@ def test_csv_header_and_separator(spark, tmp_path):
     p = tmp_path / "t.csv"
     p.write_text("a;b\n1;x\n2;\n")
     df = read_table(spark, str(p), "csv", header=True, separator=";")
-    assert df.columns == ["a", "b"]
-    assert [tuple(r) for r in df.collect()] == [("1", "x"), ("2", None)]   # text kept, empty is null
+    assert df.columns == ["a", "b", UNPARSED]
+    assert [tuple(r) for r in df.collect()] == [("1", "x", None), ("2", None, None)]   # text kept, empty is null
     df = read_table(spark, str(p), "csv", header=False, separator=";")
     assert df.count() == 3
 
 
+def test_csv_surplus_fields_are_violations(spark, tmp_path):
+    from veritab.functions.rules import make_rule
+    from veritab.plans.staged_run import TableSpec, run_verdicts
+
+    p = tmp_path / "t.csv"
+    p.write_text("a,b\n1,x\n3,4,SURPLUS\n5\n")
+    rules = [make_rule("a", "INT", 3, position=1), make_rule("b", "STRING", 3, position=2)]
+    for header in (True, False):
+        if not header:
+            p.write_text("1,x\n3,4,SURPLUS\n5\n")
+        df = read_table(spark, str(p), "csv", header=header)
+        assert [r[UNPARSED] for r in df.collect()] == [None, "3,4,SURPLUS", "5"]
+        v = {r["rule"]: r for r in run_verdicts(
+            spark, [TableSpec("t", "t", header, lambda d=df: d, rules)], lambda name: None).collect()}
+        assert v["header"]["passed"] and v["type:INT"]["passed"]
+        assert (v["record"]["violations"], v["record"]["passed"], v["record"]["stage"]) == (2, False, 2)
+
+
 def test_row_count_schema_clone_empty(spark):
     df = spark.createDataFrame([(1,), (2,)], "a int")
     assert row_count(df).first()["row_count"] == 2

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from veritab.sources.readers import UnsupportedFormat
+from veritab.sources.readers import UNPARSED, UnsupportedFormat
 
 #: errors that Spark itself reports; errors of a caller's Python code are not among them
 SPARK_ERRORS = (CapturedException, Py4JJavaError)
@@ -63,7 +63,11 @@ def rename_by_position(df: DataFrame, expected_names: Sequence[str]) -> DataFram
 
 def arity_matches(df: DataFrame, expected_names: Sequence[str]) -> bool:
     """H3: the column count is checked explicitly before renaming."""
-    return len(df.columns) == len(expected_names)
+    return len(_data_columns(df)) == len(expected_names)
+
+
+def _data_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c != UNPARSED]
 
 
 @dataclass
@@ -83,7 +87,8 @@ def validate_header(load: Callable[[], DataFrame], has_header: bool,
     real error and propagates."""
     try:
         df = load()
-        columns = df.columns  # resolves the schema: a missing table fails here
+        # resolves the schema: a missing table fails here
+        columns = _data_columns(df)
     except READ_ERRORS:
         # missing path, unknown or unreadable format, JDBC failure; programming errors propagate
         return HeaderResult(None, False, "read", "table could not be read")
@@ -92,7 +97,8 @@ def validate_header(load: Callable[[], DataFrame], has_header: bool,
             return HeaderResult(df, True, "header", None, df)
         return HeaderResult(None, False, "header",
                             "header present but column names differ from the rules", df)
+    unparsed = [UNPARSED] if len(columns) < len(df.columns) else []
     if not arity_matches(df, expected_names):
         return HeaderResult(None, False, "arity",
                             "column count differs from the rules", df)
-    return HeaderResult(rename_by_position(df, expected_names), True, "header", None, df)
+    return HeaderResult(rename_by_position(df, [*expected_names, *unparsed]), True, "header", None, df)

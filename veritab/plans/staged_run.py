@@ -37,6 +37,7 @@ from veritab.operators.technical import count_if_exprs, key_summary
 from veritab.plans.verdicts import (
     VERDICT_COLUMNS, counted, entry, explode_entries, literal_verdicts, union_all,
 )
+from veritab.sources.readers import UNPARSED
 
 
 @dataclass(frozen=True)
@@ -162,7 +163,9 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
 
     df = hdr.frame
     fs = spec.functional
-    present = set(df.columns)
+    unparsed = UNPARSED in df.columns
+    n_columns = len(df.columns) - unparsed
+    present = set(df.columns) - {UNPARSED}
     broken: list[str] = []     # SQL struct entries of rules that cannot run
 
     def usable(stage, check_no, rule, cols) -> bool:
@@ -200,6 +203,10 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
 
     aggs = [F.count(F.lit(1)).cast("bigint").alias("__rows")]
     aggs += count_if_exprs(spec.rules, compat, prefix="__t")
+    # counted beside a tested column: a scan of the record text alone is not allowed
+    check_records = unparsed and bool(spec.rules)
+    if check_records:
+        aggs.append(F.count_if(F.col(UNPARSED).isNotNull()).alias("__records"))
     if fs and fs.required_column:
         aggs.append(F.count_if(col(fs.required_column).isin(list(fs.required_values))).alias("__req"))
     if fs and fs.pattern_column:
@@ -208,7 +215,7 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
     if fs and fs.cell_column:
         # row count as a scalar subquery: evaluated once, inlined as a literal
         row_count = df.select(F.count(F.lit(1)).cast("bigint")).scalar()
-        column_count = fs.cell_column_count if fs.cell_column_count is not None else len(df.columns)
+        column_count = fs.cell_column_count if fs.cell_column_count is not None else n_columns
         _, row_num, col_num = parse_cell(col(fs.cell_column))
         bad_cell = out_of_bounds(row_num, col_num, row_count, column_count, fs.cell_inclusive)
         if fs.cell_flag_unparsable:
@@ -221,6 +228,9 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
         v = f"__t{i}"
         inc, ok = counted(v)
         entries.append(e(2, i + 1, f"type:{r.kind}", r.field_name, v, inc, ok, _msg_type(r)))
+    if check_records:
+        inc, ok = counted("__records")
+        entries.append(e(2, 0, "record", None, "__records", inc, ok, "records with too many or too few fields"))
     if fs and fs.required_column:
         missing = "CASE WHEN __req = 0 THEN 1 ELSE 0 END"
         entries.append(e(4, 1, "required_any", ", ".join(fs.group_cols + (fs.required_column,)),

@@ -11,7 +11,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 class UnsupportedFormat(ValueError):
@@ -35,7 +35,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", *,
     if fmt == "parquet":
         return reader.parquet(path)
     if fmt == "csv":
-        return reader.csv(path, header=bool(header), sep=separator or ",", inferSchema=False)
+        return _read_csv(reader, path, header=bool(header), sep=separator or ",", schema=schema)
     if fmt in ("json", "orc"):
         return getattr(reader, fmt)(path)
     if fmt == "jdbc":
@@ -43,6 +43,22 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", *,
     raise UnsupportedFormat(f"unsupported format {fmt!r}")
 
 
+#: column of a CSV frame that holds a record with too many or too few fields as
+#: it was written (null for all others)
+UNPARSED = "__unparsed_record"
+
+
+def _read_csv(reader, path: str, header: bool, sep: str, schema: StructType | None) -> DataFrame:
+    """Text columns named by the header (or ``_c0`` ...), and ``UNPARSED``: a
+    surplus field is kept there instead of being cut off without a word."""
+    options = dict(header=header, sep=sep, inferSchema=False)
+    columns = schema or reader.csv(path, **options).schema
+    if not columns.fields or any(f.name == UNPARSED for f in columns.fields):
+        return reader.csv(path, **options)
+    whole = StructType([*columns.fields, StructField(UNPARSED, StringType(), True)])
+    return reader.schema(whole).option("columnNameOfCorruptRecord", UNPARSED).csv(path, **options)
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: dict[str, str] | None = None,
               partition_column: str | None = None, lower_bound: int | None = None,
               upper_bound: int | None = None, num_partitions: int | None = None,
