@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/veritab-llm/{uuid.uuid4().hex}/{name}"
 
 
+#: rows that a worker gets at a time while a table is written
+ARROW_ROWS = 2000
+_ARROW_ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs inside hand texts to Python in batches of at most ``ARROW_ROWS`` rows:
+    Spark keeps the buffers of the largest batch for the life of an executor."""
+    before = spark.conf.get(_ARROW_ROWS_SETTING)
+    if 0 < int(before) <= ARROW_ROWS:
+        yield
+        return
+    spark.conf.set(_ARROW_ROWS_SETTING, str(ARROW_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW_ROWS_SETTING, before)
+
+
 def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write ``df`` to a scratch table and read it back.
 
@@ -27,7 +48,8 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", codec).parquet(path)
+    with short_batches(spark):
+        df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -163,16 +163,29 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
         yield start, len(size) - start
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Short batches put together up to about ``SLICE_BYTES``."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= SLICE_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def map_ids(docs: DataFrame, path: str, schema: str,
             rows: Callable[[pa.Array, np.ndarray, np.ndarray], Iterator[pa.RecordBatch]]) -> DataFrame:
     """Encode (id, text) rows and map the ids to output rows.
 
     ``rows(row ids, token ids, starts)`` yields record batches of ``schema``.
-    Memory per task: one Arrow batch, one slice of its ids, the piece table.
+    Memory per task: one slice of texts with its ids, one Arrow batch, the piece table.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = BatchEncoder(path)
-        for batch in batches:
+        for batch in _gathered(batches):
             for at, n in _slices(batch.column(1)):
                 yield from rows(batch.column(0).slice(at, n), *encode(batch.column(1).slice(at, n)))
 
