@@ -2,7 +2,7 @@
 
 The others are tested against plain versions in tests/llm: 1 and 3 (learned
 scores), 2 and 10 (token ids), 5 (a seeded 64-bit hash that SQL lacks),
-7 (fitted priors), 9 (HTML).
+9 (HTML).
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from veritab.llm.decontamination import WINDOW
 from veritab.llm.line_dedup import RUN_WORDS
 from veritab.llm.quality_rules import REPEAT_WINDOW, RULES, STOP_WORDS
+from veritab.llm.url_reputation import FLOOR, RULES as PATH_RULES, STRONGEST, TWO_LABEL_SUFFIXES, WEAKEST, Z
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -129,8 +130,70 @@ SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(r.text, '') END AS t
 FROM documents d LEFT JOIN rebuilt r ON r.doc_id = d.doc_id
 """
 
+def _level(name: str, key: str, children: str) -> str:
+    """One level of shrinkage: ``children`` has key, good, bad, prior."""
+    return f"""
+{name}_in AS ({children}),
+{name}_fit AS (
+  SELECT greatest(0, (sum(n * pow(good / n - prior, 2)) - (count(*) - 1) * avg(prior * (1 - prior)))
+                     / nullif(sum(n) - sum(n * n) / sum(n), 0)) AS between_var,
+         avg(prior * (1 - prior)) AS noise
+  FROM (SELECT *, CAST(good + bad AS DOUBLE) AS n FROM {name}_in)),
+{name} AS (
+  SELECT {key}, good + prior * m AS a, bad + (1 - prior) * m AS b,
+         (good + prior * m) / (good + bad + m) AS mean
+  FROM {name}_in, (SELECT CASE WHEN between_var > 0 THEN least({STRONGEST}, greatest({WEAKEST}, noise / between_var - 1))
+                          ELSE {STRONGEST} END AS m FROM {name}_fit))"""
+
+
+def _chain(column: str) -> str:
+    rules = sorted(PATH_RULES, key=lambda r: -len(r.name))
+    return "CASE " + " ".join(
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') "
+        f"THEN '{getattr(r, column)}'" for r in rules) + " END"
+
+
+_SUFFIXES = ", ".join(f"'{s}'" for s in TWO_LABEL_SUFFIXES)
+_BOUND = f"""round(least(1.0, a / (a + b) + {Z} * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1))), 6)"""
+_OP7 = rf"""
+WITH urls AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+named AS (
+  SELECT *, CASE WHEN two IN ({_SUFFIXES}) THEN three ELSE two END AS domain,
+         CASE WHEN two IN ({_SUFFIXES}) THEN two ELSE labels[-1] END AS suffix
+  FROM (SELECT *, array_to_string(labels[-2:], '.') AS two, array_to_string(labels[-3:], '.') AS three
+        FROM (SELECT *, string_split(host, '.') AS labels FROM urls))),
+good_docs AS (SELECT doc_id, min(quality) * (1 - max(toxic)) AS good FROM labels GROUP BY doc_id),
+counts AS (
+  SELECT host, domain, suffix, sum(good) AS good, sum(1 - good) AS bad
+  FROM named JOIN good_docs ON doc_id = TRY_CAST(nullif(regexp_extract(path, '/(\d{{1,18}})(?:\.html|/)?$', 1), '') AS BIGINT)
+  WHERE good IS NOT NULL GROUP BY host, domain, suffix),
+whole AS (
+  SELECT CAST(coalesce(sum(good), 0) + 1 AS DOUBLE) AS a, CAST(coalesce(sum(bad), 0) + 1 AS DOUBLE) AS b FROM counts),
+{_level('suffixes', 'suffix', """
+  SELECT suffix, sum(good) AS good, sum(bad) AS bad, max(a / (a + b)) AS prior FROM counts, whole GROUP BY suffix""")},
+{_level('domains', 'domain', """
+  SELECT domain, g.good, g.bad, s.mean AS prior
+  FROM (SELECT domain, suffix, sum(good) AS good, sum(bad) AS bad FROM counts GROUP BY domain, suffix) g
+  JOIN suffixes s ON s.suffix = g.suffix""")},
+{_level('hosts', 'host', """
+  SELECT host, c.good, c.bad, d.mean AS prior FROM counts c JOIN domains d ON d.domain = c.domain""")},
+bounds AS (
+  SELECT page_id, n.host, path, coalesce(h.a, d.a, s.a, w.a) AS a, coalesce(h.b, d.b, s.b, w.b) AS b
+  FROM named n LEFT JOIN hosts h ON h.host = n.host LEFT JOIN domains d ON d.domain = n.domain
+  LEFT JOIN suffixes s ON s.suffix = n.suffix CROSS JOIN whole w)
+SELECT page_id, host, path, {_chain('name')} AS rule,
+       coalesce({_chain('verdict')}, CASE WHEN {_BOUND} < {FLOOR} THEN 'block' ELSE 'allow' END) AS verdict,
+       {_BOUND} AS bound
+FROM bounds
+"""
+
 SQL: dict[str, str] = {
     "op4_decontamination": _OP4,
     "op6_quality_rules": _OP6,
+    "op7_url_reputation": _OP7,
     "op8_line_dedup": _OP8,
 }

@@ -111,8 +111,9 @@ def _shrunk(children: DataFrame, parents: DataFrame, key: str, parent: str) -> D
     # spread = groups * noise within groups + the variance between them
     between = F.greatest(F.lit(0.0), (F.col("spread") - (groups - 1) * F.col("noise"))
                          / F.nullif(pages - F.col("squares") / pages, F.lit(0.0)))
-    fitted = F.least(F.lit(STRONGEST), F.greatest(F.lit(WEAKEST), F.col("noise") / F.nullif(between, F.lit(0.0)) - 1))
-    strength = fit.select(F.coalesce(fitted, F.lit(STRONGEST))).first()[0]  # one number per level
+    fitted = F.least(F.lit(STRONGEST), F.greatest(F.lit(WEAKEST), F.col("noise") / between - 1))
+    # no variance between the children: as strong as a prior may be
+    strength = fit.select(F.when(between > 0, fitted).otherwise(F.lit(STRONGEST))).first()[0]  # one number per level
     return (with_parent
             .select(key, "good", "bad", (F.col("good") + F.col("prior") * strength).alias("a"),
                     (F.col("bad") + (1 - F.col("prior")) * strength).alias("b"))
@@ -167,7 +168,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: tuple[PathRule, ...] = R
     top = F.struct(F.lit(float(whole["a"])).alias("a"), F.lit(float(whole["b"])).alias("b"))
     # an unlabelled host is judged by its domain, an unlabelled domain by its suffix, and so on upwards
     nearest = F.coalesce("_host", "_domain", "_suffix", top)
-    bound = F.least(F.lit(1.0), optimistic(nearest["a"], nearest["b"]))
+    bound = F.round(F.least(F.lit(1.0), optimistic(nearest["a"], nearest["b"])), 6)
     name, verdict = matched_rule(F.col("host"), F.col("path"), rules)
     return named.select(
         "page_id", "host", "path", name.alias("rule"),
