@@ -38,14 +38,16 @@ def duck(sf):
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.count() >= 0 and df.columns
+    assert df.count() > 0 and df.columns
 
 
-def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+def test_every_query_of_the_validation_library_has_an_oracle():
+    from veritab.queries import QUERIES
 
+    assert set(QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, sf, duck, name):
     df = E.queries()[name](spark, sf)
     cur = duck.execute(E.oracle_sql()[name])
