@@ -20,9 +20,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 #: entries after which a worker's piece table starts anew
-TABLE_ENTRIES = 500_000
+TABLE_ENTRIES = 400_000
 #: bytes of text that are encoded at a time
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 6 << 20
 #: longer pieces are encoded each time instead of kept
 LONGEST_KEPT_PIECE = 64
 #: id appended to every document
