@@ -27,4 +27,6 @@ def test_entry_module_loads_from_another_directory(tmp_path):
             "print(len(m.queries()), len(m.oracle_sql()))")
     out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True,
                          timeout=300)
-    assert out.returncode == 0 and out.stdout.split() == ["40", "40"]
+    assert out.returncode == 0, out.stderr
+    queries, oracles = map(int, out.stdout.split())
+    assert queries >= oracles >= 40  # optional parts add queries, some without SQL
