@@ -252,3 +252,28 @@ def test_html_edges(spark):
     assert len(rows) == 5 and [r["text"] for r in rows[:2]] == ["", ""]
     assert rows[2]["text"] == rows[3]["text"] and rows[4]["n_chars"] == 999_999
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+LONG = "Running text that a page is about, and that nobody would call a side matter of it. " * 6
+
+
+@pytest.mark.parametrize("page", [
+    '<body class="has-sidebar"><article><h1>Head line</h1><p>{}</article></body>',
+    '<html class="menu"><body id="search"><main class="with-comments comments"><h1>Head line</h1><p>{}</main></body>',
+    '<body><article class="share"><div class="article-header"><h1>Head line</h1></div><p>{}</article></body>',
+    '<div class="content no-sidebar"><h1>Head line</h1><p>{}</div>',
+    '<div class="banner widget"><article><h1>Head line</h1><p>{}</article><div class="ad">Buy it now</div></div>',
+    '<article><h1>Head line</h1><section id="search-trees"><p>{}</section></article>',
+    '<article><h1>Head line</h1><p class="share">{}</article>',
+    '<article><p class="share">Share it<h1>Head line</h1><p>{}</article>',
+    '<div class="notice">Short notice</div><div class="post"><h1>Head line</h1></div><div class="related"><p>{}</div>'
+    '<section id="comments"><article class="comment">Nice words of a reader</article></section>',
+])
+def test_names_do_not_decide_alone(page):
+    assert html_text.main_text(page.format(LONG), html_text.trained_tree()) == "Head line\n" + LONG.strip()
+
+
+def test_short_named_boxes_are_left_out():
+    page = ('<body class="has-sidebar"><div class="cookie-notice">We use cookies</div><article><p>{0}<div class="ad">Buy it now</div><p>{0}'
+            '<article class="comment"><p>Nice words of a reader</article></article><div id="comment-list"><p>So it is, he said</div></body>')
+    assert html_text.main_text(page.format(LONG), html_text.trained_tree()) == f"{LONG.strip()}\n{LONG.strip()}"

@@ -1,9 +1,19 @@
 """Main text of HTML pages (operator 9).
 
 A page becomes a flat list of text blocks in page order.  A block has its word
-count and link density, those of its neighbours, whether it is a heading, and
-what its surrounding elements are named.  A decision tree, trained on the small
-labelled table below, says which blocks are the article.
+count and link density, those of its neighbours, whether it is a heading,
+whether it stands in an article element or in an element for something else
+(``ASIDE_ELEMENTS``), and whether it stands in a box whose class, id or role
+has one of ``ASIDE_NAMES``.  A decision tree, trained on the small labelled
+table below, says which blocks are the article.  An element's kind outweighs
+the words; a box's name does not: long running text in a named box is kept.
+
+The html, body, main and article elements are never boxes by their names (an
+article inside another one, as reader comments are marked, may be), and no
+element is that contains the article: the main element, or the longest article
+element that has no such name itself, or, without any, ``MOST`` of the page's
+running words.  A name after no, with, has and the like does not count, nor
+does a header of an article, nor an id whose last word is something else.
 
 Defined results: null, empty and text-free pages give an empty text; unclosed
 and stray tags are tolerated; a comment, script or style without an end runs
@@ -40,11 +50,24 @@ ASIDE_NAMES = frozenset((
     "disclaimer discussion feedback footer header login masthead menu modal nav navbar navigation newsletter notice "
     "notices notification overlay pagination popup promo promotion recommended related replies reply respond "
     "search share sharing sidebar signup social sponsor sponsored subscribe tags toolbar widget").split())
+#: elements that no class or id makes an aside
+PAGE_ELEMENTS = frozenset("html body main article".split())
+#: a name after one of these says what there is or is not, not what the element is
+QUALIFIERS = frozenset("no not non without with has have hide show".split())
+#: names of an article: its header is not the page's
+ARTICLE_NAMES = frozenset("article post entry story content".split())
+#: words at the end of an id that leave open what it names
+GENERIC_NAMES = frozenset((
+    "area articles author bar block body bottom box button buttons column container content form inner item items left link "
+    "links list main meta outer panel posts primary right secondary section slot stories text top widgets wrap wrapper").split())
+#: share of a page's running words, without an article element, that only the article's surroundings hold
+MOST = 0.9
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>", re.S)
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_PARTS = re.compile(r"[_\-:]+")
 
 
 class Block(NamedTuple):
@@ -53,34 +76,88 @@ class Block(NamedTuple):
     heading: bool
     in_article: bool
     in_aside: bool
+    named: bool
+
+
+def _is_aside(name: str, in_article: bool) -> bool:
+    return name in ASIDE_ELEMENTS and not (name == "header" and in_article)
 
 
-def _is_aside(name: str, attributes: str, in_article: bool) -> bool:
-    if name in ASIDE_ELEMENTS and not (name == "header" and in_article):
-        return True
-    for groups in _NAMED.findall(attributes) if "=" in attributes else ():
-        parts = re.split(r"[\s_\-:]+", "".join(groups).lower())
-        if not ASIDE_NAMES.isdisjoint(parts):
-            return True
+def _is_named(attributes: str, in_article: bool) -> bool:
+    """Whether a class, id or role says that an element does not belong to an article."""
+    for kind, *values in _NAMED.findall(attributes) if "=" in attributes else ():
+        for name in "".join(values).lower().split():
+            parts = [x for x in _PARTS.split(name) if x and not x.isdigit()]
+            if kind.lower() == "id":  # an anchor is named by its last word
+                while parts and parts[-1] in GENERIC_NAMES:
+                    parts.pop()
+                if parts and parts[-1] not in ASIDE_NAMES:
+                    continue
+            of_article = in_article or not ARTICLE_NAMES.isdisjoint(parts)
+            for before, part in zip(["", *parts], parts):
+                if part in ASIDE_NAMES and before not in QUALIFIERS and not (part == "header" and of_article):
+                    return True
     return False
 
 
+class _Part(NamedTuple):
+    """A block, the named boxes around it and its outermost article element."""
+    block: Block
+    boxes: tuple[int, ...]
+    article: int | None
+
+
+def _around_article(parts: list[_Part], mains: set[int], articles: dict[int, tuple[int, ...]]) -> set[int]:
+    """The named boxes that contain the article."""
+    words = [0 if p.block.in_aside else max(0, len(p.block.text.split()) - p.block.link_words) for p in parts]
+    if mains:
+        return mains
+    if articles:
+        length = dict.fromkeys(articles, 0)
+        for p, n in zip(parts, words):
+            if p.article in length:
+                length[p.article] += n
+        return set(articles[max(length, key=length.get)])  # the first of the longest
+    held: dict[int, int] = {}
+    for p, n in zip(parts, words):
+        for box in p.boxes:
+            held[box] = held.get(box, 0) + n
+    return {box for box, n in held.items() if n > MOST * sum(words)}
+
+
 def blocks(page: str) -> list[Block]:
     """Text blocks of a page, without scripts, styles and comments."""
-    found: list[Block] = []
+    found: list[_Part] = []
     pieces: list[str] = []
     links: list[str] = []
-    open_elements: list[tuple[str, bool, bool]] = []  # name, makes an article, makes an aside
+    open_elements: list[tuple[str, bool, bool, bool]] = []  # name, makes an article, an aside, a named box
     articles = asides = anchors = 0
+    open_articles: list[int] = []  # article elements, main not counted
+    open_boxes: list[int] = []
+    mains: set[int] = set()  # boxes around a main element
+    candidates: dict[int, tuple[int, ...]] = {}  # article elements that may be the article, and the boxes around them
+    n_boxes = n_articles = 0
     heading = False
 
     def close_block() -> None:
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            found.append(Block(text, len(html.unescape(" ".join(links)).split()), heading, articles > 0, asides > 0))
+            block = Block(text, len(html.unescape(" ".join(links)).split()), heading, articles > 0, asides > 0, bool(open_boxes))
+            found.append(_Part(block, tuple(open_boxes), open_articles[0] if open_articles else None))
         pieces.clear()
         links.clear()
 
+    def leave(place: int) -> None:
+        nonlocal articles, asides
+        for name, article, out, box in open_elements[place:]:
+            articles -= article
+            asides -= out
+            if box:
+                open_boxes.pop()
+            if name == "article":
+                open_articles.pop()
+        del open_elements[place:]
+
     def add(text: str) -> None:
         if text:
             pieces.append(text)
@@ -116,8 +193,11 @@ def blocks(page: str) -> list[Block]:
             anchors = 0 if closing else 1
         elif name == "br":
             add(" ")
-        aside = name not in VOID_ELEMENTS and not closing and _is_aside(name, m[3], articles > 0)
-        if name not in BLOCK_ELEMENTS and not aside:
+        opening = not closing and name not in VOID_ELEMENTS
+        aside = opening and _is_aside(name, articles > 0)
+        named = opening and _is_named(m[3], articles > 0)
+        box = named and (name not in PAGE_ELEMENTS or name == "article" and bool(open_articles))
+        if name not in BLOCK_ELEMENTS and not box:
             if closing and any(e[0] == name for e in open_elements):
                 pass
             else:
@@ -128,62 +208,118 @@ def blocks(page: str) -> list[Block]:
         if closing:
             places = [i for i, e in enumerate(open_elements) if e[0] == name]
             if places:
-                for _, article, out in open_elements[places[-1]:]:
-                    articles -= article
-                    asides -= out
-                del open_elements[places[-1]:]
-        elif name not in VOID_ELEMENTS and (aside or name in ARTICLE_ELEMENTS or name in ("div", "section", "ul", "ol", "table")):
-            open_elements.append((name, name in ARTICLE_ELEMENTS, aside))
+                leave(places[-1])
+            continue
+        if open_elements and open_elements[-1][0] == "p":  # a block ends an open paragraph
+            leave(len(open_elements) - 1)
+        if opening and (aside or box or name in ARTICLE_ELEMENTS or name in ("div", "section", "ul", "ol", "table")):
+            if name == "main" and not asides:
+                mains.update(open_boxes)
+            elif name == "article":
+                if not (asides or named or open_articles):
+                    candidates[n_articles] = tuple(open_boxes)
+                open_articles.append(n_articles)
+                n_articles += 1
+            if box:
+                open_boxes.append(n_boxes)
+                n_boxes += 1
+            open_elements.append((name, name in ARTICLE_ELEMENTS, aside, box))
             articles += name in ARTICLE_ELEMENTS
             asides += aside
     add(page[at:])
     close_block()
-    return found
+    if not n_boxes:
+        return [p.block for p in found]
+    around = _around_article(found, mains, candidates)
+    return [p.block._replace(named=not around.issuperset(p.boxes)) for p in found]
 
 
 # -- tree ------------------------------------------------------------------
 
 #: features of a block, in the order of the table's columns
 FEATURES = ("words", "link_density", "words_before", "density_before", "words_after", "density_after",
-            "heading", "in_article", "in_aside")
+            "heading", "in_article", "in_aside", "named")
 
 #: labelled blocks: features, then whether the block belongs to the article
 LABELLED = (
     # articles that are marked as such
-    (45, 0.0, 9, 0.0, 60, 0.0, 0, 1, 0, 1), (3, 0.0, 60, 0.0, 40, 0.0, 0, 1, 0, 1),
-    (9, 0.0, 7, 0.0, 45, 0.0, 1, 1, 0, 1), (120, 0.02, 45, 0.0, 3, 0.0, 0, 1, 0, 1),
-    (1, 0.0, 30, 0.0, 8, 0.0, 0, 1, 0, 1), (12, 0.4, 80, 0.0, 80, 0.0, 0, 1, 0, 1),
-    (25, 0.1, 25, 0.0, 0, 0.0, 0, 1, 0, 1), (2, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1),
-    (8, 1.0, 50, 0.0, 50, 0.0, 0, 1, 0, 1), (400, 0.01, 6, 1.0, 12, 0.0, 0, 1, 0, 1),
+    (45, 0.0, 9, 0.0, 60, 0.0, 0, 1, 0, 0, 1), (3, 0.0, 60, 0.0, 40, 0.0, 0, 1, 0, 0, 1),
+    (9, 0.0, 7, 0.0, 45, 0.0, 1, 1, 0, 0, 1), (120, 0.02, 45, 0.0, 3, 0.0, 0, 1, 0, 0, 1),
+    (1, 0.0, 30, 0.0, 8, 0.0, 0, 1, 0, 0, 1), (12, 0.4, 80, 0.0, 80, 0.0, 0, 1, 0, 0, 1),
+    (25, 0.1, 25, 0.0, 0, 0.0, 0, 1, 0, 0, 1), (2, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 0, 1),
+    (8, 1.0, 50, 0.0, 50, 0.0, 0, 1, 0, 0, 1), (400, 0.01, 6, 1.0, 12, 0.0, 0, 1, 0, 0, 1),
     # what stands in an article element and does not belong to it
-    (11, 0.0, 45, 0.0, 60, 0.0, 0, 1, 1, 0), (40, 0.0, 60, 0.0, 35, 0.0, 0, 1, 1, 0),
-    (90, 0.0, 30, 0.0, 20, 0.0, 0, 1, 1, 0), (5, 1.0, 60, 0.0, 5, 1.0, 0, 1, 1, 0),
-    (3, 0.0, 45, 0.0, 12, 0.0, 1, 1, 1, 0), (180, 0.0, 45, 0.0, 60, 0.0, 0, 1, 1, 0),
+    (11, 0.0, 45, 0.0, 60, 0.0, 0, 1, 1, 0, 0), (40, 0.0, 60, 0.0, 35, 0.0, 0, 1, 1, 0, 0),
+    (90, 0.0, 30, 0.0, 20, 0.0, 0, 1, 1, 0, 0), (5, 1.0, 60, 0.0, 5, 1.0, 0, 1, 1, 0, 0),
+    (3, 0.0, 45, 0.0, 12, 0.0, 1, 1, 1, 0, 0), (180, 0.0, 45, 0.0, 60, 0.0, 0, 1, 1, 0, 0),
     # menus, footers, sidebars, adverts, forms, reader comments
-    (1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 1, 0), (1, 1.0, 1, 1.0, 9, 0.0, 0, 0, 1, 0),
-    (12, 0.0, 1, 1.0, 9, 0.0, 0, 0, 1, 0), (14, 0.0, 60, 0.0, 0, 0.0, 0, 0, 1, 0),
-    (60, 0.0, 14, 0.0, 40, 0.0, 0, 0, 1, 0), (35, 0.0, 35, 0.0, 28, 0.0, 0, 0, 1, 0),
-    (4, 0.0, 30, 0.2, 12, 0.5, 1, 0, 1, 0), (150, 0.0, 20, 0.0, 20, 0.0, 0, 0, 1, 0),
-    (20, 0.5, 10, 0.5, 10, 0.5, 0, 0, 1, 0), (6, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1, 0),
+    (1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 1, 0, 0), (1, 1.0, 1, 1.0, 9, 0.0, 0, 0, 1, 0, 0),
+    (12, 0.0, 1, 1.0, 9, 0.0, 0, 0, 1, 0, 0), (14, 0.0, 60, 0.0, 0, 0.0, 0, 0, 1, 0, 0),
+    (60, 0.0, 14, 0.0, 40, 0.0, 0, 0, 1, 0, 0), (35, 0.0, 35, 0.0, 28, 0.0, 0, 0, 1, 0, 0),
+    (4, 0.0, 30, 0.2, 12, 0.5, 1, 0, 1, 0, 0), (150, 0.0, 20, 0.0, 20, 0.0, 0, 0, 1, 0, 0),
+    (20, 0.5, 10, 0.5, 10, 0.5, 0, 0, 1, 0, 0), (6, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1, 0, 0),
     # pages without an article element: long running text and what joins it
-    (55, 0.0, 8, 0.0, 70, 0.0, 0, 0, 0, 1), (30, 0.05, 55, 0.0, 42, 0.0, 0, 0, 0, 1),
-    (18, 0.0, 2, 0.0, 25, 0.0, 0, 0, 0, 1), (7, 0.0, 3, 1.0, 55, 0.0, 1, 0, 0, 1),
-    (200, 0.03, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (5, 0.0, 60, 0.0, 40, 0.0, 0, 0, 0, 1),
-    (3, 0.0, 25, 0.0, 90, 0.0, 0, 0, 0, 1), (12, 0.0, 0, 0.0, 14, 0.0, 0, 0, 0, 1),
-    (8, 0.0, 40, 0.0, 2, 0.0, 0, 0, 0, 1), (16, 0.2, 30, 0.0, 30, 0.0, 0, 0, 0, 1),
+    (55, 0.0, 8, 0.0, 70, 0.0, 0, 0, 0, 0, 1), (30, 0.05, 55, 0.0, 42, 0.0, 0, 0, 0, 0, 1),
+    (18, 0.0, 2, 0.0, 25, 0.0, 0, 0, 0, 0, 1), (7, 0.0, 3, 1.0, 55, 0.0, 1, 0, 0, 0, 1),
+    (200, 0.03, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (5, 0.0, 60, 0.0, 40, 0.0, 0, 0, 0, 0, 1),
+    (3, 0.0, 25, 0.0, 90, 0.0, 0, 0, 0, 0, 1), (12, 0.0, 0, 0.0, 14, 0.0, 0, 0, 0, 0, 1),
+    (8, 0.0, 40, 0.0, 2, 0.0, 0, 0, 0, 0, 1), (16, 0.2, 30, 0.0, 30, 0.0, 0, 0, 0, 0, 1),
     # pages without an article element: lists of links and short scraps
-    (2, 1.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0), (9, 0.9, 4, 1.0, 8, 0.8, 0, 0, 0, 0),
-    (4, 0.75, 60, 0.0, 3, 1.0, 0, 0, 0, 0), (30, 0.8, 12, 1.0, 20, 0.9, 0, 0, 0, 0),
-    (2, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0), (3, 0.0, 1, 1.0, 1, 1.0, 1, 0, 0, 0),
-    (6, 0.5, 3, 1.0, 4, 0.5, 0, 0, 0, 0), (15, 0.6, 50, 0.0, 10, 1.0, 0, 0, 0, 0),
-    (2, 1.0, 0, 0.0, 40, 0.0, 0, 0, 0, 0), (5, 1.0, 60, 0.0, 45, 0.0, 0, 0, 0, 0),
-    (12, 0.9, 40, 0.0, 40, 0.0, 0, 0, 0, 0), (7, 1.0, 30, 0.0, 0, 0.0, 0, 0, 0, 0),
+    (2, 1.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0, 0), (9, 0.9, 4, 1.0, 8, 0.8, 0, 0, 0, 0, 0),
+    (4, 0.75, 60, 0.0, 3, 1.0, 0, 0, 0, 0, 0), (30, 0.8, 12, 1.0, 20, 0.9, 0, 0, 0, 0, 0),
+    (2, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0, 0), (3, 0.0, 1, 1.0, 1, 1.0, 1, 0, 0, 0, 0),
+    (6, 0.5, 3, 1.0, 4, 0.5, 0, 0, 0, 0, 0), (15, 0.6, 50, 0.0, 10, 1.0, 0, 0, 0, 0, 0),
+    (2, 1.0, 0, 0.0, 40, 0.0, 0, 0, 0, 0, 0), (5, 1.0, 60, 0.0, 45, 0.0, 0, 0, 0, 0, 0),
+    (12, 0.9, 40, 0.0, 40, 0.0, 0, 0, 0, 0, 0), (7, 1.0, 30, 0.0, 0, 0.0, 0, 0, 0, 0, 0),
+    # running text beside lists of links
+    (45, 0.0, 60, 0.0, 3, 1.0, 0, 1, 0, 0, 1), (30, 0.0, 40, 0.0, 2, 1.0, 0, 1, 0, 0, 1),
+    (7, 0.0, 3, 1.0, 5, 1.0, 1, 1, 0, 0, 1), (60, 0.05, 1, 1.0, 1, 1.0, 0, 1, 0, 0, 1),
+    (8, 1.0, 50, 0.0, 20, 0.0, 0, 1, 0, 0, 1), (12, 0.9, 30, 0.0, 30, 0.0, 0, 1, 0, 0, 1),
+    (50, 0.0, 60, 0.0, 2, 1.0, 0, 0, 0, 0, 1), (90, 0.0, 3, 1.0, 1, 1.0, 0, 0, 0, 0, 1),
+    (35, 0.1, 40, 0.0, 4, 0.9, 0, 0, 0, 0, 1), (22, 0.0, 50, 0.0, 3, 0.7, 0, 0, 0, 0, 1),
+    (5, 1.0, 60, 0.0, 70, 0.0, 0, 0, 0, 0, 0), (9, 0.8, 80, 0.0, 90, 0.0, 0, 0, 0, 0, 0),
+    (6, 1.0, 90, 0.0, 40, 0.0, 0, 1, 0, 0, 1), (3, 0.0, 1, 1.0, 40, 0.0, 1, 1, 0, 0, 1),
+    (2, 0.0, 5, 1.0, 30, 0.0, 0, 1, 0, 0, 1), (4, 0.0, 2, 1.0, 5, 1.0, 0, 1, 0, 0, 1),
+    (1, 0.0, 40, 0.0, 4, 1.0, 0, 1, 0, 0, 1), (3, 0.0, 80, 0.0, 1, 1.0, 0, 1, 0, 0, 1),
+    (3, 0.0, 1, 1.0, 12, 1.0, 1, 1, 0, 0, 1), (2, 0.0, 2, 0.5, 6, 0.8, 0, 1, 0, 0, 1),
+    (9, 0.0, 1, 0.0, 3, 0.0, 0, 1, 0, 0, 1), (25, 0.0, 2, 0.0, 2, 0.0, 0, 1, 0, 0, 1),
+    (20, 0.0, 1, 1.0, 4, 1.0, 0, 1, 0, 0, 1), (20, 0.0, 2, 0.0, 2, 0.0, 0, 0, 0, 0, 1),
+    (4, 0.0, 1, 1.0, 2, 0.0, 1, 1, 0, 0, 1), (3, 0.0, 2, 1.0, 1, 1.0, 0, 1, 0, 0, 1),
+    (2, 0.0, 0, 0.0, 60, 0.0, 1, 0, 0, 0, 1), (3, 0.0, 2, 1.0, 70, 0.0, 1, 0, 0, 0, 1),
+    # boxes named for something else: short, or alone
+    (4, 0.0, 90, 0.0, 90, 0.0, 0, 1, 0, 1, 0), (3, 0.0, 70, 0.0, 80, 0.0, 0, 0, 0, 1, 0),
+    (7, 0.0, 60, 0.0, 95, 0.0, 0, 1, 0, 1, 0), (9, 0.0, 50, 0.0, 50, 0.0, 0, 0, 0, 1, 0),
+    (5, 1.0, 30, 0.0, 30, 0.0, 0, 1, 0, 1, 0), (4, 1.0, 3, 0.0, 50, 0.0, 0, 1, 0, 1, 0),
+    (60, 0.0, 2, 0.0, 2, 0.0, 0, 0, 0, 1, 0), (60, 0.0, 14, 0.0, 40, 0.0, 0, 0, 0, 1, 0),
+    (50, 0.0, 2, 0.0, 45, 0.0, 0, 0, 0, 1, 0), (70, 0.0, 12, 0.0, 3, 0.0, 0, 0, 0, 1, 0),
+    (20, 0.05, 30, 0.0, 30, 0.0, 0, 0, 0, 1, 0), (30, 0.1, 50, 0.0, 50, 0.0, 0, 1, 0, 1, 0),
+    (12, 0.05, 50, 0.0, 60, 0.0, 0, 1, 0, 1, 0), (75, 0.0, 4, 0.0, 30, 0.0, 0, 0, 0, 1, 0),
+    (6, 0.0, 60, 0.0, 20, 0.0, 1, 0, 0, 1, 0), (5, 0.0, 5, 1.0, 30, 0.0, 1, 0, 0, 1, 0),
+    (9, 0.0, 24, 0.0, 1, 0.0, 0, 1, 0, 1, 0), (11, 0.0, 45, 0.0, 60, 0.0, 0, 1, 0, 1, 0),
+    (25, 0.0, 45, 0.0, 60, 0.0, 0, 1, 0, 1, 0), (5, 1.0, 60, 0.0, 5, 1.0, 0, 1, 0, 1, 0),
+    (3, 0.0, 45, 0.0, 12, 0.0, 1, 1, 0, 1, 0), (2, 0.0, 80, 0.0, 3, 1.0, 1, 0, 0, 1, 0),
+    (4, 0.0, 1, 1.0, 3, 0.0, 0, 0, 0, 1, 0), (13, 0.0, 3, 0.0, 1, 0.0, 0, 0, 0, 1, 0),
+    (35, 0.0, 2, 0.0, 1, 1.0, 0, 0, 0, 1, 0), (60, 0.0, 2, 0.0, 2, 0.5, 0, 0, 0, 1, 0),
+    (30, 0.0, 1, 1.0, 45, 0.0, 0, 0, 0, 1, 0), (14, 0.0, 60, 0.0, 0, 0.0, 0, 0, 0, 1, 0),
+    (20, 0.5, 10, 0.5, 10, 0.5, 0, 0, 0, 1, 0), (6, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1, 0),
+    (45, 0.0, 12, 0.0, 90, 0.0, 0, 0, 0, 1, 0), (35, 0.0, 35, 0.0, 28, 0.0, 0, 0, 0, 1, 0),
+    (90, 0.8, 10, 1.0, 12, 1.0, 0, 0, 0, 1, 0), (120, 0.6, 60, 0.0, 40, 0.0, 0, 1, 0, 1, 0),
+    (16, 0.0, 70, 0.0, 80, 0.0, 0, 0, 0, 1, 0), (8, 0.0, 90, 0.0, 2, 0.0, 0, 0, 0, 1, 0),
+    # boxes named for something else that hold long running text, and its headings
+    (90, 0.0, 60, 0.0, 45, 0.0, 0, 1, 0, 1, 1), (180, 0.0, 45, 0.0, 60, 0.0, 0, 1, 0, 1, 1),
+    (150, 0.0, 20, 0.0, 20, 0.0, 0, 0, 0, 1, 1), (85, 0.05, 0, 0.0, 30, 0.0, 0, 0, 0, 1, 1),
+    (300, 0.02, 6, 1.0, 12, 0.0, 0, 0, 0, 1, 1), (100, 0.1, 3, 0.0, 0, 0.0, 0, 0, 0, 1, 1),
+    (50, 0.0, 55, 0.0, 60, 0.0, 0, 0, 0, 1, 1), (45, 0.02, 50, 0.0, 48, 0.0, 0, 0, 0, 1, 1),
+    (60, 0.0, 70, 0.0, 42, 0.0, 0, 1, 0, 1, 1), (48, 0.0, 65, 0.0, 55, 0.0, 0, 1, 0, 1, 1),
+    (90, 0.0, 60, 0.0, 2, 1.0, 0, 0, 0, 1, 1), (85, 0.05, 3, 1.0, 3, 1.0, 0, 0, 0, 1, 1),
+    (200, 0.03, 1, 1.0, 1, 1.0, 0, 1, 0, 1, 1), (55, 0.0, 48, 0.0, 70, 0.0, 0, 0, 0, 1, 1),
+    (6, 0.0, 1, 1.0, 60, 0.0, 1, 0, 0, 1, 1), (8, 0.0, 70, 0.0, 85, 0.0, 1, 1, 0, 1, 1),
 )
 
 
 def trained_tree() -> Tree:
     table = np.array(LABELLED, dtype=float)
-    return fit_tree(table[:, :-1], table[:, -1])
+    return fit_tree(table[:, :-1], table[:, -1], depth=8)
 
 
 def main_text(page: str, tree: Tree) -> str:
@@ -194,7 +330,7 @@ def main_text(page: str, tree: Tree) -> str:
     kept = []
     for i, b in enumerate(found, 1):
         row = (words[i], density[i], words[i - 1], density[i - 1], words[i + 1], density[i + 1],
-               b.heading, b.in_article, b.in_aside)
+               b.heading, b.in_article, b.in_aside, b.named)
         if tree(row) > 0.5:
             kept.append(b.text)
     return "\n".join(kept)
