@@ -277,3 +277,20 @@ def test_short_named_boxes_are_left_out():
     page = ('<body class="has-sidebar"><div class="cookie-notice">We use cookies</div><article><p>{0}<div class="ad">Buy it now</div><p>{0}'
             '<article class="comment"><p>Nice words of a reader</article></article><div id="comment-list"><p>So it is, he said</div></body>')
     assert html_text.main_text(page.format(LONG), html_text.trained_tree()) == f"{LONG.strip()}\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize("before", [
+    "<button>Menu", "<svg><path d='M0 0'>", "<select><option>One<option>Two", "<iframe src=x>", "<math><mi>x", "<object data=x>",
+    "<template>", "<noscript>", "<title>Site", "<button>One <button>Two</button>", "<svg><!-- </svg> <p> --><script>'<p></svg>'</script>",
+])
+def test_unclosed_elements_end_at_the_next_block(before):
+    page = f"<body>{before}<article><h1>Head line</h1><p>{LONG}</article><form><button>Send</button></form>"
+    assert html_text.main_text(page, html_text.trained_tree()) == "Head line\n" + LONG.strip()
+
+
+def test_closed_elements_end_where_they_did():
+    inner = "<svg><svg><p>no</p></svg><p>no</p></svg><template><div><p>no</div></template><button/><select><option>no</select>"
+    page = f"<article>{inner}<p>{LONG}<textarea><p>no</button></p></textarea></article><script>var x = '{LONG}'"
+    assert html_text.main_text(page, html_text.trained_tree()) == LONG.strip()
+    for name in ("textarea", "style"):  # raw text without an end runs to the end of the page
+        assert html_text.main_text(f"<article><p>{LONG}</p><{name}><p>{LONG}", html_text.trained_tree()) == LONG.strip()

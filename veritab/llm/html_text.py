@@ -16,9 +16,10 @@ running words.  A name after no, with, has and the like does not count, nor
 does a header of an article, nor an id whose last word is something else.
 
 Defined results: null, empty and text-free pages give an empty text; unclosed
-and stray tags are tolerated; a comment, script or style without an end runs
-to the end of the page; equal pages give equal texts; other columns are
-ignored.
+and stray tags are tolerated; a comment, script, style or textarea without an
+end runs to the end of the page, another element that is skipped (button, svg,
+...) to the next block-level tag; equal pages give equal texts; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ BLOCK_ELEMENTS = frozenset((
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table "
     "tbody td tfoot th thead tr ul").split())
 SKIPPED_ELEMENTS = frozenset("script style noscript template title svg math iframe object textarea select button head".split())
+#: skipped elements whose content is text up to their end, whatever stands in it
+RAW_ELEMENTS = frozenset("script style textarea".split())
 ARTICLE_ELEMENTS = frozenset("article main".split())
 ASIDE_ELEMENTS = frozenset("nav header footer aside form dialog menu fieldset".split())
 VOID_ELEMENTS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -70,6 +73,34 @@ _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]
 _PARTS = re.compile(r"[_\-:]+")
 
 
+#: what holds no tags, before a tag that is looked for
+_OPAQUE = r"<!--.*?(?:-->|\Z)|<(script|style|textarea)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>]|\Z)|\Z)|"
+_FLAGS = re.S | re.I
+# the options of an unclosed select are no text of the page
+_BLOCK_TAG = re.compile(_OPAQUE + rf"(?P<tag></?(?:{'|'.join(sorted(BLOCK_ELEMENTS - {'option'}))})(?=[\s/>]))", _FLAGS)
+_SKIPPED_TAGS = {
+    name: re.compile(_OPAQUE + rf"(?P<end></{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z))|(?P<tag><{name}(?=[\s/>])[^>]*>)", _FLAGS)
+    for name in SKIPPED_ELEMENTS - RAW_ELEMENTS}
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", _FLAGS) for name in RAW_ELEMENTS}
+
+
+def _ends(page: str, name: str) -> dict[int, int]:
+    """Where the elements of a name end, by where they start; unclosed ones are not in it."""
+    starts: list[int] = []
+    ends = {}
+    for m in _SKIPPED_TAGS[name].finditer(page):
+        if m["tag"] and not m["tag"].endswith("/>"):
+            starts.append(m.start())
+        elif m["end"] and starts:
+            ends[starts.pop()] = m.end()
+    return ends
+
+
+def _after_unclosed(page: str, at: int) -> int:
+    """The next block-level tag."""
+    return next((m.start() for m in _BLOCK_TAG.finditer(page, at) if m["tag"]), len(page))
+
+
 class Block(NamedTuple):
     text: str
     link_words: int
@@ -101,28 +132,41 @@ def _is_named(attributes: str, in_article: bool) -> bool:
 
 
 class _Part(NamedTuple):
-    """A block, the named boxes around it and its outermost article element."""
+    """A block, the innermost named box around it (-1: none) and its outermost article element."""
     block: Block
-    boxes: tuple[int, ...]
+    box: int
     article: int | None
 
 
-def _around_article(parts: list[_Part], mains: set[int], articles: dict[int, tuple[int, ...]]) -> set[int]:
-    """The named boxes that contain the article."""
+def _suspects(parts: list[_Part], parents: list[int], mains: list[int], articles: dict[int, int]) -> list[bool]:
+    """For every named box, whether it or a box around it is one that does not
+    contain the article.  ``mains`` and ``articles`` give the box around them."""
     words = [0 if p.block.in_aside else max(0, len(p.block.text.split()) - p.block.link_words) for p in parts]
-    if mains:
-        return mains
-    if articles:
+    around = [False] * len(parents)
+    if not mains and articles:
         length = dict.fromkeys(articles, 0)
         for p, n in zip(parts, words):
             if p.article in length:
                 length[p.article] += n
-        return set(articles[max(length, key=length.get)])  # the first of the longest
-    held: dict[int, int] = {}
-    for p, n in zip(parts, words):
-        for box in p.boxes:
-            held[box] = held.get(box, 0) + n
-    return {box for box, n in held.items() if n > MOST * sum(words)}
+        mains = [articles[max(length, key=length.get)]]  # the first of the longest
+    if mains:
+        for box in mains:
+            while box >= 0 and not around[box]:
+                around[box] = True
+                box = parents[box]
+    else:
+        held, most = [0] * len(parents), MOST * sum(words)
+        for p, n in zip(parts, words):
+            if p.box >= 0:
+                held[p.box] += n
+        for box in range(len(parents) - 1, -1, -1):
+            around[box] = held[box] > most
+            if parents[box] >= 0:
+                held[parents[box]] += held[box]
+    found: list[bool] = []
+    for box, parent in enumerate(parents):
+        found.append(not around[box] or parent >= 0 and found[parent])
+    return found
 
 
 def blocks(page: str) -> list[Block]:
@@ -134,16 +178,18 @@ def blocks(page: str) -> list[Block]:
     articles = asides = anchors = 0
     open_articles: list[int] = []  # article elements, main not counted
     open_boxes: list[int] = []
-    mains: set[int] = set()  # boxes around a main element
-    candidates: dict[int, tuple[int, ...]] = {}  # article elements that may be the article, and the boxes around them
-    n_boxes = n_articles = 0
+    parents: list[int] = []  # the named box around each named box, or -1
+    mains: list[int] = []  # the box around each main element
+    candidates: dict[int, int] = {}  # article elements that may be the article, and the box around each
+    n_articles = 0
+    ends: dict[str, dict[int, int]] = {}
     heading = False
 
     def close_block() -> None:
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            block = Block(text, len(html.unescape(" ".join(links)).split()), heading, articles > 0, asides > 0, bool(open_boxes))
-            found.append(_Part(block, tuple(open_boxes), open_articles[0] if open_articles else None))
+            block = Block(text, len(html.unescape(" ".join(links)).split()), heading, articles > 0, asides > 0, False)
+            found.append(_Part(block, open_boxes[-1] if open_boxes else -1, open_articles[0] if open_articles else None))
         pieces.clear()
         links.clear()
 
@@ -179,11 +225,17 @@ def blocks(page: str) -> list[Block]:
         closing = m[1] == "/"
         if name in SKIPPED_ELEMENTS:
             if not closing and not m[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                if end:
-                    at = end.end()
-                elif name != "head":  # an unclosed head: go on inside it
-                    at = size
+                if name in RAW_ELEMENTS:
+                    end = _RAW_END[name].search(page, at)
+                    at = end.end() if end else size
+                else:
+                    if name not in ends:
+                        ends[name] = _ends(page, name)
+                    end_of = ends[name].get(m.start())
+                    if end_of:
+                        at = max(at, end_of)
+                    elif name != "head":  # an unclosed head: go on inside it
+                        at = _after_unclosed(page, at)
             if name in BLOCK_ELEMENTS:
                 close_block()
             else:
@@ -214,24 +266,22 @@ def blocks(page: str) -> list[Block]:
             leave(len(open_elements) - 1)
         if opening and (aside or box or name in ARTICLE_ELEMENTS or name in ("div", "section", "ul", "ol", "table")):
             if name == "main" and not asides:
-                mains.update(open_boxes)
+                mains.append(open_boxes[-1] if open_boxes else -1)
             elif name == "article":
                 if not (asides or named or open_articles):
-                    candidates[n_articles] = tuple(open_boxes)
+                    candidates[n_articles] = open_boxes[-1] if open_boxes else -1
                 open_articles.append(n_articles)
                 n_articles += 1
             if box:
-                open_boxes.append(n_boxes)
-                n_boxes += 1
+                parents.append(open_boxes[-1] if open_boxes else -1)
+                open_boxes.append(len(parents) - 1)
             open_elements.append((name, name in ARTICLE_ELEMENTS, aside, box))
             articles += name in ARTICLE_ELEMENTS
             asides += aside
     add(page[at:])
     close_block()
-    if not n_boxes:
-        return [p.block for p in found]
-    around = _around_article(found, mains, candidates)
-    return [p.block._replace(named=not around.issuperset(p.boxes)) for p in found]
+    suspect = _suspects(found, parents, mains, candidates)
+    return [p.block._replace(named=True) if p.box >= 0 and suspect[p.box] else p.block for p in found]
 
 
 # -- tree ------------------------------------------------------------------
