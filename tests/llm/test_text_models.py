@@ -294,3 +294,13 @@ def test_closed_elements_end_where_they_did():
     assert html_text.main_text(page, html_text.trained_tree()) == LONG.strip()
     for name in ("textarea", "style"):  # raw text without an end runs to the end of the page
         assert html_text.main_text(f"<article><p>{LONG}</p><{name}><p>{LONG}", html_text.trained_tree()) == LONG.strip()
+
+
+def test_a_listed_word_that_is_also_a_stem_starts_clauses_of_its_forms():
+    listed = dict.fromkeys(toxicity.INSULTS, 3.0)
+    for word, form in (("idiot", "idiotic"), ("idiot", "idioten"), ("trash", "trashy"), ("crush", "crusher")):
+        read = toxicity.reader(toxicity.Lexicon(listed, {word: 2.5}))
+        assert word in listed or word in toxicity.THREATS
+        assert read(f"a {form} plan.")[0] > 0 and read(f"a {form} plan.")[2] == 1
+        assert read(f"you {word}")[0] > 0 and read(f"x{form}")[0] == 0
+    assert toxicity.reader(toxicity.Lexicon(listed, {}))("an idiotic plan")[0] == 0

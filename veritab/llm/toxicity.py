@@ -200,11 +200,8 @@ def reader(lexicon: Lexicon) -> Callable[[str], tuple[float, float, float]]:
     symbol |= dict.fromkeys(THREATS, THREAT)
     words, stems = lexicon
     finder = ahocorasick.Automaton()
-    for entry in (*words, *THREATS):
-        finder.add_word(entry, (len(entry), True))
-    for entry in stems:
-        if entry not in words:
-            finder.add_word(entry, (len(entry), False))
+    for entry in {*words, *THREATS, *stems}:  # a word that is also a stem may go on
+        finder.add_word(entry, (len(entry), entry not in stems))
     finder.make_automaton()
 
     def clause(text: str) -> float:
