@@ -304,3 +304,13 @@ def test_a_listed_word_that_is_also_a_stem_starts_clauses_of_its_forms():
         assert read(f"a {form} plan.")[0] > 0 and read(f"a {form} plan.")[2] == 1
         assert read(f"you {word}")[0] > 0 and read(f"x{form}")[0] == 0
     assert toxicity.reader(toxicity.Lexicon(listed, {}))("an idiotic plan")[0] == 0
+
+
+def test_quality_orders_texts_by_the_size_difference(documents, labels):
+    """Also beyond the length of any labelled text."""
+    model = compression_quality.fit(documents.select("doc_id", "text"), labels)
+    measure = compression_quality.measurer(model.good, model.bad, model.raw)
+    texts = documents.select("text").union(documents.limit(20).select(F.repeat("text", 60).alias("text")))
+    rows = texts.select("text", compression_quality.score(F.col("text"), model).alias("score")).collect()
+    found = sorted((float(np.ravel(measure(r["text"]))[0]), r["score"]) for r in rows)
+    assert all(a[1] <= b[1] + 1e-12 for a, b in zip(found, found[1:])) and found[0][1] < 0.3 < found[-1][1]

@@ -2,10 +2,9 @@
 
 Two zstandard dictionaries are trained, one on good and one on bad labelled
 texts.  A text is compressed in blocks with either; the difference of the two
-sizes over the larger one says which kind it resembles.  A logistic model
-turns that difference, together with the compression rates it is made of
-(with each dictionary, and of the whole text alone, which shows repetition)
-and the length, into a calibrated probability of good.
+sizes over the larger one says which kind it resembles.  A logistic model of
+that difference alone is the calibrated probability of good, so texts are
+ordered by it, whatever their length.
 
 The model is fitted on at most ``TRAINING_ROWS`` labelled texts of each class,
 never on held-out ones; ``TRAINING_BYTES`` of each go into its dictionary.
@@ -56,8 +55,8 @@ def _dictionary(samples: list[bytes]) -> tuple[bytes, bool]:
         return b"\n".join(samples)[:DICTIONARY_BYTES], True
 
 
-def measurer(good: bytes, bad: bytes, raw: bool) -> Callable[[str], tuple[float, ...]]:
-    """A function from a text to its features."""
+def measurer(good: bytes, bad: bytes, raw: bool) -> Callable[[str], float]:
+    """A function from a text to its normalised size difference."""
     import zstandard
 
     kind = zstandard.DICT_TYPE_RAWCONTENT if raw else zstandard.DICT_TYPE_FULLDICT
@@ -68,19 +67,16 @@ def measurer(good: bytes, bad: bytes, raw: bool) -> Callable[[str], tuple[float,
         dictionary.precompute_compress(level=LEVEL)
         return zstandard.ZstdCompressor(dict_data=dictionary, **plain)
 
-    as_good, as_bad, alone = compressor(good).compress, compressor(bad).compress, zstandard.ZstdCompressor(**plain).compress
+    as_good, as_bad = compressor(good).compress, compressor(bad).compress
 
-    def measure(text: str) -> tuple[float, ...]:
+    def measure(text: str) -> float:
         data = text.encode("utf-8", "surrogatepass")
-        n = max(len(data), 1)
         g = b = 0
         for i in range(0, len(data), BLOCK_BYTES):
             block = data[i:i + BLOCK_BYTES]
             g += len(as_good(block))
             b += len(as_bad(block))
-        difference = (b - g) / max(g, b, 1)
-        base = (difference, g / n, b / n, len(alone(data)) / n, float(np.log(n)))
-        return (*base, *(x * x for x in base), *(difference * x for x in base[1:]), base[3] * base[4])
+        return (b - g) / max(g, b, 1)
 
     return measure
 
@@ -100,20 +96,20 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
     raw = raw_bad or raw_good
     if raw:  # the two have to be alike to be compared
         bad, good = (b"\n".join(s)[:DICTIONARY_BYTES] for s in of_class)
-    measured = _measured(sample, good, bad, raw).orderBy("label", "features").collect()
-    x = np.array([r["features"] for r in measured])
+    measured = _measured(sample, good, bad, raw).orderBy("label", "difference").collect()
+    x = np.array([[r["difference"]] for r in measured])
     y = np.array([r["label"] for r in measured], dtype=float)
     return Model(good, bad, raw, fit_logistic(x, y), float(y.mean()))
 
 
 def _measured(sample: DataFrame, good: bytes, bad: bytes, raw: bool) -> DataFrame:
-    @F.pandas_udf("array<double>")
-    def features(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("double")
+    def difference(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         measure = measurer(good, bad, raw)
         for part in texts:
-            yield pd.Series([measure(t) for t in part])
+            yield pd.Series([measure(t) for t in part], dtype=float)
 
-    return sample.select("label", features("text").alias("features"))
+    return sample.select("label", difference("text").alias("difference"))
 
 
 def score(text: Column, model: Model) -> Column:
@@ -125,8 +121,7 @@ def score(text: Column, model: Model) -> Column:
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         measure = measurer(model.good, model.bad, model.raw)
         for part in texts:
-            rows = np.array([measure(t) for t in part]).reshape(len(part), -1)
-            yield pd.Series(model.fitted(rows) if len(rows) else np.empty(0))
+            yield pd.Series(model.fitted(np.array([measure(t) for t in part], dtype=float).reshape(len(part), 1)))
 
     return scored(text)
 
