@@ -314,3 +314,16 @@ def test_quality_orders_texts_by_the_size_difference(documents, labels):
     rows = texts.select("text", compression_quality.score(F.col("text"), model).alias("score")).collect()
     found = sorted((float(np.ravel(measure(r["text"]))[0]), r["score"]) for r in rows)
     assert all(a[1] <= b[1] + 1e-12 for a, b in zip(found, found[1:])) and found[0][1] < 0.3 < found[-1][1]
+
+
+def test_a_host_of_bad_pages_is_blocked_in_an_even_corpus(spark):
+    pages = spark.range(400).crossJoin(spark.range(100).withColumnRenamed("id", "n")).select(
+        F.format_string("http://w%d.d%d.org/%d", F.col("id") % 2, F.col("id"), F.col("n")).alias("url"), (F.col("n") < 74).cast("int").alias("good"))
+    planted = spark.range(300).select(F.format_string("http://bad.planted.org/%d", "id").alias("url"), F.lit(0).alias("good"))
+    outcomes = pages.unionByName(planted)
+    judged = url_reputation.judge(outcomes.select(F.lit(1).alias("page_id"), "url"), outcomes).groupBy("host", "verdict").count()
+    assert [(r["host"], r["count"]) for r in judged.where("verdict = 'block'").collect()] == [("bad.planted.org", 300)]
+    for mean in (0.5, 0.74, 0.9, 0.999):  # whatever the parent
+        strong = url_reputation.STRONGEST
+        bound = spark.range(1).select(url_reputation.optimistic(F.lit(mean * strong), F.lit((1 - mean) * strong + 200))).first()[0]
+        assert bound < url_reputation.FLOOR

@@ -30,8 +30,8 @@ from veritab.llm.common import written
 
 #: a host is blocked if this bound of its rate of good pages is below the floor
 Z, FLOOR = 1.64, 0.5
-#: weakest and strongest prior, in pages
-WEAKEST, STRONGEST = 1.0, 1000.0
+#: weakest and strongest prior, in pages: 200 bad pages and no good one outweigh any parent
+WEAKEST, STRONGEST = 1.0, 100.0
 #: labelled hosts that may be broadcast (about 100 bytes each)
 BROADCAST_HOSTS = 100_000
 
