@@ -56,3 +56,11 @@ def test_failing_columns_summary(spark):
     got = {r["table_name"]: (r["incidences"], r["field_name"], r["passed"])
            for r in R.failing_columns_summary(per).collect()}
     assert got == {"t": (2, "c1, c3", False), "u": (0, "", True)}
+
+
+def test_allowed_priorities_are_not_read_from_orders(spark, sf):
+    from veritab.queries import allowed_priorities
+
+    allowed = allowed_priorities(spark, sf)
+    assert not allowed.inputFiles()
+    assert {r[0] for r in allowed.collect()} == {"1-URGENT", "2-HIGH", "3-MEDIUM"}
