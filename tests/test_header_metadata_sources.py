@@ -172,3 +172,41 @@ def test_cache_for_several_passes(spark):
     assert df.count() == 100 and df.is_cached
     release(df)
     assert not df.is_cached
+
+
+class _Recorder:
+    """Stands for a session and its reader: keeps the options, asks no database."""
+
+    def __init__(self):
+        self.options, self.loads = {}, []
+        self.read = self
+        self.sparkContext = type("Context", (), {"defaultParallelism": 8})
+
+    def format(self, name):
+        self.options = {"format": name}
+        return self
+
+    def option(self, key, value):
+        self.options[key] = value
+        return self
+
+    def load(self):
+        self.loads.append(dict(self.options))
+        return self
+
+    def first(self):
+        return {"lo": 3, "hi": 900}
+
+
+def test_partitioned_jdbc_options_of_a_table():
+    from veritab.sources.readers import read_with_options
+
+    seen = _Recorder()
+    read_with_options(seen, "s.t", "jdbc", {"url": "jdbc:x", "user": "u", "partitionColumn": "id", "numPartitions": "40"})
+    bounds, table = seen.loads
+    assert "MIN(id)" in bounds["query"] and bounds["user"] == "u"
+    assert table == {"format": "jdbc", "url": "jdbc:x", "fetchsize": "50000", "user": "u", "dbtable": "s.t", "partitionColumn": "id",
+                     "lowerBound": "3", "upperBound": "900", "numPartitions": "40"}
+    seen = _Recorder()
+    read_with_options(seen, "s.t", "JDBC", {"url": "jdbc:x", "partitionColumn": "id", "lowerBound": "1", "upperBound": "9"})
+    assert len(seen.loads) == 1 and (seen.loads[0]["lowerBound"], seen.loads[0]["numPartitions"]) == ("1", "8")

@@ -19,7 +19,7 @@ from veritab.operators.metadata import metadata_constraint_violations
 from veritab.plans.staged_run import TABLES_AT_ONCE, FunctionalSpec, specs_from_metadata, validate_and_log
 from veritab.schemas import FILE_CONFIGURATION, SEMANTIC_LAYER
 from veritab.session import get_session
-from veritab.sources.readers import read_table
+from veritab.sources.readers import read_table, read_with_options
 
 # the functional rules of the 34-column template table
 TEMPLATE_FUNCTIONAL = FunctionalSpec(
@@ -54,6 +54,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--run-id", default=None, help="a repeated run of the same id replaces its log rows")
     ap.add_argument("--option", action="append", default=[],
                     help="KEY=VALUE passed to the reader of every table (e.g. the connection of jdbc tables)")
+    ap.add_argument("--table-option", action="append", default=[],
+                    help="ID:KEY=VALUE passed to the reader of one table (e.g. 00013:partitionColumn=id, and optionally "
+                         "lowerBound, upperBound, numPartitions of a jdbc table)")
     ap.add_argument("--compat", action="store_true", help="keep the original null-date behaviour")
     ap.add_argument("--environment", default=K.DEFAULT_ENVIRONMENT)
     ap.add_argument("--source", default=K.DEFAULT_SOURCE)
@@ -71,9 +74,15 @@ def main(argv: list[str] | None = None) -> int:
 
     options = dict(o.split("=", 1) for o in args.option)
 
+    of_table: dict[str, dict[str, str]] = {}
+    for option in args.table_option:
+        table, pair = option.split(":", 1)
+        of_table.setdefault(table, {}).update([pair.split("=", 1)])
+
     def load(row):
-        return read_table(spark, row["origin_path"], row["file_format"], header=row["header"],
-                          separator=row["separator"], options=options)
+        return read_with_options(spark, row["origin_path"], row["file_format"],
+                                 {**options, **of_table.get(row["id_type_file"], {})},
+                                 header=row["header"], separator=row["separator"])
 
     def references(name):
         # a target may be given with or without the schema that the metadata puts before it

@@ -88,6 +88,20 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: dict[str
     return reader.load()
 
 
+def read_with_options(spark: SparkSession, path: str, fmt: str, options: dict[str, str], **kwargs) -> DataFrame:
+    """A table with its own reader options; jdbc with a partitionColumn is read
+    in ranges, whose bounds are asked of the database if none are given."""
+    given = {k.lower(): v for k, v in options.items()}
+    if (fmt or "").lower() != "jdbc" or not (given.get("url") and given.get("partitioncolumn")):
+        return read_table(spark, path, fmt, options=options, **kwargs)
+    own = {"url", "partitioncolumn", "lowerbound", "upperbound", "numpartitions", "fetchsize", "dbtable"}
+    return read_jdbc(
+        spark, given["url"], path, properties={k: v for k, v in options.items() if k.lower() not in own},
+        partition_column=given["partitioncolumn"], lower_bound=given.get("lowerbound"),
+        upper_bound=given.get("upperbound"), num_partitions=given.get("numpartitions"),
+        fetch_size=given.get("fetchsize", 50000))
+
+
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the benchmark tables: ``<sf_dir>/<name>.parquet``."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
