@@ -91,3 +91,26 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     anew for every item.
     """
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+#: groups whose totals are broadcast, at most
+HOT_GROUPS = 50_000
+#: groups up to this size (or the size that fewer than ``HOT_GROUPS`` groups can exceed) go through a shuffle
+HOT_ROWS = 64
+
+
+def attach_totals(rows: DataFrame, totals: DataFrame, key: str, size: str) -> DataFrame:
+    """Rows with the columns of their group's row in ``totals`` (unique, non-null ``key``).
+
+    ``size`` is a group's number of rows.  Groups above a bound are broadcast:
+    with n rows fewer than ``HOT_GROUPS`` groups can have more than
+    n / ``HOT_GROUPS`` of them.  The others are joined by a shuffle, where no
+    key has more rows than that bound.  ``totals`` is read several times and
+    should be a written table.
+    """
+    n = totals.agg(F.sum(size)).first()[0] or 0
+    hot = totals.where(F.col(size) > max(HOT_ROWS, -(-n // HOT_GROUPS)))
+    cold = totals.where(F.col(size) <= max(HOT_ROWS, -(-n // HOT_GROUPS)))
+    by_broadcast = rows.join(F.broadcast(hot), key)
+    by_shuffle = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    return by_broadcast.unionByName(by_shuffle)

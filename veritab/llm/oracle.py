@@ -191,9 +191,17 @@ SELECT page_id, host, path, {_chain('name')} AS rule,
 FROM bounds
 """
 
+_OP11 = r"""
+WITH digests AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
+groups AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM digests GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM digests JOIN groups USING (text_sha256)
+"""
+
 SQL: dict[str, str] = {
     "op4_decontamination": _OP4,
     "op6_quality_rules": _OP6,
     "op7_url_reputation": _OP7,
     "op8_line_dedup": _OP8,
+    "op11_exact_dedup": _OP11,
 }

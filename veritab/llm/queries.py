@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritab.llm import (
-    compression_quality, decontamination, html_text, line_dedup, packing, quality_rules, simhash, token_output, toxicity,
-    url_reputation,
+    compression_quality, decontamination, exact_dedup, html_text, line_dedup, packing, quality_rules, simhash,
+    token_output, toxicity, url_reputation,
 )
 
 
@@ -74,7 +74,11 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.round_trip(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_best_fit_packing, op3_compression_quality, op4_decontamination, op5_simhash, op6_quality_rules,
-    op7_url_reputation, op8_line_dedup, op9_html_text, op10_token_output,
+    op7_url_reputation, op8_line_dedup, op9_html_text, op10_token_output, op11_exact_dedup,
 )}
