@@ -89,4 +89,4 @@ def test_the_index_is_not_moved(spark):
         ._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "LeftAnti" in plan and "Bucketed: true" in plan
     # both exchanges are the batch's own: its digests are merged, then dealt to the buckets
-    assert plan.count("Exchange") == 2
+    assert plan.count("Exchange hashpartitioning") == 2

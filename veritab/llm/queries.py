@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from veritab.llm import (
     compression_quality, decontamination, exact_dedup, html_text, line_dedup, packing, quality_rules, simhash,
-    token_output, toxicity, url_reputation,
+    token_output, toxicity, url_reputation, vector_codes, whitening,
 )
 
 
@@ -78,7 +78,16 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(_table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_best_fit_packing, op3_compression_quality, op4_decontamination, op5_simhash, op6_quality_rules,
-    op7_url_reputation, op8_line_dedup, op9_html_text, op10_token_output, op11_exact_dedup,
+    op7_url_reputation, op8_line_dedup, op9_html_text, op10_token_output, op11_exact_dedup, op12_whitening,
+    op13_vector_codes,
 )}
