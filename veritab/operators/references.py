@@ -1,16 +1,16 @@
 """Referential integrity (R1-R3): values must appear in a reference column.
 
 The reference side is the distinct non-null values of the reference column
-(a null in an allowed list would otherwise make NOT IN never true).  Both
-sides are compared in a type that loses nothing: integers and decimals as
-numbers, equal types as they are, everything else as text.  No allowed value
-is dropped or rounded.
+(a null in an allowed list would otherwise make NOT IN never true).  Values of
+two types are compared by a key of their exact value (``normal_form``), so
+that equal values are equal whatever types hold them.
 
 Tested values are first counted per distinct value, so a value that most rows
-share is one row per task before anything moves.  The values that are missing
-from the reference are a written table; rows are found by a semi-join with it,
-broadcast only after its rows and bytes were counted and else shuffled (run-time
-skew handling splits a large key).  Null tested values pass.
+share is one row per task before anything moves, and keys are made of distinct
+values only.  Offending rows are found by a semi-join with the missing values
+behind a Bloom filter of them: rows whose value is not missing stay where they
+are, whatever the size of the table.  Null tested values pass.  Nothing runs
+while a check is built.
 """
 
 from __future__ import annotations
@@ -19,72 +19,65 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ByteType, DataType, DecimalType, DoubleType, FloatType, IntegerType, IntegralType, ShortType,
-)
 
+from veritab.functions.bloom import bloom_filter, perhaps_contains
 from veritab.functions.names import col
-from veritab.session import ensure_checkpoint_dir
+from veritab.functions.normal_form import comparable
 
-#: missing values that are broadcast, at most (rows, bytes of their text)
-BROADCAST_VALUES, BROADCAST_BYTES = 500_000, 32 << 20
 _REF = "__ref_value"
 _VALUE = "__value"
+_KEY = "__key"
 
 
-def _common_type(tested: DataType, allowed: DataType) -> str | None:
-    """Type in which both sides compare without loss (None: as they are)."""
-    if tested == allowed:
-        return None
-    exact = (IntegralType, DecimalType)
-    if isinstance(tested, exact) and isinstance(allowed, exact):
-        digits = [(19, 0) if isinstance(t, IntegralType) else (t.precision - t.scale, t.scale) for t in (tested, allowed)]
-        whole, scale = max(d for d, _ in digits), max(s for _, s in digits)
-        return f"decimal({whole + scale},{scale})" if whole + scale <= 38 else "string"
-    in_double = (ByteType, ShortType, IntegerType, FloatType, DoubleType)
-    if isinstance(tested, in_double) and isinstance(allowed, in_double):
-        return "double"
-    return "string"
+def _keys(df: DataFrame, column: str, ref: DataFrame, ref_column: str):
+    """Functions from the tested and from the allowed value to comparable expressions."""
+    types = [frame.select(col(name)).schema[0].dataType for frame, name in ((df, column), (ref, ref_column))]
+    return comparable(*types) or (lambda v: v, lambda v: v)
 
 
-def _sides(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> tuple[Column, Column]:
-    """The tested and the allowed value as comparable expressions."""
-    common = _common_type(df.select(col(column)).schema[0].dataType, ref.select(col(ref_column)).schema[0].dataType)
-    if common is None:
-        return col(column), col(ref_column)
-    return col(column).cast(common), col(ref_column).cast(common)
+def allowed_values(ref: DataFrame, ref_column: str, key=lambda v: v) -> DataFrame:
+    """Distinct non-null allowed values (or keys of them) as one column ``__ref_value``."""
+    return ref.where(col(ref_column).isNotNull()).select(key(col(ref_column)).alias(_REF)).distinct()
 
 
-def allowed_values(ref: DataFrame, ref_column: str, as_type: str | None = None) -> DataFrame:
-    """Distinct non-null allowed values as one column ``__ref_value``."""
-    value = col(ref_column) if as_type is None else col(ref_column).cast(as_type)
-    return ref.select(value.alias(_REF)).where(F.col(_REF).isNotNull()).distinct()
-
-
-def missing_values(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:
+def missing_values(df: DataFrame, column: str, ref: DataFrame, ref_column: str,
+                   large_reference: bool = False) -> DataFrame:
     """Distinct non-null tested values that are not allowed: ``__value`` and
-    ``__n``, the number of their rows."""
-    tested, allowed = _sides(df, column, ref, ref_column)
-    per_value = df.where(tested.isNotNull()).groupBy(tested.alias(_VALUE)).agg(F.count(F.lit(1)).alias("__n"))
-    side = ref.select(allowed.alias(_REF)).where(F.col(_REF).isNotNull()).distinct()
-    return per_value.join(side, F.col(_VALUE) == F.col(_REF), "left_anti")
-
-
-def reference_violations(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:
+    ``__n``, the number of their rows.
+
+    With ``large_reference`` a Bloom filter of the allowed values finds the values
+    that are surely missing; only the others are shuffled to the anti-join.
+    """
+    tested_key, allowed_key = _keys(df, column, ref, ref_column)
+    tested = col(column)
+    per_value = (df.where(tested.isNotNull()).groupBy(tested.alias(_VALUE)).agg(F.count(F.lit(1)).alias("__n"))
+                 .withColumn(_KEY, tested_key(F.col(_VALUE))))
+    side = allowed_values(ref, ref_column, allowed_key)
+
+    def not_among(rows: DataFrame) -> DataFrame:
+        return rows.join(side, F.col(_KEY) == F.col(_REF), "left_anti").select(_VALUE, "__n")
+
+    if not large_reference:
+        return not_among(per_value)
+    # the filter hashes text: keys of one type on both sides, however Spark would widen them for a join
+    as_text: Column = F.col(_KEY).cast("string")
+    perhaps = perhaps_contains(bloom_filter(side, F.col(_REF).cast("string")), as_text)
+    surely = per_value.where(~perhaps).select(_VALUE, "__n")
+    return surely.unionByName(not_among(per_value.where(perhaps)))
+
+
+def reference_violations(df: DataFrame, column: str, ref: DataFrame, ref_column: str,
+                         large_reference: bool = False) -> DataFrame:
     """R2: rows whose non-null ``column`` value is not an allowed value."""
-    ensure_checkpoint_dir(df.sparkSession)
-    tested, _ = _sides(df, column, ref, ref_column)
-    missing = missing_values(df, column, ref, ref_column).select(_VALUE).checkpoint()
-    size = missing.agg(F.count(F.lit(1)).alias("rows"),
-                       F.sum(F.octet_length(F.col(_VALUE).cast("string"))).alias("bytes")).first()
-    if size["rows"] <= BROADCAST_VALUES and (size["bytes"] or 0) <= BROADCAST_BYTES:
-        missing = F.broadcast(missing)
-    return df.join(missing, tested == missing[_VALUE], "left_semi")
+    missing = missing_values(df, column, ref, ref_column, large_reference).select(_VALUE)
+    suspect = df.where(col(column).isNotNull() & perhaps_contains(bloom_filter(missing, F.col(_VALUE)), col(column)))
+    return suspect.join(missing, col(column) == F.col(_VALUE), "left_semi")
 
 
-def reference_violation_count(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:
+def reference_violation_count(df: DataFrame, column: str, ref: DataFrame, ref_column: str,
+                              large_reference: bool = False) -> DataFrame:
     """R2 verdict: one row ``violations`` (BIGINT, 0 when clean)."""
-    missing = missing_values(df, column, ref, ref_column)
+    missing = missing_values(df, column, ref, ref_column, large_reference)
     return missing.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("violations"))
 
 
