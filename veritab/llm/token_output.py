@@ -143,78 +143,123 @@ def unpack(payload: bytes, checkpoints: np.ndarray, n: int, table: tuple[np.ndar
 
 # -- write -----------------------------------------------------------------
 
-def token_table(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``ids`` (little-endian 16-bit), ``n_tokens``, written to a scratch table."""
-    def rows(keys: pa.Array, ids: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+class _Rows(tokens.TaskRows):
+    """A task's documents as rows, and the counts of its ids as the last one."""
+
+    names = ["doc_id", "ids", "n_tokens", "counts"]
+
+    def __init__(self) -> None:
+        self.counts = np.zeros(1 << 16, dtype=np.int64)
+
+    def __call__(self, keys: pa.Array, ids: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         if ids.size and ids.max() > 0xFFFF:
             raise ValueError("the vocabulary has ids beyond 16 bits")
-        blob = pa.Array.from_buffers(pa.large_binary(), len(keys),
-                                     [None, pa.py_buffer(starts * 2), pa.py_buffer(ids.astype("<u2"))])
-        yield pa.record_batch([keys, blob.cast(pa.binary()), pa.array(np.diff(starts))],
-                              names=["doc_id", "ids", "n_tokens"])
-
+        short = ids.astype("<u2")
+        self.counts += np.bincount(short, minlength=1 << 16)
+        blob = pa.Array.from_buffers(pa.large_binary(), len(keys), [None, pa.py_buffer(starts * 2), pa.py_buffer(short)])
+        yield pa.record_batch([keys, blob.cast(pa.binary()), pa.array(np.diff(starts)),
+                               pa.nulls(len(keys), pa.binary())], names=self.names)
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        if self.counts.any():
+            yield pa.record_batch([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()),
+                                   pa.array([self.counts.astype("<i8").tobytes()], pa.binary())], names=self.names)
+
+
+def token_table(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
+                text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(documents, counts), one written table: ``doc_id``, ``ids`` (little-endian 16-bit),
+    ``n_tokens``, ``tie`` (a hash of the ids); and per task the ``counts`` of all ids (64-bit)."""
     chosen = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
-    return written(tokens.map_ids(chosen, vocabulary, "doc_id bigint, ids binary, n_tokens bigint", rows), "ids")
+    encoded = tokens.map_ids(chosen, vocabulary, "doc_id bigint, ids binary, n_tokens bigint, counts binary", task=_Rows)
+    table = written(encoded.withColumn("tie", F.xxhash64("ids")), "ids")
+    return (table.where(F.col("counts").isNull()).select("doc_id", "ids", "n_tokens", "tie"),
+            table.where(F.col("counts").isNotNull()).select("counts"))
 
 
-def id_counts(table: DataFrame) -> dict[int, int]:
-    """Occurrences of every id; the result is bounded by the vocabulary."""
+def id_counts(counts: DataFrame) -> dict[int, int]:
+    """Occurrences of every id, from those of the tasks; the result is bounded by the vocabulary."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(1 << 16, dtype=np.int64)
         for batch in batches:
             for blob in batch.column(0):
-                n += np.bincount(np.frombuffer(blob.as_buffer(), "<u2"), minlength=1 << 16)
+                n += np.frombuffer(blob.as_buffer(), "<i8")
         seen = np.flatnonzero(n)
         yield pa.record_batch([pa.array(seen), pa.array(n[seen])], names=["id", "n"])
 
-    per_task = table.select("ids").mapInArrow(run, "id bigint, n bigint")
+    per_task = counts.mapInArrow(run, "id bigint, n bigint")
     return {r["id"]: r["n"] for r in per_task.groupBy("id").agg(F.sum("n").alias("n")).collect()}
 
 
+class _Blocks:
+    """Cuts a partition's documents into blocks and packs them."""
+
+    def __init__(self, code: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        ids, bits, words = code
+        self.bits_of, self.word_of = np.zeros(1 << 16, dtype=np.uint8), np.zeros(1 << 16, dtype=np.uint64)
+        self.bits_of[ids], self.word_of[ids] = bits, words
+        self.part, self.seq, self.tokens = 0, 0, 0
+        self.keys: list[pa.Array] = []
+        self.sizes: list[np.ndarray] = []
+        self.ids: list[np.ndarray] = []
+
+    def add(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Rows (part, id, ids); documents are taken in runs up to the end of a block."""
+        if not batch.num_rows:
+            return
+        self.part = batch.column(0)[0].as_py()
+        blob = batch.column(2).cast(pa.large_binary())
+        at = np.frombuffer(blob.buffers()[1], "<i8")[blob.offset:blob.offset + len(blob) + 1] >> 1
+        data = np.frombuffer(blob.buffers()[2] or b"", "<u2")
+        row = 0
+        while row < len(blob):
+            fits = int(np.searchsorted(at, at[row] + BLOCK_TOKENS - self.tokens, side="right")) - 1 - row
+            if fits < 1 and self.tokens:
+                yield self.block()
+                continue
+            upto = row + max(1, min(fits, len(blob) - row))  # a longer document is a block of its own
+            self.keys.append(batch.column(1).slice(row, upto - row))
+            self.sizes.append(np.diff(at[row:upto + 1]))
+            self.ids.append(data[at[row]:at[upto]].copy())
+            self.tokens += int(at[upto] - at[row])
+            row = upto
+
+    def block(self) -> pa.RecordBatch:
+        payload, checkpoints = pack(np.concatenate(self.ids), self.bits_of, self.word_of)
+        keys, sizes = pa.concat_arrays(self.keys), np.concatenate(self.sizes)
+        whole = pa.array([0, len(sizes)], pa.int32())
+        out = pa.record_batch([
+            pa.array([self.part], pa.int32()), pa.array([self.seq], pa.int32()),
+            pa.ListArray.from_arrays(whole, keys), pa.ListArray.from_arrays(whole, pa.array(sizes)),
+            pa.array([int(sizes.sum())], pa.int64()), pa.array([checkpoints], pa.list_(pa.int64())),
+            pa.array([payload], pa.binary())],
+            names=["part", "seq", "doc_ids", "doc_tokens", "n_tokens", "checkpoints", "payload"])
+        self.seq, self.tokens, self.keys, self.sizes, self.ids = self.seq + 1, 0, [], [], []
+        return out
+
+
 def write_ids(docs: DataFrame, path: str, vocabulary: str,
               id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text and write the ids below ``path`` in ascending id order."""
     spark = docs.sparkSession
-    table = token_table(docs, vocabulary, id_col, text_col)
-    counts = id_counts(table)
+    table, per_task = token_table(docs, vocabulary, id_col, text_col)
+    counts = id_counts(per_task)
     lengths = code_lengths(counts) if counts else {}
     spark.createDataFrame(pd.DataFrame({"id": list(lengths), "bits": list(lengths.values())}, dtype="int64"),
                           "id bigint, bits bigint").coalesce(1).write.parquet(f"{path}/code")
     code = spark.sparkContext.broadcast(canonical(lengths))  # bounded by the vocabulary
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, bits, words = code.value
-        bits_of, word_of = np.zeros(1 << 16, dtype=np.uint8), np.zeros(1 << 16, dtype=np.uint64)
-        bits_of[ids], word_of[ids] = bits, words
-        seq, part, held, keys, held_tokens = 0, 0, [], [], 0
-
-        def block() -> pa.RecordBatch:
-            per_doc = [len(x) for x in held]
-            payload, checkpoints = pack(np.concatenate(held), bits_of, word_of)
-            return pa.record_batch([
-                pa.array([part], pa.int32()), pa.array([seq], pa.int32()),
-                pa.array([keys], pa.list_(pa.int64())), pa.array([per_doc], pa.list_(pa.int64())),
-                pa.array([sum(per_doc)], pa.int64()), pa.array([checkpoints], pa.list_(pa.int64())),
-                pa.array([payload], pa.binary())],
-                names=["part", "seq", "doc_ids", "doc_tokens", "n_tokens", "checkpoints", "payload"])
-
+        made = _Blocks(code.value)
         for batch in batches:
-            for place, key, blob in zip(*(batch.column(i) for i in range(3))):
-                part = place.as_py()
-                doc = np.frombuffer(blob.as_buffer(), "<u2")
-                if held and held_tokens + len(doc) > BLOCK_TOKENS:
-                    yield block()
-                    seq, held, keys, held_tokens = seq + 1, [], [], 0
-                held.append(doc)
-                keys.append(key.as_py())
-                held_tokens += len(doc)
-        if held:
-            yield block()
+            yield from made.add(batch)
+        if made.keys:
+            yield made.block()
 
     parts = max(1, -(-sum(counts.values()) // PART_TOKENS))
-    tie = F.xxhash64("ids")  # equal ids of documents: by content, which also spreads them
-    ordered = table.select("doc_id", "ids", tie.alias("tie")).repartitionByRange(parts, "doc_id", "tie")
-    (ordered.sortWithinPartitions("doc_id", "tie").select(F.spark_partition_id(), "doc_id", "ids")
+    # equal ids of documents: by a hash of their content, which also spreads them
+    ordered = table.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    (ordered.select(F.spark_partition_id(), "doc_id", "ids")
      .mapInArrow(blocks, BLOCK_SCHEMA).write.option("compression", "none").parquet(f"{path}/blocks"))
 
 
@@ -254,8 +299,9 @@ def _decoded(spark: SparkSession, path: str, digest: bool) -> DataFrame:
                 sizes = per_doc.values.to_numpy()
                 ids = unpack(payload.as_buffer().to_pybytes(), checkpoints.values.to_numpy(), int(sizes.sum()), table)
                 at = np.concatenate([[0], np.cumsum(sizes)])
-                raw = [ids[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-                last = pa.array([zlib.crc32(x) for x in raw], pa.int64()) if digest else pa.array(raw, pa.binary())
+                docs = [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+                last = (pa.array([zlib.crc32(x) for x in docs], pa.int64()) if digest
+                        else pa.array([x.tobytes() for x in docs], pa.binary()))
                 yield pa.record_batch([keys.values, pa.array(start.as_py() + at[:-1]), pa.array(sizes), last],
                                       names=["doc_id", "start", "n_tokens", name])
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -54,10 +55,11 @@ def is_splittable(tokenizer_json: str) -> bool:
     return steps == ["NFC", "Replace", "Lowercase"] and split == ["Split", "ByteLevel"]
 
 
-def make_encoder(path: str) -> tuple[Callable[[str], bytes], bool, str | None]:
-    """(encode, split, mark): a function from a text to its ids as little-endian
+def make_encoder(path: str) -> tuple[Callable[[str], bytes], bool, str | None, dict[str, bytes]]:
+    """(encode, split, mark, known): a function from a text to its ids as little-endian
     unsigned 32-bit bytes; whether a text's ids are those of its white-space
-    separated chunks; the start of the special tokens' strings."""
+    separated chunks; the start of the special tokens' strings; the pieces that the
+    worker keeps, each a lower-case text whose ids are these."""
     from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as f:
@@ -68,17 +70,18 @@ def make_encoder(path: str) -> tuple[Callable[[str], bytes], bool, str | None]:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     if not is_splittable(spec):
-        return whole, False, None
+        return whole, False, None, {}
     specials = [t["content"] for t in json.loads(spec)["added_tokens"]]
     mark = specials[0][:2] if specials and all(s[:2] == specials[0][:2] for s in specials) else None
     if specials and mark is None:
-        return whole, False, None
+        return whole, False, None, {}
     alphabet, model = _byte_alphabet(), tokenizer.model
 
     class Table(dict):
         def __missing__(self, piece: str) -> bytes:
-            found = model.tokenize("".join(map(alphabet.__getitem__, piece.encode())))
-            ids = np.array([t.id for t in found], dtype="<u4").tobytes()
+            plain_letters = piece.isascii() and piece.isalpha()  # these stand for themselves
+            found = model.tokenize(piece if plain_letters else "".join(map(alphabet.__getitem__, piece.encode())))
+            ids = struct.pack(f"<{len(found)}I", *[t.id for t in found])
             if len(piece) <= LONGEST_KEPT_PIECE:
                 if len(self) >= TABLE_ENTRIES:
                     self.clear()
@@ -98,7 +101,7 @@ def make_encoder(path: str) -> tuple[Callable[[str], bytes], bool, str | None]:
         return b"".join(whole(chunk) if _BEYOND_LATIN1.search(chunk) else plain(chunk)
                         for chunk in _CHUNK.findall(text))
 
-    return encode, True, mark
+    return encode, True, mark, table
 
 
 class BatchEncoder:
@@ -110,7 +113,7 @@ class BatchEncoder:
     """
 
     def __init__(self, path: str) -> None:
-        self.encode, self.split, self.mark = make_encoder(path)
+        self.encode, self.split, self.mark, self.known = make_encoder(path)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, each with the end id; where
@@ -128,7 +131,8 @@ class BatchEncoder:
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         chunks = pc.list_flatten(lists).dictionary_encode()
         per_text = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        encoded = [self.encode(c) for c in chunks.dictionary.to_pylist()]
+        encode, known = self.encode, self.known.get
+        encoded = [known(c) or encode(c) for c in chunks.dictionary.to_pylist()]
         encoded.append(np.array([END_ID], dtype="<u4").tobytes())
         # a slice holds far fewer than 2 ** 31 ids, unless one text alone has more
         size = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded)) >> 2
@@ -176,17 +180,31 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
+class TaskRows:
+    """Output rows of one task."""
+
+    def __call__(self, keys: pa.Array, ids: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        raise NotImplementedError
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        raise NotImplementedError
+
+
 def map_ids(docs: DataFrame, path: str, schema: str,
-            rows: Callable[[pa.Array, np.ndarray, np.ndarray], Iterator[pa.RecordBatch]]) -> DataFrame:
+            rows: Callable[[pa.Array, np.ndarray, np.ndarray], Iterator[pa.RecordBatch]] | None = None,
+            task: Callable[[], TaskRows] | None = None) -> DataFrame:
     """Encode (id, text) rows and map the ids to output rows.
 
-    ``rows(row ids, token ids, starts)`` yields record batches of ``schema``.
+    ``rows(row ids, token ids, starts)`` yields record batches of ``schema``; ``task``
+    makes such a function for each task, whose ``end`` yields last batches.
     Memory per task: one slice of texts with its ids, one Arrow batch, the piece table.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = BatchEncoder(path)
+        encode, state = BatchEncoder(path), task() if task else None
         for batch in _gathered(batches):
             for at, n in _slices(batch.column(1)):
-                yield from rows(batch.column(0).slice(at, n), *encode(batch.column(1).slice(at, n)))
+                yield from (state or rows)(batch.column(0).slice(at, n), *encode(batch.column(1).slice(at, n)))
+        if state:
+            yield from state.end()
 
     return docs.mapInArrow(run, schema)
