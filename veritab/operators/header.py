@@ -2,11 +2,13 @@
 
 Column names are metadata: the comparison runs on small position frames
 (one row per column), never on data rows.  H1 compares all tables at once
-with a full outer join on (table, position).
+with a full outer join on (table, position); of a CSV table the header of
+every file is compared.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -70,6 +72,20 @@ def _data_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c != UNPARSED]
 
 
+def differing_files(df: DataFrame, expected_names: Sequence[str]) -> str | None:
+    """H1 per file: what to say of the files whose header differs from the rules.
+
+    The reader leaves the headers that it found in the schema; a frame without
+    them (no CSV table with headers) has no files of its own names."""
+    found = df.schema[UNPARSED].metadata.get("file_headers", []) if UNPARSED in df.columns else []
+    wrong = [h for h in found if list(h["columns"]) != list(expected_names)]
+    if not wrong:
+        return None
+    named = [f"{os.path.basename(file)} ({', '.join(h['columns'])})" for h in wrong for file in h["examples"]]
+    n, total = sum(h["files"] for h in wrong), sum(h["files"] for h in found)
+    return f"{n} of {total} files: " + "; ".join(named) + ("; ..." if n > len(named) else "")
+
+
 @dataclass
 class HeaderResult:
     frame: DataFrame | None   # renamed / checked frame when passed
@@ -93,10 +109,11 @@ def validate_header(load: Callable[[], DataFrame], has_header: bool,
         # missing path, unknown or unreadable format, JDBC failure; programming errors propagate
         return HeaderResult(None, False, "read", "table could not be read")
     if has_header:
-        if header_matches(columns, expected_names):
+        differing = differing_files(df, expected_names)
+        if differing is None and header_matches(columns, expected_names):
             return HeaderResult(df, True, "header", None, df)
-        return HeaderResult(None, False, "header",
-                            "header present but column names differ from the rules", df)
+        return HeaderResult(None, False, "header", "header present but column names differ from the rules"
+                            + (f" in {differing}" if differing else ""), df)
     unparsed = [UNPARSED] if len(columns) < len(df.columns) else []
     if not arity_matches(df, expected_names):
         return HeaderResult(None, False, "arity",

@@ -1,7 +1,8 @@
 """Table scans (S1) and exact row counts.
 
 Parquet is the default; CSV honours the catalog's separator and header
-flags; JDBC reads are partitioned on a numeric column when bounds are given
+flags, and maps each file by the names of its own header; JSON values stay text
+as they are written; JDBC reads are partitioned on a numeric column when bounds are given
 (a single-partition JDBC scan does not scale past one task).
 """
 
@@ -13,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from veritab.functions.names import cols
+from veritab.sources.csv_headers import as_metadata, file_headers, safe_names
+
 
 class UnsupportedFormat(ValueError):
     """A catalog row names a format that has no reader."""
@@ -35,9 +39,14 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", *,
     if fmt == "parquet":
         return reader.parquet(path)
     if fmt == "csv":
+        given = {k.lower(): v for k, v in (options or {}).items()}
+        if header and schema is None and given.get("encoding", "utf-8").lower() in ("utf-8", "utf8"):
+            return _read_by_headers(spark, path, separator or ",", options or {})
         return _read_csv(reader, path, header=bool(header), sep=separator or ",", schema=schema)
-    if fmt in ("json", "orc"):
-        return getattr(reader, fmt)(path)
+    if fmt == "json":
+        return reader.option("primitivesAsString", True).json(path)
+    if fmt == "orc":
+        return reader.orc(path)
     if fmt == "jdbc":
         return reader.format("jdbc").option("dbtable", path).load()
     raise UnsupportedFormat(f"unsupported format {fmt!r}")
@@ -59,6 +68,29 @@ def _read_csv(reader, path: str, header: bool, sep: str, schema: StructType | No
     return reader.schema(whole).option("columnNameOfCorruptRecord", UNPARSED).csv(path, **options)
 
 
+def _read_by_headers(spark: SparkSession, path: str, sep: str, options: dict[str, str]) -> DataFrame:
+    """A CSV table whose files name their columns themselves.
+
+    Files with the same header are one scan; scans of different headers are
+    put together by column name (a column that a file lacks is null), the columns of
+    the most frequent header first.  Every file is read once.  The metadata of
+    the column ``UNPARSED`` holds the headers that were found.
+    """
+    headers = file_headers(spark, path, sep, options)
+    frames = []
+    for found in headers:
+        schema = StructType([StructField(c, StringType(), True) for c in safe_names(found.columns)])
+        reader = spark.read.options(**options) if options else spark.read
+        frames.append(_read_csv(reader, path if len(headers) == 1 else list(found.files), True, sep, schema))
+    if not frames:  # no file has a record
+        return _read_csv(spark.read.options(**options) if options else spark.read, path, True, sep, None)
+    whole = frames[0]
+    for frame in frames[1:]:
+        whole = whole.unionByName(frame, allowMissingColumns=True)
+    names = [c for c in whole.columns if c != UNPARSED]
+    return whole.select(*cols(names), F.col(UNPARSED).alias(UNPARSED, metadata=as_metadata(headers)))
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: dict[str, str] | None = None,
               partition_column: str | None = None, lower_bound: int | None = None,
               upper_bound: int | None = None, num_partitions: int | None = None,
