@@ -1,6 +1,9 @@
 """H1-H4, M1-M7, S1-S9."""
 
 import os
+import re
+from collections import Counter
+from decimal import Decimal
 
 import pytest
 
@@ -260,8 +263,23 @@ class _Recorder:
         self.loads.append(dict(self.options))
         return self
 
-    def first(self):
-        return {"lo": 3, "hi": 900}
+    def collect(self):
+        return answer(self.options["query"], list(range(3, 901)))
+
+    def jdbc(self, url, table, predicates, properties):
+        self.loads.append({"url": url, "table": table, "predicates": predicates, **properties})
+        return self
+
+
+def answer(sql, values):
+    """What a database with these values of column id answers to the two kinds of questions."""
+    present = [v for v in values if v is not None]
+    if sql.startswith("SELECT MIN(id)"):
+        return [(min(present, default=None), max(present, default=None), len(present))]
+    low, step, high = map(Decimal, re.fullmatch(
+        r"SELECT FLOOR\(\(id - \((\S+)\)\) / (\S+)\) AS bucket, COUNT\(\*\) AS n FROM s\.t "
+        r"WHERE id >= \S+ AND id <= (\S+) GROUP BY .*", sql).groups())
+    return list(Counter((Decimal(str(v)) - low) // step for v in present if low <= Decimal(str(v)) <= high).items())
 
 
 def test_partitioned_jdbc_options_of_a_table():
@@ -269,10 +287,47 @@ def test_partitioned_jdbc_options_of_a_table():
 
     seen = _Recorder()
     read_with_options(seen, "s.t", "jdbc", {"url": "jdbc:x", "user": "u", "partitionColumn": "id", "numPartitions": "40"})
-    bounds, table = seen.loads
-    assert "MIN(id)" in bounds["query"] and bounds["user"] == "u"
-    assert table == {"format": "jdbc", "url": "jdbc:x", "fetchsize": "50000", "user": "u", "dbtable": "s.t", "partitionColumn": "id",
-                     "lowerBound": "3", "upperBound": "900", "numPartitions": "40"}
+    *asked, table = seen.loads
+    assert "MIN(id)" in asked[0]["query"] and all(q["user"] == "u" for q in asked)
+    assert (table["url"], table["table"], table["user"], table["fetchsize"]) == ("jdbc:x", "s.t", "u", "50000")
+    assert len(table["predicates"]) == 40
     seen = _Recorder()
     read_with_options(seen, "s.t", "JDBC", {"url": "jdbc:x", "partitionColumn": "id", "lowerBound": "1", "upperBound": "9"})
     assert len(seen.loads) == 1 and (seen.loads[0]["lowerBound"], seen.loads[0]["numPartitions"]) == ("1", "8")
+
+
+def held(predicate, v):
+    """Rows of a predicate of the forms that the reader writes."""
+    null, text = v is None, predicate.replace(" OR id IS NULL", "")
+    if null:
+        return "IS NULL" in predicate or predicate == "1 = 1"
+    return predicate == "1 = 1" or all(
+        {"<": Decimal(str(v)) < Decimal(b), ">=": Decimal(str(v)) >= Decimal(b)}[op]
+        for op, b in re.findall(r"id (<|>=) (\S+)", text))
+
+
+@pytest.mark.parametrize("values, parts, largest", [
+    (list(range(1000)), 8, 150),
+    ([int(1.01 ** i) for i in range(3000)], 16, 320),                          # most rows near 0, range 10^12
+    ([5] * 700 + list(range(300)), 10, 760),                                   # one value cannot be divided
+    ([10 ** 15] + list(range(500)) + [None] * 40, 5, 190),
+    ([i / 1000 for i in range(900)] + [10 ** 6], 6, 220),
+    ([-7] * 10, 4, 10), ([], 4, 0), ([None, None], 4, 2), ([1, 2], 8, 1),
+])
+def test_jdbc_ranges_hold_equal_numbers_of_rows(values, parts, largest):
+    from veritab.sources.jdbc_ranges import BUCKETS, ROUNDS, equi_depth_predicates
+
+    asked = []
+
+    def ask(sql):
+        asked.append(sql)
+        rows = answer(sql, values)
+        assert len(rows) <= BUCKETS + 1
+        return rows
+
+    predicates = equi_depth_predicates(ask, "s.t", "id", parts)
+    counts = [sum(held(p, v) for v in values) for p in predicates]
+    assert sum(counts) == len(values) and len(predicates) <= parts             # every row once
+    assert all(sum(held(p, v) for p in predicates) == 1 for v in values)
+    assert max(counts, default=0) <= largest
+    assert len(asked) <= 1 + 2 * parts * ROUNDS

@@ -11,6 +11,7 @@ from veritab.functions.constants import (
 from veritab.plans import logs
 from veritab.plans.staged_run import FunctionalSpec, run_verdicts, specs_from_metadata
 from veritab.schemas import FILE_CONFIGURATION, SEMANTIC_LAYER, TD_TEMPLATES
+from veritab.plans import publication
 from veritab.sources import read_table
 
 TEMPLATE_RULES = FunctionalSpec(
@@ -256,11 +257,103 @@ def test_validate_and_log_appends_both_logs(spark, run, tmp_path):
     for _ in range(2):
         validate_and_log(spark, chosen, refs, trig, log, "2025-01-03 00:00:00", run_id="third")
     assert spark.read.parquet(trig).count() == 30 and spark.read.parquet(log).count() == 6
+    assert publication.read_log(spark, trig, trig).count() == 30 and publication.read_log(spark, log, trig).count() == 6
     errors = spark.read.parquet(log)
     # every error row points at an existing status row
     assert errors.join(spark.read.parquet(trig), "id_trigger", "left_anti").count() == 0
 
 
+def small_specs(spark, n, before=lambda k: None):
+    from veritab.functions.rules import make_rule
+    from veritab.plans.staged_run import TableSpec
+
+    def load(k):
+        before(k)
+        return spark.range(k + 1).selectExpr("cast(id as string) a")
+
+    return [TableSpec(f"{k:05d}", f"t{k}", True, lambda k=k: load(k), [make_rule("a", "INT", 1, nullable=k != 2)]) for k in range(n)]
+
+
+def test_a_restarted_run_validates_unfinished_tables_only(spark, tmp_path):
+    from veritab.plans.staged_run import validate_and_log
+
+    trig, log, store = (str(tmp_path / n) for n in ("t", "l", "s"))
+    loaded = []
+
+    def dies_at_four(k):
+        loaded.append(k)
+        if k == 3 and len(loaded) == 4:
+            raise RuntimeError("driver lost")
+
+    def run():
+        return validate_and_log(spark, small_specs(spark, 6, dies_at_four), None, trig, log, "2025-01-01 00:00:00",
+                                run_id="r", tables_at_once=1, store_path=store)
+
+    with pytest.raises(RuntimeError):
+        run()
+    assert loaded == [0, 1, 2, 3] and not (tmp_path / "t").exists()
+    status = {r["table_id"]: r["row_count"] for r in run().collect()}
+    assert loaded[4:] == [3, 4, 5]
+    assert status == {f"{k:05d}": k + 1 for k in range(6)}
+    run()   # published: the same id starts anew
+    assert loaded[7:] == [0, 1, 2, 3, 4, 5]
+    assert publication.read_log(spark, trig, trig).count() == spark.read.parquet(trig).count()
+
+
+def test_both_logs_become_visible_together(spark, tmp_path, monkeypatch):
+    from veritab.plans.staged_run import validate_and_log
+
+    trig, log = str(tmp_path / "t"), str(tmp_path / "l")
+    run = lambda **k: validate_and_log(spark, small_specs(spark, 3), None, trig, log, "2025-01-01 00:00:00", **k)
+    run(run_id="a")
+    seen = publication.read_log(spark, trig, trig).count(), publication.read_log(spark, log, trig)
+    # the status rows are written, their constraints fail: neither log shows the run
+    catalog = spark.createDataFrame([], FILE_CONFIGURATION)
+    with pytest.raises(publication.LogConstraintError, match="foreign_key"):
+        run(run_id="b", catalog=catalog)
+    real = publication.commits
+    monkeypatch.setattr(logs, "validation_logs", lambda *a, **k: spark.range(1).selectExpr("raise_error('lost') as x"))
+    with pytest.raises(Exception, match="lost"):
+        run(run_id="c")
+    assert {r["run_id"] for r in real(spark, trig).collect()} == {"a"}
+    assert publication.read_log(spark, trig, trig).count() == seen[0]
+    assert {r["run_id"] for r in publication.read_log(spark, log, trig).select("run_id").collect()} <= {"a"}
+
+
+def test_ids_without_a_look_at_other_runs(spark, tmp_path):
+    from veritab.plans.staged_run import validate_and_log
+
+    base = publication.id_base
+    assert base("x", "2025-01-01 00:00:00") < base("y", "2025-01-01 00:00:01") < base("x") < 1 << 63
+    same = {base(f"run {i}", "2025-01-01 00:00:00") for i in range(40)}
+    assert len(same) == 40 and all(b % (1 << 18) == 0 for b in same)
+    trig, log = str(tmp_path / "t"), str(tmp_path / "l")
+    # two runs of one second whose hashes collide
+    publication_base = {0: 5 << 18, 1: 9 << 18}
+    import unittest.mock as mock
+
+    with mock.patch.object(publication, "id_base", lambda run, ts=None, turn=0: publication_base[turn]):
+        for run in ("a", "b"):
+            validate_and_log(spark, small_specs(spark, 2), None, trig, log, "2025-01-01 00:00:00", run_id=run)
+    ids = [r[0] for r in publication.read_log(spark, trig, trig).select("id_trigger").collect()]
+    assert len(ids) == len(set(ids)) and {i >> 18 for i in ids} == {5, 9}
+
+
+def test_a_sink_gets_the_published_rows(spark, run, tmp_path):
+    from veritab.plans.staged_run import validate_and_log
+    from veritab.sources import append_rows
+
+    _, _, specs, refs = run
+    names = {"t": f"trig_{tmp_path.name}", "l": f"log_{tmp_path.name}"}
+    names = {k: "".join(c if c.isalnum() else "_" for c in v) for k, v in names.items()}
+    validate_and_log(spark, specs[:3], refs, str(tmp_path / "t"), str(tmp_path / "l"), run_id="a",
+                     sink=lambda t, e: (append_rows(t, names["t"], as_table=True), append_rows(e, names["l"], as_table=True)))
+    assert spark.table(names["t"]).count() == publication.read_log(spark, str(tmp_path / "t"), str(tmp_path / "t")).count()
+    assert spark.table(names["l"]).count() == 2
+    for n in names.values():
+        spark.sql(f"DROP TABLE {n}")
+
+
 def test_command_line_run(spark, tmp_path, capsys):
     """python -m veritab over CSV metadata and CSV tables."""
     import csv as _csv

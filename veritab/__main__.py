@@ -6,7 +6,7 @@ stages passed per table.
   python -m veritab --catalog cat.parquet --rules rules.parquet \
       --reference td_templates=/data/td_templates.parquet \
       --trigger-log /logs/trigger_control --error-log /logs/process_validation_logs \
-      [--ids 00013,00018] [--template-rules] [--fail-fast] [--tables-per-job 20] [--compat]
+      [--ids 00013,00018] [--template-rules] [--fail-fast] [--tables-at-once 8] [--run-id ID] [--compat]
 """
 
 from __future__ import annotations
@@ -51,7 +51,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--fail-fast", action="store_true", help="stop each table at its first failed stage")
     ap.add_argument("--tables-at-once", type=int, default=TABLES_AT_ONCE,
                     help="tables that are validated at the same time")
-    ap.add_argument("--run-id", default=None, help="a repeated run of the same id replaces its log rows")
+    ap.add_argument("--run-id", default=None, help="a run that was cut off goes on under its id; a published one is repeated and "
+                                                       "replaces its log rows")
     ap.add_argument("--option", action="append", default=[],
                     help="KEY=VALUE passed to the reader of every table (e.g. the connection of jdbc tables)")
     ap.add_argument("--table-option", action="append", default=[],
@@ -99,7 +100,8 @@ def main(argv: list[str] | None = None) -> int:
     specs = specs_from_metadata(catalog, rules, load, functional, ids)
     status = validate_and_log(spark, specs, references, args.trigger_log, args.error_log,
                               environment=args.environment, source=args.source, compat=args.compat,
-                              fail_fast=args.fail_fast, run_id=args.run_id, tables_at_once=args.tables_at_once)
+                              fail_fast=args.fail_fast, run_id=args.run_id, tables_at_once=args.tables_at_once,
+                              catalog=catalog)
     for r in status.orderBy("table_seq").collect():
         print(f"{r['table_id']} {r['table_name']}: {r['stages_passed']} of 4 stages passed, flag {r['flag']}")
     return 0

@@ -2,9 +2,9 @@
 
 F1  required values per group: at least one row carries one (F1a), each
     (group, value) occurs exactly once (F1b), each group holds the full set
-    (F1c).  Rows are filtered to the required values first, then counted per
-    (group, value) with partial aggregation, so a hot group is collapsed
-    before the shuffle and no group's values are ever collected.
+    (F1c).  A group has one counter per required value, counted per task before
+    the one exchange by group: a hot group is one row of counters per task, and
+    no group's values are ever collected.
 F2  every group has a value with a given prefix.
 F3  every value matches a naming pattern.
 F4  spreadsheet cell references fall inside the table.
@@ -25,12 +25,23 @@ from veritab.functions.names import col, cols
 # F1 required values
 # --------------------------------------------------------------------------
 
-def required_pairs(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                   values: Sequence[str]) -> DataFrame:
-    """Rows per (group, required value), only for required values present."""
-    return (df.where(col(value_col).isin(list(values)))
-            .groupBy(*cols(group_cols), col(value_col))
-            .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+def required_counts(df: DataFrame, group_cols: Sequence[str], value_col: str, values: Sequence,
+                    all_groups: bool = False) -> DataFrame:
+    """Per group ``counts``: an array of (value, n), one per different required value in
+    the order given.  Groups without any required value only with ``all_groups``."""
+    kind = df.select(col(value_col)).schema[0].dataType
+    wanted = [F.lit(v).try_cast(kind) for v in required_set(values)]
+    rows = df if all_groups else df.where(col(value_col).isin(wanted))
+    counters = [F.count_if(col(value_col) == v).alias(f"__n{i}") for i, v in enumerate(wanted)]
+    pairs = F.array(*[F.struct(v.alias("value"), F.col(f"__n{i}").alias("n")) for i, v in enumerate(wanted)])
+    shape = f"array<struct<value:{kind.simpleString()},n:bigint>>"
+    return rows.groupBy(*cols(group_cols)).agg(F.count(F.lit(1)).alias("__rows"), *counters) \
+        .select(*cols(group_cols), pairs.cast(shape).alias("counts"))
+
+
+def required_set(values: Sequence) -> list:
+    """The different required values in the order given; a null is none."""
+    return [v for v in dict.fromkeys(values) if v is not None]
 
 
 def required_any(df: DataFrame, value_col: str, values: Sequence[str]) -> DataFrame:
@@ -41,28 +52,21 @@ def required_any(df: DataFrame, value_col: str, values: Sequence[str]) -> DataFr
 
 def required_excess(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     values: Sequence[str]) -> DataFrame:
-    """(group, value, n) pairs whose count is not exactly one."""
-    return required_pairs(df, group_cols, value_col, values).where(F.col("n") != 1)
+    """(group, value, n) of required values that a group has more than once."""
+    found = required_counts(df, group_cols, value_col, values)
+    return found.select(*cols(group_cols), F.inline("counts").alias(value_col, "n")).where(F.col("n") > 1)
 
 
 def required_missing(df: DataFrame, group_cols: Sequence[str], value_col: str,
                      values: Sequence[str], all_groups: bool = False) -> DataFrame:
     """Groups missing part of the required set, with ``n_present``.
 
-    Counting distinct required values per group is enough: rows were
-    filtered to the required set, so a full count means the full set.  By
-    default only groups with at least one required value are seen;
+    By default only groups with at least one required value are seen;
     ``all_groups=True`` also reports groups with none (n_present = 0).
     """
-    present = (required_pairs(df, group_cols, value_col, values)
-               .groupBy(*cols(group_cols)).agg(F.count(F.lit(1)).cast("bigint").alias("n_present")))
-    if all_groups:
-        groups = df.select(*[col(g).alias(f"__g{i}") for i, g in enumerate(group_cols)]).distinct()
-        cond = [F.col(f"__g{i}").eqNullSafe(col(g)) for i, g in enumerate(group_cols)]
-        present = groups.join(present, cond, "left").select(
-            *[F.col(f"__g{i}").alias(g) for i, g in enumerate(group_cols)],
-            F.coalesce(F.col("n_present"), F.lit(0)).cast("bigint").alias("n_present"))
-    return present.where(F.col("n_present") != len(set(values)))
+    found = required_counts(df, group_cols, value_col, values, all_groups)
+    n_present = F.size(F.filter("counts", lambda c: c["n"] > 0)).cast("bigint")
+    return found.select(*cols(group_cols), n_present.alias("n_present")).where(F.col("n_present") != F.size("counts"))
 
 
 # --------------------------------------------------------------------------

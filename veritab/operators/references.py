@@ -29,7 +29,7 @@ _VALUE = "__value"
 _KEY = "__key"
 
 
-def _keys(df: DataFrame, column: str, ref: DataFrame, ref_column: str):
+def comparable_keys(df: DataFrame, column: str, ref: DataFrame, ref_column: str):
     """Functions from the tested and from the allowed value to comparable expressions."""
     types = [frame.select(col(name)).schema[0].dataType for frame, name in ((df, column), (ref, ref_column))]
     return comparable(*types) or (lambda v: v, lambda v: v)
@@ -48,7 +48,7 @@ def missing_values(df: DataFrame, column: str, ref: DataFrame, ref_column: str,
     With ``large_reference`` a Bloom filter of the allowed values finds the values
     that are surely missing; only the others are shuffled to the anti-join.
     """
-    tested_key, allowed_key = _keys(df, column, ref, ref_column)
+    tested_key, allowed_key = comparable_keys(df, column, ref, ref_column)
     tested = col(column)
     per_value = (df.where(tested.isNotNull()).groupBy(tested.alias(_VALUE)).agg(F.count(F.lit(1)).alias("__n"))
                  .withColumn(_KEY, tested_key(F.col(_VALUE))))

@@ -9,11 +9,15 @@ data except the scan itself.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType, DateType, DoubleType, FloatType, IntegralType, TimestampNTZType, TimestampType,
+)
 
+from veritab.functions.bloom import bloom_filter, perhaps_contains
 from veritab.functions.predicates import any_violation, fast_predicate, violation_predicate, violation_sql
 from veritab.functions.rules import Rule
 from veritab.functions.names import cols
@@ -85,21 +89,50 @@ def key_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*cols(keys)).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def key_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _is_narrow(df: DataFrame, keys: Sequence[str]) -> bool:
+    """One column of a fixed width: its hash would be no shorter."""
+    kinds = [f.dataType for f in df.select(*cols(keys)).schema]
+    fixed = (IntegralType, DateType, TimestampType, TimestampNTZType, BooleanType, FloatType, DoubleType)
+    return len(kinds) == 1 and isinstance(kinds[0], fixed)
+
+
+class _ByHash:
+    """Keys counted by a 64-bit hash first (16 bytes a row in the exchange, however wide
+    the key), and only rows of hashes that occur twice by their key.
+
+    The repeated hashes are a Bloom filter, so the table is read a second time
+    but does not move; a hash outside the filter occurs once and is one key.
+    """
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], hashed: Callable[..., Column]) -> None:
+        key_hash = hashed(*cols(keys))
+        self.hashes = df.groupBy(key_hash.alias("h")).agg(F.count(F.lit(1)).alias("n"))
+        repeated = bloom_filter(self.hashes.where("n > 1"), F.col("h"))
+        self.outside = ~perhaps_contains(repeated, F.col("h"))
+        self.exact = key_groups(df.where(perhaps_contains(repeated, key_hash)), keys)
+
+
+def key_summary(df: DataFrame, keys: Sequence[str], hashed: Callable[..., Column] = F.xxhash64) -> DataFrame:
     """One row ``row_count, distinct_keys, duplicated_keys, passed``.
 
-    Row count and distinct keys come from the same grouped pass, so they
-    cannot disagree.  The group-by is partial per task first, so a hot key
-    is collapsed before the shuffle.
+    Wide keys are counted by their hash and compared exactly only where a hash repeats.
+    The group-by is partial per task first, so a hot key is collapsed before the shuffle.
     """
-    g = key_groups(df, keys)
-    return g.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("row_count"),
-        F.count(F.lit(1)).cast("bigint").alias("distinct_keys"),
-        F.count_if(F.col("n") > 1).cast("bigint").alias("duplicated_keys"),
-    ).withColumn("passed", F.col("duplicated_keys") == 0)
+    counted = F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")
+    of_keys = [F.count(F.lit(1)).cast("bigint").alias("distinct_keys"),
+               F.count_if(F.col("n") > 1).cast("bigint").alias("duplicated_keys")]
+    if _is_narrow(df, keys):
+        found = key_groups(df, keys).agg(counted.alias("row_count"), *of_keys)
+    else:
+        by_hash = _ByHash(df, keys, hashed)
+        rows = by_hash.hashes.agg(counted.alias("row_count"), F.count_if(by_hash.outside).alias("once"))
+        both = rows.crossJoin(by_hash.exact.agg(*of_keys))  # one row each
+        found = both.select("row_count", (F.col("distinct_keys") + F.col("once")).cast("bigint").alias("distinct_keys"),
+                            "duplicated_keys")
+    return found.withColumn("passed", F.col("duplicated_keys") == 0)
 
 
-def key_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def key_duplicates(df: DataFrame, keys: Sequence[str], hashed: Callable[..., Column] = F.xxhash64) -> DataFrame:
     """T8 detail: key values that occur more than once, with their count."""
-    return key_groups(df, keys).where(F.col("n") > 1)
+    groups = key_groups(df, keys) if _is_narrow(df, keys) else _ByHash(df, keys, hashed).exact
+    return groups.where(F.col("n") > 1)

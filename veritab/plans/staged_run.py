@@ -14,6 +14,9 @@ Per table the work is:
     bounds (F4, bounded by a scalar-subquery row count);
   * one grouped pass per key rule (T8), per reference rule (anti-join on
     distinct values), for the required set (F1b/F1c) and the group prefix (F2).
+A table whose source cannot prune columns (``TableSpec.single_scan``: CSV, JSON,
+JDBC) is read once instead: all of these are counted in one grouped pass
+(``single_scan``) and the verdicts are read from its counts.
 The driver only handles metadata: catalog rows, rule rows and verdict rows.
 """
 
@@ -29,14 +32,18 @@ from pyspark.sql import functions as F
 from veritab.functions.cells import out_of_bounds, parse_cell
 from veritab.functions.names import col, cols
 from veritab.functions.rules import Rule, collect_rules, decode_rules
-from veritab.operators.functional import group_prefix_incidences, pattern_predicate, required_pairs
+from veritab.operators import single_scan as scan
+from veritab.operators.functional import group_prefix_incidences, pattern_predicate, required_counts, required_set
 from veritab.operators.header import READ_ERRORS, SPARK_ERRORS, validate_header
 from veritab.operators.metadata import select_tables, split_reference
-from veritab.operators.references import reference_violation_count
+from veritab.operators.references import allowed_values, comparable_keys, reference_violation_count
 from veritab.operators.technical import count_if_exprs, key_summary
+from veritab.functions.predicates import fast_predicate
 from veritab.plans.verdicts import (
     VERDICT_COLUMNS, counted, entry, explode_entries, literal_verdicts, union_all,
 )
+from veritab.plans.run_store import RunStore, fingerprint
+from veritab.session import ensure_checkpoint_dir
 from veritab.sources.readers import UNPARSED
 
 
@@ -58,6 +65,9 @@ class FunctionalSpec:
     cell_inclusive: bool = False
     cell_flag_unparsable: bool = False      # a non-null cell without letters+digits violates
 
+    def columns_of(self, n_columns: int) -> int:
+        return self.cell_column_count if self.cell_column_count is not None else n_columns
+
 
 @dataclass
 class TableSpec:
@@ -67,6 +77,12 @@ class TableSpec:
     load: Callable[[], DataFrame]
     rules: list[Rule]
     functional: FunctionalSpec | None = None
+    #: read the table once for all checks (sources that read whole rows for any column)
+    single_scan: bool = False
+
+
+#: formats that read whole rows whichever columns are wanted
+ROW_FORMATS = ("csv", "json", "jdbc")
 
 
 def specs_from_metadata(catalog: DataFrame, rules: DataFrame,
@@ -96,6 +112,7 @@ def specs_from_metadata(catalog: DataFrame, rules: DataFrame,
             load=(lambda r=row: loader(r)),
             rules=by_table.get(tid, []),
             functional=functional.get(tid),
+            single_scan=(row["file_format"] or "").lower() in ROW_FORMATS,
         ))
     return specs
 
@@ -212,16 +229,20 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
     if fs and fs.pattern_column:
         aggs.append(F.count_if(pattern_predicate(fs.pattern_column, fs.pattern, fs.pattern_mode))
                     .alias("__pat"))
-    if fs and fs.cell_column:
-        # row count as a scalar subquery: evaluated once, inlined as a literal
-        row_count = df.select(F.count(F.lit(1)).cast("bigint")).scalar()
-        column_count = fs.cell_column_count if fs.cell_column_count is not None else n_columns
-        _, row_num, col_num = parse_cell(col(fs.cell_column))
-        bad_cell = out_of_bounds(row_num, col_num, row_count, column_count, fs.cell_inclusive)
-        if fs.cell_flag_unparsable:
-            bad_cell = bad_cell | (col(fs.cell_column).isNotNull() & (row_num.isNull() | col_num.isNull()))
-        aggs.append(F.count_if(bad_cell).alias("__cell"))
-    one = df.agg(*aggs)
+    counts = None
+    if spec.single_scan:
+        counts = _count_items(df, spec, fs, refs, compat, n_columns)
+        one = counts.frame.agg(*_totals(counts, spec, fs, check_records))
+    else:
+        if fs and fs.cell_column:
+            # row count as a scalar subquery: evaluated once, inlined as a literal
+            row_count = df.select(F.count(F.lit(1)).cast("bigint")).scalar()
+            _, row_num, col_num = parse_cell(col(fs.cell_column))
+            bad_cell = out_of_bounds(row_num, col_num, row_count, fs.columns_of(n_columns), fs.cell_inclusive)
+            if fs.cell_flag_unparsable:
+                bad_cell = bad_cell | (col(fs.cell_column).isNotNull() & (row_num.isNull() | col_num.isNull()))
+            aggs.append(F.count_if(bad_cell).alias("__cell"))
+        one = df.agg(*aggs)
 
     entries = [e(1, 1, "header", None, "0", "0", "true", None, "__rows")]
     for i, r in enumerate(spec.rules):
@@ -250,7 +271,7 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
     # Key uniqueness, one grouped pass
     keys = [r.field_name for r in spec.rules if r.is_pk]
     if keys:
-        ks = key_summary(df, keys)
+        ks = counts.duplicated_keys() if counts else key_summary(df, keys)
         inc, ok = counted("duplicated_keys")
         frames.append(Part(2, explode_entries(ks, [e(2, len(spec.rules) + 1, "primary_key", ", ".join(keys),
                                                  "duplicated_keys", inc, ok,
@@ -261,7 +282,11 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
         if i not in refs:
             continue
         ref_frame, ref_column = refs[i]
-        cnt = reference_violation_count(df, r.field_name, ref_frame, ref_column)
+        if counts:
+            _, allowed_key = comparable_keys(df, r.field_name, ref_frame, ref_column)
+            cnt = counts.missing(f"ref{i}", allowed_values(ref_frame, ref_column, lambda v: allowed_key(v).cast("string")))
+        else:
+            cnt = reference_violation_count(df, r.field_name, ref_frame, ref_column)
         inc, ok = counted("violations")
         frames.append(Part(3, rule=i, frame=explode_entries(cnt, [e(3, i + 1, "reference", r.field_name,
                                                   "violations", inc, ok,
@@ -269,17 +294,14 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
 
     # Rows per (group, required value), then per group
     if fs and fs.required_column:
-        pairs = required_pairs(df, list(fs.group_cols), fs.required_column, fs.required_values)
-        per_group = pairs.groupBy(*cols(fs.group_cols)).agg(
-            F.count(F.lit(1)).alias("__present"), F.count_if(F.col("n") != 1).alias("__excess"))
-        if fs.all_groups:
-            # also groups without any required value (n_present = 0)
-            groups = df.select(*[col(g).alias(f"__g{i}") for i, g in enumerate(fs.group_cols)]).distinct()
-            cond = [F.col(f"__g{i}").eqNullSafe(col(g)) for i, g in enumerate(fs.group_cols)]
-            per_group = groups.join(per_group, cond, "left").select(
-                F.coalesce(F.col("__present"), F.lit(0)).alias("__present"),
-                F.coalesce(F.col("__excess"), F.lit(0)).alias("__excess"))
-        k = len(set(fs.required_values))
+        k = len(required_set(fs.required_values))
+        if counts:
+            per_group = counts.required([f"req{i}" for i in range(k)])
+        else:
+            found = required_counts(df, list(fs.group_cols), fs.required_column, fs.required_values, fs.all_groups)
+            per_group = found.select(
+                F.size(F.filter("counts", lambda c: c["n"] > 0)).alias("__present"),
+                F.size(F.filter("counts", lambda c: c["n"] > 1)).alias("__excess"))
         one_set = per_group.agg(
             (F.coalesce(F.sum("__excess"), F.lit(0)) + F.count_if(F.col("__present") != k)).alias("__bad"))
         inc, ok = counted("__bad")
@@ -289,7 +311,8 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
 
     # prefix per group
     if fs and fs.prefix_column:
-        gp = group_prefix_incidences(df, list(fs.group_cols), fs.prefix_column, fs.prefix)
+        gp = (counts.prefix_incidences() if counts else
+              group_prefix_incidences(df, list(fs.group_cols), fs.prefix_column, fs.prefix))
         frames.append(Part(4, explode_entries(gp, [e(
             4, 3, "group_prefix", ", ".join(fs.group_cols + (fs.prefix_column,)), "incidences",
             "incidences", "passed",
@@ -298,6 +321,62 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
     return frames
 
 
+def _count_items(df: DataFrame, spec: TableSpec, fs: FunctionalSpec | None, refs: dict, compat: bool,
+                 n_columns: int) -> scan.Counts:
+    """Everything that the checks of a table count, in one read of it."""
+    items = scan.Items()
+    items.add(scan.ROWS)
+    for i, r in enumerate(spec.rules):
+        items.add(f"type{i}", when=fast_predicate(r, compat))
+    if UNPARSED in df.columns:
+        items.add("records", when=F.col(UNPARSED).isNotNull())
+    keys = [r.field_name for r in spec.rules if r.is_pk]
+    if keys:
+        items.add(scan.KEY, scan.joint_key(df, keys))
+    for i, (ref_frame, ref_column) in refs.items():
+        name = spec.rules[i].field_name
+        tested_key, _ = comparable_keys(df, name, ref_frame, ref_column)
+        items.add(f"ref{i}", tested_key(col(name)), col(name).isNotNull())
+    if fs:
+        group = scan.joint_key(df, list(fs.group_cols)) if fs.group_cols else F.lit("")
+        if fs.required_column:
+            kind = df.select(col(fs.required_column)).schema[0].dataType
+            for i, v in enumerate(required_set(fs.required_values)):
+                items.add(f"req{i}", group, col(fs.required_column) == F.lit(v).try_cast(kind))
+            if fs.all_groups:
+                items.add(scan.GROUP, group)
+        if fs.prefix_column:
+            hit = F.coalesce(col(fs.prefix_column).startswith(fs.prefix), F.lit(False))
+            items.add(scan.GROUP_PREFIX, group, ~hit)
+            items.add(scan.GROUP_PREFIX + "+", group, hit)
+        if fs.pattern_column:
+            items.add("pattern", when=pattern_predicate(fs.pattern_column, fs.pattern, fs.pattern_mode))
+        if fs.cell_column:
+            _, row_num, col_num = parse_cell(col(fs.cell_column))
+            bad = F.coalesce(out_of_bounds(F.lit(-1), col_num, 0, fs.columns_of(n_columns), fs.cell_inclusive), F.lit(False))
+            if fs.cell_flag_unparsable:
+                bad = bad | (col(fs.cell_column).isNotNull() & (row_num.isNull() | col_num.isNull()))
+            items.add(scan.CELL, when=bad)
+            items.add(scan.CELL_ROW, row_num, ~bad & row_num.isNotNull())
+    return items.counted(df)
+
+
+def _totals(counts: scan.Counts, spec: TableSpec, fs: FunctionalSpec | None, check_records: bool) -> list:
+    """The one-row aggregate of the row rules, from the counts."""
+    aggs = [counts.total(scan.ROWS).alias("__rows")]
+    aggs += [counts.total(f"type{i}").alias(f"__t{i}") for i in range(len(spec.rules))]
+    if check_records:
+        aggs.append(counts.total("records").alias("__records"))
+    if fs and fs.required_column:
+        n = sum((counts.total(f"req{i}") for i in range(len(required_set(fs.required_values)))), F.lit(0))
+        aggs.append(n.alias("__req"))
+    if fs and fs.pattern_column:
+        aggs.append(counts.total("pattern").alias("__pat"))
+    if fs and fs.cell_column:
+        aggs.append(counts.cells_outside(fs.cell_inclusive).alias("__cell"))
+    return aggs
+
+
 def table_verdicts(spark: SparkSession, spec: TableSpec, seq: int,
                    references: Callable[[str], DataFrame], compat: bool = False) -> DataFrame:
     """Verdict rows of one table, all stages, as one lazy frame."""
@@ -311,9 +390,13 @@ TABLES_AT_ONCE = 8
 
 def run_verdicts(spark: SparkSession, specs: Sequence[TableSpec],
                  references: Callable[[str], DataFrame], compat: bool = False,
-                 fail_fast: bool = False, tables_at_once: int = TABLES_AT_ONCE) -> DataFrame:
+                 fail_fast: bool = False, tables_at_once: int = TABLES_AT_ONCE,
+                 store: RunStore | None = None) -> DataFrame:
     """Verdict frame of all tables, in the order of ``specs``.
 
+    With a ``store`` each finished table is kept there, and a table that an
+    interrupted run of the same id finished is not validated again.
+
     Runs one job per table, ``tables_at_once`` at the same time.  The frame
     holds the finished verdict rows, so nothing that derives from it repeats
     a check.  With ``fail_fast`` the grouped passes of the stages after a
@@ -322,7 +405,16 @@ def run_verdicts(spark: SparkSession, specs: Sequence[TableSpec],
 
     rows: dict[int, list[tuple]] = {}
     errors: list[BaseException] = []
-    todo = list(enumerate(specs, start=1))[::-1]
+    marks = {spec.table_id: fingerprint(spec.table_name, spec.has_header, spec.rules, spec.functional, compat, fail_fast)
+             for spec in specs}
+    done = store.finished() if store else {}
+    todo = []
+    for seq, spec in enumerate(specs, start=1):
+        kept = done.get((spec.table_id, marks[spec.table_id]))
+        if kept is None:
+            todo.insert(0, (seq, spec))
+        else:
+            rows[seq] = [(seq, *r[1:]) for r in kept]
 
     def work() -> None:
         while todo and not errors:
@@ -331,7 +423,10 @@ def run_verdicts(spark: SparkSession, specs: Sequence[TableSpec],
             except IndexError:
                 return
             try:
-                rows[seq] = _table_rows(spark, spec, seq, references, compat, fail_fast)
+                found = _table_rows(spark, spec, seq, references, compat, fail_fast)
+                if store:
+                    store.put(spec.table_id, marks[spec.table_id], found)
+                rows[seq] = found
             except BaseException as exc:  # raised again below, in the caller's thread
                 errors.append(exc)
 
@@ -386,43 +481,49 @@ def validate_and_log(spark: SparkSession, specs: Sequence[TableSpec],
                      references: Callable[[str], DataFrame], trigger_path: str, log_path: str,
                      run_ts=None, environment: str | None = None, source: str | None = None,
                      compat: bool = False, fail_fast: bool = False, run_id: str | None = None,
-                     tables_at_once: int = TABLES_AT_ONCE) -> DataFrame:
-    """The whole run (O1 + L1/L2): validate every table and write the status
-    rows below ``trigger_path`` and the error rows below ``log_path``.
-
-    Each log is a folder with one ``run_id=<id>`` part per run, written with
-    overwrite: a run that is repeated under the same ``run_id`` replaces its
-    own rows.  Status ids continue after the highest id of the other runs.
+                     tables_at_once: int = TABLES_AT_ONCE, store_path: str | None = None,
+                     catalog: DataFrame | None = None,
+                     sink: Callable[[DataFrame, DataFrame], None] | None = None) -> DataFrame:
+    """The whole run (O1 + L1/L2): validate every table and publish the status
+    rows below ``trigger_path`` and the error rows below ``log_path`` together.
+
+    Finished tables are kept below ``store_path`` (default: the checkpoint
+    folder), so a run that is started again under its ``run_id`` after it was cut
+    off validates the others only; after a run was published, the same id starts anew and
+    replaces its rows.  With the ``catalog`` the declared constraints of the log
+    tables are checked before anything becomes visible.  ``sink`` gets the
+    published status and error rows, for example to append them to catalog or
+    JDBC tables with ``append_rows``.
     Returns the per-table status (flag, stages passed, row count)."""
-    import os
     import uuid
 
     from veritab.functions.constants import DEFAULT_ENVIRONMENT, DEFAULT_SOURCE
-    from veritab.plans import logs
+    from veritab.operators.metadata import log_constraint_violations
+    from veritab.plans import logs, publication
 
     run_id = run_id or uuid.uuid4().hex
-    verdicts = run_verdicts(spark, specs, references, compat, fail_fast, tables_at_once)
-    id_base = _highest_id(spark, trigger_path, run_id)
-    # ids of one run are id_base + table_seq*10 + n: leave room for the run
-    id_base = ((id_base // 10) + 1) * 10 if id_base else 0
+    published = publication.commits(spark, trigger_path).where(F.col("run_id") == run_id).count()
+    root = store_path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/veritab-runs"
+    store = RunStore(spark, root, run_id, published)
+    verdicts = run_verdicts(spark, specs, references, compat, fail_fast, tables_at_once, store)
     env = environment or DEFAULT_ENVIRONMENT
     src = source or DEFAULT_SOURCE
-    for frame, path in ((logs.trigger_rows(verdicts, run_ts, env, src, id_base), trigger_path),
-                        (logs.validation_logs(verdicts, run_ts, src, id_base), log_path)):
-        frame.coalesce(1).write.mode("overwrite").parquet(os.path.join(path, f"run_id={run_id}"))
-    return logs.table_status(verdicts)
-
-
-def _highest_id(spark: SparkSession, trigger_path: str, run_id: str) -> int:
-    """Highest status id of the other runs; 0 before the first run."""
-    from pyspark.errors import AnalysisException
 
-    try:
-        written = spark.read.parquet(trigger_path)
-    except AnalysisException as exc:
-        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return 0
-        raise
-    if "run_id" in written.columns:
-        written = written.where(F.col("run_id").cast("string") != run_id)
-    return written.agg(F.max("id_trigger")).first()[0] or 0
+    def make_logs(id_base: int) -> tuple[DataFrame, DataFrame]:
+        return (logs.trigger_rows(verdicts, run_ts, env, src, id_base),
+                logs.validation_logs(verdicts, run_ts, src, id_base))
+
+    def check(triggers: DataFrame, errors: DataFrame) -> None:
+        if catalog is not None:
+            broken = log_constraint_violations(catalog, triggers, errors).where("not passed").collect()
+            if broken:
+                raise publication.LogConstraintError("; ".join(
+                    f"{r['table_name']}.{r['column_name']}: {r['violations']} violations of {r['kind']}" for r in broken))
+        if sink is not None:
+            accepted.append((triggers, errors))
+
+    accepted: list[tuple[DataFrame, DataFrame]] = []
+    publication.publish(spark, run_id, make_logs, trigger_path, log_path, run_ts, check)
+    for triggers, errors in accepted:
+        sink(triggers, errors)
+    return logs.table_status(verdicts)

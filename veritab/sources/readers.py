@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from veritab.functions.names import cols
+from veritab.sources.jdbc_ranges import equi_depth_predicates
 from veritab.sources.csv_headers import as_metadata, file_headers, safe_names
 
 
@@ -96,27 +97,31 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: dict[str
               upper_bound: int | None = None, num_partitions: int | None = None,
               fetch_size: int = 50000) -> DataFrame:
     """JDBC scan, split into ``num_partitions`` range reads on a numeric
-    partition column.  Without explicit bounds they are read first with one
-    ``min``/``max`` query executed by the database (a few bytes back), so a
-    large table never arrives through a single task."""
+    partition column.  With explicit bounds the ranges are equal steps between
+    them; without, they are ranges of about equal numbers of rows, from
+    histograms of bounded size that the database counts (see ``jdbc_ranges``), so a
+    large table never arrives through one task, skewed or not."""
     def base():
         reader = spark.read.format("jdbc").option("url", url).option("fetchsize", str(fetch_size))
         for key, value in (properties or {}).items():
             reader = reader.option(key, value)
         return reader
 
+    def ask(sql: str) -> list[tuple]:
+        return [tuple(r) for r in base().option("query", sql).load().collect()]
+
+    parts = int(num_partitions or spark.sparkContext.defaultParallelism)
     if partition_column is not None and (lower_bound is None or upper_bound is None):
-        bounds = base().option(
-            "query", f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {table}"
-        ).load().first()
-        lower_bound, upper_bound = bounds["lo"], bounds["hi"]
-        if lower_bound is None:            # empty table: one partition is enough
-            partition_column = None
+        predicates = equi_depth_predicates(ask, table, partition_column, parts)
+        if len(predicates) > 1:
+            given = {**(properties or {}), "fetchsize": str(fetch_size)}
+            return spark.read.jdbc(url, table, predicates=predicates, properties=given)
+        partition_column = None            # an empty table, or one value: one read is enough
     reader = base().option("dbtable", table)
     if partition_column is not None:
         reader = (reader.option("partitionColumn", partition_column)
                   .option("lowerBound", str(lower_bound)).option("upperBound", str(upper_bound))
-                  .option("numPartitions", str(num_partitions or spark.sparkContext.defaultParallelism)))
+                  .option("numPartitions", str(parts)))
     return reader.load()
 
 
