@@ -7,8 +7,8 @@ that difference alone is the calibrated probability of good, so texts are
 ordered by it, whatever their length.
 
 The model is fitted on at most ``TRAINING_ROWS`` labelled texts of each class,
-never on held-out ones; ``TRAINING_BYTES`` of each go into its dictionary.
-Scoring compresses every whole text.
+never on held-out ones.  A dictionary is trained on all blocks of the whole
+texts of its class, in a task of its own.  Scoring compresses every whole text.
 
 Defined results: a null text scores as an empty one; equal texts score alike;
 if the usable labels lack a class, every score is the share of good ones
@@ -17,7 +17,7 @@ if the usable labels lack a class, every score is the share of good ones
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -30,8 +30,6 @@ from veritab.llm.models import Logistic, fit_logistic
 
 #: labelled texts of each class that the model is fitted on, at most
 TRAINING_ROWS = 4000
-#: characters of a training text that go into its dictionary, from a place set by its hash
-TRAINING_CHARS = 4096
 DICTIONARY_BYTES = 112_640
 BLOCK_BYTES = 4096
 LEVEL = 3
@@ -45,14 +43,32 @@ class Model(NamedTuple):
     share: float
 
 
-def _dictionary(samples: list[bytes]) -> tuple[bytes, bool]:
+def _blocks(texts: Iterable[str]) -> Iterator[bytes]:
+    for text in texts:
+        data = text.encode("utf-8", "surrogatepass")
+        for i in range(0, len(data), BLOCK_BYTES):
+            yield data[i:i + BLOCK_BYTES]
+
+
+def _dictionary(samples: list[bytes]) -> bytes | None:
+    """A trained dictionary; None if there is too little to train on."""
     import zstandard
 
     size = min(DICTIONARY_BYTES, max(256, sum(map(len, samples)) // 10))
     try:
-        return zstandard.train_dictionary(size, samples, level=LEVEL).as_bytes(), False
-    except zstandard.ZstdError:  # too little to train on
-        return b"\n".join(samples)[:DICTIONARY_BYTES], True
+        return zstandard.train_dictionary(size, samples, level=LEVEL).as_bytes()
+    except zstandard.ZstdError:
+        return None
+
+
+def _of_classes(sample: DataFrame, make: Callable[[list[bytes]], bytes | None]) -> dict[int, bytes | None]:
+    """What ``make`` makes of the blocks of each class's texts, a task for each class."""
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"label": [key[0]], "made": [make(list(_blocks(rows["text"].sort_values())))]})
+
+    texts = sample.where(F.char_length("text") > 0).select("label", "text")
+    return {r["label"]: r["made"] and bytes(r["made"])
+            for r in texts.groupBy("label").applyInPandas(run, "label int, made binary").collect()}
 
 
 def measurer(good: bytes, bad: bytes, raw: bool) -> Callable[[str], float]:
@@ -85,17 +101,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
         id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on labelled rows outside the held-out fifth."""
     sample = written(training_rows(docs, labels, label, rows, id_col, text_col), "quality_training")
-    place = F.pmod(F.xxhash64("text"), F.greatest(F.lit(1), F.char_length("text") - TRAINING_CHARS)) + 1
-    cuts = (sample.select("label", F.substring("text", place.cast("int"), F.lit(TRAINING_CHARS)).alias("cut"))
-            .where(F.char_length("cut") > 0).orderBy(F.xxhash64("cut"), "cut").collect())  # 2 * rows at most
-    of_class = [[r["cut"].encode("utf-8", "surrogatepass") for r in cuts if r["label"] == k] for k in (0, 1)]
-    if not all(of_class):
-        n = sum(map(len, of_class))
-        return Model(b"", b"", True, None, len(of_class[1]) / n if n else 0.5)
-    (bad, raw_bad), (good, raw_good) = map(_dictionary, of_class)
-    raw = raw_bad or raw_good
-    if raw:  # the two have to be alike to be compared
-        bad, good = (b"\n".join(s)[:DICTIONARY_BYTES] for s in of_class)
+    made = _of_classes(sample, _dictionary)
+    if len(made) < 2:
+        n = {r["label"]: r["count"] for r in sample.where(F.char_length("text") > 0).groupBy("label").count().collect()}
+        return Model(b"", b"", True, None, n.get(1, 0) / sum(n.values()) if n else 0.5)
+    raw = None in made.values()
+    if raw:  # too few texts in one class: both dictionaries are the plain texts, to be compared alike
+        made = _of_classes(sample, b"\n".join)
+    bad, good = made[0], made[1]
     measured = _measured(sample, good, bad, raw).orderBy("label", "difference").collect()
     x = np.array([[r["difference"]] for r in measured])
     y = np.array([r["label"] for r in measured], dtype=float)

@@ -103,7 +103,7 @@ WITH lines AS (
          generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
   FROM documents WHERE text IS NOT NULL),
 units AS (
-  SELECT doc_id, line_no, trim(line, ' ') AS line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM lines),
+  SELECT doc_id, line_no, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM lines),
 placed AS (
   SELECT *, row_number() OVER text_order AS i, sum(n) OVER text_order AS upto
   FROM units WHERE n > 0 WINDOW text_order AS (PARTITION BY doc_id ORDER BY line_no)),

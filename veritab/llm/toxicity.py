@@ -47,8 +47,6 @@ from veritab.llm.models import Logistic, fit_logistic
 
 #: labelled texts of each class that the lexicon and the model are made from, at most
 TRAINING_ROWS = 8000
-#: learned entries, at most
-LEXICON_ENTRIES = 5000
 #: letters of a word beginning, and contexts that an entry needs
 STEM, LEAST_CONTEXTS = 5, 3
 #: log-odds of a learned entry, at least
@@ -184,7 +182,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     found = (counted.where((F.col("toxic") >= least) & (F.col("contexts") >= LEAST_CONTEXTS))
              .where(F.col("toxic") >= 19 * F.col("clean"))
              .withColumn("weight", weight).where(F.col("weight") >= LEAST_WEIGHT)
-             .orderBy(F.desc("weight"), "entry").limit(LEXICON_ENTRIES).collect())
+             .collect())  # entries of a bounded sample
     learned = {r["entry"]: float(r["weight"]) for r in found}
     return Lexicon({**_listed(), **{w: x for w, x in learned.items() if w[-1] != "*"}},
                    {w[:-1]: x for w, x in learned.items() if w[-1] == "*"})
@@ -220,7 +218,8 @@ def reader(lexicon: Lexicon) -> Callable[[str], tuple[float, float, float]]:
             start = end - n + 1
             if start <= done or start and low[start - 1].isalpha() or whole and low[end + 1:end + 2].isalpha():
                 continue
-            first = max((low.rfind(c, 0, start) for c in ".!?;\n")) + 1
+            # no clause starts before the end of the last one
+            first = max(done, *(low.rfind(c, done + 1, start) for c in ".!?;\n")) + 1
             close = _CLAUSE_END.search(low, end + 1)
             done = close.start() if close else len(low)
             scores.append(clause(low[first:done]))
