@@ -327,3 +327,55 @@ def test_a_host_of_bad_pages_is_blocked_in_an_even_corpus(spark):
         strong = url_reputation.STRONGEST
         bound = spark.range(1).select(url_reputation.optimistic(F.lit(mean * strong), F.lit((1 - mean) * strong + 200))).first()[0]
         assert bound < url_reputation.FLOOR
+
+
+# -- pages whose elements mislead
+
+RUNNING = "Long running words of the article follow here and go on for quite some time so that nobody doubts it. " * 3
+
+
+@pytest.mark.parametrize("page, lines", [
+    (f'<form id="aspnetForm"><nav><a href=x>Home</a></nav><div><p>{RUNNING}</p><p>{RUNNING}</p></div><footer>Foot</footer></form>',
+     [RUNNING, RUNNING]),
+    (f"<form><article><h1>Title</h1><p>{RUNNING}</p></article></form>", ["Title", RUNNING]),
+    (f"<dialog open><article><p>{RUNNING}</p></article></dialog>", [RUNNING]),
+    (f"<fieldset><main><p>{RUNNING}</p></main><form>Search here</form></fieldset>", [RUNNING]),
+    (f"<body><header><h1>Title</h1><p>{RUNNING * 3}</p></header><footer>Foot</footer>", ["Title", RUNNING * 3]),
+    (f"<body><form><input>Search the site</form><div><p>{RUNNING}</p><p>{RUNNING}</p></div>", [RUNNING, RUNNING]),
+    # quotes outside a value, a value without an end
+    (f'<article><p class="a"">First</p><p data-x=it\'s>Second {RUNNING}</p><p>Third</p></article>', ["First", "Second " + RUNNING, "Third"]),
+    (f"<article><p title='a > b' data-y = \"c > d\">{RUNNING}</p></article>", [RUNNING]),
+    (f"<article><p>{RUNNING}</p></article><p class='never", [RUNNING]),
+    # a menu inside the article goes, a link between texts stays
+    (f"<article><p>{RUNNING}</p><ul><li><a href=a>One</a></li><li><a href=b>Two</a></li><li><a href=c>Three</a></li></ul>"
+     f"<p>{RUNNING}</p></article>", [RUNNING, RUNNING]),
+    (f"<article><p>{RUNNING}</p><p><a href=a>A link of eight words in the text</a></p><p>{RUNNING}</p></article>",
+     [RUNNING, "A link of eight words in the text", RUNNING]),
+    # a sidebar stays out, even a long one beside a short article
+    (f"<main><p>{RUNNING}</p></main><aside><p>{RUNNING * 4}</p></aside>", [RUNNING]),
+])
+def test_elements_around_the_article(page, lines):
+    want = "\n".join(" ".join(line.split()) for line in lines)
+    assert html_text.main_text(page, html_text.trained_tree()) == want
+
+
+def test_unclosed_tags_take_linear_time():
+    import time
+
+    tree = html_text.trained_tree()
+    start = time.process_time()
+    for page in ("<a " * 350_000, "<p>x</p>" + "<a " * 350_000, '<a href="x ' * 90_000 + ">", "<div class='" * 90_000 + ">", "<!-" * 350_000,
+                 "<p>" * 350_000):
+        html_text.main_text(page, tree)
+    assert time.process_time() - start < 12
+
+
+def test_a_long_text_without_marks_scores_in_linear_time():
+    import time
+
+    read = toxicity.reader(toxicity.Lexicon(toxicity._listed(), {}))
+    text = "you are an idiot, " + "some words and an idiot; " * 120_000   # 3 MB, a clause end a hit
+    start = time.process_time()
+    scores = read(text)
+    assert time.process_time() - start < 8 and scores[2] == 120_001 - 1
+    assert read("no hit. " * 10 + "you idiot") [2] == 1

@@ -10,9 +10,10 @@ the words; a box's name does not: long running text in a named box is kept.
 
 The html, body, main and article elements are never boxes by their names (an
 article inside another one, as reader comments are marked, may be), and no
-element is that contains the article: the main element, or the longest article
-element that has no such name itself, or, without any, ``MOST`` of the page's
-running words.  A name after no, with, has and the like does not count, nor
+element is something else, by its name or its kind, that contains the article: the main
+element, or the longest article element that has no such name itself, or, without any,
+``MOST`` of the page's running words (a form or dialog around the page, a header
+that holds it).  A nav, footer, aside or menu element never contains it.  A name after no, with, has and the like does not count, nor
 does a header of an article, nor an id whose last word is something else.
 
 Defined results: null, empty and text-free pages give an empty text; unclosed
@@ -46,6 +47,8 @@ SKIPPED_ELEMENTS = frozenset("script style noscript template title svg math ifra
 RAW_ELEMENTS = frozenset("script style textarea".split())
 ARTICLE_ELEMENTS = frozenset("article main".split())
 ASIDE_ELEMENTS = frozenset("nav header footer aside form dialog menu fieldset".split())
+#: of these the ones that never contain the article
+APART_ELEMENTS = frozenset("nav footer aside menu".split())
 VOID_ELEMENTS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: parts of class and id names that say what does not belong to an article
 ASIDE_NAMES = frozenset((
@@ -66,9 +69,12 @@ GENERIC_NAMES = frozenset((
 #: share of a page's running words, without an article element, that only the article's surroundings hold
 MOST = 0.9
 
+# a quote counts only as the start of an attribute's value
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>", re.S)
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?>[^>=]+|=\s*+(?:\"[^\"]*\"|'[^']*')?)*+)>", re.S)
+#: what a tag that never ends, at the end of a page, starts with
+_OPEN_TAG = re.compile(r"<[a-zA-Z/!?]")
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PARTS = re.compile(r"[_\-:]+")
 
@@ -132,17 +138,28 @@ def _is_named(attributes: str, in_article: bool) -> bool:
 
 
 class _Part(NamedTuple):
-    """A block, the innermost named box around it (-1: none) and its outermost article element."""
+    """A block, the innermost box around it (-1: none) and its outermost article element."""
     block: Block
     box: int
     article: int | None
 
 
-def _suspects(parts: list[_Part], parents: list[int], mains: list[int], articles: dict[int, int]) -> list[bool]:
-    """For every named box, whether it or a box around it is one that does not
-    contain the article.  ``mains`` and ``articles`` give the box around them."""
-    words = [0 if p.block.in_aside else max(0, len(p.block.text.split()) - p.block.link_words) for p in parts]
-    around = [False] * len(parents)
+class _Box(NamedTuple):
+    """An element for something else by its kind (``aside``, ``apart``) or its name, in the box ``parent`` (-1: none)."""
+    parent: int
+    aside: bool
+    apart: bool
+    named: bool
+
+
+def _suspects(parts: list[_Part], boxes: list[_Box], mains: list[int], articles: dict[int, int]) -> list[tuple[bool, bool]]:
+    """For every box, whether it or a box around it that does not contain the article is
+    an aside, and whether one is named.  ``mains`` and ``articles`` give the box around them."""
+    apart = [False] * len(boxes)
+    for i, box in enumerate(boxes):
+        apart[i] = box.apart or box.parent >= 0 and apart[box.parent]
+    words = [0 if p.box >= 0 and apart[p.box] else max(0, len(p.block.text.split()) - p.block.link_words) for p in parts]
+    around = [False] * len(boxes)
     if not mains and articles:
         length = dict.fromkeys(articles, 0)
         for p, n in zip(parts, words):
@@ -150,22 +167,24 @@ def _suspects(parts: list[_Part], parents: list[int], mains: list[int], articles
                 length[p.article] += n
         mains = [articles[max(length, key=length.get)]]  # the first of the longest
     if mains:
-        for box in mains:
-            while box >= 0 and not around[box]:
-                around[box] = True
-                box = parents[box]
+        for at in mains:
+            while at >= 0 and not around[at]:
+                around[at] = True
+                at = boxes[at].parent
     else:
-        held, most = [0] * len(parents), MOST * sum(words)
+        held, most = [0] * len(boxes), MOST * sum(words)
         for p, n in zip(parts, words):
             if p.box >= 0:
                 held[p.box] += n
-        for box in range(len(parents) - 1, -1, -1):
-            around[box] = held[box] > most
-            if parents[box] >= 0:
-                held[parents[box]] += held[box]
-    found: list[bool] = []
-    for box, parent in enumerate(parents):
-        found.append(not around[box] or parent >= 0 and found[parent])
+        for at in range(len(boxes) - 1, -1, -1):
+            around[at] = held[at] > most
+            if boxes[at].parent >= 0:
+                held[boxes[at].parent] += held[at]
+    found: list[tuple[bool, bool]] = []
+    for at, box in enumerate(boxes):
+        aside, named = found[box.parent] if box.parent >= 0 else (False, False)
+        other = box.apart or not around[at]
+        found.append((aside or other and box.aside, named or other and box.named))
     return found
 
 
@@ -174,11 +193,11 @@ def blocks(page: str) -> list[Block]:
     found: list[_Part] = []
     pieces: list[str] = []
     links: list[str] = []
-    open_elements: list[tuple[str, bool, bool, bool]] = []  # name, makes an article, an aside, a named box
-    articles = asides = anchors = 0
+    open_elements: list[tuple[str, bool, bool, bool]] = []  # name, makes an article, is apart, a box
+    articles = aparts = anchors = 0
     open_articles: list[int] = []  # article elements, main not counted
     open_boxes: list[int] = []
-    parents: list[int] = []  # the named box around each named box, or -1
+    boxes: list[_Box] = []
     mains: list[int] = []  # the box around each main element
     candidates: dict[int, int] = {}  # article elements that may be the article, and the box around each
     n_articles = 0
@@ -188,16 +207,16 @@ def blocks(page: str) -> list[Block]:
     def close_block() -> None:
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            block = Block(text, len(html.unescape(" ".join(links)).split()), heading, articles > 0, asides > 0, False)
+            block = Block(text, len(html.unescape(" ".join(links)).split()), heading, articles > 0, False, False)
             found.append(_Part(block, open_boxes[-1] if open_boxes else -1, open_articles[0] if open_articles else None))
         pieces.clear()
         links.clear()
 
     def leave(place: int) -> None:
-        nonlocal articles, asides
-        for name, article, out, box in open_elements[place:]:
+        nonlocal articles, aparts
+        for name, article, apart, box in open_elements[place:]:
             articles -= article
-            asides -= out
+            aparts -= apart
             if box:
                 open_boxes.pop()
             if name == "article":
@@ -211,7 +230,8 @@ def blocks(page: str) -> list[Block]:
                 links.append(text)
 
     at, size = 0, len(page)
-    while at < size:
+    last_end = page.rfind(">")  # no tag ends behind it
+    while at <= last_end:
         m = _TOKEN.search(page, at)
         if not m:
             break
@@ -248,7 +268,8 @@ def blocks(page: str) -> list[Block]:
         opening = not closing and name not in VOID_ELEMENTS
         aside = opening and _is_aside(name, articles > 0)
         named = opening and _is_named(m[3], articles > 0)
-        box = named and (name not in PAGE_ELEMENTS or name == "article" and bool(open_articles))
+        named_box = named and (name not in PAGE_ELEMENTS or name == "article" and bool(open_articles))
+        box = aside or named_box
         if name not in BLOCK_ELEMENTS and not box:
             if closing and any(e[0] == name for e in open_elements):
                 pass
@@ -264,24 +285,29 @@ def blocks(page: str) -> list[Block]:
             continue
         if open_elements and open_elements[-1][0] == "p":  # a block ends an open paragraph
             leave(len(open_elements) - 1)
-        if opening and (aside or box or name in ARTICLE_ELEMENTS or name in ("div", "section", "ul", "ol", "table")):
-            if name == "main" and not asides:
+        if opening and (box or name in ARTICLE_ELEMENTS or name in ("div", "section", "ul", "ol", "table")):
+            if name == "main" and not aparts:
                 mains.append(open_boxes[-1] if open_boxes else -1)
             elif name == "article":
-                if not (asides or named or open_articles):
+                if not (aparts or named or open_articles):
                     candidates[n_articles] = open_boxes[-1] if open_boxes else -1
                 open_articles.append(n_articles)
                 n_articles += 1
+            apart = aside and name in APART_ELEMENTS
             if box:
-                parents.append(open_boxes[-1] if open_boxes else -1)
-                open_boxes.append(len(parents) - 1)
-            open_elements.append((name, name in ARTICLE_ELEMENTS, aside, box))
+                boxes.append(_Box(open_boxes[-1] if open_boxes else -1, aside, apart, named_box))
+                open_boxes.append(len(boxes) - 1)
+            open_elements.append((name, name in ARTICLE_ELEMENTS, apart, box))
             articles += name in ARTICLE_ELEMENTS
-            asides += aside
-    add(page[at:])
+            aparts += apart
+    rest = page[at:]
+    unended = _OPEN_TAG.search(rest)
+    add(rest[:unended.start()] if unended else rest)
     close_block()
-    suspect = _suspects(found, parents, mains, candidates)
-    return [p.block._replace(named=True) if p.box >= 0 and suspect[p.box] else p.block for p in found]
+    suspect = _suspects(found, boxes, mains, candidates)
+    return [p.block._replace(in_aside=suspect[p.box][0], named=suspect[p.box][1]) if p.box >= 0 else p.block for p in found]
+
+
 
 
 # -- tree ------------------------------------------------------------------
@@ -336,6 +362,11 @@ LABELLED = (
     (20, 0.0, 1, 1.0, 4, 1.0, 0, 1, 0, 0, 1), (20, 0.0, 2, 0.0, 2, 0.0, 0, 0, 0, 0, 1),
     (4, 0.0, 1, 1.0, 2, 0.0, 1, 1, 0, 0, 1), (3, 0.0, 2, 1.0, 1, 1.0, 0, 1, 0, 0, 1),
     (2, 0.0, 0, 0.0, 60, 0.0, 1, 0, 0, 0, 1), (3, 0.0, 2, 1.0, 70, 0.0, 1, 0, 0, 0, 1),
+    # menus inside an article: nothing but links, beside nothing but links
+    (1, 1.0, 1, 1.0, 1, 1.0, 0, 1, 0, 0, 0), (2, 1.0, 2, 1.0, 1, 1.0, 0, 1, 0, 0, 0), (3, 1.0, 1, 1.0, 2, 1.0, 0, 1, 0, 0, 0),
+    (5, 1.0, 4, 1.0, 6, 1.0, 0, 1, 0, 0, 0), (1, 1.0, 60, 0.0, 1, 1.0, 0, 1, 0, 0, 0), (2, 1.0, 45, 0.0, 3, 1.0, 0, 1, 0, 0, 0),
+    (4, 1.0, 7, 0.0, 2, 1.0, 0, 1, 0, 0, 0), (1, 1.0, 1, 1.0, 45, 0.0, 0, 1, 0, 0, 0), (2, 1.0, 4, 1.0, 80, 0.0, 0, 1, 0, 0, 0),
+    (3, 1.0, 2, 1.0, 9, 0.0, 0, 1, 0, 0, 0), (1, 1.0, 1, 1.0, 0, 0.0, 0, 1, 0, 0, 0), (2, 1.0, 0, 0.0, 1, 1.0, 0, 1, 0, 0, 0),
     # boxes named for something else: short, or alone
     (4, 0.0, 90, 0.0, 90, 0.0, 0, 1, 0, 1, 0), (3, 0.0, 70, 0.0, 80, 0.0, 0, 0, 0, 1, 0),
     (7, 0.0, 60, 0.0, 95, 0.0, 0, 1, 0, 1, 0), (9, 0.0, 50, 0.0, 50, 0.0, 0, 0, 0, 1, 0),
