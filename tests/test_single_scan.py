@@ -69,3 +69,34 @@ def test_required_values_in_one_exchange_by_group(spark):
         ("h", 1), ("i", 0), (None, 1)]
     assert [tuple(r) for r in functional.required_excess(df, ["g"], "v", ["a", "b"]).collect()] == [("g", "a", 2)]
     assert functional.required_missing(df, ["g"], "v", []).count() == 0
+
+
+def test_a_growing_table_reads_new_files_only(spark, tmp_path):
+    """The merged state of A and B equals the run over A and B, also after a file changed and one went."""
+    from veritab.plans.growing import GrowingTable
+
+    folder, state = tmp_path / "t t+", str(tmp_path / "state")
+    folder.mkdir()
+    td = spark.createDataFrame([("a", 7)], "code string, num int")
+    loaded = []
+
+    def verdicts(growing):
+        load = lambda files=str(folder): read_table(spark, files, "csv", header=True)
+
+        def some(files):
+            loaded.append(sorted(os.path.basename(f) for f in files))
+            return load(files)
+
+        spec = TableSpec("t", "t", True, load, RULES, SPEC, single_scan=True,
+                         growing=GrowingTable(spark, str(folder), state, some) if growing else None)
+        return sorted(tuple(r) for r in run_verdicts(spark, [spec], lambda name: td).collect())
+
+    csv_of(folder / "a.csv", some_rows(25))
+    csv_of(folder / "b b.csv", some_rows(9))
+    assert verdicts(True) == verdicts(False) and loaded == [["a.csv", "b b.csv"]]
+    csv_of(folder / "c.csv", some_rows(31))
+    assert verdicts(True) == verdicts(False) and loaded[1:] == [["c.csv"]]
+    assert verdicts(True) == verdicts(False) and len(loaded) == 2          # nothing new: nothing read
+    csv_of(folder / "a.csv", some_rows(4))                                 # changed
+    os.remove(folder / "b b.csv")
+    assert verdicts(True) == verdicts(False) and loaded[2:] == [["a.csv"]]

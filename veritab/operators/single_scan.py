@@ -53,11 +53,19 @@ class Items:
         item = F.struct(F.lit(tag).alias("tag"), (F.lit(None) if key is None else key).cast("string").alias("key"))
         self.entries.append(item if when is None else F.when(when, item))
 
+    def exploded(self, df: DataFrame, *others: str) -> DataFrame:
+        """The items of all rows: ``tag``, ``key``, and the columns named."""
+        items = df.select(*others, F.explode(F.array(*self.entries)).alias("item")).where("item is not null")
+        return items.select(*others, "item.tag", "item.key")
+
     def counted(self, df: DataFrame) -> Counts:
-        """Count the items in one scan.  Keys that occur once answer no check and are not kept."""
-        ensure_checkpoint_dir(df.sparkSession)
-        items = df.select(F.explode(F.array(*self.entries)).alias("item")).where("item is not null")
-        counts = items.groupBy("item.tag", "item.key").agg(F.count(F.lit(1)).alias("n"))
+        """Count the items in one scan."""
+        return self.kept(self.exploded(df).groupBy("tag", "key").agg(F.count(F.lit(1)).alias("n")))
+
+    @staticmethod
+    def kept(counts: DataFrame) -> Counts:
+        """Counted items, written once.  Keys that occur once answer no check and are not kept."""
+        ensure_checkpoint_dir(counts.sparkSession)
         return Counts(counts.where((F.col("tag") != KEY) | (F.col("n") > 1)).checkpoint())
 
 

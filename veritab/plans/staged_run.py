@@ -42,6 +42,7 @@ from veritab.functions.predicates import fast_predicate
 from veritab.plans.verdicts import (
     VERDICT_COLUMNS, counted, entry, explode_entries, literal_verdicts, union_all,
 )
+from veritab.plans.growing import GrowingTable
 from veritab.plans.run_store import RunStore, fingerprint
 from veritab.session import ensure_checkpoint_dir
 from veritab.sources.readers import UNPARSED
@@ -79,6 +80,8 @@ class TableSpec:
     functional: FunctionalSpec | None = None
     #: read the table once for all checks (sources that read whole rows for any column)
     single_scan: bool = False
+    #: a table that grows by files: only new files are read
+    growing: GrowingTable | None = None
 
 
 #: formats that read whole rows whichever columns are wanted
@@ -230,8 +233,11 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
         aggs.append(F.count_if(pattern_predicate(fs.pattern_column, fs.pattern, fs.pattern_mode))
                     .alias("__pat"))
     counts = None
-    if spec.single_scan:
-        counts = _count_items(df, spec, fs, refs, compat, n_columns)
+    if spec.single_scan or spec.growing:
+        items = _items(df, spec, fs, refs, compat, n_columns)
+        kinds = [ref.select(col(c)).schema[0].dataType for ref, c in refs.values()]
+        counts = spec.growing.counts(items, fingerprint(spec.rules, fs, compat, df.columns, kinds)) if spec.growing \
+            else items.counted(df)
         one = counts.frame.agg(*_totals(counts, spec, fs, check_records))
     else:
         if fs and fs.cell_column:
@@ -321,9 +327,9 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
     return frames
 
 
-def _count_items(df: DataFrame, spec: TableSpec, fs: FunctionalSpec | None, refs: dict, compat: bool,
-                 n_columns: int) -> scan.Counts:
-    """Everything that the checks of a table count, in one read of it."""
+def _items(df: DataFrame, spec: TableSpec, fs: FunctionalSpec | None, refs: dict, compat: bool,
+           n_columns: int) -> scan.Items:
+    """Everything that the checks of a table count."""
     items = scan.Items()
     items.add(scan.ROWS)
     for i, r in enumerate(spec.rules):
@@ -358,7 +364,7 @@ def _count_items(df: DataFrame, spec: TableSpec, fs: FunctionalSpec | None, refs
                 bad = bad | (col(fs.cell_column).isNotNull() & (row_num.isNull() | col_num.isNull()))
             items.add(scan.CELL, when=bad)
             items.add(scan.CELL_ROW, row_num, ~bad & row_num.isNotNull())
-    return items.counted(df)
+    return items
 
 
 def _totals(counts: scan.Counts, spec: TableSpec, fs: FunctionalSpec | None, check_records: bool) -> list:

@@ -32,7 +32,7 @@ def _heads_only(spark: SparkSession) -> SparkSession:
     return heads
 
 
-def first_records(spark: SparkSession, path: str, comment: str | None = None) -> DataFrame:
+def first_records(spark: SparkSession, path: str | list[str], comment: str | None = None) -> DataFrame:
     """``file``, ``line``: the first line of each file that is neither blank nor a comment."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -56,7 +56,8 @@ class FileHeader:
     files: tuple[str, ...]     # in order of their paths
 
 
-def file_headers(spark: SparkSession, path: str, separator: str = ",", options: dict[str, str] | None = None) -> list[FileHeader]:
+def file_headers(spark: SparkSession, path: str | list[str], separator: str = ",",
+                 options: dict[str, str] | None = None) -> list[FileHeader]:
     """The different headers of a table's files, the one of most files first.
 
     Only metadata reaches the driver: a line per different header, and the

@@ -23,7 +23,7 @@ class UnsupportedFormat(ValueError):
     """A catalog row names a format that has no reader."""
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", *,
+def read_table(spark: SparkSession, path: str | list[str], fmt: str = "parquet", *,
                header: bool | None = None, separator: str | None = None,
                schema: StructType | None = None, options: dict[str, str] | None = None) -> DataFrame:
     """Read one table.  ``fmt`` is parquet, csv, json, orc or jdbc.
