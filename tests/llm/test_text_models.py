@@ -329,6 +329,26 @@ def test_a_host_of_bad_pages_is_blocked_in_an_even_corpus(spark):
         assert bound < url_reputation.FLOOR
 
 
+@pytest.mark.parametrize("host, domain, suffix", [
+    ("www.example.com", "example.com", "com"), ("a.co.in", "a.co.in", "co.in"), ("x.b.co.in", "b.co.in", "co.in"),
+    ("shop.site.com.br", "site.com.br", "com.br"), ("example.com:8080", "example.com", "com"),
+    ("user@www.example.org:80", "example.org", "org"), ("10.0.0.1", "10.0.0.1", "10.0.0.1"),
+    ("192.168.0.1:81", "192.168.0.1", "192.168.0.1"), ("[::1]:80", "[::1]", "[::1]"), ("localhost", "localhost", "localhost"),
+    ("", "", ""), ("co.uk", "co.uk", "co.uk"), ("www.company.de", "company.de", "de"),
+])
+def test_registered_domains(spark, host, domain, suffix):
+    h = F.lit(host)
+    assert tuple(spark.range(1).select(url_reputation.domain_of(h), url_reputation.suffix_of(h)).first()) == (domain, suffix)
+
+
+def test_reputation_plans_no_cross_join(spark):
+    outcomes = spark.createDataFrame([("http://a.b.co.uk/1", 1), ("http://10.0.0.1:80/2", 0)], "url string, good int")
+    judged = url_reputation.judge(outcomes.select(F.lit(1).alias("page_id"), "url"), outcomes)
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert judged.count() == 2
+
+
 # -- pages whose elements mislead
 
 RUNNING = "Long running words of the article follow here and go on for quite some time so that nobody doubts it. " * 3

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import text_or_empty, written
+from veritab.llm.common import attach_totals, text_or_empty, written
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -374,11 +374,16 @@ def components(edges: DataFrame) -> DataFrame:
 def _grouped(docs: DataFrame, words: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
     """``doc_id``, ``text_hash``, ``fp``, ``component_id``, ``root`` of every row."""
     rows = written(fingerprints(docs, words, id_col, text_col), "fingerprints")
-    vertices = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "vertices")
-    roots = components(links(vertices, max_bits))
-    of_vertex = vertices.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    names = of_vertex.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rows.join(of_vertex.join(names, "root").select("fp", "component_id", "root"), "fp")
+    vertices = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_rows")),
+                       "vertices")
+    roots = components(links(vertices.select("fp", "first_id"), max_bits))
+    of_vertex = written(vertices.join(roots, "fp", "left")
+                        .select("fp", "first_id", "n_rows", F.coalesce("root", "fp").alias("root")), "vertex_roots")
+    names = of_vertex.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n_vertices"))
+    # a fingerprint, or a group of them, may hold a third of all rows: neither is dealt by its key
+    named = attach_totals(of_vertex.select("fp", "n_rows", "root"), written(names, "groups"), "root", "n_vertices")
+    named = written(named.select("fp", "n_rows", "component_id", "root"), "named")
+    return attach_totals(rows, named, "fp", "n_rows")
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
@@ -395,12 +400,15 @@ def one_of_each_group(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int
     stays (then the smallest text hash; of fully equal rows, one)."""
     rows = written(_grouped(docs, words, max_bits, id_col, text_col).select("doc_id", "text_hash", "root"), "grouped")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
-    best = rows.groupBy("root").agg(F.min(place).alias("best"))
-    out = written(rows.join(best, "root").where(~place.eqNullSafe(F.col("best")))
+    best = written(rows.groupBy("root").agg(F.min(place).alias("best"), F.count(F.lit(1)).alias("n")), "best")
+    out = written(attach_totals(rows, best, "root", "n").where(~place.eqNullSafe(F.col("best")))
                   .select("doc_id", "text_hash").distinct(), "later_members")
     later = F.broadcast(out) if out.count() <= BROADCAST_ROWS else out
     hashed = F.xxhash64(F.coalesce(F.col(f"d.`{text_col}`").cast("string"), F.lit("")))
     kept = docs.alias("d").join(later.alias("x"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("x.doc_id"))
                                 & (hashed == F.col("x.text_hash")), "left_anti")
     twice = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return kept if twice.isEmpty() else kept.dropDuplicates([id_col, text_col])
+    if twice.isEmpty():
+        return kept
+    same = F.coalesce(F.col(text_col).cast("string"), F.lit(""))  # a null text counts as empty
+    return kept.withColumn("__text", same).dropDuplicates([id_col, "__text"]).drop("__text")

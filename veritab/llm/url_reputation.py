@@ -54,8 +54,10 @@ RULES = (
     PathRule("block", "net", "/es/"),
     PathRule("block", "net", "/fr/"),
 )
-#: suffixes of two labels under which names are registered (fixed values)
-TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "com.mx", "gov.uk", "org.au", "org.uk")
+#: labels that countries register names under (fixed values): co.uk, com.br, go.jp, gob.mx ...
+SECOND_LABELS = "ac ad asn co com edu firm gen go gob gouv gov govt gr id ind info ltd me mil ne net nhs nic nom or org plc sch web".split()
+_TWO_LABELS = rf"\A(?:{'|'.join(SECOND_LABELS)})\.[a-z]{{2}}\z"
+_ADDRESS = r"\A(?:\d{1,3}(?:\.\d{1,3}){3}|\[.*\])\z"
 
 
 def _ascii_lower(text: Column) -> Column:
@@ -73,15 +75,24 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url.cast("string"), F.lit("")), r"(?s)\A.*?://[^/?#]*([^?#]*)", 1)
 
 
+def site_of(host: Column) -> Column:
+    """The host without user and port."""
+    return F.regexp_replace(F.regexp_replace(host, r"\A.*@", ""), r":\d*\z", "")
+
+
 def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+    """The last label, two under a country's own registry (co.uk); an address is its own suffix."""
+    site = site_of(host)
+    two = F.substring_index(site, ".", -2)
+    return F.when(site.rlike(_ADDRESS), site).when(two.rlike(_TWO_LABELS), two).otherwise(F.substring_index(site, ".", -1))
 
 
 def domain_of(host: Column) -> Column:
-    """The registered domain: one label more than the suffix."""
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
+    """The registered domain: one label more than the suffix; an address is its own domain."""
+    site = site_of(host)
+    two = F.substring_index(site, ".", -2)
+    return (F.when(site.rlike(_ADDRESS), site).when(two.rlike(_TWO_LABELS), F.substring_index(site, ".", -3))
+            .otherwise(two))
 
 
 def matched_rule(host: Column, path: Column, rules: tuple[PathRule, ...] = RULES) -> tuple[Column, Column]:
@@ -94,13 +105,17 @@ def matched_rule(host: Column, path: Column, rules: tuple[PathRule, ...] = RULES
     return name, verdict
 
 
-def _shrunk(children: DataFrame, parents: DataFrame, key: str, parent: str) -> DataFrame:
-    """Posterior (a, b) of every child from its counts and its parent's mean.
+def _with_prior(children: DataFrame, parents: DataFrame, parent: str) -> DataFrame:
+    """Children with their parent's mean."""
+    return children.join(parents.select(parent, F.col("mean").alias("prior")), parent)
+
+
+def _shrunk(with_parent: DataFrame, key: str) -> DataFrame:
+    """Posterior (a, b) of every child from its counts and its parent's mean (``prior``).
 
     The strength m of the prior follows from the children's weighted variance
     around their parents' means (method of moments), one number per level.
     """
-    with_parent = children.join(parents.select(F.col(key_of(parents)).alias(parent), F.col("mean").alias("prior")), parent)
     n = F.col("good") + F.col("bad")
     rate = F.col("good") / n
     fit = with_parent.agg(
@@ -120,31 +135,27 @@ def _shrunk(children: DataFrame, parents: DataFrame, key: str, parent: str) -> D
             .withColumn("mean", F.col("a") / (F.col("a") + F.col("b"))))
 
 
-def key_of(df: DataFrame) -> str:
-    return df.columns[0]
-
-
 def optimistic(a: Column, b: Column, z: float = Z) -> Column:
     """Posterior mean plus z standard deviations of a beta distribution."""
     mean, n = a / (a + b), a + b
     return mean + z * F.sqrt(mean * (1 - mean) / (n + 1))
 
 
-def reputations(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Posteriors per host, domain, suffix and overall (one row) from the columns ``host``, ``good``."""
+def reputations(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, tuple[float, float]]:
+    """Posteriors per host, domain, suffix, and the overall (a, b), from the columns ``host``, ``good``."""
     counts = written(
         outcomes.where(F.col("good").isNotNull()).groupBy("host")
         .agg(F.sum(F.col("good").cast("bigint")).alias("good"), F.sum(1 - F.col("good").cast("bigint")).alias("bad"))
         .select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "good", "bad"),
         "host_counts")
-    total = counts.agg((F.coalesce(F.sum("good"), F.lit(0)) + 1).alias("a"), (F.coalesce(F.sum("bad"), F.lit(0)) + 1).alias("b"))
-    overall = written(total.select(F.lit("").alias("all"), "a", "b", (F.col("a") / (F.col("a") + F.col("b"))).alias("mean")), "overall")
-    suffixes = written(_shrunk(counts.groupBy("suffix").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-                               .withColumn("all", F.lit("")), overall, "suffix", "all"), "suffixes")
-    domains = written(_shrunk(counts.groupBy("domain", "suffix").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")),
-                              suffixes, "domain", "suffix"), "domains")
-    hosts = written(_shrunk(counts, domains, "host", "domain"), "hosts")
-    return hosts, domains, suffixes, overall
+    whole = counts.agg((F.coalesce(F.sum("good"), F.lit(0)) + 1).cast("double"),
+                       (F.coalesce(F.sum("bad"), F.lit(0)) + 1).cast("double")).first()  # two numbers
+    by_suffix = counts.groupBy("suffix").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    suffixes = written(_shrunk(by_suffix.withColumn("prior", F.lit(whole[0] / (whole[0] + whole[1]))), "suffix"), "suffixes")
+    by_domain = counts.groupBy("domain", "suffix").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    domains = written(_shrunk(_with_prior(by_domain, suffixes, "suffix"), "domain"), "domains")
+    hosts = written(_shrunk(_with_prior(counts, domains, "domain"), "host"), "hosts")
+    return hosts, domains, suffixes, (whole[0], whole[1])
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -164,8 +175,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: tuple[PathRule, ...] = R
     named = page.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
     for level, table in (("host", hosts), ("domain", domains), ("suffix", suffixes)):
         named = named.join(_bounded(table.select(level, F.struct("a", "b").alias(f"_{level}"))), level, "left")
-    whole = overall.first()  # two numbers
-    top = F.struct(F.lit(float(whole["a"])).alias("a"), F.lit(float(whole["b"])).alias("b"))
+    top = F.struct(F.lit(overall[0]).alias("a"), F.lit(overall[1]).alias("b"))
     # an unlabelled host is judged by its domain, an unlabelled domain by its suffix, and so on upwards
     nearest = F.coalesce("_host", "_domain", "_suffix", top)
     bound = F.round(F.least(F.lit(1.0), optimistic(nearest["a"], nearest["b"])), 6)
