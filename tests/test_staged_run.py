@@ -399,8 +399,8 @@ def _func_fixture():
             i = g * 5 + k
             rows.append({"template_code": code, "sheet": sheet, "excel_cell": f"a{i % 3 + 1}",
                          "column_x": f"_c{i}", "row_y": "1.1234",
-                         "data_name": "ccy_rate" if (g == 0 and k == 0) else "a_ccy_data_name"})
-    rows[3]["column_x"] = "X_c80"
+                         "data_name": "ccy_rate" if (g == 0 and k == 0) else "my_ccy_field"})
+    rows[3]["column_x"] = "Zq_c7"
     for i in (4, 5, 6, 7, 8, 9):
         rows[i]["excel_cell"] = f"b{20 + i}"
     return rows
