@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-#: entries after which a worker's piece table starts anew
+#: entries of a worker's piece table, at most: a newer and an older half
 TABLE_ENTRIES = 400_000
 #: bytes of text that are encoded at a time
 SLICE_BYTES = 6 << 20
@@ -78,12 +78,24 @@ def make_encoder(path: str) -> tuple[Callable[[str], bytes], bool, str | None, d
     alphabet, model = _byte_alphabet(), tokenizer.model
 
     class Table(dict):
+        """The newer half; a piece of the older half moves here when it is seen again, and
+        when this half is full it becomes the older one, so that frequent pieces stay."""
+
+        older: dict[str, bytes] = {}
+
         def __missing__(self, piece: str) -> bytes:
+            ids = self.older.get(piece)
+            return self.keep(piece, ids if ids is not None else self.encoded(piece))
+
+        def encoded(self, piece: str) -> bytes:
             plain_letters = piece.isascii() and piece.isalpha()  # these stand for themselves
             found = model.tokenize(piece if plain_letters else "".join(map(alphabet.__getitem__, piece.encode())))
-            ids = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+            return struct.pack(f"<{len(found)}I", *[t.id for t in found])
+
+        def keep(self, piece: str, ids: bytes) -> bytes:
             if len(piece) <= LONGEST_KEPT_PIECE:
-                if len(self) >= TABLE_ENTRIES:
+                if len(self) >= TABLE_ENTRIES // 2:
+                    self.older = dict(self)
                     self.clear()
                 self[piece] = ids
             return ids
