@@ -71,7 +71,8 @@ def test_required_values_in_one_exchange_by_group(spark):
     assert functional.required_missing(df, ["g"], "v", []).count() == 0
 
 
-def test_a_growing_table_reads_new_files_only(spark, tmp_path):
+@pytest.mark.parametrize("header", [True, False])
+def test_a_growing_table_reads_new_files_only(spark, tmp_path, header):
     """The merged state of A and B equals the run over A and B, also after a file changed and one went."""
     from veritab.plans.growing import GrowingTable
 
@@ -81,13 +82,13 @@ def test_a_growing_table_reads_new_files_only(spark, tmp_path):
     loaded = []
 
     def verdicts(growing):
-        load = lambda files=str(folder): read_table(spark, files, "csv", header=True)
+        load = lambda files=str(folder): read_table(spark, files, "csv", header=header)
 
         def some(files):
             loaded.append(sorted(os.path.basename(f) for f in files))
             return load(files)
 
-        spec = TableSpec("t", "t", True, load, RULES, SPEC, single_scan=True,
+        spec = TableSpec("t", "t", header, load, RULES, SPEC, single_scan=True,
                          growing=GrowingTable(spark, str(folder), state, some) if growing else None)
         return sorted(tuple(r) for r in run_verdicts(spark, [spec], lambda name: td).collect())
 

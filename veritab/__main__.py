@@ -16,6 +16,7 @@ import sys
 
 from veritab.functions import constants as K
 from veritab.operators.metadata import metadata_constraint_violations
+from veritab.plans.growing import GrowingTable
 from veritab.plans.staged_run import TABLES_AT_ONCE, FunctionalSpec, specs_from_metadata, validate_and_log
 from veritab.schemas import FILE_CONFIGURATION, SEMANTIC_LAYER
 from veritab.session import get_session
@@ -58,6 +59,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--table-option", action="append", default=[],
                     help="ID:KEY=VALUE passed to the reader of one table (e.g. 00013:partitionColumn=id, and optionally "
                          "lowerBound, upperBound, numPartitions of a jdbc table)")
+    ap.add_argument("--growing-state", default=None,
+                    help="folder of the state of tables in files: a run reads new and changed files only")
     ap.add_argument("--compat", action="store_true", help="keep the original null-date behaviour")
     ap.add_argument("--environment", default=K.DEFAULT_ENVIRONMENT)
     ap.add_argument("--source", default=K.DEFAULT_SOURCE)
@@ -80,8 +83,8 @@ def main(argv: list[str] | None = None) -> int:
         table, pair = option.split(":", 1)
         of_table.setdefault(table, {}).update([pair.split("=", 1)])
 
-    def load(row):
-        return read_with_options(spark, row["origin_path"], row["file_format"],
+    def load(row, files=None):
+        return read_with_options(spark, files or row["origin_path"], row["file_format"],
                                  {**options, **of_table.get(row["id_type_file"], {})},
                                  header=row["header"], separator=row["separator"])
 
@@ -98,6 +101,13 @@ def main(argv: list[str] | None = None) -> int:
         chosen = ids or [r["id_type_file"] for r in catalog.select("id_type_file").collect()]
         functional = {tid: TEMPLATE_FUNCTIONAL for tid in chosen}
     specs = specs_from_metadata(catalog, rules, load, functional, ids)
+    if args.growing_state:
+        rows = {r["id_type_file"]: r for r in catalog.collect()}  # a row per table
+        for spec in specs:
+            row = rows[spec.table_id]
+            if (row["file_format"] or "").lower() != "jdbc":
+                spec.growing = GrowingTable(spark, row["origin_path"], f"{args.growing_state}/{spec.table_id}",
+                                            lambda files, row=row: load(row, files))
     status = validate_and_log(spark, specs, references, args.trigger_log, args.error_log,
                               environment=args.environment, source=args.source, compat=args.compat,
                               fail_fast=args.fail_fast, run_id=args.run_id, tables_at_once=args.tables_at_once,

@@ -60,8 +60,9 @@ class GrowingTable:
                 raise
             return self.spark.createDataFrame([], _FILES)
 
-    def counts(self, items: Items, mark: str) -> Counts:
-        """The table's counts; ``mark`` tells one set of checks from another."""
+    def counts(self, items: Items, mark: str, names: list[str] | None = None) -> Counts:
+        """The table's counts; ``mark`` tells one set of checks from another, ``names`` are the
+        columns of files without a header."""
         ensure_checkpoint_dir(self.spark)
         now, known = self.files(), self._known(mark)
         same = ["file", "length", "changed"]
@@ -69,6 +70,7 @@ class GrowingTable:
         if new:
             part = uuid.uuid4().hex
             rows = self.load([r["file"] for r in new])
+            rows = rows.toDF(*names) if names else rows
             counted = items.exploded(rows.withColumn("__file", _of_row()), "__file")
             counted.groupBy(F.col("__file").alias("file"), "tag", "key").agg(F.count(F.lit(1)).alias("n")) \
                 .write.parquet(f"{self.state}/{mark}/counts/part={part}")

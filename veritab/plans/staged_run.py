@@ -236,8 +236,9 @@ def table_parts(spark: SparkSession, spec: TableSpec, seq: int,
     if spec.single_scan or spec.growing:
         items = _items(df, spec, fs, refs, compat, n_columns)
         kinds = [ref.select(col(c)).schema[0].dataType for ref, c in refs.values()]
-        counts = spec.growing.counts(items, fingerprint(spec.rules, fs, compat, df.columns, kinds)) if spec.growing \
-            else items.counted(df)
+        mark = fingerprint(spec.rules, fs, compat, df.columns, kinds)
+        counts = (spec.growing.counts(items, mark, None if spec.has_header else df.columns) if spec.growing
+                  else items.counted(df))
         one = counts.frame.agg(*_totals(counts, spec, fs, check_records))
     else:
         if fs and fs.cell_column:
