@@ -134,6 +134,12 @@ def test_every_file_of_a_csv_table_is_read_by_its_own_header(spark, tmp_path):
     assert (verdict["rule"], verdict["passed"], verdict["row_count"]) == ("header", False, 4) and "b.csv" in verdict["message"]
 
 
+def test_odd_file_names(spark, tmp_path):
+    path = folder(tmp_path / "a b+c%20", **{"x 1": "a,b\n1,2\n", "y+%2": "b,a\n4,3\n"})
+    df = read_table(spark, path, "csv", header=True)
+    assert sorted(tuple(r)[:2] for r in df.collect()) == [("1", "2"), ("3", "4")]
+
+
 def test_file_headers_of_odd_files(spark, tmp_path):
     path = folder(tmp_path / "t", a='#note\n"x;1";y;y;\n1;2;3;4\n', b="x;1\n5;6\n", c="lone\n")
     df = read_table(spark, path, "csv", header=True, separator=";", options={"comment": "#"})

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from veritab.operators.single_scan import Counts, Items
 from veritab.session import ensure_checkpoint_dir
+from veritab.sources.csv_headers import plain_path
 
 _FILES = "file string, length bigint, changed timestamp, part string"
 _COUNTS = "file string, tag string, key string, n bigint"
@@ -35,7 +36,7 @@ def _normal(path: Column) -> Column:
 
 def _of_row() -> Column:
     """The file that a row was read from, as a listing spells it."""
-    return _normal(F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B"))))
+    return _normal(plain_path(F.input_file_name()))
 
 
 class GrowingTable:

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: lines that a task reads at a time while it looks for the first record
@@ -32,6 +32,11 @@ def _heads_only(spark: SparkSession) -> SparkSession:
     return heads
 
 
+def plain_path(uri: Column) -> Column:
+    """A path as it is given to a reader, from the escaped form that rows tell of their file."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def first_records(spark: SparkSession, path: str | list[str], comment: str | None = None) -> DataFrame:
     """``file``, ``line``: the first line of each file that is neither blank nor a comment."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -44,7 +49,7 @@ def first_records(spark: SparkSession, path: str | list[str], comment: str | Non
                     return
 
     lines = _heads_only(spark).read.text(path)
-    return lines.select("value", "_metadata.file_path", "_metadata.file_block_start").mapInArrow(
+    return lines.select("value", plain_path(F.col("_metadata.file_path")), "_metadata.file_block_start").mapInArrow(
         run, "file string, line string")
 
 
