@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -25,19 +26,31 @@ ARROW_ROWS = 2000
 _ARROW_ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+_lock = threading.Lock()
+#: sessions with jobs under the short setting: how many, and the setting before
+_shortened: dict[int, tuple[int, str]] = {}
+
+
 @contextmanager
 def short_batches(spark: SparkSession) -> Iterator[None]:
     """Jobs inside hand texts to Python in batches of at most ``ARROW_ROWS`` rows:
-    Spark keeps the buffers of the largest batch for the life of an executor."""
-    before = spark.conf.get(_ARROW_ROWS_SETTING)
-    if 0 < int(before) <= ARROW_ROWS:
-        yield
-        return
-    spark.conf.set(_ARROW_ROWS_SETTING, str(ARROW_ROWS))
+    Spark keeps the buffers of the largest batch for the life of an executor.
+    Jobs of several threads may overlap; the last one restores the setting."""
+    key = id(spark)
+    with _lock:
+        jobs, before = _shortened.get(key, (0, spark.conf.get(_ARROW_ROWS_SETTING)))
+        _shortened[key] = (jobs + 1, before)
+        if not 0 < int(before) <= ARROW_ROWS:
+            spark.conf.set(_ARROW_ROWS_SETTING, str(ARROW_ROWS))
     try:
         yield
     finally:
-        spark.conf.set(_ARROW_ROWS_SETTING, before)
+        with _lock:
+            jobs, before = _shortened.pop(key)
+            if jobs > 1:
+                _shortened[key] = (jobs - 1, before)
+            else:
+                spark.conf.set(_ARROW_ROWS_SETTING, before)
 
 
 def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
