@@ -49,7 +49,8 @@ def first_records(spark: SparkSession, path: str | list[str], comment: str | Non
                     return
 
     lines = _heads_only(spark).read.text(path)
-    return lines.select("value", plain_path(F.col("_metadata.file_path")), "_metadata.file_block_start").mapInArrow(
+    return lines.select("value", plain_path(F.col("_metadata.file_path")).alias("file"),
+                        "_metadata.file_block_start").mapInArrow(
         run, "file string, line string")
 
 
