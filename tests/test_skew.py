@@ -28,10 +28,13 @@ def test_required_pairs_hot_group(spark):
     assert FN.required_missing(df, ["k"], "v", ["a", "b", "c"]).count() == 20001
 
 
-def test_anti_join_hot_value_both_paths(spark, monkeypatch):
+def test_anti_join_hot_value_both_paths(spark):
     df = skewed(spark)
     ref = spark.createDataFrame([("ok",)], "code string")
-    for bound in (500_000, 0):
-        monkeypatch.setattr(R, "BROADCAST_VALUES", bound)
-        assert R.reference_violation_count(df, "code", ref, "code").first()["violations"] == 6000
-        assert R.reference_violations(df, "code", ref, "code").count() == 6000
+    for bound in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+        try:
+            assert R.reference_violation_count(df, "code", ref, "code").first()["violations"] == 6000
+            assert R.reference_violations(df, "code", ref, "code").count() == 6000
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
