@@ -216,6 +216,7 @@ def map_ids(docs: DataFrame, path: str, schema: str,
         for batch in _gathered(batches):
             for at, n in _slices(batch.column(1)):
                 yield from (state or rows)(batch.column(0).slice(at, n), *encode(batch.column(1).slice(at, n)))
+                pa.default_memory_pool().release_unused()  # what a slice has used, back to the system
         if state:
             yield from state.end()
 
