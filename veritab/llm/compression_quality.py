@@ -12,7 +12,8 @@ texts of its class, in a task of its own.  Scoring compresses every whole text.
 
 Defined results: a null text scores as an empty one; equal texts score alike;
 if the usable labels lack a class, every score is the share of good ones
-(one half without labels); an empty table gives no rows.
+(one half without labels); a text of any length is compressed whole; an empty table
+gives no rows; other columns are not read, and pass through ``keep_good``.
 """
 
 from __future__ import annotations

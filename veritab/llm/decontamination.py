@@ -18,7 +18,9 @@ only if it was counted to be small, and shuffled else.
 
 Defined results: null or empty text has no words; a null item id counts as an
 empty string; items of equal id are one item; rows of equal id and text get
-equal results; without items nothing is hit.
+equal results; without items nothing is hit; a text of any length is read whole;
+an empty table of documents gives no rows; other columns are not read, and pass
+through ``drop_contaminated`` under any name.
 """
 
 from __future__ import annotations

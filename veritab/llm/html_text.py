@@ -19,7 +19,8 @@ does a header of an article, nor an id whose last word is something else.
 Defined results: null, empty and text-free pages give an empty text; unclosed
 and stray tags are tolerated; a comment, script, style or textarea without an
 end runs to the end of the page, another element that is skipped (button, svg,
-...) to the next block-level tag; equal pages give equal texts; other columns
+...) to the next block-level tag; a tag without an end is dropped; a page of any length is read whole, in time
+that grows with its length; equal pages give equal texts; an empty table gives no rows; other columns
 are ignored.
 """
 

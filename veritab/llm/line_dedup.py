@@ -24,8 +24,8 @@ task, and they go back to the rows of frequent lines by a broadcast (see
 
 Defined results: null text stays null; empty text stays; rows of equal id and
 text are one document and keep the same lines; overlapping repeats (one line
-many times) shrink to their first lines; ids that are null come first; other
-columns pass through.
+many times) shrink to their first lines; ids that are null come first; a text of any
+length is read whole; an empty table gives no rows; other columns pass through under any name.
 """
 
 from __future__ import annotations

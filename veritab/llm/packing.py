@@ -12,7 +12,8 @@ spread too; each shard is packed by one task with counts per length, and only
 its last sequence is likely to stay open.
 
 Defined results: a null text is one piece of one id; equal rows are packed
-each; an empty table gives no rows.
+each; a longer document than a sequence is cut into pieces; an empty table gives no
+rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ Both are compiled to column expressions of one projection: no shuffle, no
 user function, and every text is judged alone.
 
 Defined results: null or empty text has zero in every count and fails; a
-repeated row gets an equal verdict; other columns are ignored.
+repeated row gets an equal verdict; a text of any length is read whole; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

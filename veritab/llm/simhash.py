@@ -21,7 +21,9 @@ differ in at most ``max_bits`` places; a component is everything reachable.
 
 Defined results: null or empty text has fingerprint zero and links like any
 other; a null id belongs to its component but is its name only if no member
-has an id; an empty table gives no rows.
+has an id; texts of equal fingerprint are linked; a text of any length is read whole;
+an empty table gives no rows; other columns are not read, and pass through
+``one_of_each_group`` under any name, where of fully equal rows one stays.
 """
 
 from __future__ import annotations

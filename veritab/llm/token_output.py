@@ -17,7 +17,8 @@ A block decodes alone, and every checkpoint is a place to start from, so a
 block is decoded table-driven with all its segments side by side.
 
 Defined results: a null text has no ids but the end id; equal rows are written
-each; null ids come first; an empty table gives two empty tables.
+each; null ids come first, equal ids in the order of a hash of their ids; a text of any length is encoded
+whole, a longer one than a block is a block of its own; an empty table gives two empty tables; other columns are not read.
 """
 
 from __future__ import annotations

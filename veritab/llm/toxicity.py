@@ -25,7 +25,9 @@ clauses around hits to the machine.
 
 Defined results: null and empty texts have no clause and score as texts
 without a hit; equal texts score alike; without labels of both classes the
-listed words and fixed weights are used.
+listed words and fixed weights are used; a text of any length is read whole, in
+time that grows with its length; an empty table gives no rows; other columns are
+not read.
 """
 
 from __future__ import annotations

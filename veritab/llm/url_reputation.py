@@ -16,7 +16,9 @@ whose large keys Spark splits).
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path, no rule, and the verdict of the corpus-wide prior; repeated rows are
-judged alike; without labels the prior is even (1, 1).
+judged alike; without labels the prior is even (1, 1); an outcome of null does not
+count; a url of any length is read whole; an empty table gives no rows; other
+columns are not read.
 """
 
 from __future__ import annotations
