@@ -29,7 +29,7 @@ def ids_of(tokenizer):
 def odd_texts(n=400):
     rng = random.Random(1)
     ranges = [(0, 0x180), (0, 128), (0x300, 0x370), (0x370, 0x3000), (32, 33), (10, 11), (28, 32), (0x1F000, 0x1F900)]
-    texts = [None, "", "  ", "\n", "it's WE'LL 12½ ²", "<|endoftext|> x <|ENDOFTEXT|>", "İstanbul ΣΑΣ ǅ", "a" * 3000]
+    texts = [None, "", "  ", "\n", "it's WE'LL 12½ ²", "<|endoftext|> x <|ENDOFTEXT|>", "İstanbul ΣΑΣ ǅ", "a" * 3000, "word,, a.b.c x?! (y.) e.g.'s don't. U.S.A., z,\u0301 \u00e9. w\u2014v, 3.5,7 <|x.y|> a.<|endoftext|>."]
     return texts + ["".join(chr(rng.randrange(*rng.choice(ranges))) for _ in range(rng.randrange(40))) for _ in range(n)]
 
 

@@ -34,6 +34,8 @@ _LETTERS = "a-zªµºß-öø-ÿ"
 _NUMBERS = "0-9²³¹¼½¾"
 _SPACES = "\t-\r \x85\xa0"
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+")
+#: a letter and a mark that starts the next piece
+_WORD_END = "([a-z])([.,;:!?])"
 _BEYOND_LATIN1 = re.compile("[^\x00-\xff]")
 _CHUNK = re.compile("[^\t-\r ]+")
 
@@ -138,7 +140,8 @@ class BatchEncoder:
             return (np.concatenate(ids) if ids else np.empty(0, "<u4"),
                     np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)]))
         if not (self.mark and pc.any(pc.match_substring(texts, self.mark)).as_py()):
-            texts = pc.ascii_lower(texts)  # the vocabulary does so too: fewer distinct chunks
+            # the vocabulary does both too, before any merge: fewer distinct chunks, most of them single pieces
+            texts = pc.replace_substring_regex(pc.ascii_lower(texts), _WORD_END, r"\1 \2")
         # other white space stays inside a chunk; the encoder skips it there
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         chunks = pc.list_flatten(lists).dictionary_encode()
