@@ -44,6 +44,34 @@ def test_encoder_equals_the_library(ids_of, monkeypatch):
             assert ids[starts[i]:starts[i + 1]].tolist() == ids_of(texts[at + i])
 
 
+def test_a_worker_reads_the_vocabulary_once(monkeypatch):
+    import tokenizers
+
+    texts, made = pa.array(["some words"]), []
+
+    class Counted:
+        @staticmethod
+        def from_str(spec):
+            made.append(1)
+            return library.from_str(spec)
+
+    library = tokenizers.Tokenizer
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    first = [tokens.BatchEncoder(vocabulary())(texts)[0].tolist() for _ in range(3)]
+    assert first[0] == first[1] == first[2] and len(made) <= 1
+
+
+def test_marks_after_accented_words_make_no_new_chunks(ids_of):
+    encode = tokens.BatchEncoder(vocabulary())
+    asked, plain = [], encode.encode
+    encode.encode = lambda chunk: asked.append(chunk) or plain(chunk)
+    text = "Été, été. été; ÉTÉ: n'été? straße. straße! \u00d7. \u00f7, 3. lló.,! \u00aa."
+    ids, starts = encode(pa.array([text, text]))
+    assert ids[:starts[1]].tolist() == ids[starts[1]:].tolist() == ids_of(text)
+    assert {"Été", "ÉtÉ", "straße", ","} <= set(asked)
+    assert not {"été,", "été.", "été;", "straße.", "straße!"} & set(asked)
+
+
 def test_code_lengths_are_optimal_and_limited():
     import heapq
 
@@ -82,6 +110,21 @@ def test_pack_and_unpack():
             assert tail.tolist() == ids[256:].tolist()
 
 
+def test_pack_writes_the_bits_of_long_code_words():
+    rng = np.random.default_rng(4)
+    lengths = token_output.code_lengths({s: 1 << min(s, 50) for s in range(60)})
+    order, bits, words = token_output.canonical(lengths)
+    assert bits.max() == token_output.MAX_BITS
+    bits_of, word_of = np.zeros(1 << 16, np.uint8), np.zeros(1 << 16, np.uint64)
+    bits_of[order], word_of[order] = bits, words
+    for n in (1, 3, 4, 63, 64, 65, 700):
+        ids = rng.integers(0, 60, n).astype("<u2")
+        payload, checkpoints = token_output.pack(ids, bits_of, word_of)
+        text = "".join(f"{int(word_of[i]):0{int(bits_of[i])}b}" for i in ids)
+        assert payload == int(text.ljust(-(-len(text) // 8) * 8, "0"), 2).to_bytes(-(-len(text) // 8), "big")
+        assert token_output.unpack(payload, checkpoints, n, token_output.decoding_table(lengths)).tolist() == ids.tolist()
+
+
 def expected_rows(docs, ids_of):
     rows, start = [], 0
     for doc_id, text in docs:

@@ -96,15 +96,13 @@ def canonical(lengths: dict[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return ids, bits, words
 
 
-def decoding_table(lengths: dict[int, int]) -> tuple[np.ndarray, np.ndarray, int]:
-    """(id, length) of the code word that starts each ``width``-bit pattern."""
+def decoding_table(lengths: dict[int, int]) -> tuple[np.ndarray, int]:
+    """(id << 8 | length of the code word that starts each ``width``-bit pattern, width)."""
     ids, bits, _ = canonical(lengths)
     width = int(bits.max()) if len(bits) else 1
-    span = np.left_shift(1, width - bits)
-    symbol, size = np.repeat(ids, span), np.repeat(bits, span)
-    rest = (1 << width) - len(symbol)  # patterns without a code word (a single symbol)
-    return (np.pad(symbol, (0, rest)).astype(np.uint32), np.pad(size, (0, rest), constant_values=1).astype(np.uint8),
-            width)
+    entries = np.repeat(ids << 8 | bits, np.left_shift(1, width - bits))
+    rest = (1 << width) - len(entries)  # patterns without a code word (a single symbol)
+    return np.pad(entries, (0, rest), constant_values=1).astype(np.uint32), width
 
 
 def pack(ids: np.ndarray, bits_of: np.ndarray, word_of: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -115,31 +113,29 @@ def pack(ids: np.ndarray, bits_of: np.ndarray, word_of: np.ndarray) -> tuple[byt
     total = int(end[-1]) if len(end) else 0
     out = np.zeros(total // 64 + 2, dtype=np.uint64)
     if len(ids):
-        word, room = at >> 6, 64 - (at & 63) - n  # room < 0: the word runs into the next 64 bits
-        values = word_of[ids]
-        over = room < 0
-        here = np.where(over, values >> np.where(over, -room, 0).astype(np.uint64),
-                        values << np.where(over, 0, room).astype(np.uint64))
-        first = np.flatnonzero(np.diff(word, prepend=-1))
-        out[word[first]] = np.add.reduceat(here, first)  # disjoint bits: a sum is an or
-        out[word[over] + 1] += values[over] << (64 + room[over]).astype(np.uint64)
+        place = (at & 63).astype(np.uint64)
+        values = word_of[ids] << (64 - n).astype(np.uint64)  # at the top of 64 bits
+        # code words are shorter than 64 bits: one starts in every 64 bits, the first of them where places fall
+        first = np.concatenate([[0], np.flatnonzero(place[1:] < place[:-1]) + 1])
+        out[:len(first)] = np.add.reduceat(values >> place, first)  # disjoint bits: a sum is an or
+        last = np.append(first[1:], len(ids)) - 1  # may run into the next 64 bits
+        out[1:len(first) + 1] += values[last] << (64 - place[last])
     return out.astype(">u8").tobytes()[:(total + 7) // 8], at[::SEGMENT]
 
 
-def unpack(payload: bytes, checkpoints: np.ndarray, n: int, table: tuple[np.ndarray, np.ndarray, int]) -> np.ndarray:
+def unpack(payload: bytes, checkpoints: np.ndarray, n: int, table: tuple[np.ndarray, int]) -> np.ndarray:
     """The ``n`` ids of a payload, decoding all segments side by side."""
-    symbol, size, width = table
+    entries, width = table
     data = np.frombuffer(payload + bytes(8), dtype=np.uint8).astype(np.uint32)
     # 32 bits from every byte on
     window = (data[:-3] << 24) | (data[1:-2] << 16) | (data[2:-1] << 8) | data[3:]
-    at = checkpoints.astype(np.int64).copy()
+    at = checkpoints.astype(np.int64)
     out = np.empty((SEGMENT, len(at)), dtype="<u4")
-    limit = len(window) - 1
     for k in range(SEGMENT):
-        code = (window[np.minimum(at >> 3, limit)] << (at & 7).astype(np.uint32)) >> np.uint32(32 - width)
-        out[k] = symbol[code]
-        at += size[code]
-    return np.ascontiguousarray(out.T).reshape(-1)[:n]
+        code = (window.take(at >> 3, mode="clip") << (at & 7).astype(np.uint32)) >> np.uint32(32 - width)
+        out[k] = entries.take(code, mode="clip")
+        at += out[k] & 0xFF
+    return np.ascontiguousarray(out.T).reshape(-1)[:n] >> np.uint32(8)
 
 
 # -- write -----------------------------------------------------------------
@@ -279,7 +275,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
 
 def _decoded(spark: SparkSession, path: str, digest: bool) -> DataFrame:
     lengths = {r["id"]: r["bits"] for r in spark.read.parquet(f"{path}/code").collect()}  # bounded by the vocabulary
-    code = spark.sparkContext.broadcast(lengths)
+    table = spark.sparkContext.broadcast(decoding_table(lengths))
     stored = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks")
     places = stored.select("part", "seq", "n_tokens")
     # two-level running sum: over the parts (one row each), then over a part's blocks
@@ -294,11 +290,10 @@ def _decoded(spark: SparkSession, path: str, digest: bool) -> DataFrame:
               .select("start", "doc_ids", "doc_tokens", "checkpoints", "payload"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = decoding_table(code.value)
         for batch in batches:
             for start, keys, per_doc, checkpoints, payload in zip(*batch.columns):
                 sizes = per_doc.values.to_numpy()
-                ids = unpack(payload.as_buffer().to_pybytes(), checkpoints.values.to_numpy(), int(sizes.sum()), table)
+                ids = unpack(payload.as_buffer().to_pybytes(), checkpoints.values.to_numpy(), int(sizes.sum()), table.value)
                 at = np.concatenate([[0], np.cumsum(sizes)])
                 docs = [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
                 last = (pa.array([zlib.crc32(x) for x in docs], pa.int64()) if digest

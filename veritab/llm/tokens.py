@@ -14,12 +14,17 @@ import json
 import re
 import struct
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 #: entries of a worker's piece table, at most: a newer and an older half
 TABLE_ENTRIES = 400_000
 #: bytes of text that are encoded at a time
@@ -35,7 +40,7 @@ _NUMBERS = "0-9²³¹¼½¾"
 _SPACES = "\t-\r \x85\xa0"
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+")
 #: a letter and a mark that starts the next piece
-_WORD_END = "([a-z])([.,;:!?])"
+_WORD_END = "([a-zÀ-ÖØ-öø-ÿ])([.,;:!?])"
 _BEYOND_LATIN1 = re.compile("[^\x00-\xff]")
 _CHUNK = re.compile("[^\t-\r ]+")
 
@@ -57,27 +62,34 @@ def is_splittable(tokenizer_json: str) -> bool:
     return steps == ["NFC", "Replace", "Lowercase"] and split == ["Split", "ByteLevel"]
 
 
+@lru_cache(maxsize=1)
+def _loaded(path: str) -> tuple[Tokenizer, bool, list[str]]:
+    """(a vocabulary file's tokenizer, whether the piece table may be used, its special
+    tokens' strings), which a worker reads once for all its tasks."""
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as f:
+        spec = f.read()
+    return Tokenizer.from_str(spec), is_splittable(spec), [t["content"] for t in json.loads(spec)["added_tokens"]]
+
+
 def make_encoder(path: str) -> tuple[Callable[[str], bytes], bool, str | None, dict[str, bytes]]:
     """(encode, split, mark, known): a function from a text to its ids as little-endian
     unsigned 32-bit bytes; whether a text's ids are those of its white-space
     separated chunks; the start of the special tokens' strings; the pieces that the
     worker keeps, each a lower-case text whose ids are these."""
-    from tokenizers import Tokenizer
-
-    with open(path, encoding="utf-8") as f:
-        spec = f.read()
-    tokenizer = Tokenizer.from_str(spec)
+    tokenizer, splittable, specials = _loaded(path)
 
     def whole(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    if not is_splittable(spec):
+    if not splittable:
         return whole, False, None, {}
-    specials = [t["content"] for t in json.loads(spec)["added_tokens"]]
     mark = specials[0][:2] if specials and all(s[:2] == specials[0][:2] for s in specials) else None
     if specials and mark is None:
         return whole, False, None, {}
-    alphabet, model = _byte_alphabet(), tokenizer.model
+    alphabet, tokenize = _byte_alphabet(), tokenizer.model.tokenize  # the alphabet translates bytes read as Latin-1
+    packers = [struct.Struct(f"<{n}I").pack for n in range(LONGEST_KEPT_PIECE + 1)]
 
     class Table(dict):
         """The newer half; a piece of the older half moves here when it is seen again, and
@@ -87,14 +99,11 @@ def make_encoder(path: str) -> tuple[Callable[[str], bytes], bool, str | None, d
 
         def __missing__(self, piece: str) -> bytes:
             ids = self.older.get(piece)
-            return self.keep(piece, ids if ids is not None else self.encoded(piece))
-
-        def encoded(self, piece: str) -> bytes:
-            plain_letters = piece.isascii() and piece.isalpha()  # these stand for themselves
-            found = model.tokenize(piece if plain_letters else "".join(map(alphabet.__getitem__, piece.encode())))
-            return struct.pack(f"<{len(found)}I", *[t.id for t in found])
-
-        def keep(self, piece: str, ids: bytes) -> bytes:
+            if ids is None:
+                plain_letters = piece.isascii() and piece.isalpha()  # these stand for themselves
+                shown = piece if plain_letters else piece.encode().decode("latin-1").translate(alphabet)
+                found = [t.id for t in tokenize(shown)]
+                ids = (packers[len(found)] if len(found) < len(packers) else struct.Struct(f"<{len(found)}I").pack)(*found)
             if len(piece) <= LONGEST_KEPT_PIECE:
                 if len(self) >= TABLE_ENTRIES // 2:
                     self.older = dict(self)
@@ -108,6 +117,8 @@ def make_encoder(path: str) -> tuple[Callable[[str], bytes], bool, str | None, d
         return b"".join(map(table.__getitem__, _PIECES.findall(text.lower())))
 
     def encode(text: str) -> bytes:
+        if text.isalpha() and (text.isascii() or not _BEYOND_LATIN1.search(text)):
+            return table[text.lower()]  # one piece
         if mark and mark in text:
             return whole(text)
         if text.isascii() or not _BEYOND_LATIN1.search(text):
@@ -147,26 +158,20 @@ class BatchEncoder:
         chunks = pc.list_flatten(lists).dictionary_encode()
         per_text = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         encode, known = self.encode, self.known.get
-        encoded = [known(c) or encode(c) for c in chunks.dictionary.to_pylist()]
+        encoded = [known(c) or encode(c) for c in chunks.dictionary.to_numpy(zero_copy_only=False).tolist()]
         encoded.append(np.array([END_ID], dtype="<u4").tobytes())
-        # a slice holds far fewer than 2 ** 31 ids, unless one text alone has more
-        size = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded)) >> 2
-        first = np.cumsum(size) - size
-        pool = np.frombuffer(b"".join(encoded), dtype="<u4")
+        pool = pa.array(encoded, pa.large_binary())
         del encoded
-        code = np.full(len(chunks) + len(texts), len(size) - 1, dtype=np.int32)
+        code = np.full(len(chunks) + len(texts), len(pool) - 1, dtype=np.int32)
         ends = np.cumsum(per_text + 1) - 1
         is_chunk = np.ones(len(code), dtype=bool)
         is_chunk[ends] = False
         code[is_chunk] = chunks.indices.to_numpy(zero_copy_only=False)
         del lists, chunks, is_chunk
-        n = size[code]
-        upto = np.cumsum(n)
-        total = int(upto[-1]) if len(upto) else 0
-        small = np.int32 if total < 1 << 31 and len(pool) < 1 << 31 else np.int64
-        take = np.repeat((first[code] - (upto - n)).astype(small), n)
-        take += np.arange(total, dtype=small)
-        return pool[take], np.concatenate([[0], upto[ends]]).astype(np.int64)
+        taken = pool.take(pa.array(code))
+        upto = np.frombuffer(taken.buffers()[1], "<i8", len(taken) + 1) >> 2
+        ids = np.frombuffer(taken.buffers()[2] or b"", "<u4", int(upto[-1]))
+        return ids, np.concatenate([[0], upto[ends + 1]])
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
