@@ -90,3 +90,28 @@ def test_the_index_is_not_moved(spark):
     assert "SortMergeJoin" in plan and "LeftAnti" in plan and "Bucketed: true" in plan
     # both exchanges are the batch's own: its digests are merged, then dealt to the buckets
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_digests_are_merged_before_they_meet_a_small_index(spark, monkeypatch):
+    """In a session with Spark's own rules too; the setting is as it was afterwards."""
+    index = DigestIndex.create(spark, scratch_path(spark, "index"), 10)
+    rows = index.add(frame(spark, [(i, f"t{i % 7}") for i in range(50)]))
+    setting = exact_dedup.EXCLUDED_RULES
+    ours, plans, found = spark.conf.get(setting), [], DigestIndex.new_digests
+
+    def watched(self, rows):
+        new = found(self, rows)
+        plans.append(new._jdf.queryExecution().executedPlan().toString())
+        return new
+
+    monkeypatch.setattr(DigestIndex, "new_digests", watched)
+    try:
+        for before in (None, "org.apache.spark.sql.catalyst.optimizer.LimitPushDown"):
+            spark.conf.set(setting, before) if before else spark.conf.unset(setting)
+            index.add(rows.select("doc_id", F.hex("digest").alias("text")))
+            assert spark.conf.get(setting, None) == before
+    finally:
+        spark.conf.set(setting, ours)
+    assert len(plans) == 2
+    for plan in plans:
+        assert "LeftAnti" in plan and plan.index("SortMergeJoin") < plan.index("HashAggregate")

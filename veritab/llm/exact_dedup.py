@@ -28,12 +28,15 @@ by the report, and :func:`new_documents` passes them on under any name.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veritab.llm.common import attach_totals, scratch_path, text_or_empty, written
+from veritab.session import ANTI_JOIN_RULE, EXCLUDED_RULES
 
 #: digests in one bucket, about (40 bytes each); sets the number of buckets of a new index
 BUCKET_ROWS = 1_000_000
@@ -46,6 +49,23 @@ def normalised(text_col: str = "text") -> Column:
     return F.regexp_replace(text_or_empty(text_col), r"[\x20\x09-\x0D]+", " ")
 
 
+@contextmanager
+def merged_first(spark: SparkSession) -> Iterator[None]:
+    """Jobs inside merge a batch's digests before these meet the index, however small it is, in any session."""
+    before = spark.conf.get(EXCLUDED_RULES, None)
+    if ANTI_JOIN_RULE in (before or ""):
+        yield
+        return
+    spark.conf.set(EXCLUDED_RULES, f"{before},{ANTI_JOIN_RULE}" if before else ANTI_JOIN_RULE)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(EXCLUDED_RULES)
+        else:
+            spark.conf.set(EXCLUDED_RULES, before)
+
+
 class DigestIndex:
     """A folder with two tables: ``digests`` (``digest binary, keep_id``), bucketed
     and sorted by digest, and ``settings`` (its number of buckets)."""
@@ -82,13 +102,17 @@ class DigestIndex:
                           F.unhex(F.sha2(normalised(text_col), 256)).alias("digest"))
         # by digest and id: rows of a frequent text spread by their ids
         rows = written(one.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("copies")), "digests")
-        firsts = rows.groupBy("digest").agg(F.min("doc_id").alias("keep_id"))
-        new = (firsts.repartition(self.buckets, "digest")
-               .join(self.table().select("digest").hint("merge"), "digest", "left_anti"))
-        new.select("digest", "keep_id").write.insertInto(self.name)
+        with merged_first(self.spark):
+            self.new_digests(rows).write.insertInto(self.name)
         self.spark.catalog.refreshTable(self.name)
         return rows
 
+    def new_digests(self, rows: DataFrame) -> DataFrame:
+        """The digests of ``rows`` that the index lacks, with the smallest id of each."""
+        firsts = rows.groupBy("digest").agg(F.min("doc_id").alias("keep_id"))
+        return (firsts.repartition(self.buckets, "digest")
+                .join(self.table().select("digest").hint("merge"), "digest", "left_anti").select("digest", "keep_id"))
+
     def groups(self, rows: DataFrame) -> DataFrame:
         """One row per distinct text of ``rows``: ``digest``, ``keep_id``, ``group_size``."""
         sizes = rows.groupBy("digest").agg(F.sum("copies").alias("group_size"))
